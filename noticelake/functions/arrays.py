@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def tags_from_text(c: Column, sep: str = ",") -> Column:
     """Trimmed, non-blank parts of a separated text."""
-    return F.filter(F.transform(F.split(c, sep), F.trim), lambda t: F.length(t) > 0)
+    return F.filter(F.transform(F.split(c, sep), lambda x: F.trim(x)), lambda t: F.length(t) > 0)
 
 
 def tags_to_text(c: Column) -> Column:

@@ -110,7 +110,7 @@ def first_sentence(c: Column, min_len: int = 20, max_len: int = 500) -> Column:
 
 
 def first_long_lines(c: Column, n: int = 3, min_len: int = 30, max_len: int = 500) -> Column:
-    lines = F.filter(F.transform(F.split(c, r"\n"), F.trim), lambda s: F.length(s) > min_len)
+    lines = F.filter(F.transform(F.split(c, r"\n"), lambda x: F.trim(x)), lambda s: F.length(s) > min_len)
     return F.substring(collapse_space(F.array_join(F.slice(lines, 1, n), " ")), 1, max_len)
 
 

@@ -50,7 +50,7 @@ def validate(df: DataFrame, contract: Contract = Contract()) -> DataFrame:
 
     if c.tag_field in df.columns:
         tags = F.col(c.tag_field)
-        parts = F.transform(F.split(tags, ","), F.trim)
+        parts = F.transform(F.split(tags, ","), lambda x: F.trim(x))
         kept = F.filter(parts, lambda t: (F.length(t) > 0) & (F.upper(t) != c.forbidden_tag.upper()))
         changed = ~is_missing(tags) & (F.size(kept) != F.size(parts))
         normalized[c.tag_field] = F.when(changed, tags_to_text(kept)).otherwise(tags)

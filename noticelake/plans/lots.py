@@ -46,7 +46,7 @@ def lots_from_text(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     """Lots found by block patterns: doc_id, line_no, lot_no_raw, description_raw, value_raw, source_text."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.posexplode(X.lot_blocks(F.col(text))).alias("line_no", "b"))
     body = F.regexp_replace(F.col("b.body"), r"(?s)CHECK LIST.*$", "")
-    lines = F.filter(F.transform(F.split(body, r"\n"), F.trim), lambda s: F.length(s) > 0)
+    lines = F.filter(F.transform(F.split(body, r"\n"), lambda x: F.trim(x)), lambda s: F.length(s) > 0)
     first = F.get(lines, F.lit(0))
     headline = F.when((F.upper(first) == "RENAVAM") & (F.size(lines) > 1), F.get(lines, F.lit(1))).otherwise(first)
     blocked = F.col("b.value").isNotNull()

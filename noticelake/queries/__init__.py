@@ -2,6 +2,6 @@
 
 
 def modules():
-    from noticelake.queries import serving
+    from noticelake.queries import operations, pages, quality, serving
 
-    return (serving,)
+    return (serving, quality, operations, pages)
