@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from noticelake.functions.text import let
+
 
 def tags_from_text(c: Column, sep: str = ",") -> Column:
     """Trimmed, non-blank parts of a separated text."""
@@ -31,9 +33,13 @@ def tags_by_words(text: Column, words: Mapping[str, Iterable[str]], default: str
     rules = F.array(
         *[F.struct(F.lit(tag).alias("tag"), F.array(*[F.lit(w) for w in ws]).alias("words")) for tag, ws in words.items()]
     )
-    hit = F.filter(rules, lambda r: F.exists(r["words"], lambda w: F.coalesce(F.contains(text, w), F.lit(False))))
-    tags = F.sort_array(F.array_distinct(F.transform(hit, lambda r: r["tag"])))
-    return F.when(F.size(tags) == 0, F.array(F.lit(default))).otherwise(tags) if default else tags
+
+    def found(t: Column) -> Column:
+        hit = F.filter(rules, lambda r: F.exists(r["words"], lambda w: F.coalesce(F.contains(t, w), F.lit(False))))
+        return F.sort_array(F.array_distinct(F.transform(hit, lambda r: r["tag"])))
+
+    tags = let(text, found)
+    return let(tags, lambda t: F.when(F.size(t) == 0, F.array(F.lit(default))).otherwise(t)) if default else tags
 
 
 def overlap(a: Column, b: Column) -> Column:

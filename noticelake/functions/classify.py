@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from noticelake.functions.text import contains_any, fold_accents
+from noticelake.functions.text import contains_any, fold_accents, let
 
 
 def first_class(text: Column, classes: Sequence[tuple[str, Sequence[str]]], other: str) -> Column:
@@ -15,7 +15,7 @@ def first_class(text: Column, classes: Sequence[tuple[str, Sequence[str]]], othe
     table = F.array(
         *[F.struct(F.lit(n).alias("name"), F.array(*[F.lit(w) for w in ws]).alias("words")) for n, ws in classes]
     )
-    hits = F.filter(table, lambda r: F.exists(r["words"], lambda w: F.coalesce(F.contains(text, w), F.lit(False))))
+    hits = let(text, lambda t: F.filter(table, lambda r: F.exists(r["words"], lambda w: F.coalesce(F.contains(t, w), F.lit(False)))))
     return F.coalesce(F.get(hits, F.lit(0))["name"], F.lit(other))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from noticelake.functions.dates import to_br_text
 from noticelake.functions.money import parse_money
-from noticelake.functions.text import collapse_space, contains_any, first_match
+from noticelake.functions.text import collapse_space, contains_any, first_match, let
 
 # ---------------------------------------------------------------- fixed patterns
 NOTICE_NUMBER = (
@@ -207,13 +207,14 @@ def brand(c: Column, brands: Sequence[str]) -> Column:
     """First listed brand found as a whole word."""
     t = F.upper(c)
     words = F.array(*[F.lit(b) for b in brands])
-    return F.get(F.filter(words, lambda b: F.regexp(t, F.concat(F.lit(r"\b"), b, F.lit(r"\b")))), F.lit(0))
+    return let(t, lambda v: F.get(F.filter(words, lambda b: F.regexp(v, F.concat(F.lit(r"\b"), b, F.lit(r"\b")))), F.lit(0)))
 
 
 def model(c: Column, brand_name: Column) -> Column:
     """Words after the brand up to a comma or a stop word."""
     t = F.upper(c)
-    after = F.regexp_extract(t, F.concat(F.lit(r"\b"), brand_name, F.lit(r"\s*[/\s]\s*([A-Z0-9][A-Z0-9\s\-.]+?)(?:,|\s+ANO|\s+PLACA|\s+COR|\s+CHASSI|\s+COMB|$)")), 1)
+    stop = F.lit(r"\s*[/\s]\s*([A-Z0-9][A-Z0-9\s\-.]+?)(?:,|\s+ANO|\s+PLACA|\s+COR|\s+CHASSI|\s+COMB|$)")
+    after = F.call_function("regexp_extract", t, F.concat(F.lit(r"\b"), brand_name, stop), F.lit(1))
     name = F.regexp_replace(F.trim(after), r"[ ,.\-]+$", "")
     return F.when(F.length(F.trim(after)).between(2, 50), name)
 

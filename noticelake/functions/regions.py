@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from noticelake.functions.text import contains_any, fold_accents
+from noticelake.functions.text import contains_any, fold_accents, let
 
 
 def valid_region(c: Column, regions: Iterable[str]) -> Column:
@@ -29,7 +29,7 @@ def region_in_text(c: Column, regions: Iterable[str], names: Mapping[str, str])
     folded = fold_accents(text)
     ordered = sorted(names.items(), key=lambda kv: (-len(kv[0]), kv[0]))
     table = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(r).alias("region")) for n, r in ordered])
-    named = F.get(F.filter(table, lambda e: F.contains(folded, e["name"])), F.lit(0))["region"]
+    named = let(folded, lambda t: F.get(F.filter(table, lambda e: F.contains(t, e["name"])), F.lit(0)))["region"]
     return F.coalesce(F.when(tail.isin(regions), tail), first, token, named)
 
 

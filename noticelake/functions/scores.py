@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from noticelake.functions.text import let
+
 
 def weighted_terms(text: Column, weights: Mapping[str, int], base: int, low: int = 0, high: int = 100) -> Column:
     """``base`` plus the weight of every term found, clamped.
@@ -14,8 +16,8 @@ def weighted_terms(text: Column, weights: Mapping[str, int], base: int, low: int
     The weights are one literal array, so generated code stays small whatever the list length.
     """
     rules = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(int(w)).alias("w")) for t, w in weights.items()])
-    total = F.aggregate(
-        rules, F.lit(base), lambda acc, r: acc + F.when(F.contains(text, r["t"]), r["w"]).otherwise(F.lit(0))
+    total = let(
+        text, lambda x: F.aggregate(rules, F.lit(base), lambda acc, r: acc + F.when(F.contains(x, r["t"]), r["w"]).otherwise(F.lit(0)))
     )
     return F.greatest(F.least(total, F.lit(high)), F.lit(low))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,6 +12,15 @@ ACCENTED = "áàãâäåéèêëíìîïóòõôöúùûüçñýÿ"
 UNACCENTED = "aaaaaaeeeeiiiiooooouuuucnyy"
 
 
+def let(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)`` with ``c`` evaluated once per row.
+
+    A column used inside the lambda of an array function is computed again for every element, so a
+    text that is looked up in a word list is bound to a variable first.
+    """
+    return F.get(F.transform(F.array(c), lambda v: use(v)), F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
     """NULL for NULL, empty and whitespace-only text."""
     return F.when(F.length(F.trim(c)) > 0, c)
@@ -38,13 +47,13 @@ def fold_accents(c: Column) -> Column:
 def contains_any(c: Column, words: Iterable[str]) -> Column:
     """True when ``c`` contains at least one of ``words`` (NULL text counts as no match)."""
     arr = F.array(*[F.lit(w) for w in words])
-    return F.coalesce(F.exists(arr, lambda w: F.contains(c, w)), F.lit(False))
+    return F.coalesce(let(c, lambda t: F.exists(arr, lambda w: F.contains(t, w))), F.lit(False))
 
 
 def matching_words(c: Column, words: Iterable[str]) -> Column:
     """Those of ``words`` found in ``c``, in the order given."""
     arr = F.array(*[F.lit(w) for w in words])
-    return F.filter(arr, lambda w: F.coalesce(F.contains(c, w), F.lit(False)))
+    return let(c, lambda t: F.filter(arr, lambda w: F.coalesce(F.contains(t, w), F.lit(False))))
 
 
 def repair_mojibake(c: Column) -> Column:

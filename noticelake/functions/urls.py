@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from noticelake.functions.text import contains_any
+from noticelake.functions.text import contains_any, let
 
 _HTTP = r"(?i)^https?://"
 
@@ -46,10 +46,12 @@ def normalize(c: Column, tlds: Iterable[str]) -> Column:
     t = F.regexp_replace(F.regexp_replace(t, r"\.$", ""), r"^[<>\"'(\[\s]+", "")
     low = F.lower(t)
     # The part before the known ending must have a dot or be one plain label.
-    domain_like = F.exists(
-        F.array(*[F.lit(x) for x in tlds]),
-        lambda x: F.contains(low, x)
-        & F.substring(low, F.lit(1), F.position(x, low) - F.lit(1)).rlike(r"\.|^[a-z0-9-]+$"),
+    endings = F.array(*[F.lit(x) for x in tlds])
+    domain_like = let(
+        low,
+        lambda v: F.exists(
+            endings, lambda x: F.contains(v, x) & F.substring(v, F.lit(1), F.position(x, v) - F.lit(1)).rlike(r"\.|^[a-z0-9-]+$")
+        ),
     )
     return (
         F.when(has_scheme(t), t)
@@ -94,8 +96,10 @@ def absolute(base: Column, href: Column) -> Column:
 
 def host_suffixes(h: Column) -> Column:
     """All dot-suffixes of a host, itself first: ``a.b.c`` gives ``[a.b.c, b.c, c]``."""
-    labels = F.split(h, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    return let(
+        F.split(h, r"\."),
+        lambda labels: F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")),
+    )
 
 
 def link_gate(c: Column, allowed: Column, glued_pattern: str) -> Column:
@@ -198,7 +202,7 @@ def host_class(h: Column, classes: Sequence[tuple[str, Sequence[str]]], other: s
     table = F.array(
         *[F.struct(F.lit(n).alias("name"), F.array(*[F.lit(p) for p in parts]).alias("parts")) for n, parts in classes]
     )
-    hits = F.filter(table, lambda r: F.exists(r["parts"], lambda p: F.contains(F.lower(h), p)))
+    hits = let(F.lower(h), lambda v: F.filter(table, lambda r: F.exists(r["parts"], lambda p: F.contains(v, p))))
     return F.coalesce(F.get(hits, F.lit(0))["name"], F.lit(other))
 
 

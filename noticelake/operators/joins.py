@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.functions.text import fold_accents
+from noticelake.functions.text import fold_accents, let
 from noticelake.functions.urls import host_suffixes
 
 BROADCAST_ROWS = 200_000
@@ -116,12 +116,12 @@ def match_terms(text: Column, rules: dict[str, Iterable[str]], whole_words: bool
         *[F.struct(F.lit(tag).alias("tag"), F.array(*[F.lit(x) for x in ws]).alias("terms")) for tag, ws in sorted(rules.items())]
     )
 
-    def found(w: Column) -> Column:
+    def found(t: Column, w: Column) -> Column:
         if whole_words:
-            return F.regexp(text, F.concat(F.lit(r"(?u)\b\Q"), w, F.lit(r"\E\b")))
-        return F.contains(text, w)
+            return F.regexp(t, F.concat(F.lit(r"(?u)\b\Q"), w, F.lit(r"\E\b")))
+        return F.contains(t, w)
 
-    hit = F.filter(table, lambda r: F.exists(r["terms"], lambda w: F.coalesce(found(w), F.lit(False))))
+    hit = let(text, lambda t: F.filter(table, lambda r: F.exists(r["terms"], lambda w: F.coalesce(found(t, w), F.lit(False)))))
     return F.sort_array(F.transform(hit, lambda r: r["tag"]))
 
 

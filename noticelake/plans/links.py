@@ -28,14 +28,15 @@ def text_candidates(texts: DataFrame) -> DataFrame:
 
     ``texts``: notice_id, source, ref, page_no, text. One scan; strategies are evaluated side by side.
     """
-    found = [
-        F.transform(
-            F.regexp_extract_all(F.col("text"), F.lit(pattern), 1),
-            lambda m, i, s=strategy: F.struct(F.lit(s).alias("strategy"), i.alias("position"), F.regexp_replace(m, r"[.,;:)>\"']+$", "").alias("raw")),
-        )
-        for strategy, pattern in STRATEGIES
-    ]
-    rows = texts.select("notice_id", "source", "ref", "page_no", "text", F.explode(F.concat(*found)).alias("c"))
+
+    def found(strategy: int, pattern: str) -> Column:
+        def candidate(m: Column, i: Column) -> Column:
+            raw = F.regexp_replace(m, r"[.,;:)>\"']+$", "")
+            return F.struct(F.lit(strategy).alias("strategy"), i.alias("position"), raw.alias("raw"))
+
+        return F.transform(F.regexp_extract_all(F.col("text"), F.lit(pattern), 1), candidate)
+
+    rows = texts.select("notice_id", "source", "ref", "page_no", "text", F.explode(F.concat(*[found(s, p) for s, p in STRATEGIES])).alias("c"))
     return rows.select(
         "notice_id", "source", "ref", "page_no", "c.strategy", "c.position", "c.raw",
         context_snippet(F.col("text"), F.col("c.raw")).alias("evidence"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from noticelake.functions.money import percent
@@ -30,8 +31,9 @@ def report(validated: DataFrame, run: str = "run_id") -> DataFrame:
 
 def error_counts(validated: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
     """Occurrences per given keys of the exploded errors (code, field)."""
-    exploded = validated.select(*[k for k in keys if k not in ("code", "field")], F.explode("errors").alias("e"))
-    flat = exploded.select("*", F.col("e.code").alias("code"), F.col("e.field").alias("field")).drop("e")
+    # explode_outer: no filter on the array is derived and pushed below, where it would be computed again.
+    exploded = validated.select(*[k for k in keys if k not in ("code", "field")], F.explode_outer("errors").alias("e"))
+    flat = exploded.select("*", F.col("e.code").alias("code"), F.col("e.field").alias("field")).drop("e").where(F.col("code").isNotNull())
     if ignore:
         flat = flat.where(~F.col("code").isin(list(ignore)))
     return counted(flat, list(keys))
@@ -40,9 +42,9 @@ def error_counts(validated: DataFrame, keys: Sequence[str], ignore: Sequence[str
 def top_errors(validated: DataFrame, run: str = "run_id", k: int = 10) -> DataFrame:
     """Top codes per run by count then code, with their share of all errors of the run."""
     counts = error_counts(validated, [run, "code"])
-    whole = counts.groupBy(run).agg(F.sum("total").alias("_all"))
-    ranked = top_k_per(counts, [run], [F.desc("total"), F.col("code")], k)
-    return ranked.join(whole, run).select(run, "rank", "code", "total", percent(F.col("total"), F.col("_all")).alias("percent"))
+    shared = counts.withColumn("_all", F.sum("total").over(W.partitionBy(run)))
+    ranked = top_k_per(shared, [run], [F.desc("total"), F.col("code")], k)
+    return ranked.select(run, "rank", "code", "total", percent(F.col("total"), F.col("_all")).alias("percent"))
 
 
 def top_reasons(quarantine: DataFrame, k: int = 20, null_name: str | None = None) -> DataFrame:
