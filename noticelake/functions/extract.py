@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from noticelake.functions.dates import to_br_text
 from noticelake.functions.money import parse_money
-from noticelake.functions.text import collapse_space, contains_any, first_match, let
+from noticelake.functions.text import collapse_space, contains_any, first_match
 
 # ---------------------------------------------------------------- fixed patterns
 NOTICE_NUMBER = (
@@ -204,10 +204,9 @@ def latest_year(c: Column) -> Column:
 
 
 def brand(c: Column, brands: Sequence[str]) -> Column:
-    """First listed brand found as a whole word."""
-    t = F.upper(c)
-    words = F.array(*[F.lit(b) for b in brands])
-    return let(t, lambda v: F.get(F.filter(words, lambda b: F.regexp(v, F.concat(F.lit(r"\b"), b, F.lit(r"\b")))), F.lit(0)))
+    """First listed brand found as a whole word; one pattern finds all of them in one pass."""
+    hits = F.regexp_extract_all(F.upper(c), F.lit(r"\b(" + "|".join(brands) + r")\b"), 1)
+    return F.get(F.array_intersect(F.array(*[F.lit(b) for b in brands]), hits), F.lit(0))
 
 
 def model(c: Column, brand_name: Column) -> Column:

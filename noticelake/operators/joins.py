@@ -104,24 +104,26 @@ def tag_by_terms(df: DataFrame, terms: DataFrame, text: str, row_id: str, whole_
     )
     keyed = t.withColumn("_gram", F.substring("term", 1, 3))
     spread = df.select(row_id, text, F.explode(grams).alias("_gram"))
-    word = F.regexp(F.col(text), F.concat(F.lit(r"\b\Q"), F.col("term"), F.lit(r"\E\b"))) if whole_words else F.contains(F.col(text), F.col("term"))
+    word = F.contains(as_words(F.col(text)), as_words(F.col("term"))) if whole_words else F.contains(F.col(text), F.col("term"))
     hits = salted_join(spread, keyed, ["_gram"], row_id).where(word)
     tags = hits.groupBy(row_id).agg(F.sort_array(F.collect_set("tag")).alias("tags"))
     return df.join(tags, row_id, "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
 
 
+def as_words(c: Column) -> Column:
+    """Words of a text between single blanks, with a blank at both ends: word match becomes containment."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(c, r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+
+
 def match_terms(text: Column, rules: dict[str, Iterable[str]], whole_words: bool = False) -> Column:
     """Sorted tags with a term in ``text``; substring match, or whole words on request."""
-    table = F.array(
-        *[F.struct(F.lit(tag).alias("tag"), F.array(*[F.lit(x) for x in ws]).alias("terms")) for tag, ws in sorted(rules.items())]
-    )
+    def term(x: str) -> Column:
+        return as_words(F.lit(x)) if whole_words else F.lit(x)
 
-    def found(t: Column, w: Column) -> Column:
-        if whole_words:
-            return F.regexp(t, F.concat(F.lit(r"(?u)\b\Q"), w, F.lit(r"\E\b")))
-        return F.contains(t, w)
+    table = F.array(*[F.struct(F.lit(tag).alias("tag"), F.array(*[term(x) for x in ws]).alias("terms")) for tag, ws in sorted(rules.items())])
 
-    hit = let(text, lambda t: F.filter(table, lambda r: F.exists(r["terms"], lambda w: F.coalesce(found(t, w), F.lit(False)))))
+    looked_at = as_words(text) if whole_words else text
+    hit = let(looked_at, lambda t: F.filter(table, lambda r: F.exists(r["terms"], lambda w: F.coalesce(F.contains(t, w), F.lit(False)))))
     return F.sort_array(F.transform(hit, lambda r: r["tag"]))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,9 +12,10 @@ from pyspark.sql import functions as F
 
 from noticelake.functions.arrays import tags_to_text
 from noticelake.functions.dates import contract_date
-from noticelake.functions.text import is_missing, let
-from noticelake.functions.urls import add_scheme, is_contract_url, starts_www
+from noticelake.functions.text import is_missing
+from noticelake.functions.urls import add_scheme, is_contract_url
 from noticelake.operators.keyed import upsert_replace
+from noticelake.operators.once import compute_once
 from noticelake.presets import br_notices as br
 
 INFO_CODES = ("url_normalized", "tags_normalized")
@@ -35,106 +38,80 @@ def _error(cond: Column, code: str, field: str, message: Column | str) -> Column
     return F.when(cond, F.struct(F.lit(code).alias("code"), F.lit(field).alias("field"), text.alias("message")))
 
 
-def _checked(value: Column, errors: list[Column]) -> Column:
-    return F.struct(value.alias("value"), F.array_compact(F.array(*errors)).alias("errors"))
-
-
-def _check_tags(raw: Column, name: str, forbidden: str) -> Column:
-    parts = F.transform(F.split(raw, ","), lambda x: F.trim(x))
-    kept = F.filter(parts, lambda t: (F.length(t) > 0) & (F.upper(t) != forbidden.upper()))
-
-    def judged(v: Column) -> Column:
-        changed = ~is_missing(raw) & (F.size(v["kept"]) != v["n"])
-        return _checked(
-            F.when(changed, tags_to_text(v["kept"])).otherwise(raw),
-            [
-                _error(changed, "tags_normalized", name, f'Token "{forbidden}" removido das tags'),
-                _error(changed & (F.size(v["kept"]) == 0), "tags_empty_after_normalization", name, "tags ficou vazia após normalização"),
-            ],
-        )
-
-    return let(F.struct(kept.alias("kept"), F.size(parts).alias("n")), judged)
-
-
-def _check_date(raw: Column, name: str) -> Column:
-    def judged(parsed: Column) -> Column:
-        slash = ~is_missing(raw) & F.contains(raw, F.lit("/"))
-        bad = ~is_missing(raw) & ~F.contains(raw, F.lit("/")) & parsed.isNull()
-        return _checked(
-            F.coalesce(parsed, raw),
-            [
-                _error(slash, "invalid_date_format", name, f"{name} usa separador proibido (use DD-MM-YYYY)"),
-                _error(bad, "invalid_date_format", name, f"{name} inválida (esperado DD-MM-YYYY)"),
-            ],
-        )
-
-    return let(contract_date(raw), judged)
-
-
-def _check_url(raw: Column, name: str, text_as_url: Sequence[str]) -> Column:
-    def judged(t: Column) -> Column:
-        present = ~is_missing(t)
-        words = present & F.upper(t).isin(list(text_as_url))
-        url = add_scheme(t)
-        return _checked(
-            F.when(present & ~words, url).otherwise(raw),
-            [
-                _error(words, "text_as_url", name, F.concat(F.lit(f"{name} parece texto, não URL: "), t)),
-                _error(present & ~words & starts_www(t), "url_normalized", name, f"{name} normalizada (www. -> https://www.)"),
-                _error(present & ~words & ~is_contract_url(url), "invalid_url", name, F.concat(F.lit(f"{name} inválida pelo contrato: "), url)),
-            ],
-        )
-
-    return let(F.trim(raw), judged)
-
-
 def validate(df: DataFrame, contract: Contract = Contract()) -> DataFrame:
     """Adds ``status``, ``errors`` and a normalized copy of tags, dates and URLs.
 
-    Fields the contract names but the input lacks count as missing. Every field is judged once; the
-    status is read off the collected errors and the list of missing fields.
+    Fields the contract names but the input lacks count as missing. Every field is parsed once;
+    errors and status are plain conditions over the parsed values.
     """
     c = contract
     for name in {*c.required, *c.sellable}:
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string"))
     plain = df.columns
-    checks: dict[str, Column] = {}
+    dates = [n for n in c.date_fields if n in plain]
+    urls = [n for n in c.url_fields if n in plain]
+
+    parsed: dict[str, Column] = {}
     if c.tag_field in plain:
-        checks[c.tag_field] = _check_tags(F.col(c.tag_field), c.tag_field, c.forbidden_tag)
-    checks |= {n: _check_date(F.col(n), n) for n in c.date_fields if n in plain}
-    checks |= {n: _check_url(F.col(n), n, c.text_as_url) for n in c.url_fields if n in plain}
-    judged = df.select("*", *[check.alias(f"_c_{n}") for n, check in checks.items()])
-
-    def value_of(name: str) -> Column:
-        return F.col(f"_c_{name}.value") if name in checks else F.col(name)
-
-    needed = list(dict.fromkeys([*c.required, *c.sellable]))
-    missing = F.array_compact(F.array(*[F.when(is_missing(value_of(n)), F.lit(n)) for n in needed]))
-    judged = judged.select(
-        *plain,
-        F.concat(*[F.col(f"_c_{n}.errors") for n in checks]).alias("_found"),
-        missing.alias("_missing"),
-        F.struct(*[value_of(n).alias(n) for n in checks]).alias("normalized"),
-    )
-    absent = F.transform(
-        F.filter("_missing", lambda n: n.isin(list(c.required))),
-        lambda n: F.struct(
-            F.lit("missing_required_field").alias("code"), n.alias("field"), F.concat(F.lit("Campo obrigatório ausente: "), n).alias("message")
-        ),
-    )
-    fatal = F.exists(
-        "_found",
-        lambda e: (e["code"] == "invalid_date_format")
-        | (e["code"].isin("invalid_url", "text_as_url") & e["field"].isin(list(c.critical_url_fields))),
-    )
+        parts = F.transform(F.split(F.col(c.tag_field), ","), lambda x: F.trim(x))
+        parsed["_tags"] = F.filter(parts, lambda t: (F.length(t) > 0) & (F.upper(t) != c.forbidden_tag.upper()))
+        parsed["_tag_count"] = F.size(parts)
+    parsed |= {f"_date_{n}": contract_date(F.col(n)) for n in dates}
+    for n in urls:
+        raw = F.trim(F.col(n))
+        parsed[f"_url_{n}"] = add_scheme(raw)
+        parsed[f"_url_ok_{n}"] = is_contract_url(add_scheme(raw))
+    df = compute_once(df, parsed)
+
+    errors: list[Column] = []
+    fatal: list[Column] = []
+    value: dict[str, Column] = {}
+    if c.tag_field in plain:
+        tags = F.col(c.tag_field)
+        changed = ~is_missing(tags) & (F.size("_tags") != F.col("_tag_count"))
+        value[c.tag_field] = F.when(changed, tags_to_text(F.col("_tags"))).otherwise(tags)
+        errors.append(_error(changed, "tags_normalized", c.tag_field, f'Token "{c.forbidden_tag}" removido das tags'))
+        empty = changed & (F.size("_tags") == 0)
+        errors.append(_error(empty, "tags_empty_after_normalization", c.tag_field, "tags ficou vazia após normalização"))
+    for n in dates:
+        raw, good = F.col(n), F.col(f"_date_{n}")
+        slash = ~is_missing(raw) & F.contains(raw, F.lit("/"))
+        bad = ~is_missing(raw) & ~F.contains(raw, F.lit("/")) & good.isNull()
+        value[n] = F.coalesce(good, raw)
+        errors.append(_error(slash, "invalid_date_format", n, f"{n} usa separador proibido (use DD-MM-YYYY)"))
+        errors.append(_error(bad, "invalid_date_format", n, f"{n} inválida (esperado DD-MM-YYYY)"))
+        fatal += [slash, bad]
+    for n in urls:
+        raw, url = F.trim(F.col(n)), F.col(f"_url_{n}")
+        present = ~is_missing(raw)
+        words = present & F.upper(raw).isin(list(c.text_as_url))
+        invalid = present & ~words & ~F.col(f"_url_ok_{n}")
+        value[n] = F.when(present & ~words, url).otherwise(F.col(n))
+        errors.append(_error(words, "text_as_url", n, F.concat(F.lit(f"{n} parece texto, não URL: "), raw)))
+        errors.append(_error(present & ~words & (url != raw), "url_normalized", n, f"{n} normalizada (www. -> https://www.)"))
+        errors.append(_error(invalid, "invalid_url", n, F.concat(F.lit(f"{n} inválida pelo contrato: "), url)))
+        if n in c.critical_url_fields:
+            fatal += [words, invalid]
+
+    def missing(n: str) -> Column:
+        return is_missing(value.get(n, F.col(n)))
+
+    for n in c.required:
+        errors.append(_error(missing(n), "missing_required_field", n, f"Campo obrigatório ausente: {n}"))
     status = (
-        F.when(fatal, F.lit("rejected"))
-        .when(F.exists("_missing", lambda n: n.isin(list(c.sellable))), F.lit("not_sellable"))
-        .when(F.exists("_missing", lambda n: n.isin(list(c.required))), F.lit("draft"))
+        F.when(_any(fatal), F.lit("rejected"))
+        .when(_any([missing(n) for n in c.sellable]), F.lit("not_sellable"))
+        .when(_any([missing(n) for n in c.required]), F.lit("draft"))
         .otherwise(F.lit("valid"))
     )
-    return judged.select(*plain, status.alias("status"), F.concat("_found", absent).alias("errors"), "normalized")
+    return df.select(
+        *plain, status.alias("status"), F.array_compact(F.array(*errors)).alias("errors"), F.struct(*[v.alias(n) for n, v in value.items()]).alias("normalized")
+    )
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    return functools.reduce(operator.or_, [F.coalesce(x, F.lit(False)) for x in conditions], F.lit(False))
 
 
 def reason(errors: Column, status: Column, info_codes: Sequence[str] = INFO_CODES) -> Column:

@@ -14,6 +14,7 @@ from noticelake.functions.money import parse_money, positive_or_null
 from noticelake.functions.regions import valid_region
 from noticelake.functions.scores import feed_confidence
 from noticelake.functions.text import blank_to_null, collapse_space, strip_html, title_case
+from noticelake.operators.once import compute_once
 from noticelake.operators.shares import counted
 from noticelake.presets import br_notices as br
 from noticelake.sources.readers import before_first_repeat
@@ -22,7 +23,7 @@ from noticelake.sources.readers import before_first_repeat
 def prefilter(items: DataFrame) -> DataFrame:
     """Adds ``reject_code``, NULL for accepted rows."""
     text = F.concat_ws(" ", "nm_titulo_lote", "nm_descricao")
-    return items.withColumn("reject_code", feed_prefilter(F.col("kind"), text, br.FEED_SCRAP_WORD, br.FEED_VEHICLE_WORDS))
+    return compute_once(items, {"reject_code": feed_prefilter(F.col("kind"), text, br.FEED_SCRAP_WORD, br.FEED_VEHICLE_WORDS)})
 
 
 def _summary(title: Column, description: Column) -> Column:
@@ -34,38 +35,42 @@ def _summary(title: Column, description: Column) -> Column:
 def normalize(items: DataFrame, source: str, as_of, max_images: int | None = 5) -> DataFrame:
     """Feed items to listing rows. Amounts, places, links and times are cleaned; nothing is invented."""
     lot, auction = F.col("lote_id"), F.nullif(F.col("leilao_id"), F.lit(""))
-    title = F.coalesce(blank_to_null(collapse_space(F.col("nm_titulo_lote"))), F.concat(F.lit("Lote "), lot))
-    description = blank_to_null(strip_html(F.col("nm_descricao")))
-    region = valid_region(F.col("nm_estado"), br.REGIONS)
-    city = blank_to_null(title_case(collapse_space(F.col("nm_cidade"))))
-    base = U.base_url(F.col("nm_url_leiloeiro"))
-    own = F.coalesce(blank_to_null(F.col("url_lote")), blank_to_null(F.col("nm_url_lote")), blank_to_null(F.col("link")))
+    texts = compute_once(
+        items,
+        {
+            "_title": F.coalesce(blank_to_null(collapse_space(F.col("nm_titulo_lote"))), F.concat(F.lit("Lote "), lot)),
+            "_description": blank_to_null(strip_html(F.col("nm_descricao"))),
+            "_base": U.base_url(F.col("nm_url_leiloeiro")),
+            "_own": F.coalesce(blank_to_null(F.col("url_lote")), blank_to_null(F.col("nm_url_lote")), blank_to_null(F.col("link"))),
+        },
+    )
+    title, description, base, own = (F.col(c) for c in ("_title", "_description", "_base", "_own"))
     built = F.when(
         base.isNotNull() & auction.isNotNull() & lot.isNotNull(), F.concat(base, F.lit("/leilao/index/leilao_id/"), auction, F.lit("/lote/"), lot)
     )
     cause = F.when(own.isNull(), F.lit("missing_canonical")).otherwise(F.lit("no_path"))
-    tags = tags_by_words(F.lower(F.concat_ws(" ", title, description, F.col("nm_categoria"))), br.FEED_TAG_WORDS, br.FEED_DEFAULT_TAG)
     photos = F.array_compact(F.transform("fotos", lambda p: p["nm_path_completo"]))
     photos = F.slice(photos, 1, max_images) if max_images else photos
-    n = items.select(
-        listing_id(source, auction, lot).alias("listing_id"),
-        lot.alias("lot_id"), auction.alias("auction_id"), title.alias("title"), description.alias("description"),
-        _summary(title, description).alias("summary"), city.alias("city"), region.alias("region"),
-        local_closing_time(F.col("dt_fechamento")).alias("event_at"),
-        F.lit(as_of).cast("timestamp").alias("published_at"),
-        positive_or_null(parse_money(F.coalesce(blank_to_null(F.col("vl_lanceminimo")), F.col("vl_venda")))).alias("value"),
-        positive_or_null(parse_money(F.col("vl_lanceinicial"))).alias("opening_bid"),
-        positive_or_null(parse_money(F.col("vl_incremento"))).alias("bid_step"),
-        U.pick_lot_url([("api_canonical", own), ("api_canonical", base)], built, cause).alias("link_choice"),
-        U.best_attachment(F.col("anexos")).alias("notice_link"),
-        tags.alias("tags"),
-        F.coalesce(photos, F.array().cast("array<string>")).alias("images"),
-        F.coalesce("nm_leiloeiro", F.lit(source)).alias("auctioneer"),
-        F.lit("online").alias("modality"),
+    n = compute_once(
+        texts,
+        {
+            "listing_id": listing_id(source, auction, lot), "lot_id": lot, "auction_id": auction, "title": title, "description": description,
+            "summary": _summary(title, description), "city": blank_to_null(title_case(collapse_space(F.col("nm_cidade")))),
+            "region": valid_region(F.col("nm_estado"), br.REGIONS), "event_at": local_closing_time(F.col("dt_fechamento")),
+            "value": positive_or_null(parse_money(F.coalesce(blank_to_null(F.col("vl_lanceminimo")), F.col("vl_venda")))),
+            "opening_bid": positive_or_null(parse_money(F.col("vl_lanceinicial"))), "bid_step": positive_or_null(parse_money(F.col("vl_incremento"))),
+            "link_choice": U.pick_lot_url([("api_canonical", own), ("api_canonical", base)], built, cause),
+            "notice_link": U.best_attachment(F.col("anexos")),
+            "tags": tags_by_words(F.lower(F.concat_ws(" ", title, description, F.col("nm_categoria"))), br.FEED_TAG_WORDS, br.FEED_DEFAULT_TAG),
+            "images": F.coalesce(photos, F.array().cast("array<string>")), "payload_hash": payload_hash(lot, auction, F.col("nm_titulo_lote")),
+        },
+    ).select(
+        "listing_id", "lot_id", "auction_id", "title", "description", "summary", "city", "region", "event_at",
+        F.lit(as_of).cast("timestamp").alias("published_at"), "value", "opening_bid", "bid_step", "link_choice", "notice_link", "tags", "images",
+        F.coalesce("nm_leiloeiro", F.lit(source)).alias("auctioneer"), F.lit("online").alias("modality"),
         F.to_json(F.struct("id_categoria", "nm_categoria", "nm_subcategoria", "statuslote_id", "nm_statuslote", "nu_visitas")).alias("metadata"),
-        payload_hash(lot, auction, F.col("nm_titulo_lote")).alias("payload_hash"),
-        F.col("kind"),
-    ).withColumn("auctioneer_link", F.col("link_choice.final_url"))
+        "payload_hash", "kind", F.col("link_choice.final_url").alias("auctioneer_link"),
+    )
     has_tag = F.array_contains("tags", "VEICULO") | F.array_contains("tags", "SUCATA")
     return n.withColumn(
         "confidence",

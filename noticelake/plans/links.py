@@ -10,6 +10,7 @@ from noticelake.functions.text import context_snippet
 from noticelake.functions.urls import add_scheme, bare_host, correct_host, host_suffixes, is_relevant, link_gate
 from noticelake.operators.joins import join_small
 from noticelake.operators.keyed import keep_first
+from noticelake.operators.once import compute_once
 from noticelake.operators.shares import counted, distribution
 from noticelake.presets import br_notices as br
 
@@ -66,7 +67,7 @@ def gated_candidates(candidates: DataFrame, allow: DataFrame) -> DataFrame:
     glued = F.col("raw").rlike(br.GLUED_TLD) & ~F.col("raw").rlike(r"(?i)^(https?://|www\.)")
     c = c.where(((F.col("strategy") == 1) & (F.col("domain").isNotNull() | glued)) | (F.col("strategy") == 2) | relevant)
     gate = link_gate(F.col("url"), F.col("domain").isNotNull(), br.GLUED_TLD)
-    c = c.select("*", gate.alias("g"))
+    c = compute_once(c, {"g": gate})
     final = F.regexp_replace(correct_host(add_scheme(F.col("url")), br.HOST_CORRECTIONS), r"/+$", "")
     c = c.select(
         "notice_id", "source", "ref", "page_no", "strategy", "position", "raw", "evidence",

@@ -10,6 +10,7 @@ from noticelake.functions.classify import column_role, table_is_relevant
 from noticelake.functions.ids import lot_id
 from noticelake.functions.money import parse_money
 from noticelake.functions.text import collapse_space, lot_number
+from noticelake.operators.once import compute_once
 from noticelake.presets import br_notices as br
 
 
@@ -78,7 +79,7 @@ def lots_from_tables(table_rows: DataFrame) -> DataFrame:
     # A later column of the same role wins, as in a left-to-right read.
     last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["role"] == x["role"]))
     given = F.map_from_entries(F.transform(last, lambda x: F.struct(x["role"].alias("role"), F.trim(x["cell"]).alias("cell"))))
-    j = j.withColumn("given", given)
+    j = compute_once(j, {"given": given})
     g = F.col("given")
     joined = F.nullif(F.concat_ws(" - ", g["marca"], g["modelo"], g["placa"]), F.lit(""))
     return j.select(
@@ -94,20 +95,23 @@ def lots_from_tables(table_rows: DataFrame) -> DataFrame:
 
 def parse_lots(raw: DataFrame, min_description: int = 5) -> DataFrame:
     """Parsed fields, stable id, and ``error_code`` (NULL for a usable lot)."""
-    text = F.concat_ws(" ", "description_raw", "source_text")
     given = F.col("given")
-    out = raw.withColumn("lot_no", lot_number(F.col("lot_no_raw"))).withColumn("description", collapse_space(F.col("description_raw")))
-    out = out.withColumn("brand", F.coalesce(given["marca"], X.brand(text, br.BRANDS)))
-    out = out.select(
-        "doc_id", "line_no", "lot_no", "description", "value_raw",
-        parse_money(F.col("value_raw")).alias("value"),
-        F.coalesce(given["placa"], X.plate(text, br.NOT_A_PLATE)).alias("plate"),
-        F.coalesce(given["chassi"], X.chassis(text)).alias("chassis"),
-        F.coalesce(given["renavam"], X.renavam(text)).alias("renavam"),
-        "brand",
-        F.coalesce(given["modelo"], X.model(text, F.col("brand"))).alias("model"),
-        F.coalesce(F.nullif(F.regexp_extract(F.coalesce(given["ano"], F.lit("")), r"((?:19|20)\d{2})", 1), F.lit("")).try_cast("int"), X.model_year(text)).alias("model_year"),
-        lot_id(F.col("doc_id"), F.col("lot_no"), F.col("description_raw")).alias("lot_id"),
+    text = F.upper(F.concat_ws(" ", "description_raw", "source_text"))
+    base = compute_once(raw, {"_text": text, "lot_no": lot_number(F.col("lot_no_raw")), "description": collapse_space(F.col("description_raw"))})
+    t = F.col("_text")
+    year = F.nullif(F.regexp_extract(F.coalesce(given["ano"], F.lit("")), r"((?:19|20)\d{2})", 1), F.lit("")).try_cast("int")
+    fields = compute_once(
+        base,
+        {
+            "value": parse_money(F.col("value_raw")), "plate": F.coalesce(given["placa"], X.plate(t, br.NOT_A_PLATE)),
+            "chassis": F.coalesce(given["chassi"], X.chassis(t)), "renavam": F.coalesce(given["renavam"], X.renavam(t)),
+            "brand": F.coalesce(given["marca"], X.brand(t, br.BRANDS)), "model_year": F.coalesce(year, X.model_year(t)),
+            "lot_id": lot_id(F.col("doc_id"), F.col("lot_no"), F.col("description_raw")),
+        },
+    )
+    out = fields.select(
+        "doc_id", "line_no", "lot_no", "description", "value_raw", "value", "plate", "chassis", "renavam", "brand",
+        F.coalesce(given["modelo"], X.model(t, F.col("brand"))).alias("model"), "model_year", "lot_id",
     )
     error = (
         F.when(F.coalesce(F.length("lot_no"), F.lit(0)) == 0, F.lit("NUMERO_LOTE_AUSENTE"))

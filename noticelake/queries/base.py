@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticelake.functions.money import percent
+from noticelake.sources.readers import spread_if_small
 
 AS_OF = "1998-08-01"
 EVENTS_AS_OF = "2024-01-31"
@@ -20,6 +21,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table for row-heavy work (text, patterns): small files are dealt out to all cores."""
+    return spread_if_small(table(spark, sf, name))
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as double, dates and times as text, arrays as joined text: comparable everywhere."""
     out = []
@@ -183,7 +189,7 @@ runs AS (
 
 # ---------------------------------------------------------------- contract records (orders)
 def records(spark: SparkSession, sf: str) -> DataFrame:
-    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    o, c = spread(spark, sf, "orders"), table(spark, sf, "customer")
     n = table(spark, sf, "nation")
     j = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     key, pri, st, seg = F.col("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("c_mktsegment")

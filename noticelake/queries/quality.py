@@ -9,7 +9,7 @@ from noticelake.operators.paging import top_k_per
 from noticelake.plans import contract, coverage, keys, quality, scoring, tagging
 from noticelake.plans.feed import rejection_codes
 from noticelake.presets import br_notices as br
-from noticelake.queries.base import AS_OF, NOTICES, RECORDS, notices, plain, records, table
+from noticelake.queries.base import AS_OF, NOTICES, RECORDS, notices, plain, records, spread, table
 from noticelake.sources.sinks import status_updates
 
 QUERIES, ORACLE = {}, {}
@@ -191,12 +191,12 @@ _WEIGHTS_SQL = " + ".join(f"CASE WHEN contains(lower(text), '{t}') THEN {w} ELSE
 
 @query(f"SELECT doc_id, CAST(least(greatest(50 + {_WEIGHTS_SQL}, 0), 100) AS BIGINT) AS score FROM documents")
 def score_relevance(spark, sf):
-    return scoring.score_relevance(table(spark, sf, "documents"), ["text"], _WEIGHTS).select("doc_id", "score")
+    return scoring.score_relevance(spread(spark, sf, "documents"), ["text"], _WEIGHTS).select("doc_id", "score")
 
 
 @query(f"SELECT lang, count(*) AS total FROM documents WHERE least(greatest(50 + {_WEIGHTS_SQL}, 0), 100) >= 60 GROUP BY 1")
 def relevant_by_language(spark, sf):
-    return shares.counted(scoring.relevant(scoring.score_relevance(table(spark, sf, "documents"), ["text"], _WEIGHTS)), ["lang"])
+    return shares.counted(scoring.relevant(scoring.score_relevance(spread(spark, sf, "documents"), ["text"], _WEIGHTS)), ["lang"])
 
 
 _PRESET_SQL = " + ".join(f"CASE WHEN contains(t, '{w}') THEN {p} ELSE 0 END" for w, p in br.RELEVANCE_WEIGHTS.items())
@@ -262,13 +262,13 @@ def keep_latest(spark, sf):
 
 @query("SELECT md5(text) AS content, min(doc_id) AS doc_id FROM documents GROUP BY 1")
 def first_of_equal_texts(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.md5("text").alias("content"))
+    d = spread(spark, sf, "documents").select("doc_id", F.md5("text").alias("content"))
     return keyed.keep_first(d, ["content"], [F.col("doc_id")]).select("content", "doc_id")
 
 
 @query("SELECT count(*) AS analysed, count(DISTINCT md5(text)) AS distinct_keys, count(*) - count(DISTINCT md5(text)) AS duplicates, round(100.0 * (count(*) - count(DISTINCT md5(text))) / count(*), 2) AS dedup_rate FROM documents")
 def duplicate_rate(spark, sf):
-    return keyed.duplicate_counts(table(spark, sf, "documents").select(F.md5("text").alias("content")), ["content"])
+    return keyed.duplicate_counts(spread(spark, sf, "documents").select(F.md5("text").alias("content")), ["content"])
 
 
 def _stored_and_batch(spark, sf):
