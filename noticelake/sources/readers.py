@@ -177,11 +177,11 @@ def or_fallback(dim: DataFrame, fallback: DataFrame) -> DataFrame:
 
 
 def read_seeds(spark: SparkSession, path: str, status: str = "confirmed") -> DataFrame:
-    """Seed file (category -> list) to (category, url, status), confirmed ones only."""
-    text = spark.read.option("wholetext", "true").text(path)
-    table = F.from_json("value", "map<string, array<struct<url: string, status: string>>>")
-    rows = text.select(F.explode(table).alias("category", "seeds")).select("category", F.explode("seeds").alias("s"))
-    return rows.select("category", "s.url", "s.status").where(F.col("status") == status)
+    """Seed file (categories -> category -> seeds) to (category, url, status), confirmed ones only."""
+    schema = "categories map<string, struct<seeds: array<struct<url: string, status: string>>>>"
+    rows = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("categories").alias("category", "c"))
+    seeds = rows.select("category", F.explode("c.seeds").alias("s")).select("category", "s.url", "s.status")
+    return seeds.where(F.col("url").isNotNull() & (F.col("status") == status))
 
 
 # Where a municipality record may hold its region code.
