@@ -46,66 +46,59 @@ def _grams(c: Column) -> Column:
     return F.array_distinct(F.flatten(F.array(of(1), of(2), of(3))))
 
 
+def _keyed_filters(f: DataFrame, cities: DataFrame) -> DataFrame:
+    """Every filter under the one kind of key it is looked up by."""
+    by_region = f.where(F.col("f_region").isNotNull()).withColumn("key", F.concat(F.lit("r:"), "f_region"))
+    rest = f.where(F.col("f_region").isNull())
+    by_tag = rest.where(F.col("f_tags").isNotNull()).withColumn("key", F.concat(F.lit("t:"), F.explode(F.array_distinct("f_tags"))))
+    rest = rest.where(F.col("f_tags").isNull())
+    # Containment of the city text: distinct cities meet the filters that share their first fragment.
+    by_city = (
+        cities.withColumn("gram", F.explode(_grams(F.col("city"))))
+        .join(rest.where(F.col("f_city").isNotNull()).withColumn("gram", F.substring("f_city", 1, 3)), "gram")
+        .where(F.contains("city", "f_city"))
+        .withColumn("key", F.concat(F.lit("c:"), "city"))
+    )
+    rest = rest.where(F.col("f_city").isNull())
+    ranged = rest.where(F.col("f_min").isNotNull() | F.col("f_max").isNotNull())
+    lowest = F.when(F.col("f_min").isNull(), F.lit(0)).otherwise(_bucket(F.col("f_min")))
+    highest = F.when(F.col("f_max").isNull(), F.lit(LAST_BUCKET)).otherwise(_bucket(F.col("f_max")))
+    # NULL values pass every range: they sit in bucket -1, which every filter covers.
+    covered = F.concat(F.array(F.lit(-1)), F.when(lowest <= highest, F.sequence(lowest, highest)).otherwise(F.array().cast("array<int>")))
+    by_value = ranged.withColumn("key", F.concat(F.lit("v:"), F.explode(covered)))
+    free = rest.where(F.col("f_min").isNull() & F.col("f_max").isNull()).withColumn("key", F.lit("*"))
+    cols = ("key", *f.columns)
+    out = by_region.select(*cols)
+    for part in (by_tag, by_city, by_value, free):
+        out = out.unionByName(part.select(*cols))
+    return out
+
+
 def matches(notices: DataFrame, filters: DataFrame) -> DataFrame:
     """(filter_id, user_id, notice_id) of every active filter a notice satisfies.
 
     ``notices``: notice_id, region, city, tags, value. ``filters``: as ``read_filters`` gives them.
+    Notices are read once: each is put under all keys it can be looked up by and joined once.
     """
     n = notices.select("notice_id", "region", F.upper(F.coalesce("city", F.lit(""))).alias("city"), "tags", "value")
     f = filters.where("is_active").withColumn("f_city", F.upper("f_city")).drop("label", "is_active")
+    keyed = _keyed_filters(f, n.select("city").distinct())
+
+    bucket = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(_bucket(F.col("value")))
+    tag_keys = F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda t: F.concat(F.lit("t:"), t))
+    own = F.array(F.concat(F.lit("r:"), "region"), F.concat(F.lit("c:"), "city"), F.concat(F.lit("v:"), bucket), F.lit("*"))
+    spread = n.withColumn("key", F.explode(F.array_distinct(F.array_compact(F.concat(own, tag_keys)))))
 
+    # A notice and a filter may share several tags; the pair is kept at the first shared one only.
+    shared = F.concat(F.lit("t:"), F.try_element_at(F.array_intersect("f_tags", "tags"), F.lit(1)))
     tags_ok = F.col("f_tags").isNull() | F.coalesce(F.arrays_overlap("tags", "f_tags"), F.lit(False))
     city_ok = F.col("f_city").isNull() | F.contains("city", "f_city")
     value_ok = F.col("value").isNull() | (
         (F.col("f_max").isNull() | (F.col("value") <= F.col("f_max"))) & (F.col("f_min").isNull() | (F.col("value") >= F.col("f_min")))
     )
-    out = ("filter_id", "user_id", "notice_id")
-
-    by_region = join_small(
-        n, f.where(F.col("f_region").isNotNull()).withColumn("region", F.col("f_region")), ["region"], "notice_id"
-    ).where(tags_ok & city_ok & value_ok)
-
-    rest = f.where(F.col("f_region").isNull())
-    # A notice and a filter may share several tags; the pair is kept at the first shared one only.
-    first_shared = F.try_element_at(F.array_intersect("f_tags", "tags"), F.lit(1))
-    by_tag = join_small(
-        n.where(F.size("tags") > 0).withColumn("tag", F.explode(F.array_distinct("tags"))),
-        rest.where(F.col("f_tags").isNotNull()).withColumn("tag", F.explode(F.array_distinct("f_tags"))),
-        ["tag"],
-        "notice_id",
-    ).where((first_shared == F.col("tag")) & city_ok & value_ok)
-
-    rest = rest.where(F.col("f_tags").isNull())
-    cities = n.select("city").distinct()
-    city_hits = (
-        cities.withColumn("gram", F.explode(_grams(F.col("city"))))
-        .join(rest.where(F.col("f_city").isNotNull()).withColumn("gram", F.substring("f_city", 1, 3)), "gram")
-        .where(F.contains("city", "f_city"))
-        .drop("gram")
-    )
-    by_city = join_small(n, city_hits, ["city"], "notice_id").where(value_ok)
-
-    rest = rest.where(F.col("f_city").isNull())
-    ranged = rest.where(F.col("f_min").isNotNull() | F.col("f_max").isNotNull())
-    lowest = F.when(F.col("f_min").isNull(), F.lit(0)).otherwise(_bucket(F.col("f_min")))
-    highest = F.when(F.col("f_max").isNull(), F.lit(LAST_BUCKET)).otherwise(_bucket(F.col("f_max")))
-    # NULL values pass every range: they sit in bucket -1, which every filter covers.
-    covered = F.concat(F.array(F.lit(-1)), F.when(lowest <= highest, F.sequence(lowest, highest)).otherwise(F.array().cast("array<int>")))
-    by_value = join_small(
-        n.withColumn("bucket", F.when(F.col("value").isNull(), F.lit(-1)).otherwise(_bucket(F.col("value")))),
-        ranged.withColumn("bucket", F.explode(covered)),
-        ["bucket"],
-        "notice_id",
-    ).where(value_ok)
-
-    free = rest.where(F.col("f_min").isNull() & F.col("f_max").isNull()).withColumn("everything", F.lit(1))
-    by_all = join_small(n.withColumn("everything", F.lit(1)), free, ["everything"], "notice_id")
-
-    parts = [x.select(*out) for x in (by_region, by_tag, by_city, by_value, by_all)]
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result
+    once = ~F.col("key").startswith("t:") | (F.col("key") == shared)
+    hits = join_small(spread, keyed, ["key"], "notice_id").where(value_ok & city_ok & tags_ok & once)
+    return hits.select("filter_id", "user_id", "notice_id")
 
 
 def notifications(notices: DataFrame, filters: DataFrame) -> DataFrame:

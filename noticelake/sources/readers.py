@@ -138,10 +138,20 @@ def read_csv_bom(spark: SparkSession, path: str) -> DataFrame:
 
 
 def cells(df: DataFrame, sheet: str) -> DataFrame:
-    """Every cell of a sheet as (row_no, column_name, cell, ref)."""
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    """Every cell of a sheet as (row_no, column_name, cell, ref), rows counted from 0 in file order.
+
+    The running number is the position inside a partition plus the rows of the partitions before it;
+    only one count per partition is gathered for that.
+    """
+    from pyspark.sql import Window as W
+
+    numbered = df.withColumn("_id", F.monotonically_increasing_id())
+    numbered = numbered.withColumn("_part", F.shiftright("_id", 33)).withColumn("_pos", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
+    before = F.coalesce(F.sum("n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).select("_part", before.alias("_before"))
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("cell")) for c in df.columns])
-    out = numbered.select(F.col("_row").alias("row_no"), F.explode(pairs).alias("p")).select("row_no", "p.*")
+    rows = numbered.join(F.broadcast(offsets), "_part")  # one row per partition
+    out = rows.select((F.col("_before") + F.col("_pos")).alias("row_no"), F.explode(pairs).alias("p")).select("row_no", "p.*")
     ref = F.concat(F.lit(f"{sheet}:row="), F.col("row_no") + 2, F.lit(":col="), F.col("column_name"))
     return out.where(F.length("cell") > 0).withColumn("ref", ref)
 
