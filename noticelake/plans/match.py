@@ -50,7 +50,7 @@ def _keyed_filters(f: DataFrame, cities: DataFrame) -> DataFrame:
     """Every filter under the one kind of key it is looked up by."""
     by_region = f.where(F.col("f_region").isNotNull()).withColumn("key", F.concat(F.lit("r:"), "f_region"))
     rest = f.where(F.col("f_region").isNull())
-    by_tag = rest.where(F.col("f_tags").isNotNull()).withColumn("key", F.concat(F.lit("t:"), F.explode(F.array_distinct("f_tags"))))
+    by_tag = rest.where(F.col("f_tags").isNotNull()).withColumn("key", F.explode(F.transform(F.array_distinct("f_tags"), lambda t: F.concat(F.lit("t:"), t))))
     rest = rest.where(F.col("f_tags").isNull())
     # Containment of the city text: distinct cities meet the filters that share their first fragment.
     by_city = (
@@ -65,7 +65,7 @@ def _keyed_filters(f: DataFrame, cities: DataFrame) -> DataFrame:
     highest = F.when(F.col("f_max").isNull(), F.lit(LAST_BUCKET)).otherwise(_bucket(F.col("f_max")))
     # NULL values pass every range: they sit in bucket -1, which every filter covers.
     covered = F.concat(F.array(F.lit(-1)), F.when(lowest <= highest, F.sequence(lowest, highest)).otherwise(F.array().cast("array<int>")))
-    by_value = ranged.withColumn("key", F.concat(F.lit("v:"), F.explode(covered)))
+    by_value = ranged.withColumn("key", F.explode(F.transform(covered, lambda b: F.concat(F.lit("v:"), b))))
     free = rest.where(F.col("f_min").isNull() & F.col("f_max").isNull()).withColumn("key", F.lit("*"))
     cols = ("key", *f.columns)
     out = by_region.select(*cols)
