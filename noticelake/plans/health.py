@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from noticelake.functions.dates import age_class, duration_seconds
 from noticelake.functions.money import percent
-from noticelake.operators.paging import severity_order
+from noticelake.operators.paging import severity_order, top_k_per
 from noticelake.presets import br_notices as br
 
 
@@ -39,11 +39,24 @@ def _alert(cond: Column, kind: str, severity: str, title: Column) -> Column:
     )
 
 
-def idle_runs(runs: DataFrame, n: int = br.IDLE_RUNS, group: str | None = None) -> DataFrame:
-    """Runs that are the n-th in a row without new rows, per pipeline when ``group`` names one."""
-    w = (W.partitionBy(group) if group else W.partitionBy()).orderBy("started_at", "run_id").rowsBetween(-(n - 1), 0)
-    seen = runs.withColumn("_new", F.sum("new_rows").over(w)).withColumn("_runs", F.count(F.lit(1)).over(w))
-    return seen.where((F.col("_new") == 0) & (F.col("_runs") == n)).drop("_new", "_runs")
+def idle_runs(runs: DataFrame, group: str, n: int = br.IDLE_RUNS, slice_by: str = "day") -> DataFrame:
+    """Runs that are at least the n-th in a row without new rows, per pipeline (``group``).
+
+    The window runs per pipeline and time slice, so the history of one pipeline is spread over many
+    tasks. The n-1 runs before a slice are brought to it: they are among the last n-1 runs of earlier slices.
+    """
+    order = ["started_at", "run_id"]
+    r = runs.withColumn("_slice", F.date_trunc(slice_by, "started_at"))
+    tails = top_k_per(r.select(group, "_slice", *order, "new_rows"), [group, "_slice"], [F.desc("started_at"), F.desc("run_id")], n - 1, "_k")
+    tails = tails.drop("_k").withColumn("_seq", F.row_number().over(W.partitionBy(group).orderBy(*order)))
+    wanted = tails.groupBy(group, "_slice").agg(F.min("_seq").alias("_first"))
+    back = F.explode(F.sequence(F.lit(1), F.lit(n - 1)))
+    wanted = wanted.withColumn("_back", back).select(group, "_slice", (F.col("_first") - F.col("_back")).alias("_seq"))
+    before = wanted.join(tails.drop("_slice"), [group, "_seq"]).drop("_seq").withColumn("_own", F.lit(False))
+    every = r.withColumn("_own", F.lit(True)).unionByName(before, allowMissingColumns=True)
+    w = W.partitionBy(group, "_slice").orderBy(*order).rowsBetween(-(n - 1), 0)
+    seen = every.withColumn("_new", F.sum("new_rows").over(w)).withColumn("_runs", F.count(F.lit(1)).over(w))
+    return seen.where(F.col("_own") & (F.col("_new") == 0) & (F.col("_runs") == n)).select(*runs.columns)
 
 
 def pipeline_alerts(runs: DataFrame) -> DataFrame:
@@ -65,8 +78,8 @@ def pipeline_alerts(runs: DataFrame) -> DataFrame:
     return runs.select("run_id", F.explode(F.array_compact(rules)).alias("a")).select("run_id", "a.*")
 
 
-def all_alerts(runs: DataFrame, group: str | None = None) -> DataFrame:
-    idle = idle_runs(runs, group=group).select(
+def all_alerts(runs: DataFrame, group: str) -> DataFrame:
+    idle = idle_runs(runs, group).select(
         "run_id", F.lit("no_new_rows").alias("kind"), F.lit("warning").alias("severity"), F.lit("Sem novos registros").alias("title")
     )
     return pipeline_alerts(runs).unionByName(idle)

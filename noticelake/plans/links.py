@@ -13,6 +13,7 @@ from noticelake.operators.keyed import keep_first
 from noticelake.operators.once import compute_once
 from noticelake.operators.shares import counted, distribution
 from noticelake.presets import br_notices as br
+from noticelake.session import ensure_checkpoint_dir
 
 # Order in which sources are believed.
 SOURCES = ("pdf_anexo", "xlsx_anexo", "csv_anexo", "titulo_descricao")
@@ -109,8 +110,15 @@ def best_link(gated: DataFrame) -> DataFrame:
     )
 
 
+def stored_candidates(texts: DataFrame) -> DataFrame:
+    """Candidates written to the checkpoint folder: the texts are read once, and the host lookup, its
+    size check and the ranking work on the few short rows found in them."""
+    ensure_checkpoint_dir(texts.sparkSession)
+    return text_candidates(texts).checkpoint()
+
+
 def resolve_links(texts: DataFrame, allow: DataFrame) -> DataFrame:
-    return best_link(gated_candidates(text_candidates(texts), allow))
+    return best_link(gated_candidates(stored_candidates(texts), allow))
 
 
 def audit_marks(notices: DataFrame, resolved: DataFrame, run_id: str, as_of) -> DataFrame:
@@ -222,5 +230,5 @@ def sheet_urls(cells: DataFrame, notice_id: str, source: str = "csv_anexo") -> D
 
 __all__ = [
     "api_link", "audit_marks", "backfill_provenance", "best_link", "domain_registry", "gate_metrics",
-    "gated_candidates", "link_quality", "matched_domains", "no_link_cause", "origins", "resolve_links", "sheet_urls", "text_candidates",
+    "gated_candidates", "link_quality", "matched_domains", "no_link_cause", "origins", "resolve_links", "sheet_urls", "stored_candidates", "text_candidates",
 ]

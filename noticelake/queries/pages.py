@@ -236,7 +236,7 @@ def resolve_links(spark, sf):
 
 @query()
 def link_gate_metrics(spark, sf):
-    c = links.gated_candidates(links.text_candidates(_texts(spark, sf)), _allow(spark, sf))
+    c = links.gated_candidates(links.stored_candidates(_texts(spark, sf)), _allow(spark, sf))
     return links.gate_metrics(c)
 
 
@@ -305,6 +305,35 @@ def lots_from_text(spark, sf):
     return lots.parse_lots(lots.lots_from_text(d)).select("doc_id", "line_no", "lot_no", "lot_id", "value", "error_code")
 
 
+@query(
+    """SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, '0' || l_linenumber AS lot_no, 'VEICULO ' || upper(p_name) || ' ANO ' || (p_size + 1970) AS description, l_extendedprice AS value,
+  CAST(p_size + 1970 AS BIGINT) AS model_year FROM lineitem JOIN part ON l_partkey = p_partkey"""
+)
+def lots_from_joined_pages(spark, sf):
+    """Every order as a document with one page of text per line."""
+    l, p = spread(spark, sf, "lineitem"), table(spark, sf, "part")
+    price = F.translate(F.format_number("l_extendedprice", 2), ",.", ".,")
+    text = F.concat(
+        F.lit("LOTE "), "l_linenumber", F.lit("\nVEICULO "), F.upper("p_name"), F.lit(" ANO "), (F.col("p_size") + 1970).cast("string"), F.lit("\nCHECK LIST\nAVALIAÇÃO: "), price
+    )
+    pages_ = l.join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").cast("string").alias("doc_id"), F.col("l_linenumber").alias("page_no"), text.alias("text"))
+    return lots.parse_lots(lots.lots_from_text(lots.join_pages(pages_))).select("doc_id", "lot_no", "description", "value", "model_year")
+
+
+@query(
+    """SELECT o_orderkey, o_orderkey || '/2026' AS notice_no, strftime(o_orderdate, '%d/%m/') || '2027' AS event_date, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS value,
+  CAST(o_custkey % 50 + 1 AS VARCHAR) AS items, CASE WHEN o_orderstatus = 'F' THEN 'Híbrido' ELSE 'Eletrônico' END AS modality FROM orders"""
+)
+def extract_fields_of_notices(spark, sf):
+    o = spread(spark, sf, "orders")
+    document = F.concat(
+        F.lit("EDITAL Nº "), "o_orderkey", F.lit("/2026. Data do leilão: "), F.date_format("o_orderdate", "dd/MM/"), F.lit("2027. Valor: "), money.format_br_money(F.col("o_totalprice")),
+        F.lit(". Quantidade: "), (F.col("o_custkey") % 50 + 1).cast("string"), F.lit(" lotes. Forma eletrônica."), F.when(F.col("o_orderstatus") == "F", F.lit(" Comparecimento no local.")).otherwise(F.lit("")),
+    )
+    d = o.select("o_orderkey", document.alias("document_text"), F.lit("").alias("description_text"))
+    return extraction.extract_fields(d).select("o_orderkey", "notice_no", "event_date", "value", "items", "modality")
+
+
 def _order_tables(spark, sf):
     """Every order as a table of lots: a header row and one row per line."""
     l, p = spread(spark, sf, "lineitem"), table(spark, sf, "part")

@@ -100,12 +100,20 @@ def _as_struct(ddl: str) -> str:
 def before_first_repeat(items: DataFrame, kind: str = "kind", page: str = "page", item: str = "lote_id") -> DataFrame:
     """Items of pages before the first page whose id set was seen already.
 
-    Pages are compared by one digest of their sorted ids, so only (kind, page, digest) is shuffled.
+    Two pages are the same when their distinct ids agree in count, in the sum and in the exclusive-or
+    of two 64-bit hashes. These are folded per task, so no page is ever gathered as a list.
     """
     from pyspark.sql import Window as W
 
-    pages = items.groupBy(kind, page).agg(F.sha2(F.array_join(F.sort_array(F.collect_set(F.col(item).cast("string"))), "|"), 256).alias("_set"))
-    repeat = pages.withColumn("_rn", F.row_number().over(W.partitionBy(kind, "_set").orderBy(page))).where(F.col("_rn") > 1)
+    ids = items.select(kind, page, F.col(item).cast("string").alias("_id")).distinct()
+    digest = [
+        F.count("_id").alias("_n"),
+        F.sum(F.xxhash64("_id").cast("decimal(38,0)")).alias("_sum"),
+        F.bit_xor(F.xxhash64("_id", F.lit("second"))).alias("_xor"),
+    ]
+    pages = ids.groupBy(kind, page).agg(*digest)
+    same = W.partitionBy(kind, "_n", "_sum", "_xor")
+    repeat = pages.withColumn("_first", F.min(page).over(same)).where(F.col(page) > F.col("_first"))
     stop = repeat.groupBy(kind).agg(F.min(page).alias("_stop"))
     return items.join(stop, kind, "left").where(F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))).drop("_stop")
 

@@ -260,6 +260,19 @@ def test_health_limits(spark):
     ]
 
 
+def test_idle_runs_across_days(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(f"r{i:03d}", rnd.choice(["p", "q"]), dt.datetime(2026, 1, 1) + dt.timedelta(hours=7 * i), rnd.choice([0, 0, 0, 1])) for i in range(120)]
+    df = spark.createDataFrame(rows, "run_id string, pipeline string, started_at timestamp, new_rows int")
+    want = set()
+    for p in "pq":
+        mine = [r for r in rows if r[1] == p]
+        want |= {mine[i][0] for i in range(2, len(mine)) if not any(r[3] for r in mine[i - 2 : i + 1])}
+    assert {r.run_id for r in health.idle_runs(df, "pipeline").collect()} == want and want
+
+
 def test_geo_and_sync(spark):
     dim = spark.createDataFrame([(1, "São Paulo", "SP"), (2, "Bom Jesus", "PI"), (3, "Bom Jesus", "RN")], "place_code int, place_name string, place_region string")
     n = spark.createDataFrame([("Sao Paulo", "SP"), ("sao paulo", "XX"), ("Bom Jesus", "XX")], "city string, region string")
