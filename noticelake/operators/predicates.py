@@ -104,5 +104,10 @@ def recent(c: Column, as_of, days: int) -> Column:
     return c > F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")
 
 
+def active(status: Column, collected_at: Column, statuses: Iterable[str], as_of, days: int = 7) -> Column:
+    """Listing with a live status that was collected within the last days."""
+    return status.isin(list(statuses)) & recent(collected_at, as_of, days)
+
+
 def clamp_limit(limit: int | None, default: int = 50, maximum: int = 100) -> int:
     return min(limit if limit is not None else default, maximum)

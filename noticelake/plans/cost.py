@@ -52,6 +52,19 @@ def unit_economics(totals: DataFrame) -> DataFrame:
     return totals.select("*", per("runs").alias("per_run"), per("rows").alias("per_row"), per("storage_mb").alias("per_mb"))
 
 
+def storage_plan(rows: Column, max_rows: int, max_mb: int, kb_per_row: int = 3) -> Column:
+    """Struct(estimated_mb, plan, monthly_cost): free within both limits, else base price plus overage per GB."""
+    mb = rows.cast("decimal(18,0)") * kb_per_row / F.lit(1024)
+    fits = (rows <= max_rows) & (mb <= max_mb)
+    over_gb = F.greatest(mb - F.lit(max_mb), F.lit(0).cast("decimal(24,6)")) / F.lit(1024)
+    paid = _d(br.PLAN_BASE) + over_gb * _d(br.PLAN_PER_GB)
+    return F.struct(
+        F.round(mb, 2).cast("decimal(18,2)").alias("estimated_mb"),
+        F.when(fits, F.lit("free")).otherwise(F.lit("paid")).alias("plan"),
+        F.when(fits, F.lit(0)).otherwise(F.round(paid, 4)).cast("decimal(18,4)").alias("monthly_cost"),
+    )
+
+
 def usage_tier(used: Column, limit: Column) -> Column:
     """Struct(percent, level): critical above 90 %, warning above 80 %."""
     p = percent(used, limit, 1)

@@ -309,6 +309,7 @@ STALE_HOURS = 2
 IDLE_RUNS = 3
 PRICE_PER_DOCUMENT, PRICE_PER_ROW, PRICE_PER_TOKEN = "0.001", "0.0005", "0.00001"
 PRICE_INPUT_MILLION, PRICE_OUTPUT_MILLION = "0.15", "0.60"
+PLAN_BASE, PLAN_PER_GB = "25", "0.125"
 SLO_SUCCESS, SLO_FRESH_HOURS, SLO_INTEGRITY, SLO_DOWNLOAD = 95, 24, 90, 99
 PAGE_SIZE, AUDIT_LIMIT, AUDIT_MAX = 20, 50, 100
 DEFAULT_VIEW = (-15.0, -55.0, 4.0)

@@ -229,6 +229,15 @@ def usage_tier(spark, sf):
     return g.select("user_id", "used", cost.usage_tier(F.col("used"), F.lit(80)).alias("u")).select("user_id", "used", "u.percent", "u.level")
 
 
+@query(
+    """SELECT event_type, round(count(*) * 3000 / 1024.0, 2) AS estimated_mb, CASE WHEN count(*) <= 100000 AND count(*) * 3000 / 1024.0 <= 500 THEN 'free' ELSE 'paid' END AS plan,
+  CASE WHEN count(*) <= 100000 AND count(*) * 3000 / 1024.0 <= 500 THEN 0 ELSE round(25 + greatest(count(*) * 3000 / 1024.0 - 500, 0) / 1024 * 0.125, 4) END AS monthly_cost FROM events GROUP BY 1"""
+)
+def storage_plan(spark, sf):
+    g = table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return g.select("event_type", cost.storage_plan(F.col("n"), 100_000, 500, kb_per_row=3000).alias("p")).select("event_type", "p.*")
+
+
 # ---------------------------------------------------------------- link columns of notices
 def _link_rows(spark, sf):
     """Notices with link, validity, origin and audit columns in all their combinations."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from noticelake.operators.predicates import SearchParams, keeps_category
+from noticelake.operators.predicates import SearchParams, active, keeps_category
 from noticelake.plans import geo, lots, mapview, search, stats, unify
 from noticelake.queries.base import AS_OF, NOTICES, PLACES, UNIFIED, notices, places, plain, second_source, table
 
@@ -246,14 +246,14 @@ def future_notices_without_lots(spark, sf):
 
 # ---------------------------------------------------------------- places
 def _odd_places(spark, sf):
-    """Dimension with accents and lower case, and without its last five places."""
-    p = places(spark, sf).where("place_code < 20")
+    """Dimension with accents and lower case, and without the places of one region."""
+    p = places(spark, sf).where("place_region <> 'ASIA'")
     return p.withColumn("place_name", F.regexp_replace(F.initcap("place_name"), "a", "ã"))
 
 
 @query(
     f"""WITH {NOTICES} SELECT count(*) AS total, count(*) FILTER (WHERE m) AS matched, round(100.0 * count(*) FILTER (WHERE m) / count(*), 2) AS matched_percent
-FROM (SELECT EXISTS (SELECT 1 FROM places p WHERE place_code < 20 AND upper(trim(n.city)) = upper(trim(place_name)) AND n.region = place_region) AS m FROM notices n)"""
+FROM (SELECT EXISTS (SELECT 1 FROM places p WHERE p.place_region <> 'ASIA' AND upper(trim(n.city)) = upper(trim(place_name)) AND n.region = place_region) AS m FROM notices n)"""
 )
 def geocode_coverage(spark, sf):
     return geo.geocode_coverage(notices(spark, sf), _odd_places(spark, sf))
@@ -261,7 +261,7 @@ def geocode_coverage(spark, sf):
 
 @query(
     f"""WITH {NOTICES} SELECT n.city, n.region, count(*) AS total FROM notices n LEFT JOIN places p
-  ON upper(trim(n.city)) = upper(trim(p.place_name)) AND n.region = p.place_region AND p.place_code < 20
+  ON upper(trim(n.city)) = upper(trim(p.place_name)) AND n.region = p.place_region AND p.place_region <> 'ASIA'
 WHERE p.place_code IS NULL GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 20"""
 )
 def unmatched_places(spark, sf):
@@ -270,11 +270,11 @@ def unmatched_places(spark, sf):
 
 @query(
     f"""WITH {PLACES} SELECT CAST(place_code AS BIGINT) AS place_code, upper(substr(place_name, 1, 1)) || lower(substr(place_name, 2)) AS place_name, place_region,
-  CAST(CASE WHEN place_code < 20 THEN latitude ELSE 0 END AS DOUBLE) AS latitude, CAST(CASE WHEN place_code < 20 THEN longitude ELSE 0 END AS DOUBLE) AS longitude FROM places"""
+  CAST(CASE WHEN place_region <> 'ASIA' THEN latitude ELSE 0 END AS DOUBLE) AS latitude, CAST(CASE WHEN place_region <> 'ASIA' THEN longitude ELSE 0 END AS DOUBLE) AS longitude FROM places"""
 )
 def place_dimension(spark, sf):
     p = places(spark, sf)
-    return geo.build_dimension(p.select("place_code", "place_name", "place_region"), p.where("place_code < 20"), missing="zero")
+    return geo.build_dimension(p.select("place_code", "place_name", "place_region"), p.where("place_region <> 'ASIA'"), missing="zero")
 
 
 @query(
@@ -340,4 +340,15 @@ def newest_publications(spark, sf):
     return n.orderBy(F.desc("published_at"), "id").limit(100).select("id", "title", "published_at")
 
 
+@query(f"SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem WHERE l_linestatus IN ('O', 'ABERTO') AND l_shipdate > TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY")
+def active_listings(spark, sf):
+    l = table(spark, sf, "lineitem")
+    return l.where(active(F.col("l_linestatus"), F.col("l_shipdate"), ("O", "ABERTO"), AS_OF)).select("l_orderkey", "l_linenumber")
+
+
+@query(f"WITH {UNIFIED} SELECT region, temporal_status, count(*) AS total FROM unified GROUP BY 1, 2")
+def temporal_counts_by_region(spark, sf):
+    return _unified(spark, sf).groupBy("region", "temporal_status").agg(F.count(F.lit(1)).alias("total"))
+
+
 __all__ = ["ORACLE", "QUERIES"]
