@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from noticelake.functions.dates import to_br_text
 from noticelake.functions.money import parse_money
-from noticelake.functions.text import collapse_space, contains_any, first_match
+from noticelake.functions.text import collapse_space, contains_any, first_match, let
 
 # ---------------------------------------------------------------- fixed patterns
 NOTICE_NUMBER = (
@@ -86,8 +86,7 @@ def notice_number(c: Column) -> Column:
 def auction_date(document: Column, description: Column, first_year: int = 2020, window: int | None = None) -> Column:
     """``dd/MM/yyyy`` from the description, else from the document with a year from ``first_year`` on."""
     def usable(date: Column) -> Column:
-        shown = to_br_text(date)
-        return F.when(shown != "N/D", shown)
+        return let(to_br_text(date), lambda shown: F.when(shown != "N/D", shown))
 
     from_description = F.coalesce(*[usable(F.regexp_extract(_window(description, window), p, 1)) for p in DESCRIPTION_DATE])
 
@@ -110,11 +109,11 @@ def item_count(c: Column, window: int | None = None) -> Column:
 
     def stated(p: str) -> Column:
         n = F.nullif(F.regexp_extract(t, p, 1), F.lit("")).try_cast("int")
-        return F.when(n.between(1, 9999), n)
+        return let(n, lambda v: F.when(v.between(1, 9999), v))
 
     def highest(p: str) -> Column:
         n = F.array_max(F.transform(F.regexp_extract_all(t, F.lit(p), 1), lambda s: s.try_cast("int")))
-        return F.when(n >= 1, n)
+        return let(n, lambda v: F.when(v >= 1, v))
 
     mentions = F.regexp_count(t, F.lit(r"\b[Ll]ote\b"))
     return F.coalesce(*[stated(p) for p in ITEM_COUNT], highest(LOT_NUMBER), highest(ITEM_NUMBER), F.when(mentions >= 2, mentions))
@@ -124,10 +123,12 @@ def auctioneer_name(c: Column, window: int | None = None) -> Column:
     t = _window(c, window)
 
     def usable(p: str) -> Column:
-        name = F.trim(F.regexp_extract(t, p, 1))
-        cut = F.trim(F.regexp_replace(name, r"\s*[-–,].*$", ""))
-        ok = (F.size(F.split(name, r"\s+")) >= 2) & (F.length(name) < 80) & (F.length(cut) >= 5)
-        return F.when(ok, cut)
+        def judged(name: Column) -> Column:
+            cut = F.trim(F.regexp_replace(name, r"\s*[-–,].*$", ""))
+            ok = (F.size(F.split(name, r"\s+")) >= 2) & (F.length(name) < 80) & (F.length(cut) >= 5)
+            return F.when(ok, cut)
+
+        return let(F.nullif(F.trim(F.regexp_extract(t, p, 1)), F.lit("")), judged)
 
     return F.coalesce(*[usable(p) for p in AUCTIONEER])
 
@@ -160,14 +161,14 @@ def plate(c: Column, not_plates: Sequence[str]) -> Column:
     """After the word PLACA (old, then new form), else a guarded stand-alone plate."""
     t = F.upper(c)
 
-    def two(p: str) -> Column:
-        return F.nullif(F.concat(F.regexp_extract(t, p, 1), F.regexp_extract(t, p, 2)), F.lit(""))
+    def found(p: str) -> Column:
+        return F.nullif(F.regexp_replace(F.regexp_extract(t, p, 1), r"[\s-]", ""), F.lit(""))
 
     guard = "|".join(not_plates)
     return F.coalesce(
-        two(r"PLACA[:\s]+([A-Z]{3})\s*-?\s*(\d{4})\b"),
-        F.nullif(F.regexp_extract(t, r"PLACA[:\s]+([A-Z]{3}\d[A-Z]\d{2})\b", 1), F.lit("")),
-        two(rf"\b(?!{guard})([A-Z]{{3}})\s*-?\s*(\d{{4}})\b"),
+        found(r"PLACA[:\s]+([A-Z]{3}\s*-?\s*\d{4})\b"),
+        found(r"PLACA[:\s]+([A-Z]{3}\d[A-Z]\d{2})\b"),
+        found(rf"\b(?!{guard})([A-Z]{{3}}\s*-?\s*\d{{4}})\b"),
     )
 
 
@@ -188,8 +189,8 @@ def renavam(c: Column) -> Column:
 
 def model_year(c: Column) -> Column:
     """First year after ANO within 1900..2100."""
-    y = F.regexp_extract(F.upper(c), r"ANO[:\s]+(\d{4})(?:\s*/\s*(\d{4}))?", 1).try_cast("int")
-    return F.when(y.between(1900, 2100), y)
+    y = F.nullif(F.regexp_extract(F.upper(c), r"ANO[:\s]+(\d{4})(?:\s*/\s*(\d{4}))?", 1), F.lit("")).try_cast("int")
+    return let(y, lambda v: F.when(v.between(1900, 2100), v))
 
 
 def short_model_year(c: Column, pivot: int = 50) -> Column:
