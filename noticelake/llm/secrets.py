@@ -1,0 +1,167 @@
+"""Secret scans with corpus-wide ownership frequency, in DataFrame functions alone.
+
+Candidates are found per text. Their hashes are then counted over the corpus: in how many
+repositories and under how many owners a value stands. A value under more than ``max_owners`` owners
+is a copied example; the others are specific to their owners and look live. Base candidates are
+always spans; further ones (known key shapes, mixed strings) become spans only where they look live.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from noticelake.llm.store import Scratch
+
+
+@dataclass(frozen=True)
+class Kind:
+    name: str
+    pattern: str
+    group: int
+    least: int
+    base: bool
+    #: Further pattern that a value has to hold.
+    holds: str = ""
+
+
+#: The kinds in their order. Hexadecimal and access keys take their whole run, so the
+#: least length can stand in the pattern; an assignment that is too short still uses up its text.
+KINDS = (
+    Kind("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, True),
+    Kind("access", r"AKIA[A-Z0-9]{16,}", 0, 20, True),
+    Kind("hex", r"[0-9a-f]{24,}", 0, 24, True),
+    Kind(
+        "known",
+        r"gh[pousr]_[A-Za-z0-9]{36,}|sk_(?:live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}"
+        r"|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}|-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----",
+        0,
+        20,
+        False,
+    ),
+    Kind("mixed", r"[A-Za-z0-9_-]{20,}", 0, 20, False, r"(?=[^0-9]*[0-9][^0-9]*[0-9][^0-9]*[0-9])(?=[^A-Z]*[A-Z])(?=[^a-z]*[a-z])"),
+)
+SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string,base:boolean,value:string>>"
+
+
+def _spans(kind: Kind, number: int) -> Column:
+    """Spans of one kind in column ``_text``: gaps between matches and the matches give all positions in one pass."""
+    t, p = F.col("_text"), F.lit(kind.pattern)
+    parts = F.arrays_zip(
+        F.split(t, kind.pattern, -1).alias("gap"),
+        F.regexp_extract_all(t, p, F.lit(0)).alias("whole"),
+        F.regexp_extract_all(t, p, F.lit(kind.group)).alias("value"),
+    )
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        end = start + F.coalesce(F.length(x["whole"]), F.lit(0))
+        good = F.coalesce(F.length(x["value"]) >= kind.least, F.lit(False))
+        if kind.holds:
+            good = good & F.coalesce(F.rlike(x["value"], F.lit(kind.holds)), F.lit(False))
+        span = F.struct(
+            start.alias("start"), F.lit(number).alias("kind_no"), end.alias("end"), F.lit(kind.name).alias("kind"),
+            F.lit(kind.base).alias("base"), x["value"].alias("value"),
+        )
+        return F.struct(end.alias("at"), F.when(good, F.concat(acc["out"], F.array(span).cast(SPAN))).otherwise(acc["out"]).alias("out"))
+
+    found = F.aggregate(parts, zero, step, lambda acc: acc["out"])
+    return F.when(t.rlike(kind.pattern), found).otherwise(F.array().cast(SPAN))
+
+
+def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str | None, repo_col: str | None, kinds: tuple[Kind, ...]) -> DataFrame:
+    """(id, text_hash, owner, repo, found) of the texts with at least one candidate."""
+    owner = F.col(owner_col).cast("string") if owner_col else F.lit("")
+    repo = F.col(repo_col).cast("string") if repo_col else F.col(id_col).cast("string")
+    rows = docs.select(
+        F.col(id_col).alias("id"), text_hash(text_col).alias("text_hash"), owner.alias("owner"), repo.alias("repo"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")
+    )
+    found = F.concat(*[_spans(k, i) for i, k in enumerate(kinds)])
+    return rows.select("id", "text_hash", "owner", "repo", found.alias("found")).where(F.size("found") > 0)
+
+
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def scan(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    owner_col: str | None = "source",
+    repo_col: str | None = None,
+    max_owners: int = 2,
+    kinds: tuple[Kind, ...] = KINDS,
+) -> DataFrame:
+    """Findings: (id, text_hash, secrets), one row for each distinct (id, text) that has any.
+
+    ``secrets`` is sorted by start and kind; each has kind, start, end (code points, end exclusive), base,
+    value_hash, repos, owners and live (at most ``max_owners`` owners). A repository is (owner, ``repo_col``),
+    the row's id if no column is given. Null owners count as one owner, a null text as empty. An extra
+    candidate that meets a base span, or an extra one of an earlier kind, is left out. Repeated rows
+    are one repository and get one finding. Other columns are not read. Empty tables give no findings.
+    """
+    scratch = Scratch(docs.sparkSession, "secrets")
+    rows = scratch.save(candidates(docs, id_col, text_col, owner_col, repo_col, kinds), "candidates")
+    each = rows.select("id", "text_hash", F.coalesce("owner", F.lit("\x00")).alias("owner"), F.coalesce("repo", F.lit("\x00")).alias("repo"), F.explode("found").alias("f"))
+    each = each.select("id", "text_hash", "owner", "repo", "f.*").withColumn("value_hash", F.sha2("value", 256)).drop("value")
+    per_owner = each.select("value_hash", "owner", "repo").distinct().groupBy("value_hash", "owner").agg(F.count(F.lit(1)).alias("repos"))
+    counts = per_owner.groupBy("value_hash").agg(F.sum("repos").alias("repos"), F.count(F.lit(1)).alias("owners"))
+    known = each.select("id", "text_hash", "start", "kind_no", "end", "kind", "base", "value_hash").distinct().join(counts, "value_hash")
+    known = known.withColumn("live", F.col("owners") <= max_owners).where(F.col("base") | F.col("live"))
+    item = F.struct("start", "kind_no", "end", "kind", "base", "value_hash", "repos", "owners", "live")
+    per_text = known.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(item)).alias("all"))
+    everything = F.col("all")
+    clear = F.filter(
+        everything,
+        lambda x: x["base"] | ~F.exists(everything, lambda y: (y["kind_no"] < x["kind_no"]) & (y["start"] < x["end"]) & (y["end"] > x["start"])),
+    )
+    return per_text.select("id", "text_hash", clear.alias("secrets")).where(F.size("secrets") > 0)
+
+
+def attach(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, secrets) for every row of ``docs``; ``row`` is a struct of its columns, ``secrets`` null where there are none."""
+    d = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("_id"), text_hash(text_col).alias("_hash"))
+    met = d.join(findings, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("text_hash")), "left")
+    return met.select("row", "secrets")
+
+
+def digest(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied), one row for each row of ``docs``."""
+    d = docs.select(F.col(id_col).alias("_id"), text_hash(text_col).alias("_hash"))
+    met = d.join(findings, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("text_hash")), "left")
+    of = F.coalesce("secrets", F.array().cast(findings.schema["secrets"].dataType))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    def count(test) -> Column:
+        return F.size(F.filter(of, test)).cast("bigint")
+
+    def of_kind(kind: str):
+        return lambda x: x["kind"] == kind
+
+    counts = [count(of_kind(k)).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    base = F.sha2(joined(F.filter(of, lambda x: x["base"])).cast("binary"), 256).alias("base_sha256")
+    live, copied = count(lambda x: x["live"]).alias("n_live"), count(lambda x: ~x["live"]).alias("n_copied")
+    return met.select(F.col("_id").alias(id_col), *counts, base, joined(of).alias("spans"), live, copied)
+
+
+def redact(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text_col: str = "text", live: str = "[secret]", copied: str = "[example]") -> DataFrame:
+    """``docs`` with every span replaced: by ``live`` if owner-specific, by ``copied`` if widely copied. Spans that meet are one."""
+    met = attach(docs, findings, id_col, text_col)
+    text = F.col("row").getField(text_col)
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        ahead = x["start"] >= acc["at"]
+        mark = F.when(x["live"], F.lit(live)).otherwise(F.lit(copied))
+        out = F.when(ahead, F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), mark)).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
+
+    clean = F.aggregate("secrets", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    new = F.when(F.col("secrets").isNull(), text).otherwise(clean)
+    return met.select([(new if f == text_col else F.col("row").getField(f)).alias(f) for f in docs.columns])
