@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticelake.llm import bpe, mixing, nearest, packed, products, secrets
+from noticelake.llm import bpe, jaccard, mixing, nearest, packed, products, secrets
 
 
 def _vocabulary(name: str) -> str:
@@ -26,6 +26,10 @@ def op1_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return nearest.search(_table(spark, sf, "embeddings"))
 
 
+def op2_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.join(_table(spark, sf, "documents"))
+
+
 def op3_packed_ids(spark: SparkSession, sf: str) -> DataFrame:
     return packed.write_and_read(spark, _table(spark, sf, "documents"), _vocabulary("word_bpe_49k.json"), end_id=2)
 
@@ -51,6 +55,7 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_nearest": op1_nearest,
+    "op2_jaccard": op2_jaccard,
     "op3_packed_ids": op3_packed_ids,
     "op4_bpe": op4_bpe,
     "op5_secrets": op5_secrets,
