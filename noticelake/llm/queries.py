@@ -6,7 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticelake.llm import bpe, jaccard, mixing, nearest, packed, products, secrets
+from noticelake.llm import bpe, jaccard, mixing, nearest, packed, products, quality, secret_scan
+from noticelake.llm.store import ship_package
 
 
 def _vocabulary(name: str) -> str:
@@ -19,6 +20,7 @@ def _vocabulary(name: str) -> str:
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -42,7 +44,7 @@ def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 def op5_secrets(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
-    return secrets.digest(docs, secrets.scan(docs))
+    return secret_scan.digest(docs, secret_scan.scan(docs))
 
 
 def op9_products(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,3 +78,10 @@ WITH v AS (
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
 }
+
+
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.classify(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+QUERIES["op6_quality"] = op6_quality

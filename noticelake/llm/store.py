@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +30,14 @@ class Scratch:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the executors this package's code, once for each application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if getattr(context, "_noticelake_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    zipped = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+    context.addPyFile(zipped)
+    context._noticelake_shipped = True

@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from noticelake.llm import secrets
+from noticelake.llm import secret_scan as secrets
 from noticelake.llm.queries import op5_secrets
 
 ASSIGN = re.compile(r"((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
