@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticelake.llm import bpe, jaccard, mixing, nearest, packed, products, quality, secret_scan
+from noticelake.llm import bpe, crf, jaccard, mixing, nearest, packed, products, quality, secret_scan
 from noticelake.llm.store import ship_package
 
 
@@ -85,3 +85,10 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op6_quality"] = op6_quality
+
+
+def op7_languages(spark: SparkSession, sf: str) -> DataFrame:
+    return crf.identify(_table(spark, sf, "documents")).drop("segments")
+
+
+QUERIES["op7_languages"] = op7_languages
