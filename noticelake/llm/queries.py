@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from noticelake.llm import bpe, crf, jaccard, mixing, nearest, packed, products, quality, secret_scan
+from noticelake.llm import bpe, crf, jaccard, mixing, nearest, packed, products, quality, repeats, secret_scan
 from noticelake.llm.store import ship_package
 
 
@@ -92,3 +93,11 @@ def op7_languages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op7_languages"] = op7_languages
+
+
+def op8_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    cut = repeats.remove(_table(spark, sf, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES["op8_repeats"] = op8_repeats
