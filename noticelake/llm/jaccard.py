@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticelake.llm import bitfilter
 from noticelake.llm.components import components
 from noticelake.llm.store import Scratch
 from noticelake.llm.words import LOWER, mix, slices, split_words, text_bytes, word_hashes
@@ -149,10 +150,8 @@ def _sets(n: int, percent: int, wanted):
     """Whole sets and their prefixes under orders 2 and 3, of documents that pass the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = wanted.value
         for batch in batches:
-            at = batch.column("slot").to_numpy()
-            batch = batch.filter(pa.array((bits[at >> 3] >> (at & 7)) & 1 == 1))
+            batch = batch.filter(pa.array(bitfilter.holds(wanted.value, batch.column("slot").to_numpy())))
             for part in slices(batch, "text"):
                 sets = list(shingles(part.column("text"), n))
                 heads = [[np.sort(mix(s ^ k))[: prefix_length(len(s), percent) if len(s) else 0].tobytes() for s in sets] for k in SEEDS[1:]]
@@ -253,10 +252,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     post = scratch.save(each.join(lists, "gram"), "shared")
     central = post.groupBy("gram").agg(F.min(F.struct("pos", "node", "n")).alias("c"))
 
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    slots = np.array([r[0] for r in post.select(slot_of("node")).distinct().collect()], np.int64)  # at most FILTER_BITS
-    np.bitwise_or.at(bits, slots >> 3, np.uint8(1) << (slots & 7).astype(np.uint8))
-    wanted = spark.sparkContext.broadcast(bits)
+    wanted = spark.sparkContext.broadcast(bitfilter.build(post.select(slot_of("node").alias("slot")), FILTER_BITS))
     sets = rows.where("doc_id is not null").withColumn("slot", slot_of("doc_id")).mapInArrow(
         _sets(n, percent, wanted), "node bigint, n bigint, head2 binary, head3 binary, grams binary"
     )

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticelake.llm import bitfilter
 from noticelake.llm.store import Scratch
 from noticelake.llm.words import slices, text_bytes
 
@@ -189,15 +190,12 @@ def trusted_text(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     A bit filter of fixed size drops most other texts in the scan; the join then decides.
     """
     spark = docs.sparkSession
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    slots = np.array([r[0] for r in trusted.select(_slot("id")).distinct().collect()], np.int64)  # at most FILTER_BITS
-    np.bitwise_or.at(bits, slots >> 3, np.uint8(1) << (slots & 7).astype(np.uint8))
-    wanted = spark.sparkContext.broadcast(bits)
+    wanted = spark.sparkContext.broadcast(bitfilter.build(trusted.select(_slot("id").alias("slot")), FILTER_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column("slot").to_numpy()
-            yield batch.select(["id", "text"]).filter(pa.array((wanted.value[at >> 3] >> (at & 7)) & 1 == 1))
+            mask = bitfilter.holds(wanted.value, batch.column("slot").to_numpy())
+            yield batch.select(["id", "text"]).filter(pa.array(mask))
 
     rows = docs.where("id is not null").select("id", "text", _slot("id").alias("slot")).mapInArrow(run, "id bigint, text string")
     return rows.join(trusted, "id", "left_semi").select("text")

@@ -11,7 +11,7 @@ from noticelake.llm import bpe, crf, jaccard, mixing, nearest, packed, products,
 from noticelake.llm.store import ship_package
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary_path(name: str) -> str:
     folder = os.environ.get("TOKENIZER_DIR")
     if folder:
         return f"{folder}/{name}"
@@ -34,11 +34,11 @@ def op2_jaccard(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_packed_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return packed.write_and_read(spark, _table(spark, sf, "documents"), _vocabulary("word_bpe_49k.json"), end_id=2)
+    return packed.write_and_read(spark, _table(spark, sf, "documents"), vocabulary_path("word_bpe_49k.json"), end_id=2)
 
 
 def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
-    path = _vocabulary("byte_bpe_50k.json")
+    path = vocabulary_path("byte_bpe_50k.json")
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     return bpe.digests(bpe.decode(bpe.encode(docs, path).select("doc_id", "ids"), path))
 
