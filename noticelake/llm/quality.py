@@ -198,7 +198,7 @@ def trusted_text(docs: DataFrame, trusted: DataFrame) -> DataFrame:
             yield batch.select(["id", "text"]).filter(pa.array(mask))
 
     rows = docs.where("id is not null").select("id", "text", _slot("id").alias("slot")).mapInArrow(run, "id bigint, text string")
-    return rows.join(trusted, "id", "left_semi").select("text")
+    return rows.join(trusted.hint("merge"), "id", "left_semi").select("text")
 
 
 def classify(
@@ -247,7 +247,8 @@ def classify(
     rest = scored.where(F.size("grams") > 0).select(*key, F.explode(F.arrays_zip("grams", "counts")).alias("g"))
     rest = rest.select(*key, F.col("g.grams").alias("gram"), F.col("g.counts").alias("count"))
     known = scratch.save(model.resolve(rest.select("gram").distinct()), "resolved")
-    tail = rest.join(known, "gram").groupBy(*key).agg(F.sum(F.col("count") * F.col("logp")).alias("sum"))
+    # One plan at every size: documents and n-grams both grow, so neither side is ever broadcast.
+    tail = rest.join(known.hint("merge"), "gram").groupBy(*key).agg(F.sum(F.col("count") * F.col("logp")).alias("sum"))
     base = scored.select(*key, "n", F.col("hot").alias("sum")).distinct()
     both = base.unionByName(tail.withColumn("n", F.lit(0).cast("bigint")))
     total = scratch.save(both.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("sum").alias("sum")), "total")
