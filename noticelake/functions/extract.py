@@ -22,18 +22,18 @@ NOTICE_NUMBER = (
     r"(?i)processo\s*[nº°.]+\s*([0-9]+(?:/[0-9]+)?(?:/[0-9]{4})?)",
 )
 _DATE = r"(\d{1,2}[/.-]\d{1,2}[/.-]20\d{2})"
-DESCRIPTION_DATE = (
-    rf"(?isu)(?:leil[ãa]o.*?dia|dia.*?leil[ãa]o).*?{_DATE}",
-    rf"(?isu)(?:realizar[aá]|ocorrer[aá]).*?{_DATE}",
-    rf"(?isu){_DATE}.*?(?:às|as|hora|h)\s*\d{{1,2}}",
-)
-DOCUMENT_DATE = (
-    rf"(?isu)data\s*(?:do|de)\s*leil[ãa]o[:\s]*{_DATE}",
-    rf"(?isu)(?:leil[ãa]o|hasta|pregão).*?(?:dia|data)[:\s]*{_DATE}",
-    rf"(?isu)(?:será|ser[aá])\s*realizado.*?{_DATE}",
-    rf"(?isu){_DATE}[,\s]*(?:às|as|[àa]s|hora)[:\s]*\d{{1,2}}",
-    rf"(?isu)dia\s*{_DATE}\s*[àa]s?\s*\d{{1,2}}",
+DATE = r"(\d{1,2}[/.-]\d{1,2}[/.-]20\d{2})"
+AUCTION_WORD, DAY_WORD = r"(?iu)leil[ãa]o", r"(?iu)dia"
+HELD_WORD = r"(?iu)realizar[aá]|ocorrer[aá]"
+HOUR_AFTER = r"(?iu)(?:às|as|hora|h)\s*\d{1,2}"
+DATE_NEXT_TO_WORDS = (
+    r"(?iu)data\s*(?:do|de)\s*leil[ãa]o[:\s]*(\d{1,2}[/.-]\d{1,2}[/.-]20\d{2})",
+    r"(?iu)(\d{1,2}[/.-]\d{1,2}[/.-]20\d{2})[,\s]*(?:às|as|[àa]s|hora)[:\s]*\d{1,2}",
+    r"(?iu)dia\s*(\d{1,2}[/.-]\d{1,2}[/.-]20\d{2})\s*[àa]s?\s*\d{1,2}",
 )
+#: An announcing word or a date that may follow it; the dates are taken that come after such a word.
+DATE_AFTER_EVENT = r"(?iu)leil[ãa]o|hasta|pregão|(?:dia|data)[:\s]*\d{1,2}[/.-]\d{1,2}[/.-]20\d{2}"
+DATE_AFTER_HELD = r"(?iu)ser[aá]\s*realizado|\d{1,2}[/.-]\d{1,2}[/.-]20\d{2}"
 VALUE = r"(?iu)(?:valor|lance|mínimo|avaliação|avaliacao|estimado)[:\s]*R?\$?\s*([\d.,]+)"
 ITEM_COUNT = (
     r"(?iu)total\s+de\s+(\d+)\s+(?:lotes?|itens?|veículos?|bens?)",
@@ -83,19 +83,49 @@ def notice_number(c: Column) -> Column:
     return F.regexp_replace(first_match(c, NOTICE_NUMBER), r"\s+", "")
 
 
+def _after(c: Column, at: Column, length: Column | int) -> Column:
+    return F.substring(c, at + length, F.length(c))
+
+
+def _described_date(c: Column) -> list[Column]:
+    """Dates of a description by three rules. Each looks for words and dates on their own, so the work is
+    in proportion to the text: a rule's first word leaves the most text behind it, later ones can't find more."""
+    auction, day = F.regexp_instr(c, F.lit(AUCTION_WORD)), F.regexp_instr(c, F.lit(DAY_WORD))
+    both = F.when((auction > 0) & (day > 0), _after(c, F.greatest(auction + 6, day + 3), 0))
+    held = F.regexp_instr(c, F.lit(HELD_WORD))
+    later = F.when(held > 0, _after(c, held, F.length(F.regexp_extract(c, HELD_WORD, 0))))
+    at = F.regexp_instr(c, F.lit(DATE))
+    shown = F.regexp_extract(c, DATE, 1)
+    timed = F.when((at > 0) & _after(c, at, F.length(shown)).rlike(HOUR_AFTER), shown)
+    return [F.regexp_extract(both, DATE, 1), F.regexp_extract(later, DATE, 1), timed]
+
+
+def _dates_after(c: Column, words_and_dates: str) -> Column:
+    """Dates that follow an announcing word, each word giving one date at most; one pass over the text."""
+    zero = F.struct(F.lit(False).alias("armed"), F.array().cast("array<string>").alias("dates"))
+
+    def step(acc: Column, token: Column) -> Column:
+        date = F.regexp_extract(token, DATE, 1)
+        is_date = F.length(date) > 0
+        dates = F.when(is_date & acc["armed"], F.concat(acc["dates"], F.array(date))).otherwise(acc["dates"])
+        return F.struct((~is_date).alias("armed"), dates.alias("dates"))
+
+    return F.aggregate(F.regexp_extract_all(c, F.lit(words_and_dates), F.lit(0)), zero, step, lambda acc: acc["dates"])
+
+
 def auction_date(document: Column, description: Column, first_year: int = 2020, window: int | None = None) -> Column:
     """``dd/MM/yyyy`` from the description, else from the document with a year from ``first_year`` on."""
     def usable(date: Column) -> Column:
         return let(to_br_text(date), lambda shown: F.when(shown != "N/D", shown))
 
-    from_description = F.coalesce(*[usable(F.regexp_extract(_window(description, window), p, 1)) for p in DESCRIPTION_DATE])
+    def from_document(dates: Column) -> Column:
+        shown = F.transform(dates, lambda d: to_br_text(d))
+        return F.get(F.filter(shown, lambda d: (d != "N/D") & (F.substring(d, 7, 4) >= str(first_year))), F.lit(0))
 
-    def from_document(p: str) -> Column:
-        shown = F.transform(F.regexp_extract_all(_window(document, window), F.lit(p), 1), lambda d: to_br_text(d))
-        ok = F.filter(shown, lambda d: (d != "N/D") & (F.substring(d, 7, 4) >= str(first_year)))
-        return F.get(ok, F.lit(0))
-
-    return F.coalesce(from_description, *[from_document(p) for p in DOCUMENT_DATE])
+    text = _window(document, window)
+    near = [F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in DATE_NEXT_TO_WORDS]
+    in_order = [near[0], _dates_after(text, DATE_AFTER_EVENT), _dates_after(text, DATE_AFTER_HELD), near[1], near[2]]
+    return F.coalesce(*[usable(d) for d in _described_date(_window(description, window))], *[from_document(d) for d in in_order])
 
 
 def estimated_value(c: Column, window: int | None = None) -> Column:
@@ -210,18 +240,41 @@ def brand(c: Column, brands: Sequence[str]) -> Column:
     return F.get(F.array_intersect(F.array(*[F.lit(b) for b in brands]), hits), F.lit(0))
 
 
+MODEL_AFTER_MARK = r"(?<![\p{L}\p{N}_])\x01\s*[/\s]\s*([A-Z0-9\x01][A-Z0-9\x01\s\-.]+?)(?:,|\s+ANO|\s+PLACA|\s+COR|\s+CHASSI|\s+COMB|$)"
+VEHICLE_THEN_NAME = (
+    r"(?:VEICULO|AUTOMOVEL|CARRO|CAMINH[AÃ]O|MOTO|ONIBUS|VAN|FURG[AÃ]O|PICKUP|UTILITARIO)[:\s]+([A-Z]+)\s*[/\s]\s*"
+    r"([A-Z0-9][A-Z0-9\s\-.]+?)(?:,|\s+ANO|\s+PLACA|$)"
+)
+
+
+def _model_name(found: Column) -> Column:
+    """A found model of 2 to 50 characters, without trailing signs."""
+    t = F.trim(found)
+    return F.when(F.length(t).between(2, 50), F.regexp_replace(t, r"[ ,.\-]+$", ""))
+
+
 def model(c: Column, brand_name: Column) -> Column:
-    """Words after the brand up to a comma or a stop word."""
-    t = F.upper(c)
-    stop = F.lit(r"\s*[/\s]\s*([A-Z0-9][A-Z0-9\s\-.]+?)(?:,|\s+ANO|\s+PLACA|\s+COR|\s+CHASSI|\s+COMB|$)")
-    after = F.call_function("regexp_extract", t, F.concat(F.lit(r"\b"), brand_name, stop), F.lit(1))
-    name = F.regexp_replace(F.trim(after), r"[ ,.\-]+$", "")
-    return F.when(F.length(F.trim(after)).between(2, 50), name)
+    """Words after the brand up to a comma or a stop word.
+
+    The brand is put in as a mark, not as a pattern: it may hold any characters, and one pattern serves all rows.
+    """
+    b = F.upper(brand_name)
+    found = F.regexp_extract(F.replace(F.upper(c), b, F.lit("\x01")), MODEL_AFTER_MARK, 1)
+    return _model_name(F.replace(found, F.lit("\x01"), b))
+
+
+def named_brand(c: Column) -> Column:
+    """First word after a kind of vehicle, for texts without a listed brand."""
+    return F.nullif(F.regexp_extract(F.upper(c), VEHICLE_THEN_NAME, 1), F.lit(""))
+
+
+def named_model(c: Column) -> Column:
+    return _model_name(F.regexp_extract(F.upper(c), VEHICLE_THEN_NAME, 2))
 
 
 # ---------------------------------------------------------------- lot blocks
-LOT_BLOCK = r"(?i)(LOTE\s*\d+\s*\n[\s\S]*?AVALIA[CÇ][AÃ]O[:\s]*[0-9.,]+)"
-LOT_BLOCK_PARTS = r"(?i)LOTE\s*(\d+)\s*\n([\s\S]*?)AVALIA[CÇ][AÃ]O[:\s]*([0-9.,]+)"
+APPRAISED = r"(?i)AVALIA[CÇ][AÃ]O[:\s]*([0-9.,]+)"
+LOT_HEAD = r"(?i)LOTE\s*(\d+)\s*\n([\s\S]*)"
 LOT_LINE = r"(?is)((?:LOTE|ITEM)\s*[N°º.]?\s*\d+\s*[-:]\s*.+?)(?=(?:LOTE|ITEM)\s*[N°º.]?\s*\d+|\z)"
 LOT_LINE_PARTS = r"(?is)(?:LOTE|ITEM)\s*[N°º.]?\s*(\d+)\s*[-:]\s*(.+)"
 NUMBERED_LINE = r"(?ism)(^\d+\s*[-–]\s*.+?)(?=^\d+\s*[-–]|\z)"
@@ -230,19 +283,25 @@ NUMBERED_LINE_PARTS = r"(?is)(\d+)\s*[-–]\s*(.+)"
 
 def lot_blocks(c: Column) -> Column:
     """Array of struct(lot_no, body, value) of a document; three block shapes, the first that hits wins."""
-    def parsed(block_pattern: str, parts: str, with_value: bool) -> Column:
+    def parsed(block_pattern: str, parts: str) -> Column:
         return F.transform(
-            F.regexp_extract_all(c, F.lit(block_pattern), 1),
+            F.regexp_extract_all(c, F.lit(block_pattern), F.lit(1)),
             lambda b: F.struct(
-                F.regexp_extract(b, parts, 1).alias("lot_no"),
-                F.trim(F.regexp_extract(b, parts, 2)).alias("body"),
-                (F.nullif(F.regexp_extract(b, parts, 3), F.lit("")) if with_value else F.lit(None).cast("string")).alias("value"),
+                F.regexp_extract(b, parts, 1).alias("lot_no"), F.trim(F.regexp_extract(b, parts, 2)).alias("body"), F.lit(None).cast("string").alias("value")
             ),
         )
 
-    first = parsed(LOT_BLOCK, LOT_BLOCK_PARTS, True)
-    second = F.filter(parsed(LOT_LINE, LOT_LINE_PARTS, False), lambda b: F.length(b["body"]) >= 10)
-    third = F.filter(parsed(NUMBERED_LINE, NUMBERED_LINE_PARTS, False), lambda b: F.length(b["body"]) >= 10)
+    # Between two appraisals stands one block at most, from its first head on: no head looks through the whole text.
+    pieces = F.arrays_zip(F.split(c, APPRAISED, -1).alias("before"), F.regexp_extract_all(c, F.lit(APPRAISED), F.lit(1)).alias("value"))
+    heads = F.transform(
+        F.filter(pieces, lambda x: x["value"].isNotNull()),
+        lambda x: F.struct(
+            F.regexp_extract(x["before"], LOT_HEAD, 1).alias("lot_no"), F.trim(F.regexp_extract(x["before"], LOT_HEAD, 2)).alias("body"), F.nullif(x["value"], F.lit("")).alias("value")
+        ),
+    )
+    first = F.filter(heads, lambda b: F.length(b["lot_no"]) > 0)
+    second = F.filter(parsed(LOT_LINE, LOT_LINE_PARTS), lambda b: F.length(b["body"]) >= 10)
+    third = F.filter(parsed(NUMBERED_LINE, NUMBERED_LINE_PARTS), lambda b: F.length(b["body"]) >= 10)
     return F.when(F.size(first) > 0, first).when(F.size(second) > 0, second).otherwise(third)
 
 

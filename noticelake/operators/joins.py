@@ -10,15 +10,9 @@ from pyspark.sql import functions as F
 from noticelake.functions.text import fold_accents, let
 from noticelake.functions.urls import host_suffixes
 
-BROADCAST_ROWS = 200_000
 SALTS = 16
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Equi-join for a left side with hot keys: every key is spread over ``salts`` tasks.
 
@@ -29,15 +23,6 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id:
     return l.join(r, [*keys, "_salt"], how).drop("_salt")
 
 
-def join_small(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: str, how: str = "inner", max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Broadcast the right side when its size has been checked, else spread hot keys by salting."""
-    if is_small(right, max_rows):
-        return left.join(F.broadcast(right), list(keys), how)
-    return salted_join(left, right, keys, row_id, how)
-
-
 def place_key(c: Column, fold: bool = False) -> Column:
     key = F.upper(F.trim(c))
     return F.upper(fold_accents(key)) if fold else key
@@ -72,44 +57,43 @@ def allowed_hosts(hosts: DataFrame, allow: DataFrame, host: str = "host", domain
     return suffixes.join(allow.select(F.lower(domain).alias("_suffix")).distinct(), "_suffix", "left_semi").select(host).distinct()
 
 
-def mark_allowed(df: DataFrame, allow: DataFrame, host: str = "host", domain: str = "domain", row_id: str | None = None) -> DataFrame:
-    """Adds ``host_allowed``."""
+def mark_allowed(df: DataFrame, allow: DataFrame, host: str = "host", domain: str = "domain") -> DataFrame:
+    """Adds ``host_allowed``. Adaptive execution broadcasts the allowed hosts or splits a hot one."""
     hits = allowed_hosts(df, allow, host, domain).withColumn("_allowed", F.lit(True))
-    out = join_small(df, hits, [host], row_id or host, "left")
+    out = df.join(hits, host, "left")
     return out.withColumn("host_allowed", F.coalesce("_allowed", F.lit(False))).drop("_allowed")
 
 
 def tag_by_terms(df: DataFrame, terms: DataFrame, text: str, row_id: str, whole_words: bool = False) -> DataFrame:
-    """``terms`` (term, tag) found in a text column, as a sorted tag array per row.
+    """``terms`` (term, tag) found in a text column, as a sorted tag array per row; one way for any number of terms.
 
-    A checked-small term table becomes one literal array evaluated inside the scan. A larger one is
-    matched through the leading word of each term, which is an equality and never compares all pairs.
+    A term is looked up by its first word (``whole_words``) or its first three characters, so all pairs are
+    never compared. Texts stay out of that join: it hands on (row, fragment) pairs of fragments
+    that some term has, and the texts are read again only for the terms behind them.
     """
-    t = terms.select("term", "tag").where(F.length("term") > 0).distinct()
-    if is_small(t, 5_000):
-        rules: dict[str, list[str]] = {}
-        for r in t.orderBy("tag", "term").collect():
-            rules.setdefault(r["tag"], []).append(r["term"])
-        return df.withColumn("tags", match_terms(F.col(text), rules, whole_words))
-    grams = F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.array(*[F.lit(n) for n in (1, 2, 3)]),
-                lambda n: F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))),
-                    lambda i: F.substring(F.col(text), i, n),
-                ),
-            )
-        )
-    )
-    keyed = t.withColumn("_gram", F.substring("term", 1, 3))
-    spread = df.select(row_id, text, F.explode(grams).alias("_gram"))
-    word = F.contains(as_words(F.col(text)), as_words(F.col("term"))) if whole_words else F.contains(F.col(text), F.col("term"))
-    hits = salted_join(spread, keyed, ["_gram"], row_id).where(word)
+    look = as_words if whole_words else (lambda c: c)
+    t = terms.select("term", "tag").where(F.length("term") > 0).distinct().withColumn("_needle", look(F.col("term")))
+    if whole_words:
+        t = t.where(F.length(F.trim("_needle")) > 0)
+    t = t.withColumn("_part", F.get(F.split(F.trim("_needle"), " "), F.lit(0)) if whole_words else F.substring("_needle", 1, 3))
+    seen = let(look(F.col(text)), lambda x: F.array_distinct(F.split(F.trim(x), " ")) if whole_words else _fragments(x))
+    parts = df.select(row_id, F.explode(seen).alias("_part")).join(t.select("_part").distinct(), "_part")
+    found = parts.join(t, "_part").select(row_id, "tag", "_needle").distinct()
+    texts = df.select(row_id, look(F.col(text)).alias("_looked"))
+    hits = found.join(texts, row_id).where(F.contains("_looked", "_needle"))
     tags = hits.groupBy(row_id).agg(F.sort_array(F.collect_set("tag")).alias("tags"))
     return df.join(tags, row_id, "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
 
 
+def _fragments(text: Column) -> Column:
+    """Distinct pieces of one, two and three characters."""
+    def of(n: int) -> Column:
+        last = F.length(text) - (n - 1)
+        return F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.flatten(F.array(of(1), of(2), of(3))))
+
+
 def as_words(c: Column) -> Column:
     """Words of a text between single blanks, with a blank at both ends: word match becomes containment."""
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(c, r"[^\p{L}\p{N}]+", " ")), F.lit(" "))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from noticelake.functions.extract import URL_HTTP, URL_WWW
 from noticelake.functions.text import context_snippet
 from noticelake.functions.urls import add_scheme, bare_host, correct_host, host_suffixes, is_relevant, link_gate
-from noticelake.operators.joins import join_small
 from noticelake.operators.keyed import keep_first
 from noticelake.operators.once import compute_once
 from noticelake.operators.shares import counted, distribution
@@ -59,7 +58,7 @@ def gated_candidates(candidates: DataFrame, allow: DataFrame) -> DataFrame:
 
     Bare host names count only when allow-listed; other strategies need a relevant host.
     """
-    c = join_small(candidates, matched_domains(candidates, allow), ["host"], "notice_id", "left")
+    c = candidates.join(matched_domains(candidates, allow), ["host"], "left")
     site = F.concat(F.lit("https://www."), F.coalesce("domain", "host"))
     # A bare host is looked up by its domain; it keeps its own text when it is not on the list.
     url = F.when(F.col("strategy") == 1, F.when(F.col("domain").isNotNull(), site).otherwise(F.col("raw"))).when(F.col("strategy") == 2, site).otherwise(F.col("raw"))

@@ -77,9 +77,10 @@ def lots_from_tables(table_rows: DataFrame) -> DataFrame:
         lambda x: x["role"].isNotNull() & (F.length(F.trim(x["cell"])) > 0),
     )
     # A later column of the same role wins, as in a left-to-right read.
-    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["role"] == x["role"]))
-    given = F.map_from_entries(F.transform(last, lambda x: F.struct(x["role"].alias("role"), F.trim(x["cell"]).alias("cell"))))
-    j = compute_once(j, {"given": given})
+    j = compute_once(j, {"_pairs": pairs})
+    last = {role: F.trim(F.try_element_at(F.filter("_pairs", _has_role(role)), F.lit(-1))["cell"]) for role, _ in br.COLUMN_ROLES}
+    given = F.map_from_arrays(F.array(*[F.lit(role) for role in last]), F.array(*last.values()))
+    j = j.withColumn("given", given)
     g = F.col("given")
     joined = F.nullif(F.concat_ws(" - ", g["marca"], g["modelo"], g["placa"]), F.lit(""))
     return j.select(
@@ -93,6 +94,10 @@ def lots_from_tables(table_rows: DataFrame) -> DataFrame:
     ).where(F.col("description_raw").isNotNull())
 
 
+def _has_role(role: str):
+    return lambda x: x["role"] == role
+
+
 def parse_lots(raw: DataFrame, min_description: int = 5) -> DataFrame:
     """Parsed fields, stable id, and ``error_code`` (NULL for a usable lot)."""
     given = F.col("given")
@@ -105,14 +110,17 @@ def parse_lots(raw: DataFrame, min_description: int = 5) -> DataFrame:
         {
             "value": parse_money(F.col("value_raw")), "plate": F.coalesce(given["placa"], X.plate(t, br.NOT_A_PLATE)),
             "chassis": F.coalesce(given["chassi"], X.chassis(t)), "renavam": F.coalesce(given["renavam"], X.renavam(t)),
-            "brand": F.coalesce(given["marca"], X.brand(t, br.BRANDS)), "model_year": F.coalesce(year, X.model_year(t)),
+            "_listed": X.brand(t, br.BRANDS), "model_year": F.coalesce(year, X.model_year(t)),
             "lot_id": lot_id(F.col("doc_id"), F.col("lot_no"), F.col("description_raw")),
         },
     )
+    # The model follows the listed brand of the text, whatever the cell says; with neither, the word after the kind of vehicle is the brand.
+    unnamed = given["marca"].isNull() & F.col("_listed").isNull()
     out = fields.select(
-        "doc_id", "line_no", "lot_no", "description", "value_raw", "value", "plate", "chassis", "renavam", "brand",
-        F.coalesce(given["modelo"], X.model(t, F.col("brand"))).alias("model"), "model_year", "lot_id",
-    )
+        "doc_id", "line_no", "lot_no", "description", "value_raw", "value", "plate", "chassis", "renavam",
+        F.coalesce(given["marca"], "_listed", X.named_brand(t)).alias("brand"),
+        F.coalesce(given["modelo"], X.model(t, F.col("_listed")), F.when(unnamed, X.named_model(t))).alias("model"), "model_year", "lot_id",
+    )
     error = (
         F.when(F.coalesce(F.length("lot_no"), F.lit(0)) == 0, F.lit("NUMERO_LOTE_AUSENTE"))
         .when(F.coalesce(F.length("description"), F.lit(0)) < min_description, F.lit("DESCRICAO_INSUFICIENTE"))

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.operators.joins import join_small
-
 # Log2 value buckets: 0 for values below 1, then one per doubling.
 LAST_BUCKET = 64
 
@@ -97,7 +95,7 @@ def matches(notices: DataFrame, filters: DataFrame) -> DataFrame:
         (F.col("f_max").isNull() | (F.col("value") <= F.col("f_max"))) & (F.col("f_min").isNull() | (F.col("value") >= F.col("f_min")))
     )
     once = ~F.col("key").startswith("t:") | (F.col("key") == shared)
-    hits = join_small(spread, keyed, ["key"], "notice_id").where(value_ok & city_ok & tags_ok & once)
+    hits = spread.join(keyed, "key").where(value_ok & city_ok & tags_ok & once)
     return hits.select("filter_id", "user_id", "notice_id")
 
 

@@ -11,7 +11,7 @@ from noticelake.operators.joins import mark_allowed
 from noticelake.operators.shares import counted
 from noticelake.plans import discovery, extraction, feed, links, lots, pages, sync
 from noticelake.presets import br_notices as br
-from noticelake.queries.base import AS_OF, places, plain, spread, table
+from noticelake.queries.base import AS_OF, places, plain, table
 from noticelake.sources.readers import before_first_repeat, cells
 
 QUERIES, ORACLE = {}, {}
@@ -39,7 +39,7 @@ _TITLE = "trim(regexp_extract(html, '(?is)<title[^>]*>([^<]+)</title>', 1))"
   CAST(coalesce(list_max(list_transform(regexp_extract_all(html, 'page=(\\d+)', 1), lambda x: CAST(x AS INT))), 1) AS BIGINT) AS max_page FROM pages"""
 )
 def parse_pages(spark, sf):
-    return pages.parse_pages(spread(spark, sf, "pages")).select("url", "title", "title_source", "max_page")
+    return pages.parse_pages(table(spark, sf, "pages")).select("url", "title", "title_source", "max_page")
 
 
 @query(
@@ -47,19 +47,19 @@ def parse_pages(spark, sf):
   count(*) FILTER (WHERE {_TITLE} = '') AS title_from_generated, count(*) FILTER (WHERE length(html) = 0 OR html IS NULL) AS invalid_pages FROM pages"""
 )
 def page_statistics(spark, sf):
-    return pages.page_statistics(pages.parse_pages(spread(spark, sf, "pages"))).drop("location_found", "location_missing")
+    return pages.page_statistics(pages.parse_pages(table(spark, sf, "pages"))).drop("location_found", "location_missing")
 
 
 @query()
 def listings_from_pages(spark, sf):
-    return pages.listings_from_pages(pages.parse_pages(spread(spark, sf, "pages")), "site", AS_OF).select(
+    return pages.listings_from_pages(pages.parse_pages(table(spark, sf, "pages")), "site", AS_OF).select(
         "listing_id", "title", "category", "tags", "confidence", "publication_status", "warnings"
     )
 
 
 @query()
 def listing_cards(spark, sf):
-    return pages.listing_cards(spread(spark, sf, "pages"), "site", {"vehicle": r"<h1>([^<]+)</h1>", "price": r"ad (\d+)", "model_year": r"/(\d{3,4})", "category": r"<p>(\w+)", "plate": r"href=\"/(\w+)\""})
+    return pages.listing_cards(table(spark, sf, "pages"), "site", {"vehicle": r"<h1>([^<]+)</h1>", "price": r"ad (\d+)", "model_year": r"/(\d{3,4})", "category": r"<p>(\w+)", "plate": r"href=\"/(\w+)\""})
 
 
 def _dst(url: str, href: str) -> str:
@@ -76,19 +76,19 @@ _EDGES = f"""edges AS (SELECT DISTINCT src, regexp_replace(dst, '#.*$', '') AS d
 
 @query(f"WITH {_EDGES} SELECT src, dst FROM edges")
 def page_links(spark, sf):
-    return discovery.page_links(spread(spark, sf, "pages")).select("src", "dst")
+    return discovery.page_links(table(spark, sf, "pages")).select("src", "dst")
 
 
 @query(f"SELECT {_HOST} AS domain, count(*) AS occurrences, CAST(min(page_id) AS BIGINT) AS first_seen, CAST(max(page_id) AS BIGINT) AS last_seen, min(url) AS sample_url FROM pages GROUP BY 1")
 def domain_registry(spark, sf):
-    return links.domain_registry(spread(spark, sf, "pages"), url="url", seen_at="page_id")
+    return links.domain_registry(table(spark, sf, "pages"), url="url", seen_at="page_id")
 
 
 @query(
     f"SELECT {_HOST} AS domain, count(*) + 100 * CAST(count(*) FILTER (WHERE url LIKE 'https%') > 0 AS INT) AS occurrences FROM pages GROUP BY 1"
 )
 def domain_registry_merge(spark, sf):
-    p = spread(spark, sf, "pages")
+    p = table(spark, sf, "pages")
     stored = links.domain_registry(p.where(F.col("url").startswith("https")), url="url", seen_at="page_id").withColumn("occurrences", F.lit(100).cast("bigint"))
     return links.domain_registry(p, stored, "url", "page_id").select("domain", "occurrences")
 
@@ -104,12 +104,12 @@ _FOUND = "list_filter([" + ", ".join(f"'{k}'" for k in _KEYWORDS) + "], lambda k
   array_to_string({_FOUND}, '|') AS keywords_found FROM v"""
 )
 def enrich_candidates(spark, sf):
-    return discovery.enrich_candidates(spread(spark, sf, "pages"), _KEYWORDS).select("url", "domain", "title", "keywords_count", "keywords_found")
+    return discovery.enrich_candidates(table(spark, sf, "pages"), _KEYWORDS).select("url", "domain", "title", "keywords_count", "keywords_found")
 
 
 def _candidates(spark, sf):
     """Pages as candidates; a third of the hosts is renamed to official ones so that every rule fires."""
-    p = discovery.enrich_candidates(spread(spark, sf, "pages"), ("cheap", "nicht"))
+    p = discovery.enrich_candidates(table(spark, sf, "pages"), ("cheap", "nicht"))
     host = F.when(F.col("domain").startswith("blog."), F.lit("www.detran.sp.gov.br")).when(F.col("domain").startswith("m."), F.lit("licita.mg.gov.br")).otherwise(F.col("domain"))
     title = F.when(F.col("domain").startswith("www."), F.concat(F.lit("Edital nº 12 Secretaria de "), "title")).otherwise(F.col("title"))
     return p.select("url", host.alias("domain"), title.alias("title"), "keywords_found", F.when(F.length("title") > 40, 200).otherwise(403).alias("status_code"), F.when(F.length("title") < 20, F.lit("403 Forbidden")).alias("error"))
@@ -161,7 +161,7 @@ def bounded_reach(spark, sf):
   UNION ALL SELECT DISTINCT regexp_replace(src, '#.*$', ''), dst, 1 FROM edges WHERE dst <> src AND regexp_replace(src, '#.*$', '') = src AND dst <> regexp_replace(src, '#.*$', '')) GROUP BY 1, 2"""
 )
 def page_reach(spark, sf):
-    p = spread(spark, sf, "pages")
+    p = table(spark, sf, "pages")
     seeds = p.select(F.regexp_replace("url", "#.*$", "").alias("seed"))
     return counted(discovery.reach(seeds, discovery.page_links(p), 1), ["url", "depth"])
 
@@ -171,13 +171,13 @@ def page_reach(spark, sf):
   (SELECT lower(p.url || ' ' || substr({_TITLE}, 1, 200)) AS t FROM (SELECT DISTINCT url, html FROM pages) p)) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
 )
 def keyword_hits(spark, sf):
-    p = spread(spark, sf, "pages").select("url", "html").distinct()
+    p = table(spark, sf, "pages").select("url", "html").distinct()
     reached = p.select(F.col("url").alias("seed"), "url", F.lit(0).alias("depth"))
     return discovery.keyword_counts(discovery.reach_hits(reached, discovery.page_title(p), _KEYWORDS))
 
 
 def _checks(spark, sf):
-    p = spread(spark, sf, "pages")
+    p = table(spark, sf, "pages")
     length = F.length("html")
     final = F.when(F.col("url").startswith("http://"), F.regexp_replace("url", "^http://(www\\.)?", "https://")).otherwise(F.col("url"))
     return p.select("url", final.alias("url_final"), F.when(length < 3000, 404).when(length > 12000, 500).otherwise(200).alias("status_final"), length.between(3000, 12000).alias("ok"))
@@ -207,7 +207,7 @@ def redirect_targets(spark, sf):
 
 def _allow(spark, sf):
     """Allowed domains: the registered part of every host seen on an https page with a path below /en."""
-    p = spread(spark, sf, "pages").where(F.col("url").startswith("https") & F.contains("url", F.lit("/en")))
+    p = table(spark, sf, "pages").where(F.col("url").startswith("https") & F.contains("url", F.lit("/en")))
     return p.select(F.regexp_extract(U.bare_host(F.col("url")), r"([^.]+\.example\.[a-z]+)$", 1).alias("domain")).where(F.length("domain") > 0).distinct()
 
 
@@ -217,14 +217,14 @@ gated AS (SELECT page_id, {_HOST} AS host, EXISTS (SELECT 1 FROM allow a WHERE a
 
 @query(f"WITH {_ALLOW} SELECT page_id, host, ok AS host_allowed, CAST(CASE WHEN ok THEN 100 ELSE 80 END AS BIGINT) AS confidence FROM gated")
 def link_gate(spark, sf):
-    p = spread(spark, sf, "pages").select("page_id", "url", U.bare_host(F.col("url")).alias("host"))
-    m = mark_allowed(p, _allow(spark, sf), row_id="page_id")
+    p = table(spark, sf, "pages").select("page_id", "url", U.bare_host(F.col("url")).alias("host"))
+    m = mark_allowed(p, _allow(spark, sf))
     return m.select("page_id", "host", "host_allowed", U.link_gate(F.col("url"), F.col("host_allowed"), br.GLUED_TLD)["confidence"].alias("confidence"))
 
 
 def _texts(spark, sf):
     """Every page as a text with its own address in front, as a document that names its site."""
-    p = spread(spark, sf, "pages")
+    p = table(spark, sf, "pages")
     text = F.concat_ws(" ", F.lit("Acesse"), F.when(F.col("url").startswith("https"), F.col("url")).otherwise(U.host(F.col("url"))), T.strip_html(F.col("html")))
     return p.select(F.col("page_id").alias("notice_id"), F.lit("pdf_anexo").alias("source"), F.lit("page").alias("ref"), F.lit(1).alias("page_no"), text.alias("text"))
 
@@ -243,28 +243,28 @@ def link_gate_metrics(spark, sf):
 # ---------------------------------------------------------------- text
 @query("SELECT doc_id, regexp_replace(strip_accents(lower(text)), '[^\\x00-\\x7F]', '', 'g') AS folded FROM (SELECT doc_id, text FROM documents)")
 def fold_accents(spark, sf):
-    return spread(spark, sf, "documents").select("doc_id", T.fold_accents(F.col("text")).alias("folded"))
+    return table(spark, sf, "documents").select("doc_id", T.fold_accents(F.col("text")).alias("folded"))
 
 
 @query("SELECT doc_id, trim(regexp_replace(text, '[\\s\\xA0]+', ' ', 'g')) AS t FROM documents")
 def collapse_space(spark, sf):
-    return spread(spark, sf, "documents").select("doc_id", T.collapse_space(F.col("text")).alias("t"))
+    return table(spark, sf, "documents").select("doc_id", T.collapse_space(F.col("text")).alias("t"))
 
 
 @query("SELECT doc_id, text AS t FROM documents")
 def repair_mojibake(spark, sf):
     broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    return spread(spark, sf, "documents").select("doc_id", T.repair_mojibake(broken).alias("t"))
+    return table(spark, sf, "documents").select("doc_id", T.repair_mojibake(broken).alias("t"))
 
 
 @query()
 def title_case(spark, sf):
-    return spread(spark, sf, "documents").select("doc_id", T.title_case(F.col("text")).alias("t"))
+    return table(spark, sf, "documents").select("doc_id", T.title_case(F.col("text")).alias("t"))
 
 
 @query("SELECT o_orderkey, 'R$ ' || translate(format('{:,.2f}', o_totalprice), ',.', '.,') AS shown, o_totalprice AS parsed FROM orders")
 def money_round_trip(spark, sf):
-    o = spread(spark, sf, "orders").withColumn("shown", money.format_br_money(F.col("o_totalprice")))
+    o = table(spark, sf, "orders").withColumn("shown", money.format_br_money(F.col("o_totalprice")))
     return o.select("o_orderkey", "shown", money.parse_money(F.col("shown")).alias("parsed"))
 
 
@@ -272,7 +272,7 @@ def money_round_trip(spark, sf):
     "SELECT o_orderkey, strftime(o_orderdate, '%d-%m-%Y') AS contract_date, strftime(o_orderdate, '%Y-%m-%d') AS iso, strftime(o_orderdate, '%d/%m/%Y') AS br FROM orders"
 )
 def date_forms(spark, sf):
-    o = spread(spark, sf, "orders")
+    o = table(spark, sf, "orders")
     return o.select(
         "o_orderkey", dates.contract_date(F.date_format("o_orderdate", "d-M-yyyy")).alias("contract_date"), dates.to_iso_text(F.date_format("o_orderdate", "d/M/yyyy")).alias("iso"),
         dates.to_br_text(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")).alias("br"),
@@ -284,40 +284,41 @@ def date_forms(spark, sf):
 )
 def stable_ids(spark, sf):
     k, n = F.col("l_orderkey"), F.col("l_linenumber")
-    return spread(spark, sf, "lineitem").select(k, n, ids.listing_id("src", k, n).alias("listing_id"), ids.vehicle_id(F.lit("src"), k, n).alias("vehicle_id"))
+    return table(spark, sf, "lineitem").select(k, n, ids.listing_id("src", k, n).alias("listing_id"), ids.vehicle_id(F.lit("src"), k, n).alias("vehicle_id"))
 
 
 @query("SELECT count(*) AS texts, count(DISTINCT sha256(lower(trim(regexp_replace(text, '[\\s\\xA0]+', ' ', 'g'))))) AS contents FROM documents")
 def equal_contents(spark, sf):
-    keys = spread(spark, sf, "documents").select(T.content_key(F.col("text")).alias("k"))
+    keys = table(spark, sf, "documents").select(T.content_key(F.col("text")).alias("k"))
     return keys.groupBy("k").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("texts"), F.count(F.lit(1)).alias("contents"))
 
 
 @query()
 def extract_fields(spark, sf):
-    d = spread(spark, sf, "documents").select("doc_id", F.col("text").alias("document_text"), F.substring_index("text", "\n", 1).alias("description_text"))
+    d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("document_text"), F.substring_index("text", "\n", 1).alias("description_text"))
     return extraction.extract_fields(d).select("doc_id", "notice_no", "event_date", "value", "items", "auctioneer", "modality", "summary")
 
 
 @query()
 def lots_from_text(spark, sf):
-    d = spread(spark, sf, "documents")
+    d = table(spark, sf, "documents")
     return lots.parse_lots(lots.lots_from_text(d)).select("doc_id", "line_no", "lot_no", "lot_id", "value", "error_code")
 
 
 @query(
     """SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, '0' || l_linenumber AS lot_no, 'VEICULO ' || upper(p_name) || ' ANO ' || (p_size + 1970) AS description, l_extendedprice AS value,
-  CAST(p_size + 1970 AS BIGINT) AS model_year FROM lineitem JOIN part ON l_partkey = p_partkey"""
+  CAST(p_size + 1970 AS BIGINT) AS model_year, split_part(upper(p_name), ' ', 1) AS brand, substr(upper(p_name), strpos(p_name, ' ') + 1) AS model,
+  CASE WHEN p_size > 20 THEN 'QRS' || (1000 + p_size) END AS plate, CAST(NULL AS VARCHAR) AS error_code FROM lineitem JOIN part ON l_partkey = p_partkey"""
 )
 def lots_from_joined_pages(spark, sf):
     """Every order as a document with one page of text per line."""
-    l, p = spread(spark, sf, "lineitem"), table(spark, sf, "part")
+    l, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
     price = F.translate(F.format_number("l_extendedprice", 2), ",.", ".,")
     text = F.concat(
-        F.lit("LOTE "), "l_linenumber", F.lit("\nVEICULO "), F.upper("p_name"), F.lit(" ANO "), (F.col("p_size") + 1970).cast("string"), F.lit("\nCHECK LIST\nAVALIAÇÃO: "), price
+        F.lit("LOTE "), "l_linenumber", F.lit("\nVEICULO "), F.upper("p_name"), F.lit(" ANO "), (F.col("p_size") + 1970).cast("string"), F.when(F.col("p_size") > 20, F.concat(F.lit("\nPlaca: qrs "), (F.col("p_size") + 1000).cast("string"))).otherwise(F.lit("")), F.lit("\nCHECK LIST\nAVALIAÇÃO: "), price
     )
     pages_ = l.join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").cast("string").alias("doc_id"), F.col("l_linenumber").alias("page_no"), text.alias("text"))
-    return lots.parse_lots(lots.lots_from_text(lots.join_pages(pages_))).select("doc_id", "lot_no", "description", "value", "model_year")
+    return lots.parse_lots(lots.lots_from_text(lots.join_pages(pages_))).select("doc_id", "lot_no", "description", "value", "model_year", "brand", "model", "plate", "error_code")
 
 
 @query(
@@ -325,7 +326,7 @@ def lots_from_joined_pages(spark, sf):
   CAST(o_custkey % 50 + 1 AS VARCHAR) AS items, CASE WHEN o_orderstatus = 'F' THEN 'Híbrido' ELSE 'Eletrônico' END AS modality FROM orders"""
 )
 def extract_fields_of_notices(spark, sf):
-    o = spread(spark, sf, "orders")
+    o = table(spark, sf, "orders")
     document = F.concat(
         F.lit("EDITAL Nº "), "o_orderkey", F.lit("/2026. Data do leilão: "), F.date_format("o_orderdate", "dd/MM/"), F.lit("2027. Valor: "), money.format_br_money(F.col("o_totalprice")),
         F.lit(". Quantidade: "), (F.col("o_custkey") % 50 + 1).cast("string"), F.lit(" lotes. Forma eletrônica."), F.when(F.col("o_orderstatus") == "F", F.lit(" Comparecimento no local.")).otherwise(F.lit("")),
@@ -336,22 +337,30 @@ def extract_fields_of_notices(spark, sf):
 
 def _order_tables(spark, sf):
     """Every order as a table of lots: a header row and one row per line."""
-    l, p = spread(spark, sf, "lineitem"), table(spark, sf, "part")
+    l, p, n = table(spark, sf, "lineitem"), table(spark, sf, "part"), F.col("l_linenumber")
     rows = l.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("doc_id"), F.when(F.col("l_linenumber") > 3, 4).otherwise(2).alias("page_no"), F.lit(1).alias("table_no"), (F.col("l_linenumber") + 1).alias("row_no"),
-        F.array(F.col("l_linenumber").cast("string"), F.concat_ws(" ", F.lit("VEICULO"), F.upper("p_name"), F.lit("ANO"), (F.col("p_size") + 1970).cast("string")), money.format_br_money(F.col("l_extendedprice"))).alias("cells"),
+        F.array(F.col("l_linenumber").cast("string"), F.concat_ws(" ", F.lit("VEICULO"), F.upper("p_name"), F.lit("ANO"), (F.col("p_size") + 1970).cast("string")), money.format_br_money(F.col("l_extendedprice")),
+            F.when(n % 7 == 1, F.concat(F.lit("AB ("), n.cast("string"))).otherwise(F.lit("")), F.when(n % 7 == 2, F.concat(F.lit("M-"), F.col("p_size").cast("string"))).otherwise(F.lit("")),
+            F.when(n % 2 == 0, F.concat(F.lit("placa ABC-"), (F.col("p_size") + 1000).cast("string"))).otherwise(F.lit(" ")),
+            F.when(n % 3 == 0, F.concat(F.lit("Renavam: "), (F.col("l_orderkey") + 1000000000).cast("string"))).when(n % 3 == 1, F.concat(F.lit("chassi 9BWZZZ377VT"), (F.col("p_size") + 100000).cast("string"))).otherwise(F.lit("")),
+        ).alias("cells"),
     )
-    heads = rows.select("doc_id", "page_no", "table_no").distinct().select("*", F.lit(1).alias("row_no"), F.array(F.lit("Lote"), F.lit("Descrição do lote"), F.lit("Valor mínimo")).alias("cells"))
+    heads = rows.select("doc_id", "page_no", "table_no").distinct().select("*", F.lit(1).alias("row_no"), F.array(F.lit("Lote"), F.lit("Descrição do lote"), F.lit("Valor mínimo"), F.lit("Marca"), F.lit("Modelo"), F.lit("Obs"), F.lit("Outros")).alias("cells"))
     return heads.unionByName(rows)
 
 
 @query(
     """SELECT l_orderkey AS doc_id, CAST(l_linenumber AS VARCHAR) AS lot_no, 'VEICULO ' || upper(p_name) || ' ANO ' || (p_size + 1970) AS description, l_extendedprice AS value,
-  CAST(p_size + 1970 AS BIGINT) AS model_year, sha256(l_orderkey || '_' || l_linenumber || '_' || substr(sha256('VEICULO ' || upper(p_name) || ' ANO ' || (p_size + 1970)), 1, 16)) AS lot_id
+  CAST(p_size + 1970 AS BIGINT) AS model_year, sha256(l_orderkey || '_' || l_linenumber || '_' || substr(sha256('VEICULO ' || upper(p_name) || ' ANO ' || (p_size + 1970)), 1, 16)) AS lot_id,
+  CASE WHEN l_linenumber % 7 = 1 THEN 'AB (' || l_linenumber ELSE split_part(upper(p_name), ' ', 1) END AS brand,
+  CASE WHEN l_linenumber % 7 = 2 THEN 'M-' || p_size WHEN l_linenumber % 7 <> 1 THEN substr(upper(p_name), strpos(p_name, ' ') + 1) END AS model,
+  CASE WHEN l_linenumber % 2 = 0 THEN 'ABC' || (1000 + p_size) END AS plate, CASE WHEN l_linenumber % 3 = 0 THEN lpad(CAST(1000000000 + l_orderkey AS VARCHAR), 11, '0') END AS renavam,
+  CASE WHEN l_linenumber % 3 = 1 THEN '9BWZZZ377VT' || (100000 + p_size) END AS chassis, CAST(NULL AS VARCHAR) AS error_code
 FROM lineitem JOIN part ON l_partkey = p_partkey"""
 )
 def lots_from_tables(spark, sf):
-    return lots.parse_lots(lots.lots_from_tables(_order_tables(spark, sf))).select("doc_id", "lot_no", "description", "value", "model_year", "lot_id")
+    return lots.parse_lots(lots.lots_from_tables(_order_tables(spark, sf))).select("doc_id", "lot_no", "description", "value", "model_year", "lot_id", "brand", "model", "plate", "renavam", "chassis", "error_code")
 
 
 @query(
@@ -385,7 +394,7 @@ def sheet_cells(spark, sf):
 # ---------------------------------------------------------------- feed
 def _items(spark, sf):
     """Lines as feed items: parts give titles, suppliers give places, return flags give the kind of search."""
-    l, p, s = spread(spark, sf, "lineitem"), table(spark, sf, "part"), table(spark, sf, "supplier")
+    l, p, s = table(spark, sf, "lineitem"), table(spark, sf, "part"), table(spark, sf, "supplier")
     n = places(spark, sf).select("place_code", "place_name")
     j = l.join(p, F.col("l_partkey") == F.col("p_partkey")).join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(n, F.col("s_nationkey") == F.col("place_code"))
     text = lambda c: F.lit(None).cast("string").alias(c)
@@ -482,7 +491,7 @@ def mark_expired(spark, sf):
 
 @query("SELECT doc_id, CAST(len(regexp_extract_all(text, '(?i)\\bthe\\b')) AS BIGINT) AS n FROM documents")
 def pattern_counts(spark, sf):
-    return spread(spark, sf, "documents").select("doc_id", F.size(F.regexp_extract_all("text", F.lit(r"(?i)\bthe\b"), 0)).alias("n"))
+    return table(spark, sf, "documents").select("doc_id", F.size(F.regexp_extract_all("text", F.lit(r"(?i)\bthe\b"), 0)).alias("n"))
 
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -7,22 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Below this many bytes per core a table usually sits in one row group, which one task would read alone.
-SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
-
-
-def spread_if_small(df: DataFrame) -> DataFrame:
-    """Rows of a small table dealt out to all cores before row-heavy work.
-
-    The decision uses the size Spark knows from the file listing. A large table has many splits
-    already and is left as it is, without a shuffle.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(str(size)) < cores * SPREAD_BYTES_PER_CORE else df
-
-
 # Alternative keys of a search item, first non-empty wins, and the defaults.
 NOTICE_KEYS = {
     "portal_id": ("numeroControlePNCP", "numero_controle_pncp", "pncp_id"),

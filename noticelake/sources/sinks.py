@@ -7,7 +7,6 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.operators.joins import is_small
 from noticelake.operators.keyed import insert_if_absent, upsert_non_null, upsert_replace
 
 
@@ -31,7 +30,7 @@ def _merge(path: str, staging: str, batch: DataFrame, partition: str, merge: Cal
     current = spark.read.parquet(path)
     touched = batch.select(partition).distinct()
     # Semi join on the partition column: Spark prunes the untouched partitions at run time.
-    affected = current.join(F.broadcast(touched) if is_small(touched) else touched, partition, "left_semi")
+    affected = current.join(touched, partition, "left_semi")
     merge(affected, batch).write.mode("overwrite").parquet(staging)
     (
         spark.read.parquet(staging)

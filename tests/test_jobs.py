@@ -8,6 +8,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from noticelake.functions import extract, ids
 from noticelake.operators import keyed, predicates
 from noticelake.operators.joins import allowed_hosts, match_terms, tag_by_terms
 from noticelake.plans import contract, discovery, feed, geo, health, links, lots, match, quality, stats, sync, tagging, unify
@@ -132,19 +133,65 @@ def test_match_equals_nested_loop(spark):
     assert match.new_notifications(notes, notes).count() == 0
 
 
-def test_large_sides_take_the_other_way(spark, monkeypatch):
-    """With the broadcast bound at zero the salted joins and the fragment join give the same rows."""
-    from noticelake.operators import joins
-
-    n = spark.createDataFrame(_NOTICES, "notice_id long, region string, city string, tags array<string>, value double")
-    f = match.read_filters(_filter_rows(spark))
-    want = sorted(match.matches(n, f).collect())
-    terms = spark.createDataFrame([("moto", "MOTO"), ("sucata leve", "SUCATA"), ("x", "X")], "term string, tag string")
-    texts = spark.createDataFrame([(1, "uma moto e sucata leve"), (2, "nada"), (3, "x motos")], "id int, t string")
-    tags = sorted(tag_by_terms(texts, terms, "t", "id").select("id", "tags").collect())
-    monkeypatch.setattr(joins, "is_small", lambda df, max_rows=0: False)
-    assert sorted(match.matches(n, f).collect()) == want
-    assert sorted(tag_by_terms(texts, terms, "t", "id").select("id", "tags").collect()) == tags
+def test_terms_are_found_as_by_looking_at_all(spark):
+    """The join finds what a literal table inside the scan finds, with signs and blanks in terms and texts."""
+    terms = [("moto", "MOTO"), ("sucata leve", "SUCATA"), ("x", "X"), ("r-440", "CAMINHAO"), ("r 44", "R"), ("-", "SIGN"), ("ab", "AB"), ("a.b c", "ABC")]
+    texts = [(1, "uma moto e sucata leve"), (2, "nada"), (3, "x motos"), (4, "lote r 440 azul"), (5, "lote r-440 azul"), (6, "a b-c ab"), (7, ""), (8, None), (9, "sucata, leve")]
+    df, t = spark.createDataFrame(texts, "id int, t string"), spark.createDataFrame(terms, "term string, tag string")
+    rules = {}
+    for term, tag in terms:
+        rules.setdefault(tag, []).append(term)
+    for whole in (False, True):
+        use = {g: [w for w in ws if not whole or any(c.isalnum() for c in w)] for g, ws in rules.items()}
+        want = df.select("id", match_terms(F.coalesce("t", F.lit("")), use, whole).alias("tags")).collect()
+        assert sorted(tag_by_terms(df, t, "t", "id", whole).select("id", "tags").collect()) == sorted(want)
+
+
+def test_lots_of_odd_cells(spark):
+    head = ["Lote", "Descrição", "Marca", "Modelo", "Marca"]
+    rows = [head, ["1", "veiculo gm (chev onix 1.0, preto", "", "", "GM (CHEV"], ["2", "Fiat Uno Mille Ano 2010", "Fiat", "", ""], ["3", "FIAT UNO ANO 2010 PLACA ABC1234", "Other", "", "Last"], ["4", "moto CG 160, azul", "", "", ""], ["5", "abcde", "", "X-1", ""]]
+    cells = spark.createDataFrame([("d", 1, 1, i, r) for i, r in enumerate(rows, 1)], "doc_id string, page_no int, table_no int, row_no int, cells array<string>")
+    got = {r.lot_no: (r.brand, r.model) for r in lots.parse_lots(lots.lots_from_tables(cells)).collect()}
+    assert got["1"][0] == "GM (CHEV"
+    assert got["2"] == ("Fiat", "UNO MILLE") and got["3"][0] == "Last" and got["3"][1] == "UNO" and got["5"][1] == "X-1"
+    assert got["4"] == ("CG", "160")
+
+
+def test_extraction_is_linear(spark):
+    """100 kB of the words that a rule waits for takes less than a second a row."""
+    import time
+
+    bad = ["leilão dia " * 9000, "dia leilão hasta " * 6000, "LOTE 1\n" * 14000, "realizará será realizado " * 4000, "01/02/2026 " * 9000, "hora h as " * 10000]
+    df = spark.createDataFrame([(b,) for b in bad], "t string").coalesce(1)
+    extraction_of = df.select(extract.auction_date(F.col("t"), F.col("t")).alias("d"), F.size(extract.lot_blocks(F.col("t"))).alias("n"))
+    extraction_of.limit(1).collect()
+    start = time.time()
+    extraction_of.collect()
+    assert time.time() - start < len(bad)
+
+
+def test_dates_and_blocks_follow_their_rules(one):
+    c = F.col("s")
+    date = lambda t: one(extract.auction_date(F.lit(""), c), s=t)
+    assert date("em 01/01/2026 o leilão, no dia marcado, 02/02/2026") == "02/02/2026"
+    assert date("dia certo do leilão: 03.03.2026 e 04/04/2026") == "03/03/2026"
+    assert date("05/05/2026 ocorrerá em 06/06/2026") == "06/06/2026"
+    assert date("07-07-2026, às 10") == "07/07/2026" and date("07/07/2026 cedo") is None
+    doc = lambda t: one(extract.auction_date(c, F.lit("")), s=t)
+    assert doc("leilão dia 01/01/2019, dia 02/02/2026; hasta data: 03/03/2026") == "03/03/2026"
+    assert doc("será realizado em 04/04/2019 será realizado em 05/05/2026") == "05/05/2026"
+    blocks = one(extract.lot_blocks(c), s="LOTE 1\nCARRO\nLOTE 2\nMOTO\nAVALIAÇÃO: 10,00\nx AVALIAÇÃO 3\nLOTE 3\nVAN\nAVALIACAO 20,00")
+    assert [(b.lot_no, b.value) for b in blocks] == [("1", "10,00"), ("3", "20,00")] and blocks[0].body.strip() == "CARRO\nLOTE 2\nMOTO"
+
+
+def test_ids_need_a_lot(one):
+    c = F.col("s")
+    assert one(ids.listing_id("src", c, F.lit(None)), s="a") is None and one(ids.listing_id("src", c, F.lit(" ")), s="a") is None
+    assert one(ids.listing_id("src", F.lit(None), c), s="7") == one(ids.listing_id("src", F.lit(""), c), s="7")
+    assert one(ids.listing_id("src", F.lit("1"), c), s="7") != one(ids.listing_id("src", F.lit("1"), c, lot_first=True), s="7")
+    long = "x" * 100
+    assert one(ids.lot_id(F.lit("n"), F.lit("1"), c), s=long + "a") != one(ids.lot_id(F.lit("n"), F.lit("1"), c), s=long + "b")
+    assert one(ids.lot_id(F.lit("n"), F.lit("1"), c, leading=100), s=long + "a") == one(ids.lot_id(F.lit("n"), F.lit("1"), c, leading=100), s=long + "b")
 
 
 def test_whole_words(one):
