@@ -99,8 +99,10 @@ def listings_from_pages(parsed: DataFrame, source: str, as_of) -> DataFrame:
         return F.when(F.coalesce(cond, F.lit(False)), F.lit(message))
 
     has_place = F.col("city").isNotNull() & F.col("region").isNotNull()
+    key = listing_id(source, F.col("auction_id"), F.col("lot_id"))
     errors = F.array_compact(
         F.array(
+            note(key.isNull(), "id_interno ausente"),
             note(F.lower(title) == "undefined", "titulo ausente ou undefined"),
             note(link.isNull(), "link_leiloeiro ausente"),
             note(~F.col("is_valid_page"), "página não renderizou corretamente"),
@@ -114,7 +116,7 @@ def listings_from_pages(parsed: DataFrame, source: str, as_of) -> DataFrame:
         )
     )
     rows = parsed.select(
-        listing_id(source, F.coalesce("auction_id", F.lit("")), F.coalesce("lot_id", F.lit(""))).alias("listing_id"),
+        key.alias("listing_id"),
         title.alias("title"), description.alias("description"), F.substring(title, 1, 200).alias("summary"),
         city.alias("city"), region.alias("region"), positive_or_null(F.coalesce("valor_avaliacao", "first_amount")).alias("value"),
         F.when(F.size(tags) > 0, tags).otherwise(fallback).alias("tags"), category.alias("category"),

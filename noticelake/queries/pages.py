@@ -393,15 +393,15 @@ def sheet_cells(spark, sf):
 
 # ---------------------------------------------------------------- feed
 def _items(spark, sf):
-    """Lines as feed items: parts give titles, suppliers give places, return flags give the kind of search."""
+    """Lines as feed items, those of the seventh place without a lot id: parts give titles, suppliers give places, return flags give the kind of search."""
     l, p, s = table(spark, sf, "lineitem"), table(spark, sf, "part"), table(spark, sf, "supplier")
     n = places(spark, sf).select("place_code", "place_name")
     j = l.join(p, F.col("l_partkey") == F.col("p_partkey")).join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(n, F.col("s_nationkey") == F.col("place_code"))
     text = lambda c: F.lit(None).cast("string").alias(c)
     return j.select(
         F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3).alias("kind"),
-        (F.col("l_orderkey") % 50).cast("int").alias("page"),
-        F.col("l_linenumber").cast("string").alias("lote_id"), F.col("l_orderkey").cast("string").alias("leilao_id"),
+        (F.col("l_orderkey") % 1000).cast("int").alias("page"),
+        F.when(F.col("l_linenumber") < 7, (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")).alias("lote_id"), F.col("l_orderkey").cast("string").alias("leilao_id"),
         F.when(F.col("p_size") > 3, F.concat_ws(" ", F.when(F.col("p_size") > 25, F.lit("Sucata carro")), F.col("p_name"))).otherwise(F.lit("undefined")).alias("nm_titulo_lote"),
         F.concat(F.lit("<p>Bem&nbsp;"), "p_type", F.lit("</p>")).alias("nm_descricao"),
         F.col("place_name").alias("nm_cidade"), F.lit("sp").alias("nm_estado"),
@@ -416,33 +416,34 @@ def _items(spark, sf):
 
 _ITEMS = """items AS (SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount, l_tax, l_shipdate, l_returnflag, p_size, p_name, place,
   CASE WHEN l_returnflag = 'R' THEN 'TIPO_3' WHEN l_returnflag = 'N' AND p_size <= 25 THEN 'CATEGORY_EXCLUDED' END AS early,
-  'src|' || upper(substr(md5('src|' || l_orderkey || '|' || l_linenumber), 1, 12)) AS listing_id FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN (SELECT n_nationkey, n_name AS place FROM nation) ON s_nationkey = n_nationkey)"""
+  l_orderkey * 10 + l_linenumber AS lot, CASE WHEN l_linenumber < 7 THEN 'src|' || upper(substr(md5('src|' || l_orderkey || '|' || (l_orderkey * 10 + l_linenumber)), 1, 12)) END AS listing_id FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN (SELECT n_nationkey, n_name AS place FROM nation) ON s_nationkey = n_nationkey)"""
 
 
 @query(
     f"""WITH {_ITEMS} SELECT listing_id, upper(substr(place, 1, 1)) || lower(substr(place, 2)) AS city, strftime(l_shipdate + INTERVAL 3 HOUR, '%Y-%m-%d') AS event_day, l_extendedprice AS value,
-  CASE WHEN l_tax > 0.04 THEN 'https://site.com.br/l/' || l_orderkey ELSE 'https://www.site.com.br/leilao/index/leilao_id/' || l_orderkey || '/lote/' || l_linenumber END AS auctioneer_link,
-  CASE WHEN p_size > 25 THEN 'CARRO|SUCATA' ELSE 'OUTROS' END AS tags, CAST(CASE WHEN p_size > 25 THEN 95 ELSE 90 END AS BIGINT) AS confidence FROM items WHERE early IS NULL AND l_discount > 0.01 AND p_size > 3"""
+  CASE WHEN l_tax > 0.04 THEN 'https://site.com.br/l/' || l_orderkey ELSE 'https://www.site.com.br/leilao/index/leilao_id/' || l_orderkey || '/lote/' || lot END AS auctioneer_link,
+  CASE WHEN p_size > 25 THEN 'CARRO|SUCATA' ELSE 'OUTROS' END AS tags, CAST(CASE WHEN p_size > 25 THEN 95 ELSE 90 END AS BIGINT) AS confidence FROM items WHERE early IS NULL AND l_discount > 0.01 AND p_size > 3 AND listing_id IS NOT NULL"""
 )
 def feed_valid(spark, sf):
-    f = feed.run(_items(spark, sf), "src", "run-1", AS_OF, drop_repeated_pages=False)
+    f = feed.run(_items(spark, sf), "src", "run-1", AS_OF)
     return f["valid"].select("listing_id", "city", F.date_format("event_at", "yyyy-MM-dd").alias("event_day"), "value", "auctioneer_link", "tags", "confidence")
 
 
 @query(
     f"""WITH {_ITEMS} SELECT listing_id, stage, rejection_code FROM (SELECT listing_id, CASE WHEN early IS NOT NULL THEN 'pre_filter' ELSE 'validation' END AS stage,
-  CASE WHEN early IS NOT NULL THEN early WHEN l_discount <= 0.01 THEN 'MISSING_DATA_LEILAO' WHEN p_size <= 3 THEN 'INVALID_TITULO' END AS rejection_code FROM items) WHERE rejection_code IS NOT NULL"""
+  CASE WHEN early IS NOT NULL THEN early WHEN l_discount <= 0.01 THEN 'MISSING_DATA_LEILAO' WHEN listing_id IS NULL THEN 'MISSING_ID_INTERNO' WHEN p_size <= 3 THEN 'INVALID_TITULO' END AS rejection_code FROM items) WHERE rejection_code IS NOT NULL"""
 )
 def feed_quarantine(spark, sf):
-    return feed.run(_items(spark, sf), "src", "run-1", AS_OF, drop_repeated_pages=False)["quarantine"].select("listing_id", "stage", "rejection_code")
+    return feed.run(_items(spark, sf), "src", "run-1", AS_OF)["quarantine"].select("listing_id", "stage", "rejection_code")
 
 
 @query(
     f"""WITH {_ITEMS} SELECT 'pre_filter' AS stage, early AS code, count(*) AS total FROM items WHERE early IS NOT NULL GROUP BY 2
-UNION ALL SELECT 'validation', 'MISSING_DATA_LEILAO', count(*) FROM items WHERE early IS NULL AND l_discount <= 0.01 UNION ALL SELECT 'validation', 'INVALID_TITULO', count(*) FROM items WHERE early IS NULL AND p_size <= 3"""
+UNION ALL SELECT 'validation', 'MISSING_DATA_LEILAO', count(*) FROM items WHERE early IS NULL AND l_discount <= 0.01 UNION ALL SELECT 'validation', 'INVALID_TITULO', count(*) FROM items WHERE early IS NULL AND p_size <= 3
+UNION ALL SELECT 'validation', 'MISSING_ID_INTERNO', count(*) FROM items WHERE early IS NULL AND listing_id IS NULL"""
 )
 def feed_report(spark, sf):
-    return feed.run(_items(spark, sf), "src", "run-1", AS_OF, drop_repeated_pages=False)["report"].select("stage", "code", "total")
+    return feed.run(_items(spark, sf), "src", "run-1", AS_OF)["report"].select("stage", "code", "total")
 
 
 @query(

@@ -85,7 +85,8 @@ def before_first_repeat(items: DataFrame, kind: str = "kind", page: str = "page"
     """Items of pages before the first page whose id set was seen already.
 
     Two pages are the same when their distinct ids agree in count, in the sum and in the exclusive-or
-    of two 64-bit hashes. These are folded per task, so no page is ever gathered as a list.
+    of two 64-bit hashes. These are folded per task, so no page is ever gathered as a list. Pages
+    without any id say nothing and are not compared.
     """
     from pyspark.sql import Window as W
 
@@ -95,7 +96,7 @@ def before_first_repeat(items: DataFrame, kind: str = "kind", page: str = "page"
         F.sum(F.xxhash64("_id").cast("decimal(38,0)")).alias("_sum"),
         F.bit_xor(F.xxhash64("_id", F.lit("second"))).alias("_xor"),
     ]
-    pages = ids.groupBy(kind, page).agg(*digest)
+    pages = ids.groupBy(kind, page).agg(*digest).where("_n > 0")
     same = W.partitionBy(kind, "_n", "_sum", "_xor")
     repeat = pages.withColumn("_first", F.min(page).over(same)).where(F.col(page) > F.col("_first"))
     stop = repeat.groupBy(kind).agg(F.min(page).alias("_stop"))
