@@ -100,8 +100,33 @@ def matches(notices: DataFrame, filters: DataFrame) -> DataFrame:
 
 
 def notifications(notices: DataFrame, filters: DataFrame) -> DataFrame:
-    """One notification per user and notice, for the lowest matching filter id."""
-    return matches(notices, filters).groupBy("user_id", "notice_id").agg(F.min("filter_id").alias("filter_id"))
+    """One notification per user and notice, for the lowest matching filter id.
+
+    Filters that a lower filter of the same user covers are left out before they meet any notice.
+    """
+    return matches(notices, uncovered(filters)).groupBy("user_id", "notice_id").agg(F.min("filter_id").alias("filter_id"))
+
+
+def uncovered(filters: DataFrame) -> DataFrame:
+    """Active filters without those whose every match a lower filter id of the same user matches too.
+
+    A filter covers another with the same region, city and tags, or none of these where it has none, and
+    a value range that holds the other's. Compared are the distinct conditions of one user.
+    """
+    f = filters.where("is_active")
+    tags = F.sort_array(F.array_distinct("f_tags"))
+    own = [F.col("f_region"), F.upper("f_city"), tags, F.col("f_min"), F.col("f_max")]
+    first = f.groupBy("user_id", *[c.alias(f"k{i}") for i, c in enumerate(own)]).agg(F.min("filter_id").alias("filter_id"))
+    a, b = first.alias("a"), first.alias("b")
+
+    def wider(k: str) -> Column:
+        return F.col(f"a.{k}").isNull() | F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+
+    low = F.col("a.k3").isNull() | (F.col("a.k3") <= F.col("b.k3"))
+    high = F.col("a.k4").isNull() | (F.col("a.k4") >= F.col("b.k4"))
+    cover = (F.col("a.user_id") == F.col("b.user_id")) & (F.col("a.filter_id") < F.col("b.filter_id")) & wider("k0") & wider("k1") & wider("k2") & low & high
+    kept = b.join(a, cover, "left_anti").select("filter_id")
+    return f.join(kept, "filter_id", "left_semi")
 
 
 def new_notifications(found: DataFrame, stored: DataFrame) -> DataFrame:

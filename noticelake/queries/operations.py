@@ -23,36 +23,36 @@ def query(oracle: str | None = None):
 
 # ---------------------------------------------------------------- saved filters
 def saved_filters(spark, sf):
-    """One saved filter per customer out of its segment, place and balance; every shape of condition occurs."""
+    """One saved filter per customer out of its segment, place and balance; every shape of condition occurs. Ranges are narrow, so hits follow the notices."""
     c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    seg, bal = F.col("c_mktsegment"), F.col("c_acctbal")
+    seg, bal, low = F.col("c_mktsegment"), F.col("c_acctbal"), F.col("c_custkey") * 37 % 500 * 1000
     return c.select(
-        F.col("c_custkey").alias("filter_id"), (F.col("c_custkey") % 97).alias("user_id"), F.col("c_name").alias("label"), (bal > 8500).alias("is_active"),
+        F.col("c_custkey").alias("filter_id"), F.floor(F.col("c_custkey") / 5).alias("user_id"), F.col("c_name").alias("label"), (bal > 8500).alias("is_active"),
         F.when(seg.isin("BUILDING", "FURNITURE"), F.col("r_name")).alias("f_region"),
         F.when(seg.isin("FURNITURE", "MACHINERY") & (bal > 9000), F.concat(F.lit("ion_"), F.col("n_nationkey"))).alias("f_city"),
         F.when(seg.isin("HOUSEHOLD", "BUILDING") & (bal > 9000), F.array(F.lit("SUCATA"), seg)).alias("f_tags"),
-        F.when(bal > 9500, F.lit(100000).cast("decimal(18,2)")).when(seg != "AUTOMOBILE", F.lit(300000).cast("decimal(18,2)")).alias("f_min"),
-        F.when(bal > 9700, F.lit(220000).cast("decimal(18,2)")).when(seg == "AUTOMOBILE", F.lit(5000).cast("decimal(18,2)")).alias("f_max"),
+        F.when((seg != "AUTOMOBILE") & (bal > 8600), low).when(seg != "AUTOMOBILE", F.col("c_custkey") % 1000 + 480000).cast("decimal(18,2)").alias("f_min"),
+        F.when(seg == "AUTOMOBILE", F.col("c_custkey") % 500 + 1000).when(bal > 8600, low + 100).cast("decimal(18,2)").alias("f_max"),
     )
 
 
 _FILTERS = """filters AS (
-  SELECT c_custkey AS filter_id, c_custkey % 97 AS user_id, c_acctbal > 8500 AS is_active,
+  SELECT c_custkey AS filter_id, c_custkey // 5 AS user_id, c_acctbal > 8500 AS is_active,
     CASE WHEN c_mktsegment IN ('BUILDING', 'FURNITURE') THEN r_name END AS f_region,
     CASE WHEN c_mktsegment IN ('FURNITURE', 'MACHINERY') AND c_acctbal > 9000 THEN 'ION_' || n_nationkey END AS f_city,
     CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'BUILDING') AND c_acctbal > 9000 THEN ['SUCATA', c_mktsegment] END AS f_tags,
-    CASE WHEN c_acctbal > 9500 THEN 100000 WHEN c_mktsegment <> 'AUTOMOBILE' THEN 300000 END AS f_min,
-    CASE WHEN c_acctbal > 9700 THEN 220000 WHEN c_mktsegment = 'AUTOMOBILE' THEN 5000 END AS f_max
+    CASE WHEN c_mktsegment <> 'AUTOMOBILE' AND c_acctbal > 8600 THEN c_custkey * 37 % 500 * 1000 WHEN c_mktsegment <> 'AUTOMOBILE' THEN c_custkey % 1000 + 480000 END AS f_min,
+    CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN c_custkey % 500 + 1000 WHEN c_acctbal > 8600 THEN c_custkey * 37 % 500 * 1000 + 100 END AS f_max
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 hits AS (
-  SELECT f.filter_id, f.user_id, n.id AS notice_id FROM (SELECT *, CASE WHEN order_status <> 'P' THEN value END AS v FROM notices) n JOIN filters f ON f.is_active
+  SELECT f.filter_id, f.user_id, n.id AS notice_id FROM (SELECT *, CASE WHEN id % 1000 <> 0 THEN value END AS v FROM notices) n JOIN filters f ON f.is_active
     AND (f_region IS NULL OR f_region = n.region) AND (f_city IS NULL OR contains(upper(n.city), f_city))
     AND (f_tags IS NULL OR list_has_any(n.tags, f_tags)) AND (n.v IS NULL OR ((f_min IS NULL OR n.v >= f_min) AND (f_max IS NULL OR n.v <= f_max))))"""
 
 
 def _matchable(spark, sf):
     n = notices(spark, sf)
-    return n.select(F.col("id").alias("notice_id"), "region", "city", "tags", F.when(F.col("order_status") != "P", F.col("value")).alias("value"), "event_at", "title")
+    return n.select(F.col("id").alias("notice_id"), "region", "city", "tags", F.when(F.col("id") % 1000 != 0, F.col("value")).alias("value"), "event_at", "title")
 
 
 @query(f"WITH {NOTICES}, {_FILTERS} SELECT filter_id, count(*) AS matched, min(notice_id) AS first_notice, max(notice_id) AS last_notice, CAST(sum(notice_id % 1009) AS BIGINT) AS checksum FROM hits GROUP BY 1")

@@ -129,6 +129,11 @@ def test_match_equals_nested_loop(spark):
     got = [(r.filter_id, r.notice_id) for r in match.matches(n, match.read_filters(fr)).collect()]
     assert len(got) == len(set(got)) and set(got) == _brute_matches(fr.collect())
     notes = match.notifications(n, match.read_filters(fr))
+    least = {}
+    for f_id, n_id in _brute_matches(fr.collect()):
+        user = next(f.user_id for f in fr.collect() if f.filter_id == f_id)
+        least[user, n_id] = min(f_id, least.get((user, n_id), f_id))
+    assert {(r.user_id, r.notice_id): r.filter_id for r in notes.collect()} == least
     assert notes.count() == notes.select("user_id", "notice_id").distinct().count()
     assert match.new_notifications(notes, notes).count() == 0
 
