@@ -5,9 +5,12 @@ The set of a document is its distinct word n-grams, named by 64-bit hashes. Two
 stands for each set. Then candidates are narrowed before any sets are compared:
 
 * Under a global order of all n-grams, two documents that link share one within their prefixes of
-  ``n - ceil(percent * n / 100) + 1``. Order 1 puts rare n-grams first: the ``HOT`` most frequent ones
-  come last, by frequency, the others by a hash. A match also has to lie early enough for the rest of
-  both sets to reach the common size.
+  ``n - ceil(percent * n / 100) + 1``. Order 1 puts rare n-grams first. The quarter of all n-grams with the
+  smallest hashes is counted over the corpus: those of a single document come first and need no look-up at
+  all, then the three quarters that are not counted, then the quarter's n-grams of several documents, and
+  the ``HOT`` most frequent ones last. A match also has to lie early enough for the rest of both sets to
+  reach the common size. The counts reach the scan as a bit filter of fixed size; a bit set by chance moves
+  its n-gram in the order for all documents alike, which costs look-ups and loses nothing.
 * Orders 2 and 3 are other hashes. A candidate's prefixes must meet under each of them, and what they
   share, with all that could follow, must reach the common size.
 * What passes all orders is verified on the whole sets.
@@ -33,7 +36,8 @@ from noticelake.llm.store import Scratch
 from noticelake.llm.words import LOWER, mix, slices, split_words, text_bytes, word_hashes
 
 #: Bounds of what is held by a task or broadcast, whatever the input's size.
-HOT, FLUSH, FILTER_BITS = 1 << 17, 1 << 22, 1 << 21
+HOT, FLUSH, FILTER_BITS, GRAM_BITS = 1 << 17, 1 << 22, 1 << 21, 1 << 26
+QUARTER = np.uint64(1 << 62)
 #: Part of all documents that meet the others by the end of each round after the first.
 RANGES = (1 / 256, 1 / 16, 1.0)
 SEEDS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F), np.uint64(0x2545F4914F6CDD1D))
@@ -76,10 +80,17 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return a - (1 << 63), b - (1 << 63)
 
 
-def _frequent(n: int):
+def _place(s: np.ndarray) -> np.ndarray:
+    """Hash by which order 1 sorts n-grams."""
+    return mix(s ^ SEEDS[0])
+
+
+def _counted(n: int):
+    """Document counts of n-grams in stretches of the scan: all of the counted quarter, frequent ones of the rest."""
+
     def flush(held: list[np.ndarray]) -> pa.RecordBatch:
         grams, count = np.unique(np.concatenate(held), return_counts=True)
-        keep = count >= 3
+        keep = (count >= 3) | (_place(grams) < QUARTER)
         return pa.RecordBatch.from_pydict({"gram": grams[keep].view(np.int64), "df": count[keep].astype(np.int64)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,49 +109,69 @@ def _frequent(n: int):
     return run
 
 
-def hot_grams(docs: DataFrame, n: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent n-grams, at most ``HOT``, sorted by name, with their ranks by frequency."""
-    counts = docs.select("text").mapInArrow(_frequent(n), "gram bigint, df bigint").groupBy("gram").agg(F.sum("df").alias("df"))
-    counts = scratch.save(counts, "frequent")
+def _quarter_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = _place(batch.column("gram").to_numpy().view(np.uint64))
+        yield pa.RecordBatch.from_pydict({"slot": (at[at < QUARTER] & np.uint64(GRAM_BITS - 1)).astype(np.int64)})
+
+
+def frequencies(docs: DataFrame, n: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent n-grams (at most ``HOT``) sorted by name, their ranks, and the bits of the quarter's shared ones."""
+    counts = docs.select("text").mapInArrow(_counted(n), "gram bigint, df bigint").groupBy("gram").agg(F.sum("df").alias("df"))
+    counts = scratch.save(counts.where("df > 1"), "frequent")
+    bits = bitfilter.build(counts.select("gram").mapInArrow(_quarter_slots, "slot bigint"), GRAM_BITS)
     level = F.floor(F.log2("df") * 8).cast("int")
     room, least = HOT, None
-    for row in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+    for row in counts.where("df > 2").groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
         room -= row["count"]
         if room < 0:
             break
         least = row["level"]
-    rows = counts.where(level >= least).collect() if least is not None else []  # at most HOT rows
+    rows = counts.where((F.col("df") > 2) & (level >= least)).collect() if least is not None else []  # at most HOT rows
     gram = np.array([r["gram"] for r in rows], np.int64).view(np.uint64)
     df = np.array([r["df"] for r in rows], np.int64)
     rank = np.empty(len(rows), np.int64)
     rank[np.lexsort((gram, df))] = np.arange(len(rows))
     order = np.argsort(gram)
-    return gram[order], rank[order]
+    return gram[order], rank[order], bits
+
+
+def order_one(s: np.ndarray, names: np.ndarray, ranks: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, int]:
+    """The n-grams of a set in order 1, and how many of them are known to be in no other document."""
+    at = np.searchsorted(names, s)
+    hot = (names[np.minimum(at, len(names) - 1)] == s) if len(names) else np.zeros(len(s), bool)
+    place = _place(s)
+    counted = place < QUARTER
+    shared = counted & bitfilter.holds(bits, (place & np.uint64(GRAM_BITS - 1)).astype(np.int64))
+    kind = np.where(hot, 3, np.where(shared, 2, np.where(counted, 0, 1)))
+    if hot.any():
+        place = place.copy()
+        place[hot] = ranks[at[hot]].astype(np.uint64)
+    return s[np.lexsort((place, kind))], int((kind == 0).sum())
 
 
 def _prefixes(n: int, percent: int, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, ranks = hot.value
+        names, ranks, bits = hot.value
         for batch in batches:
             for part in slices(batch, "text"):
-                size, d1, d2, grams = [], [], [], []
+                size, d1, d2, grams, places = [], [], [], [], []
                 for s in shingles(part.column("text"), n):
                     size.append(len(s))
                     a, b = _digest(s)
                     d1.append(a)
                     d2.append(b)
-                    at = np.searchsorted(names, s)
-                    is_hot = (names[np.minimum(at, len(names) - 1)] == s) if len(names) else np.zeros(len(s), bool)
-                    cold, warm = s[~is_hot], s[is_hot]
-                    cold = cold[np.argsort(mix(cold ^ SEEDS[0]))]
-                    warm = warm[np.argsort(ranks[at[is_hot]])] if len(warm) else warm
-                    grams.append(np.concatenate([cold, warm])[: prefix_length(len(s), percent)] if len(s) else s)
+                    ordered, alone = order_one(s, names, ranks, bits)
+                    upto = prefix_length(len(s), percent) if len(s) else 0
+                    grams.append(ordered[min(alone, upto) : upto])
+                    places.append(np.arange(min(alone, upto), upto, dtype=np.int32))
                 flat = np.concatenate(grams).view(np.int64) if grams else np.zeros(0, np.int64)
-                ends = np.cumsum([0, *map(len, grams)]).astype(np.int32)
-                prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                ends = pa.array(np.cumsum([0, *map(len, grams)]).astype(np.int32))
+                prefix = pa.ListArray.from_arrays(ends, pa.array(flat))
+                place = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(places) if places else np.zeros(0, np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), prefix],
-                    ["doc_id", "n", "d1", "d2", "prefix"],
+                    [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), prefix, place],
+                    ["doc_id", "n", "d1", "d2", "prefix", "places"],
                 )
 
     return run
@@ -239,14 +270,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    hot = spark.sparkContext.broadcast(hot_grams(rows, n, scratch))
-    marks = rows.mapInArrow(_prefixes(n, percent, hot), "doc_id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>")
+    hot = spark.sparkContext.broadcast(frequencies(rows, n, scratch))
+    marks = rows.mapInArrow(_prefixes(n, percent, hot), "doc_id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>, places array<int>")
     marks = scratch.save(marks, "marks")
     known = marks.where("doc_id is not null and n > 0")
 
     member = scratch.save(known.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node")), "members")
     head = known.join(member, (known.doc_id == member.node) & (known.n == member.n) & (known.d1 == member.d1) & (known.d2 == member.d2), "left_semi")
-    each = head.dropDuplicates(["doc_id", "n", "d1", "d2"]).select(F.col("doc_id").alias("node"), "n", F.posexplode("prefix").alias("pos", "gram"))
+    each = head.dropDuplicates(["doc_id", "n", "d1", "d2"]).select(F.col("doc_id").alias("node"), "n", F.explode(F.arrays_zip("prefix", "places")).alias("p"))
+    each = each.select("node", "n", F.col("p.places").alias("pos"), F.col("p.prefix").alias("gram"))
     each = scratch.save(each, "postings")
     lists = each.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     post = scratch.save(each.join(lists, "gram"), "shared")
