@@ -111,11 +111,10 @@ def file_type(content_type: Column, data: Column) -> Column:
     table = F.create_map(*[F.lit(x) for kv in CONTENT_TYPES.items() for x in kv])
     declared = table[F.trim(F.element_at(F.split(F.lower(content_type), ";"), 1))]
     magic = F.hex(F.substring(data, 1, 4))
-    head = F.hex(F.substring(data, 1, 1000))
     sniffed = (
         F.when(magic == "25504446", F.lit(".pdf"))
-        .when((magic == "504B0304") & F.contains(head, F.hex(F.lit("xl/"))), F.lit(".xlsx"))
-        .when((magic == "504B0304") & F.contains(head, F.hex(F.lit("word/"))), F.lit(".docx"))
+        .when((magic == "504B0304") & F.contains(data, F.encode(F.lit("xl/"), "UTF-8")), F.lit(".xlsx"))
+        .when((magic == "504B0304") & F.contains(data, F.encode(F.lit("word/"), "UTF-8")), F.lit(".docx"))
         .when(magic == "504B0304", F.lit(".zip"))
         .when(magic == "D0CF11E0", F.lit(".xls"))
     )

@@ -349,7 +349,7 @@ def html_amount(html: Column, pattern: str) -> Column:
     return F.when(v > 0, v)
 
 
-def html_images(html: Column, skip: Sequence[str], limit: int | None = 10) -> Column:
+def html_images(html: Column, skip: Sequence[str], limit: int | None = None) -> Column:
     from noticelake.functions.urls import absolute_image
 
     srcs = F.regexp_extract_all(html, F.lit(IMAGE_TAG), 1)

@@ -24,7 +24,7 @@ def region_in_text(c: Column, regions: Iterable[str], names: Mapping[str, str])
     text = F.trim(c)
     tail = F.upper(F.regexp_extract(text, r"[-/\s]([A-Za-z]{2})$", 1))
     tokens = F.split(F.upper(text), r"\s+")
-    token = F.get(F.filter(F.slice(tokens, 2, 1000), lambda t: t.isin(regions)), F.lit(0))
+    token = F.get(F.filter(F.slice(tokens, F.lit(2), F.size(tokens)), lambda t: t.isin(regions)), F.lit(0))
     first = F.get(F.filter(F.slice(tokens, 1, 1), lambda t: t.isin(regions)), F.lit(0))
     folded = fold_accents(text)
     ordered = sorted(names.items(), key=lambda kv: (-len(kv[0]), kv[0]))

@@ -120,7 +120,7 @@ def reason(errors: Column, status: Column, info_codes: Sequence[str] = INFO_CODE
     first = F.coalesce(F.get(serious, F.lit(0)), F.get(errors, F.lit(0)))
     return F.struct(
         F.coalesce(first["code"], status).alias("code"),
-        F.substring(F.coalesce(first["message"], F.concat(F.lit("Status: "), status)), 1, 500).alias("detail"),
+        F.coalesce(first["message"], F.concat(F.lit("Status: "), status)).alias("detail"),
     )
 
 
@@ -133,7 +133,7 @@ def route(validated: DataFrame, key: str, run_id: str, raw_columns: Sequence[str
     run = F.col(run_id) if run_id in validated.columns else F.lit(run_id)
     quarantine = validated.where(F.col("status") != "valid").select(
         run.alias("run_id"),
-        F.substring(F.col(key).cast("string"), 1, 255).alias("record_id"),
+        F.col(key).cast("string").alias("record_id"),
         "status",
         why["code"].alias("reason_code"),
         why["detail"].alias("reason_detail"),

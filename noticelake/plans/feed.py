@@ -32,7 +32,7 @@ def _summary(title: Column, description: Column) -> Column:
     return F.substring(F.when(use, head).otherwise(title), 1, 200)
 
 
-def normalize(items: DataFrame, source: str, as_of, max_images: int | None = 5) -> DataFrame:
+def normalize(items: DataFrame, source: str, as_of, max_images: int | None = None) -> DataFrame:
     """Feed items to listing rows. Amounts, places, links and times are cleaned; nothing is invented."""
     lot, auction = F.col("lote_id"), F.nullif(F.col("leilao_id"), F.lit(""))
     texts = compute_once(

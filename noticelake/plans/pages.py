@@ -28,7 +28,7 @@ CARD_PATTERNS = {
 }
 
 
-def parse_pages(pages: DataFrame, max_images: int | None = 10) -> DataFrame:
+def parse_pages(pages: DataFrame, max_images: int | None = None) -> DataFrame:
     """(url, html) to title with source and quality, place, amounts, images, og and JSON-LD fields."""
     html, url = F.col("html"), F.col("url")
     auction = F.nullif(F.regexp_extract(url, r"/lote/(\d+)/(\d+)", 1), F.lit(""))

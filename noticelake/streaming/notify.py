@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from noticelake.plans.health import pipeline_alerts
+from noticelake.plans.health import all_alerts, pipeline_alerts
 from noticelake.plans.match import new_notifications, notifications
 from noticelake.sources.sinks import append, append_new, exists
 
@@ -40,9 +40,22 @@ def notify_matches(stream: DataFrame, filters_path: str, target: str, outbox: st
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def alert_on_runs(runs: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Alerts of every finished run, stored once per run and rule."""
+def alert_on_runs(runs: DataFrame, target: str, checkpoint: str, group: str | None = None, history: str | None = None) -> StreamingQuery:
+    """Alerts of every finished run, stored once per run and rule.
+
+    With ``group`` (the column of the pipeline) runs without new rows in a row are told too; ``history`` is
+    the folder of earlier runs, of which those of the batch's pipelines are looked at.
+    """
+    def found(batch: DataFrame) -> DataFrame:
+        if group is None:
+            return pipeline_alerts(batch)
+        seen = batch
+        if history is not None and exists(batch.sparkSession, history):
+            earlier = batch.sparkSession.read.schema(batch.schema).parquet(history).join(batch.select(group).distinct(), group, "left_semi")
+            seen = earlier.join(batch.select("run_id"), "run_id", "left_anti").unionByName(batch)
+        return all_alerts(seen, group).join(batch.select("run_id").distinct(), "run_id", "left_semi")
+
     def handle(batch: DataFrame, _: int) -> None:
-        append_new(target, pipeline_alerts(batch), ["run_id", "kind"], [F.col("severity")])
+        append_new(target, found(batch), ["run_id", "kind"], [F.col("severity")])
 
     return runs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -437,6 +437,32 @@ def test_alert_stream(spark):
     assert [(r.run_id, r.kind) for r in spark.read.parquet(out).collect()] == [("c", "execution_failed")]
 
 
+def test_idle_rule_in_the_stream(spark):
+    """Runs without new rows in a row are told by the stream, with the earlier runs out of the history."""
+    src, past, out = tmp(), tmp() + "/h", tmp() + "/o"
+    sch = (
+        "run_id string, pipeline string, started_at timestamp, new_rows long, status string, processed int, valid int, quarantine_percent double, duration_s int, downloads_ok int, downloads_failed int"
+    )
+    n = br.IDLE_RUNS
+
+    def rows(first, last):
+        return [(f"r{i:02d}", "p", dt.datetime(2026, 1, 1, i), 0, "SUCCESS", 10, 10, 0.0, 1, 1, 0) for i in range(first, last)]
+
+    spark.createDataFrame(rows(0, n - 1), sch).write.parquet(past)
+    spark.createDataFrame(rows(n - 1, n + 1), sch).write.mode("append").parquet(src)
+    notify.alert_on_runs(ingest.read_landing(spark, src, sch), out, tmp(), group="pipeline", history=past).awaitTermination(120)
+    told = sorted(r.run_id for r in spark.read.parquet(out).where("kind = 'no_new_rows'").collect())
+    assert told == [f"r{i:02d}" for i in (n - 1, n)]
+
+
+def test_long_record_ids_stay_apart(spark):
+    long = "k" * 300
+    recs = [dict(FULL, id_interno=long + end, titulo="") for end in "ab"]
+    rows = spark.createDataFrame([tuple(r.values()) for r in recs], ", ".join(f"{k} string" for k in recs[0]))
+    bad = contract.route(contract.validate(rows), "id_interno", "run", ["id_interno"])[1]
+    assert bad.select("record_id").distinct().count() == bad.count()
+
+
 def test_daily_summary_counts_add_up(spark):
     df = spark.createDataFrame([("d1", "SP", "A", 1.0), ("d1", "RJ", None, 2.0), ("d2", "SP", "A", 3.0)], "day string, region string, modality string, value double")
     s = {r.day: r for r in stats.daily_summary(df, F.col("day"), "region", "modality", "value", {"v": F.col("value") > 1}).collect()}
