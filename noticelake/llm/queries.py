@@ -53,7 +53,8 @@ def op9_products(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf, "documents")).withColumnRenamed("source", "mix_source")
+    mixed = mixing.mix(_table(spark, sf, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", F.col("source").alias("mix_source"))
 
 
 QUERIES = {
