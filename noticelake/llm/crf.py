@@ -155,9 +155,10 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sample(docs: DataFrame, seed: int) -> pd.DataFrame:
     """Stretches of about ``DOCS`` documents of each language; ``docs`` is (id, text, lang) with text and language set."""
-    counts = docs.groupBy("lang").count()
+    counts = docs.groupBy("lang").count().collect()  # one row a language: the model's labels
     h = F.xxhash64("id", F.lit(seed))
-    drawn = docs.join(counts, "lang").where(F.pmod(h, F.lit(1 << 40)) < F.lit(float(DOCS << 40)) / F.col("count"))
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, DOCS / r["count"]))]) if counts else None
+    drawn = docs.where(F.pmod(h, F.lit(1 << 40)) < share[F.col("lang")] * float(1 << 40)) if counts else docs.limit(0)
     return drawn.select("text", "lang", h.alias("h")).mapInArrow(_stretches, "lang string, words string").toPandas()
 
 
