@@ -373,13 +373,26 @@ def document_family(spark, sf):
 
 
 @query(
-    """SELECT conv_id, turn, role FROM (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY (length(text) > 200)::INT DESC, (role = 'assistant')::INT DESC, turn) AS rn FROM conversations) WHERE rn = 1"""
+    """SELECT conv_id, turn, role, link, link_valid, link_origin, link_origin_ref, link_confidence, link_reject_reason FROM (
+  SELECT conv_id, turn, role, 'https://site.example/' || turn AS link, valid AS link_valid, source AS link_origin, 'ref:f:page=' || (turn + 1) AS link_origin_ref, confidence AS link_confidence,
+    CASE WHEN NOT valid THEN 'short' END AS link_reject_reason,
+    row_number() OVER (PARTITION BY conv_id ORDER BY valid::INT DESC, CASE source WHEN 'pdf_anexo' THEN 1 WHEN 'csv_anexo' THEN 3 ELSE 4 END, confidence DESC, turn) AS rn
+  FROM (SELECT conv_id, turn, role, length(text) > 200 AS valid, length(text) % 3 * 20 + 60 AS confidence,
+    CASE WHEN role = 'assistant' THEN 'pdf_anexo' WHEN length(text) % 2 = 0 THEN 'csv_anexo' ELSE 'titulo_descricao' END AS source FROM conversations)) WHERE rn = 1"""
 )
 def first_valid_source(spark, sf):
-    c = table(spark, sf, "conversations")
-    order = F.struct((F.length("text") > 200).cast("int").alias("a"), (F.col("role") == "assistant").cast("int").alias("b"), (-F.col("turn")).alias("c"))
-    best = c.groupBy("conv_id").agg(F.max_by(F.struct("turn", "role"), order).alias("b"))
-    return best.select("conv_id", "b.turn", "b.role")
+    """Turns of a conversation as link candidates of one notice; long turns are valid, roles are sources."""
+    c, n = table(spark, sf, "conversations"), F.length("text")
+    source = F.when(F.col("role") == "assistant", F.lit("pdf_anexo")).when(n % 2 == 0, F.lit("csv_anexo")).otherwise(F.lit("titulo_descricao"))
+    gated = c.select(
+        F.struct("conv_id").alias("notice_id"), F.concat(F.lit("https://site.example/"), "turn").alias("url"), F.concat_ws("|", "turn", "role").alias("raw"), (n > 200).alias("valid"),
+        source.alias("source"), F.lit("f").alias("ref"), (F.col("turn") + 1).alias("page_no"), F.col("text").alias("evidence"), (n % 3 * 20 + 60).alias("confidence"),
+        F.when(n <= 200, F.lit("short")).alias("reason"), F.lit(1).alias("strategy"), F.lit(1).alias("position"),
+    )
+    raw = F.split("link_raw", r"\|")
+    return links.best_link(gated).select(
+        "notice_id.conv_id", raw[0].cast("bigint").alias("turn"), raw[1].alias("role"), "link", "link_valid", "link_origin", "link_origin_ref", "link_confidence", "link_reject_reason"
+    )
 
 
 @query(
