@@ -127,11 +127,12 @@ def frequencies(docs: DataFrame, n: int, scratch: Scratch) -> tuple[np.ndarray,
         if room < 0:
             break
         least = row["level"]
-    rows = counts.where((F.col("df") > 2) & (level >= least)).collect() if least is not None else []  # at most HOT rows
-    gram = np.array([r["gram"] for r in rows], np.int64).view(np.uint64)
-    df = np.array([r["df"] for r in rows], np.int64)
-    rank = np.empty(len(rows), np.int64)
-    rank[np.lexsort((gram, df))] = np.arange(len(rows))
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), bits
+    rows = counts.where((F.col("df") > 2) & (level >= least)).toArrow()  # at most HOT rows
+    gram, df = rows["gram"].to_numpy().view(np.uint64), rows["df"].to_numpy()
+    rank = np.empty(len(gram), np.int64)
+    rank[np.lexsort((gram, df))] = np.arange(len(gram))
     order = np.argsort(gram)
     return gram[order], rank[order], bits
 

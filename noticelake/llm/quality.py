@@ -237,8 +237,10 @@ def classify(
         if room < 0:
             break
         least = r["level"]
-    hot = top.where(level >= least).select("gram", "logp").toPandas() if least is not None else None  # at most HOT rows
-    held = (hot["gram"].to_numpy(np.int64), hot["logp"].to_numpy(float)) if hot is not None else (np.zeros(0, np.int64), np.zeros(0))
+    held = np.zeros(0, np.int64), np.zeros(0)
+    if least is not None:
+        hot = top.where(level >= least).select("gram", "logp").toArrow()  # at most HOT rows
+        held = hot["gram"].to_numpy(), hot["logp"].to_numpy()
     shared = spark.sparkContext.broadcast(held)
 
     key = ["id", "hash", "lang"]
