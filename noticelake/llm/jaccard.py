@@ -5,10 +5,10 @@ The set of a document is its distinct word n-grams, named by 64-bit hashes. Two
 stands for each set. Then candidates are narrowed before any sets are compared:
 
 * Under a global order of all n-grams, two documents that link share one within their prefixes of
-  ``n - ceil(percent * n / 100) + 1``. Order 1 puts rare n-grams first. The quarter of all n-grams with the
-  smallest hashes is counted over the corpus: those of a single document come first and need no look-up at
-  all, then the three quarters that are not counted, then the quarter's n-grams of several documents, and
-  the ``HOT`` most frequent ones last. A match also has to lie early enough for the rest of both sets to
+  ``n - ceil(percent * n / 100) + 1``. Order 1 puts rare n-grams first. A share of all n-grams, those with the
+  smallest hashes, is counted over the corpus: those of a single document come first and need no look-up at
+  all, then the ones that are not counted, then the counted ones of several documents, and the ``HOT`` most
+  frequent ones last. A match also has to lie early enough for the rest of both sets to
   reach the common size. The counts reach the scan as a bit filter of fixed size; a bit set by chance moves
   its n-gram in the order for all documents alike, which costs look-ups and loses nothing.
 * Orders 2 and 3 are other hashes. A candidate's prefixes must meet under each of them, and what they
@@ -37,7 +37,8 @@ from noticelake.llm.words import LOWER, mix, slices, split_words, text_bytes, wo
 
 #: Bounds of what is held by a task or broadcast, whatever the input's size.
 HOT, FLUSH, FILTER_BITS, GRAM_BITS = 1 << 17, 1 << 22, 1 << 21, 1 << 26
-QUARTER = np.uint64(1 << 62)
+#: Share of all n-grams that is counted, as a multiple of the longest prefix: enough of a text's own n-grams lie in it to fill its prefix.
+COUNTED = 1.8
 #: Part of all documents that meet the others by the end of each round after the first.
 RANGES = (1 / 256, 1 / 16, 1.0)
 SEEDS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F), np.uint64(0x2545F4914F6CDD1D))
@@ -85,12 +86,17 @@ def _place(s: np.ndarray) -> np.ndarray:
     return mix(s ^ SEEDS[0])
 
 
-def _counted(n: int):
-    """Document counts of n-grams in stretches of the scan: all of the counted quarter, frequent ones of the rest."""
+def counted_below(percent: int) -> np.uint64:
+    """The hash below which n-grams are counted."""
+    return np.uint64(min(2**64 - 1, int(2**64 * COUNTED * (100 - percent) / 100)))
+
+
+def _counted(n: int, below: np.uint64):
+    """Document counts of n-grams in stretches of the scan: all of the counted share, frequent ones of the rest."""
 
     def flush(held: list[np.ndarray]) -> pa.RecordBatch:
         grams, count = np.unique(np.concatenate(held), return_counts=True)
-        keep = (count >= 3) | (_place(grams) < QUARTER)
+        keep = (count >= 3) | (_place(grams) < below)
         return pa.RecordBatch.from_pydict({"gram": grams[keep].view(np.int64), "df": count[keep].astype(np.int64)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,17 +115,20 @@ def _counted(n: int):
     return run
 
 
-def _quarter_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = _place(batch.column("gram").to_numpy().view(np.uint64))
-        yield pa.RecordBatch.from_pydict({"slot": (at[at < QUARTER] & np.uint64(GRAM_BITS - 1)).astype(np.int64)})
+def _counted_slots(below: np.uint64):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _place(batch.column("gram").to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_pydict({"slot": (at[at < below] & np.uint64(GRAM_BITS - 1)).astype(np.int64)})
+
+    return run
 
 
-def frequencies(docs: DataFrame, n: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The most frequent n-grams (at most ``HOT``) sorted by name, their ranks, and the bits of the quarter's shared ones."""
-    counts = docs.select("text").mapInArrow(_counted(n), "gram bigint, df bigint").groupBy("gram").agg(F.sum("df").alias("df"))
+def frequencies(docs: DataFrame, n: int, below: np.uint64, scratch: Scratch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent n-grams (at most ``HOT``) sorted by name, their ranks, and the bits of the counted ones that are shared."""
+    counts = docs.select("text").mapInArrow(_counted(n, below), "gram bigint, df bigint").groupBy("gram").agg(F.sum("df").alias("df"))
     counts = scratch.save(counts.where("df > 1"), "frequent")
-    bits = bitfilter.build(counts.select("gram").mapInArrow(_quarter_slots, "slot bigint"), GRAM_BITS)
+    bits = bitfilter.build(counts.select("gram").mapInArrow(_counted_slots(below), "slot bigint"), GRAM_BITS)
     level = F.floor(F.log2("df") * 8).cast("int")
     room, least = HOT, None
     for row in counts.where("df > 2").groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
@@ -137,12 +146,12 @@ def frequencies(docs: DataFrame, n: int, scratch: Scratch) -> tuple[np.ndarray,
     return gram[order], rank[order], bits
 
 
-def order_one(s: np.ndarray, names: np.ndarray, ranks: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, int]:
+def order_one(s: np.ndarray, names: np.ndarray, ranks: np.ndarray, bits: np.ndarray, below: np.uint64) -> tuple[np.ndarray, int]:
     """The n-grams of a set in order 1, and how many of them are known to be in no other document."""
     at = np.searchsorted(names, s)
     hot = (names[np.minimum(at, len(names) - 1)] == s) if len(names) else np.zeros(len(s), bool)
     place = _place(s)
-    counted = place < QUARTER
+    counted = place < below
     shared = counted & bitfilter.holds(bits, (place & np.uint64(GRAM_BITS - 1)).astype(np.int64))
     kind = np.where(hot, 3, np.where(shared, 2, np.where(counted, 0, 1)))
     if hot.any():
@@ -154,6 +163,7 @@ def order_one(s: np.ndarray, names: np.ndarray, ranks: np.ndarray, bits: np.ndar
 def _prefixes(n: int, percent: int, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, ranks, bits = hot.value
+        below = counted_below(percent)
         for batch in batches:
             for part in slices(batch, "text"):
                 size, d1, d2, grams, places = [], [], [], [], []
@@ -162,7 +172,7 @@ def _prefixes(n: int, percent: int, hot):
                     a, b = _digest(s)
                     d1.append(a)
                     d2.append(b)
-                    ordered, alone = order_one(s, names, ranks, bits)
+                    ordered, alone = order_one(s, names, ranks, bits, below)
                     upto = prefix_length(len(s), percent) if len(s) else 0
                     grams.append(ordered[min(alone, upto) : upto])
                     places.append(np.arange(min(alone, upto), upto, dtype=np.int32))
@@ -271,7 +281,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    hot = spark.sparkContext.broadcast(frequencies(rows, n, scratch))
+    hot = spark.sparkContext.broadcast(frequencies(rows, n, counted_below(percent), scratch))
     marks = rows.mapInArrow(_prefixes(n, percent, hot), "doc_id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>, places array<int>")
     marks = scratch.save(marks, "marks")
     known = marks.where("doc_id is not null and n > 0")
