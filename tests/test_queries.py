@@ -1,4 +1,7 @@
-"""Every registered query on the smallest tables, against its SQL where it has one."""
+"""Every query of the library on the smallest tables, against its SQL where it has one.
+
+The training-data operators are tested in their own folder.
+"""
 
 import math
 import os
@@ -7,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from noticelake.queries import modules
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -36,7 +40,7 @@ def _rows(df):
     return sorted(tuple(cell(v) for v in r) for r in df.itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(name for m in modules() for name in m.QUERIES))
 def test_query(spark, con, name):
     got = entry.queries()[name](spark, SF).toPandas()
     sql = entry.oracle_sql().get(name)
