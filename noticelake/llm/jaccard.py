@@ -36,7 +36,7 @@ from noticelake.llm.store import Scratch
 from noticelake.llm.words import LOWER, mix, slices, split_words, text_bytes, word_hashes
 
 #: Bounds of what is held by a task or broadcast, whatever the input's size.
-HOT, FLUSH, FILTER_BITS, GRAM_BITS = 1 << 17, 1 << 22, 1 << 21, 1 << 26
+HOT, FLUSH, FILTER_BITS, GRAM_BITS = 1 << 17, 1 << 21, 1 << 21, 1 << 26
 #: Share of all n-grams that is counted, as a multiple of the longest prefix: enough of a text's own n-grams lie in it to fill its prefix.
 COUNTED = 1.8
 #: Part of all documents that meet the others by the end of each round after the first.
