@@ -25,6 +25,7 @@ from noticelake.llm.store import Scratch
 from noticelake.llm.words import slices, text_bytes
 
 ORDER, HOT, FLUSH, FILTER_BITS, PRIOR = 5, 1 << 18, 1 << 22, 1 << 21, 60.0
+FEW = 200
 SYMBOLS = 256
 
 
@@ -210,12 +211,14 @@ def classify(
     good: str = "quality = 1",
     quantile: float = 0.995,
     margin: float = 1.03,
+    calibrate: int | None = 2,
 ) -> DataFrame:
     """Returns (id_col, text_hash, lang, n_bytes, perplexity, threshold, accepted), one row for each distinct (id, text, language).
 
-    The model is trained on all texts of ``labels`` (id_col and the columns of ``good``) that are good.
-    ``threshold`` is ``margin`` times the ``quantile`` of the perplexity of the good documents of the language; a
-    language without any takes that over all. Null languages are one language. A null or empty text has no
+    The model is trained on the texts of ``labels`` (id_col and the columns of ``good``) that are good, but for one
+    in ``calibrate`` by a hash of the id: a text is less perplexing to a model that has read it, so thresholds come from good
+    texts that it has not read. ``threshold`` is ``margin`` times the ``quantile`` of their perplexity in the language; a
+    language with fewer than ``FEW`` of them takes that over all languages where it is larger. Null languages are one language. A null or empty text has no
     perplexity and is not accepted. Null ids are scored, but never trained on. Without any good text
     every text is accepted. Other columns are not read. An empty table gives an empty result.
     """
@@ -226,6 +229,11 @@ def classify(
     )
     ids = labels.where(good).where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id")).distinct()
     ids = scratch.save(ids, "trusted")
+    held_out = ids
+    if calibrate:
+        aside = F.pmod(F.xxhash64("id", F.lit(23)), F.lit(calibrate)) == 0
+        if not ids.where(aside).isEmpty() and not ids.where(~aside).isEmpty():
+            ids, held_out = ids.where(~aside), ids.where(aside)
     counts = trusted_text(rows, ids).mapInArrow(_counted, "gram bigint, a bigint").groupBy("gram").agg(F.sum("a").alias("a"))
     model = Model(scratch.save(counts, "counts"), scratch)
 
@@ -255,7 +263,7 @@ def classify(
     both = base.unionByName(tail.withColumn("n", F.lit(0).cast("bigint")))
     total = scratch.save(both.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("sum").alias("sum")), "total")
 
-    return _decide(total, ids, quantile, margin).withColumnRenamed("id", id_col)
+    return _decide(total, held_out, quantile, margin).withColumnRenamed("id", id_col)
 
 
 def _decide(total: DataFrame, ids: DataFrame, quantile: float, margin: float) -> DataFrame:
@@ -270,10 +278,10 @@ def _decide(total: DataFrame, ids: DataFrame, quantile: float, margin: float) ->
 
     marks = smooth(good)
     limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10000)) * margin
-    per = marks.groupBy("lang").agg(limit.alias("own"))
+    per = marks.groupBy("lang").agg(limit.alias("own"), F.count(F.lit(1)).alias("n_own"))
     over_all = marks.agg(limit.alias("any"))
     out = smooth(total).join(per, "lang", "left").join(F.broadcast(over_all))  # one row
-    threshold = F.coalesce("own", "any")
+    threshold = F.when(F.col("n_own") >= FEW, F.col("own")).otherwise(F.greatest("own", "any"))
     return out.select(
         "id", F.col("hash").alias("text_hash"), F.nullif("lang", F.lit("")).alias("lang"), F.col("n").alias("n_bytes"), "perplexity", threshold.alias("threshold"),
         (F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= threshold, F.lit(True))).alias("accepted"),

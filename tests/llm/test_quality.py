@@ -54,7 +54,7 @@ def test_equals_plain_kneser_ney(spark, docs, monkeypatch):
     other = ["zzzz 🎉🎉", "the", "dog on a mat, the cat"]
     df = docs(*enumerate(good + other))
     labels = spark.createDataFrame([(i, 1, 0) for i in range(4)] + [(4, 0, 0)], "doc_id bigint, quality int, toxic int")
-    rows = {r["doc_id"]: r for r in quality.classify(df, labels).collect()}
+    rows = {r["doc_id"]: r for r in quality.classify(df, labels, calibrate=None).collect()}
     p, log_prob = model(good)
     assert sum(p(b"\0\0t" + b"h" + bytes([c])) for c in range(256)) == pytest.approx(1)
     mean = -sum(map(log_prob, good)) / sum(len(t.encode()) for t in good)
@@ -71,13 +71,17 @@ def test_query_separates_labels(spark):
     met = got.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
     good = [r["accepted"] for r in met if r["quality"] == 1]
     bad = [r["accepted"] for r in met if r["quality"] == 0]
-    assert np.mean(good) >= 0.99 and np.mean(bad) <= 0.1
+    assert np.mean(good) >= 0.99 and np.mean(bad) <= 0.2
+    # documents that the model has not read are judged alike
+    seen = {r["doc_id"] for r in met}
+    assert np.mean([r["accepted"] for r in got.collect() if r["doc_id"] not in seen]) >= 0.75
 
 
-def test_thresholds_are_by_language(spark, docs):
+def test_thresholds_are_by_language(spark, docs, monkeypatch):
+    monkeypatch.setattr(quality, "FEW", 1)
     df = docs((1, "aaaa bbbb", "x"), (2, "abab abab", "x"), (3, "qwertz uiop", "y"), (4, "other words", "z"), (5, "no lang", None), (6, "no lang", None))
     labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (5, 1)], "doc_id bigint, quality int")
-    t = {r["doc_id"]: r["threshold"] for r in quality.classify(df, labels).collect()}
+    t = {r["doc_id"]: r["threshold"] for r in quality.classify(df, labels, calibrate=None).collect()}
     assert len({t[1], t[3], t[5]}) == 3 and t[1] == t[2] and t[5] == t[6] and t[4] >= max(t.values())
 
 
