@@ -5,9 +5,14 @@ A query visits its own bucket and perturbed ones: every slot can move by one eit
 the squared distance to that edge, and sets of moves are taken in the order of their summed cost, the
 estimated order of success. Candidates of all tables are merged and ranked by the exact distance.
 
-Width and number of probes are fitted on ``SAMPLE`` vectors (those with the smallest hashes of their
-ids): the distance r within which a k-th neighbour is expected among all rows gives the width, and
-probes are added until ``target`` of the sampled pairs within r meet. Every row is indexed.
+Width and number of probes are fitted on ``SAMPLE_QUERIES`` queries (those with the smallest hashes of their
+ids), whose exact neighbours one scan of all rows finds. The distance of a query's own k-th neighbour is its
+radius. Radii that differ by more than ``RATIO`` get hashings of their own, from dense to sparse: probes are
+added, then the width is grown, until a mean share ``target`` of the neighbours of a sampled query is met.
+Every row is in every hashing. A query is done at the first hashing where its k-th candidate lies within the
+hashing's radius, as its k neighbours then do; the others go on to the next one. Queries that are sparser than all
+sampled ones are held against all rows. Last, the recall of the sampled queries is measured on the
+result itself; below ``LEAST_RECALL`` the search fails.
 
 A bucket with more than ``ROWS`` vectors is dealt to several parts, which its probes all visit; a
 part of the work hands on the k best of each query alone, so no list of candidate pairs is made.
@@ -16,6 +21,7 @@ part of the work hands on the k best of each query alone, so no list of candidat
 from __future__ import annotations
 
 import heapq
+import logging
 import math
 from collections.abc import Iterator
 
@@ -27,7 +33,11 @@ from pyspark.sql import functions as F
 from noticelake.llm.store import Scratch
 from noticelake.llm.vectors import lists, matrix, usable
 
-SAMPLE, SAMPLE_QUERIES, ROWS = 8192, 256, 16384
+log = logging.getLogger(__name__)
+
+SAMPLE_QUERIES, ROWS = 256, 16384
+#: Radii of one hashing differ by this factor at most, but for those of the densest of ``LEVELS``.
+RATIO, LEVELS, WIDER, LEAST_RECALL = 2.0, 4, 1.25, 0.9
 PROBES = (1, 2, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128)
 
 
@@ -78,30 +88,81 @@ def move_sets(edge: np.ndarray, width: float) -> Iterator[np.ndarray]:
             yield move
 
 
-def fit(sample: np.ndarray, n: int, k: int, tables: int, hashes: int, target: float, slack: float, seed: int) -> tuple[Hashing, int]:
-    """The hashing and its number of probes, from a sample of ``n`` vectors."""
-    q = sample[:SAMPLE_QUERIES]
-    d2 = np.maximum(0, (q**2).sum(1)[:, None] + (sample**2).sum(1)[None] - 2 * q @ sample.T)
-    d2[np.arange(len(q)), np.arange(len(q))] = np.inf
-    near = np.sort(d2[np.isfinite(d2)])
-    if not len(near):
-        return Hashing(sample.shape[1], 1.0, tables, hashes, seed), 1
-    within = near[min(len(near) - 1, max(64, math.ceil(len(near) * k / max(n, 1))))]
-    r = math.sqrt(within) or math.sqrt(near[near > 0][0] if (near > 0).any() else 1.0)
-    hashing = Hashing(sample.shape[1], slack * r, tables, hashes, seed)
-    qi, pi = np.nonzero(d2 <= r * r)
-    met = np.full(len(qi), np.iinfo(np.int64).max)
-    for t in range(tables):
+def _exact(ids: np.ndarray, q: np.ndarray, k: int):
+    """The ``k`` nearest rows of each sampled query in a stretch of the scan."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, found = np.full((len(q), k), np.inf), np.zeros((len(q), k), np.int64)
+        for batch in batches:
+            rows, every = batch.column("id").to_numpy(), matrix(batch.column("vec"))
+            for at in range(0, len(rows), 4096):
+                x, mine = every[at : at + 4096], rows[at : at + 4096]
+                d2 = (q**2).sum(1)[:, None] + (x**2).sum(1)[None] - 2 * q @ x.T
+                d2[ids[:, None] == mine[None]] = np.inf
+                near = np.argpartition(d2, k - 1, axis=1)[:, :k] if len(x) > k else np.tile(np.arange(len(x)), (len(q), 1))
+                d = np.sqrt(((x[near] - q[:, None]) ** 2).sum(2))
+                d[np.isinf(np.take_along_axis(d2, near, 1))] = np.inf
+                best, found = np.concatenate([best, d], 1), np.concatenate([found, mine[near]], 1)
+                order = np.argsort(best, axis=1, kind="stable")[:, :k]
+                best, found = np.take_along_axis(best, order, 1), np.take_along_axis(found, order, 1)
+        i, j = np.nonzero(np.isfinite(best))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(found[i, j]), pa.array(best[i, j])], ["query_id", "vec_id", "score"])
+
+    return run
+
+
+def neighbours(v: DataFrame, q: DataFrame, k: int, scratch: Scratch) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """Sampled queries that have neighbours: vectors, vectors of their ``k`` neighbours, distances of the last of these, ids."""
+    sample = q.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_QUERIES).collect()
+    ids, x = np.array([r["id"] for r in sample], np.int64), np.array([r["vec"] for r in sample], float)
+    if not len(ids):
+        return x, [], np.zeros(0), ids
+    near = scratch.save(_ranked(v.mapInArrow(_exact(ids, x, k), RESULT), k), "neighbours")
+    rows = near.join(v.select(F.col("id").alias("vec_id"), "vec"), "vec_id").select("query_id", "score", "vec").collect()  # k a sampled query
+    met: dict[int, list] = {}
+    for r in rows:
+        met.setdefault(r["query_id"], []).append((r["score"], r["vec"]))
+    has = np.array([i for i, d in enumerate(ids.tolist()) if d in met], np.int64)
+    own = [met[d] for d in ids[has].tolist()]
+    return x[has], [np.array([vec for _, vec in m], float) for m in own], np.array([max(d for d, _ in m) for m in own]), ids[has]
+
+
+def recall_by_probes(hashing: Hashing, q: np.ndarray, near: list[np.ndarray]) -> np.ndarray:
+    """Mean share of its neighbours that a query meets, for each number of ``PROBES``."""
+    of = np.repeat(np.arange(len(q)), [len(x) for x in near])
+    rows, met = np.concatenate(near), np.full(len(of), 1 << 40)
+    first = np.searchsorted(of, np.arange(len(q) + 1))
+    for t in range(len(hashing.base)):
         qs, edge = hashing.slots(q, t)
-        at = hashing.keys(hashing.slots(sample, t)[0], t)
-        for i in np.unique(qi):
-            rows = np.flatnonzero(qi == i)
+        slots = hashing.slots(rows, t)[0]
+        at, close = hashing.keys(slots, t), (np.abs(slots - qs[of]) <= 1).all(axis=1)
+        for i in range(len(q)):
+            mine = slice(first[i], first[i + 1])
+            if not (close[mine] & (met[mine] > 0)).any():
+                continue
             order = {int(key): rank for rank, key in reversed(list(enumerate(hashing.probes(qs[i], edge[i], PROBES[-1], t))))}
-            met[rows] = np.minimum(met[rows], [order.get(int(x), 1 << 40) for x in at[pi[rows]]])
-    for probes in PROBES:
-        if (met < probes).mean() >= target:
-            return hashing, probes
-    return hashing, PROBES[-1]
+            met[mine] = np.minimum(met[mine], [order.get(int(x), 1 << 40) for x in at[mine]])
+    share = 1 / np.bincount(of)[of]
+    return np.array([(share * (met < probes)).sum() / len(q) for probes in PROBES])
+
+
+def fit(q: np.ndarray, near: list[np.ndarray], radius: np.ndarray, tables: int, hashes: int, target: float, slack: float, seed: int) -> list[tuple[Hashing, int, float]]:
+    """Hashings, their numbers of probes and radii, from dense to sparse; together they hold all sampled queries."""
+    out: list[tuple[Hashing, int, float]] = []
+    left = np.arange(len(q))
+    while len(left):
+        most = radius[left].max()
+        mine = left if len(out) == LEVELS - 1 else left[radius[left] >= most / RATIO]
+        left = np.setdiff1d(left, mine)
+        width = slack * (float(np.median(radius[mine])) or most or 1.0)
+        while True:
+            hashing = Hashing(q.shape[1], width, tables, hashes, seed + len(out))
+            recall = recall_by_probes(hashing, q[mine], [near[i] for i in mine])
+            if recall[-1] >= target:
+                break
+            width *= WIDER
+        out.append((hashing, PROBES[int(np.argmax(recall >= target))], float(most)))
+    return out[::-1]
 
 
 def _index(hashing: Hashing, with_vectors: bool):
@@ -194,35 +255,54 @@ def search(
     v = scratch.save(usable(vectors, id_col, vec_col, with_zero=False), "vectors")
     q = v.where(F.pmod("id", F.lit(query_every)) == 0) if queries is None else usable(queries, id_col, vec_col, with_zero=False)
     n = v.count()
-    sample = v.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
-    if not sample:
-        return _ranked(vectors.sparkSession.createDataFrame([], RESULT), k)
-    hashing, probes = fit(np.array([r["vec"] for r in sample]), n, k, tables, hashes, target, slack, seed)
+    sample, near, radius, ids = neighbours(v, q, k, scratch)
+    found = vectors.sparkSession.createDataFrame([], RESULT)
+    wanted = min(k, n - 1)
+    for i, (hashing, probes, reach) in enumerate(fit(sample, near, radius, tables, hashes, target, slack, seed)):
+        met = scratch.save(_met(v, q, n, hashing, probes, k, scratch, i), f"found{i}")
+        last = _ranked(met, k).groupBy("query_id").agg(F.count(F.lit(1)).alias("count"), F.max("score").alias("last"))
+        done = last.where((F.col("count") >= wanted) & (F.col("last") <= reach * (1 + 1e-9)))
+        q = scratch.save(q.join(done, q.id == done.query_id, "left_anti"), f"left{i}")
+        found = found.unionByName(met)
+
+    if not q.isEmpty():
+        blocks = max(1, math.ceil(n / ROWS))
+        block = F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("part")
+        rows = v.select(block, F.lit(0).cast("bigint").alias("key"), "id", "vec")
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("part")
+        asked = q.select(every, F.lit(0).cast("bigint").alias("key"), F.col("id").alias("query_id"), "vec")
+        rest = rows.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_rank(k), RESULT)
+        found = found.unionByName(rest)
+    result = scratch.save(_ranked(found.dropDuplicates(["query_id", "vec_id"]), k), "result")
+    _check_recall(result, ids, radius, [len(x) for x in near])
+    return result
 
+
+def _met(v: DataFrame, q: DataFrame, n: int, hashing: Hashing, probes: int, k: int, scratch: Scratch, level: int) -> DataFrame:
+    """The best candidates of each query in the buckets of one hashing."""
     crowded = v.mapInArrow(_index(hashing, False), "key bigint").groupBy("key").count().where(F.col("count") > ROWS)
-    crowded = scratch.save(crowded.select("key", F.ceil(F.col("count") / ROWS).alias("spread")), "crowded")
+    crowded = scratch.save(crowded.select("key", F.ceil(F.col("count") / ROWS).alias("spread")), f"crowded{level}")
     spread = F.coalesce("spread", F.lit(1))
-    parts = F.lit(max(1, math.ceil(tables * n / ROWS)))
+    parts = F.lit(max(1, math.ceil(len(hashing.base) * n / ROWS)))
     part = F.pmod(F.xxhash64("key", "salt"), parts).alias("part")
     index = v.mapInArrow(_index(hashing, True), "key bigint, id bigint, vec array<double>")
     index = index.join(crowded, "key", "left").withColumn("salt", F.pmod(F.xxhash64("id"), spread)).select(part, "key", "id", "vec")
     tries = q.mapInArrow(_probe(hashing, probes), "key bigint, query_id bigint, vec array<double>").join(crowded, "key", "left")
     tries = tries.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), spread - 1))).select(part, "key", "query_id", "vec")
     found = index.groupBy("part").cogroup(tries.groupBy("part")).applyInArrow(_rank(k), RESULT)
-    found = scratch.save(found.dropDuplicates(["query_id", "vec_id"]), "found")
-
-    wanted = min(k, n - 1)
-    enough = found.groupBy("query_id").count().where(F.col("count") >= wanted)
-    short = scratch.save(q.join(enough, q.id == enough.query_id, "left_anti"), "short")
-    if not short.isEmpty():
-        blocks = max(1, math.ceil(n / ROWS))
-        block = F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("part")
-        rows = v.select(block, F.lit(0).cast("bigint").alias("key"), "id", "vec")
-        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("part")
-        asked = short.select(every, F.lit(0).cast("bigint").alias("key"), F.col("id").alias("query_id"), "vec")
-        rest = rows.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_rank(k), RESULT)
-        found = found.unionByName(rest).dropDuplicates(["query_id", "vec_id"])
-    return _ranked(found, k)
+    return found.dropDuplicates(["query_id", "vec_id"])
+
+
+def _check_recall(result: DataFrame, ids: np.ndarray, radius: np.ndarray, size: list[int]) -> None:
+    """Fails if the sampled queries, whose exact neighbours are known, got too few of them. Equal distances count alike."""
+    if not len(ids):
+        return
+    known = result.sparkSession.createDataFrame(list(zip(ids.tolist(), (radius * (1 + 1e-9)).tolist())), "query_id bigint, radius double")
+    right = dict(result.join(F.broadcast(known), "query_id").where("score <= radius").groupBy("query_id").count().collect())  # SAMPLE_QUERIES rows at most
+    recall = float(np.mean([right.get(i, 0) / s for i, s in zip(ids.tolist(), size)]))
+    log.info("recall of %d sampled queries: %.4f", len(ids), recall)
+    if recall < LEAST_RECALL:
+        raise RuntimeError(f"recall {recall:.3f} of {len(ids)} sampled queries is below {LEAST_RECALL}")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:

@@ -54,6 +54,37 @@ def test_nearest_over_crowded_buckets(spark, monkeypatch):
     assert [g for g in sorted(got) if g[0] == 0] == [w for w in want if w[0] == 0]  # ties to smaller ids
 
 
+def test_nearest_beside_a_dense_group(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[::3] = x[0] + 0.06 * rng.normal(size=(2000, 32))  # a third of all rows in one dense group
+    rows = dict(enumerate(x.astype(np.float32)))
+    got = [tuple(r) for r in nearest.search(frame(spark, [(i, v.tolist()) for i, v in rows.items()]), query_every=20).collect()]
+    want = {(q, i) for q, _, i, _ in brute({i: v.astype(float) for i, v in rows.items()}, "nearest", every=20)}
+    for dense in (True, False):
+        part = {(q, i) for q, i in want if (q % 3 == 0) == dense}
+        assert len({(q, i) for q, _, i, _ in got} & part) >= 0.9 * len(part)
+
+
+def test_fit_holds_dense_and_sparse_queries():
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(3000, 16))
+    x[:1000] = x[0] + 1e-3 * rng.normal(size=(1000, 16))
+    q = np.r_[0:60, 1000:1120]
+    d = np.sqrt(((x[q][:, None] - x[None]) ** 2).sum(2))
+    d[np.arange(len(q)), q] = np.inf
+    order = np.argsort(d, axis=1)[:, :10]
+    radius = np.take_along_axis(d, order, 1)[:, -1]
+    levels = nearest.fit(x[q], [x[o] for o in order], radius, 8, 6, 0.96, 1.9, 7)
+    assert len(levels) > 1 and [r for _, _, r in levels] == sorted(r for _, _, r in levels)
+    low = 0.0
+    for hashing, probes, high in levels:
+        mine = np.flatnonzero((radius > low) & (radius <= high))
+        assert nearest.recall_by_probes(hashing, x[q][mine], [x[order[i]] for i in mine])[nearest.PROBES.index(probes)] >= 0.96
+        low = high
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, None), (2, [nan, 1.0]), (3, [inf, 1.0]), (4, [None, 1.0]), (5, [0.0, 0.0]), (6, [1.0]), (7, []), (8, [1.0, 1.0]), (None, [1.0, 1.0]), (8, [1.0, 1.0]), (100, [-2.0, 0.5])]
