@@ -19,10 +19,16 @@ Documents of one component need no further links between them, so the pairs of a
 are not all made: each meets a central document first, then documents of other components only, drawn in
 ranges of a random order that grow until they hold every document. No pair of different components
 that the orders allow is left out.
+
+Links are counted once components are known, as no link leaves its component. Its sets are dealt to blocks by
+size, and each two blocks whose sizes allow a link meet in one task, which compares all their sets and hands on
+numbers of links, so no list of pairs is made however large a component is.
 """
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +43,8 @@ from noticelake.llm.words import LOWER, mix, slices, split_words, text_bytes, wo
 
 #: Bounds of what is held by a task or broadcast, whatever the input's size.
 HOT, FLUSH, FILTER_BITS, GRAM_BITS = 1 << 17, 1 << 21, 1 << 21, 1 << 26
+#: Sets and n-grams of a block that is compared at once, columns of the comparison, and n-grams of a part of such work.
+BLOCK_SETS, BLOCK_GRAMS, COLUMNS, PART_GRAMS = 1 << 10, 1 << 19, 1 << 12, 1 << 21
 #: Share of all n-grams that is counted, as a multiple of the longest prefix: enough of a text's own n-grams lie in it to fill its prefix.
 COUNTED = 1.8
 #: Part of all documents that meet the others by the end of each round after the first.
@@ -197,10 +205,14 @@ def _sets(n: int, percent: int, wanted):
             for part in slices(batch, "text"):
                 sets = list(shingles(part.column("text"), n))
                 heads = [[np.sort(mix(s ^ k))[: prefix_length(len(s), percent) if len(s) else 0].tobytes() for s in sets] for k in SEEDS[1:]]
+                digests = [_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), *[pa.array(h, pa.binary()) for h in heads], pa.array([s.tobytes() for s in sets], pa.binary())],
-                    ["node", "n", "head2", "head3", "grams"],
-                )
+                    [
+                        part.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), *[pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)],
+                        *[pa.array(h, pa.binary()) for h in heads], pa.array([s.tobytes() for s in sets], pa.binary()),
+                    ],
+                    ["node", "n", "d1", "d2", "head2", "head3", "grams"],
+                )
 
     return run
 
@@ -269,12 +281,94 @@ def _reach(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -> Col
     return (na - pa_ >= need) & (nb - pb >= need)
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85) -> DataFrame:
-    """Returns (id_col, n_shingles, component_id), one row for each row of ``docs``.
+# ---------------------------------------------------------------- numbers of links
+def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common elements of each set of ``a`` with each of ``b``."""
+    names = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    out = np.zeros((len(a), len(b)), np.int64)
+    if not len(names):
+        return out
+
+    def placed(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), list(map(len, sets)))
+        at = np.searchsorted(names, flat)
+        at[at == len(names)] = 0
+        keep = np.flatnonzero(names[at] == flat)
+        keep = keep[np.argsort(at[keep], kind="stable")]
+        return row[keep], at[keep]
+
+    sides = placed(a), placed(b)
+    for low in range(0, len(names), COLUMNS):
+        dense = []
+        for (row, at), sets in zip(sides, (a, b)):
+            mine = slice(*np.searchsorted(at, [low, low + COLUMNS]))
+            held = np.zeros((len(sets), min(COLUMNS, len(names) - low)), np.float32)
+            held[row[mine], at[mine] - low] = 1
+            dense.append(held)
+        out += (dense[0] @ dense[1].T).astype(np.int64)
+    return out
+
+
+KEY = ("component", "low_level", "low_block", "high_level", "high_block")
+COUNTED_LINKS = "n bigint, d1 bigint, d2 bigint, linked bigint"
+
+
+def _count_links(percent: int):
+    """Of sets that meet, the numbers of documents that each links with."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = {c: table.column(c).to_pylist() for c in ("n", "d1", "d2", "copies", "side", "grams")}
+        met: dict[tuple, tuple[list[int], list[int]]] = defaultdict(lambda: ([], []))
+        for i, key in enumerate(zip(*[table.column(c).to_pylist() for c in KEY])):
+            met[key][rows["side"][i]].append(i)
+        size, copies, linked = np.array(rows["n"], np.int64), np.array(rows["copies"], np.int64), np.zeros(table.num_rows, np.int64)
+        for key, (a, b) in met.items():
+            itself = key[1:3] == key[3:5]
+            b = a if itself else b
+            if not a or not b or (itself and len(a) == 1):
+                continue
+            sets = [[np.frombuffer(rows["grams"][i], np.uint64) for i in side] for side in (a, b)]
+            good = _common(*sets) >= common_size(size[a][:, None], size[b][None], percent)
+            if itself:
+                np.fill_diagonal(good, False)
+            linked[a] += good @ copies[b]
+            if not itself:
+                linked[b] += good.T @ copies[a]
+        some = np.flatnonzero(linked)
+        return pa.table({**{c: pa.array(np.array(rows[c], np.int64)[some]) for c in ("n", "d1", "d2")}, "linked": pa.array(linked[some])})
+
+    return run
+
 
-    ``component_id`` is the smallest id that is reached by links, itself included. Letters A-Z are
+def _linked(member: DataFrame, comp: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(n, d1, d2, linked): the number of documents of other sets that a set links with, where there are any."""
+    # Sizes of sets that link differ by 100 / percent at most, so their levels by one.
+    level = F.floor(F.log("n") / F.lit(math.log(100 / percent) * (1 + 1e-6))) if percent < 100 else F.col("n")
+    s = scratch.save(member.join(comp, "node").withColumn("level", level.cast("bigint")), "grouped")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("bigint")
+    cells = scratch.save(s.groupBy("component", "level").agg(F.count(F.lit(1)).alias("size"), blocks.alias("blocks")), "cells")
+    own = s.join(cells.drop("size"), ["component", "level"]).withColumn("block", F.pmod(F.xxhash64("n", "d1", "d2"), F.col("blocks"))).drop("blocks")
+    own = own.withColumn("other", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)))
+    own = own.join(cells.withColumnRenamed("level", "other"), ["component", "other"]).where((F.col("other") != F.col("level")) | (F.col("size") > 1))
+    own = own.withColumn("other_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    mine, theirs = (F.struct(F.col(a).alias("level"), F.col(b).alias("block")) for a, b in (("level", "block"), ("other", "other_block")))
+    low, high = F.least(mine, theirs), F.greatest(mine, theirs)
+    key = [low["level"].alias(KEY[1]), low["block"].alias(KEY[2]), high["level"].alias(KEY[3]), high["block"].alias(KEY[4])]
+    meet = scratch.save(own.select("node", "n", "d1", "d2", "copies", KEY[0], *key, F.when(mine == low, 0).otherwise(1).alias("side")), "meet")
+    parts = max(1, math.ceil((meet.agg(F.sum("n")).first()[0] or 0) / PART_GRAMS))
+    grams = sets.select("node", "n", "d1", "d2", "grams").dropDuplicates(["node", "n", "d1", "d2"])
+    work = meet.join(grams, ["node", "n", "d1", "d2"]).withColumn("part", F.pmod(F.xxhash64(*KEY), F.lit(parts)))
+    work = work.select("part", *KEY, "side", "n", "d1", "d2", "copies", "grams")
+    return work.groupBy("part").applyInArrow(_count_links(percent), COUNTED_LINKS).groupBy("n", "d1", "d2").agg(F.sum("linked").alias("linked"))
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85, count_links: bool = False) -> DataFrame:
+    """Returns (id_col, n_shingles, component_id), one row for each row of ``docs``; with ``count_links`` n_links as well.
+
+    ``component_id`` is the smallest id that is reached by links, itself included. ``n_links`` is the number of other
+    documents whose n-grams link with those of the row, equal ones included; an id with several texts counts once for each. Letters A-Z are
     lower-cased, words end at ASCII white space. Null and empty texts have no n-grams and link with
-    nothing. A null id takes no part and has a null component. Rows with one id are one document:
+    nothing. A null id takes no part and has a null component and number of links. Rows with one id are one document:
     equal rows change nothing, different texts under one id are linked. Other columns are not read.
     An empty table gives an empty result.
     """
@@ -297,7 +391,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
 
     wanted = spark.sparkContext.broadcast(bitfilter.build(post.select(slot_of("node").alias("slot")), FILTER_BITS))
     sets = rows.where("doc_id is not null").withColumn("slot", slot_of("doc_id")).mapInArrow(
-        _sets(n, percent, wanted), "node bigint, n bigint, head2 binary, head3 binary, grams binary"
+        _sets(n, percent, wanted), "node bigint, n bigint, d1 bigint, d2 bigint, head2 binary, head3 binary, grams binary"
     )
     sets = scratch.save(sets.where("n > 0"), "sets")
 
@@ -327,7 +421,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         stars = comp.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         comp = scratch.save(components(stars.unionByName(new), scratch, f"components{i}"), f"component{i}")
 
-    return _result(marks, member, comp).withColumnRenamed("doc_id", id_col)
+    if not count_links:
+        return _result(marks, member, comp).withColumnRenamed("doc_id", id_col)
+    copies = known.select("doc_id", "n", "d1", "d2").distinct().groupBy("n", "d1", "d2").agg(F.count(F.lit(1)).alias("copies"))
+    member = scratch.save(member.join(copies, ["n", "d1", "d2"]), "copies")
+    linked = scratch.save(_linked(member, comp, sets, percent, scratch), "linked")
+    n_links = (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
+    member = member.join(linked, ["n", "d1", "d2"], "left").select("node", "n", "d1", "d2", n_links)
+    return _result(marks, member, comp, count_links).withColumnRenamed("doc_id", id_col)
 
 
 def _one_id(known: DataFrame, member: DataFrame) -> DataFrame:
@@ -341,10 +442,12 @@ def slot_of(column: str) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
 
 
-def _result(marks: DataFrame, member: DataFrame, comp: DataFrame) -> DataFrame:
+def _result(marks: DataFrame, member: DataFrame, comp: DataFrame, count_links: bool = False) -> DataFrame:
+    more = ["n_links"] if count_links else []
     m = member.join(comp, "node", "left").select(
-        F.col("n").alias("m_n"), F.col("d1").alias("m_d1"), F.col("d2").alias("m_d2"), F.coalesce("component", "node").alias("set_component")
+        F.col("n").alias("m_n"), F.col("d1").alias("m_d1"), F.col("d2").alias("m_d2"), F.coalesce("component", "node").alias("set_component"), *more
     )
     out = marks.select("doc_id", "n", "d1", "d2")
     out = out.join(m, (out.n == m.m_n) & (out.d1 == m.m_d1) & (out.d2 == m.m_d2) & out.doc_id.isNotNull() & (out.n > 0), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("set_component", "doc_id").alias("component_id"))
+    counted = [F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0).cast("bigint"))).alias("n_links")] if count_links else []
+    return out.select("doc_id", F.col("n").alias("n_shingles"), *counted, F.coalesce("set_component", "doc_id").alias("component_id"))

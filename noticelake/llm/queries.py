@@ -30,7 +30,7 @@ def op1_nearest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_jaccard(spark: SparkSession, sf: str) -> DataFrame:
-    return jaccard.join(_table(spark, sf, "documents"))
+    return jaccard.join(_table(spark, sf, "documents"), count_links=True)
 
 
 def op3_packed_ids(spark: SparkSession, sf: str) -> DataFrame:

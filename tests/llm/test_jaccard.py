@@ -67,6 +67,27 @@ def test_group_of_near_copies_and_common_passages(spark, docs, monkeypatch):
     assert result(jaccard.join(docs(*rows.items()))) == brute(rows)
 
 
+def test_numbers_of_links(spark, docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 7)
+    monkeypatch.setattr(jaccard, "COLUMNS", 16)
+    monkeypatch.setattr(jaccard, "PART_GRAMS", 4000)
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(300)]
+    base, rows = rng.choice(words, 70).tolist(), {}
+    for i in range(120):  # near copies of several lengths, every fourth an exact copy of the one before
+        t = list(base)[: int(rng.integers(50, 71))]
+        for at in rng.choice(len(t), rng.integers(0, 3), replace=False):
+            t[at] = str(rng.choice(words))
+        rows[i] = rows[i - 1] if i % 4 == 1 else " ".join(t)
+    rows |= {200: "a b c", 201: "A b c", 202: "a b", 203: "", 204: None}
+    sets = {i: shingles(t) for i, t in rows.items()}
+    want = {i: sum(i != j and bool(a) and 100 * len(a & b) >= 85 * len(a | b) for j, b in sets.items()) for i, a in sets.items()}
+    out = jaccard.join(docs(*rows.items(), (None, "a b"), (7, rows[7])), count_links=True)
+    assert {r["doc_id"]: r["n_links"] for r in out.where("doc_id is not null").collect()} == want
+    assert [r["n_links"] for r in out.where("doc_id is null").collect()] == [None]
+    assert result(out.where("doc_id is not null")) == brute(rows) and sum(want.values()) > 2 * len(rows)
+
+
 def test_threshold_is_exact(docs):
     words = [f"w{i}" for i in range(103)]
     rows = {1: " ".join(words)}  # 100 shingles
