@@ -259,9 +259,12 @@ def classify(
     known = scratch.save(model.resolve(rest.select("gram").distinct()), "resolved")
     # One plan at every size: documents and n-grams both grow, so neither side is ever broadcast.
     tail = rest.join(known.hint("merge"), "gram").groupBy(*key).agg(F.sum(F.col("count") * F.col("logp")).alias("sum"))
-    base = scored.select(*key, "n", F.col("hot").alias("sum")).distinct()
-    both = base.unionByName(tail.withColumn("n", F.lit(0).cast("bigint")))
-    total = scratch.save(both.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("sum").alias("sum")), "total")
+    # Repeated rows are one document: each brings the same n-grams, so their sum is divided by the number of rows.
+    base = scored.groupBy(*key).agg(F.max("n").alias("n"), F.max("hot").alias("hot"), F.count(F.lit(1)).alias("rows"), F.lit(0.0).alias("sum"))
+    none = F.lit(0).cast("bigint")
+    both = base.unionByName(tail.select(*key, none.alias("n"), F.lit(0.0).alias("hot"), none.alias("rows"), "sum"))
+    total = both.groupBy(*key).agg(F.sum("n").alias("n"), (F.sum("hot") + F.sum("sum") / F.sum("rows")).alias("sum"))
+    total = scratch.save(total, "total")
 
     return _decide(total, held_out, quantile, margin).withColumnRenamed("id", id_col)
 

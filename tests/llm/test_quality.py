@@ -64,6 +64,20 @@ def test_equals_plain_kneser_ney(spark, docs, monkeypatch):
         assert rows[i]["perplexity"] == pytest.approx(want, rel=1e-9) and rows[i]["n_bytes"] == n
 
 
+def test_repeated_rows_are_one_document(spark, docs, monkeypatch):
+    monkeypatch.setattr(quality, "HOT", 20)
+    good = ["the cat sat on the mat", "a cat and a dog sat", "the dog ate the cat"]
+    rows = [(0, good[0])] * 3 + [(1, good[1]), (2, good[2])] + [(3, "dog on a mat, the cat")] * 5 + [(None, "zebra on the mat")] * 4
+    labels = spark.createDataFrame([(i, 1) for i in range(3)], "doc_id bigint, quality int")
+    out = {r["doc_id"]: r for r in quality.classify(docs(*rows), labels, calibrate=None).collect()}
+    _, log_prob = model([good[0]] * 3 + good[1:])
+    mean = -sum(map(log_prob, good)) / sum(map(len, good))
+    assert len(out) == 5
+    for i, t in dict(rows).items():
+        assert out[i]["n_bytes"] == len(t)
+        assert out[i]["perplexity"] == pytest.approx(math.exp((-log_prob(t) + quality.PRIOR * mean) / (len(t) + quality.PRIOR)), rel=1e-9)
+
+
 def test_query_separates_labels(spark):
     sf = "/root/testdata/sf0.01"
     got = op6_quality(spark, sf)
