@@ -18,9 +18,10 @@ def with_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     Rows are dealt to ranges and sorted there; what a range adds to its own places is the number of rows in
     the ranges before it. That table has one row a partition and is the only thing that is windowed as a whole or broadcast.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    placed = staged(ranged, "ranks").withColumn("_range", F.shiftright("_at", ROW_BITS))
-    before = F.sum("_rows").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
-    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows")).withColumn("_before", F.coalesce(before, F.lit(0)))
-    inside = F.col("_at").bitwiseAND((1 << ROW_BITS) - 1)
-    return placed.join(F.broadcast(sizes), "_range").withColumn(name, F.col("_before") + inside + 1).drop("_range", "_at", "_rows", "_before")
+    at, part, size, before = (f"__{name}_{x}" for x in ("at", "range", "size", "before"))  # names that no caller has
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
+    placed = staged(ranged, "ranks").withColumn(part, F.shiftright(at, ROW_BITS))
+    earlier = F.sum(size).over(W.orderBy(part).rowsBetween(W.unboundedPreceding, -1))
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias(size)).select(part, F.coalesce(earlier, F.lit(0)).alias(before))
+    inside = F.col(at).bitwiseAND((1 << ROW_BITS) - 1)
+    return placed.join(F.broadcast(sizes), part).select(*[F.col(f"`{c}`") for c in df.columns], (F.col(before) + inside + 1).alias(name))
