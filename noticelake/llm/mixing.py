@@ -22,10 +22,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticelake.llm.store import Scratch
+from noticelake.operators.ranks import with_rank
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET = 8192
 FAN = 64
+#: Equal rows that are dealt out together.
+DEALT = 1 << 16
 
 
 def n_words(text: Column) -> Column:
@@ -108,7 +111,8 @@ def mix(
 
     * Null text: size 0. Null source: a source of its own, ordered last. Null id: rounded like any other.
     * Documents of size 0 take no words and get ``copies`` by an own draw; a source of size 0 has target 0.
-    * Repeated rows (equal id, source and size) share one decision.
+    * Repeated rows (equal id, source and size) are owed copies together: their whole copies are dealt one a row, and the fraction that is left goes
+      into the rounding as one row. So they end within one row of what they are owed.
     * An empty table gives an empty result. Other columns are not read, so their names don't matter.
     * The draws depend on ``seed``, ids and sizes alone, not on partitions: reruns agree.
     """
@@ -127,13 +131,16 @@ def mix(
         .withColumn("_due", due)
         .withColumn("whole", F.floor("_due").cast("long"))
         .withColumn("share", F.col("_due") - F.col("whole"))
-        .withColumn("weight", (F.col("size") * F.col("_rows")).cast("double"))
+        # Equal rows are owed their copies together: whole ones are dealt evenly, one row alone goes into the rounding.
+        .withColumn("_owed", F.floor(F.col("share") * F.col("_rows")))
+        .withColumn("share", F.col("share") * F.col("_rows") - F.col("_owed"))
+        .withColumn("weight", F.col("size").cast("double"))
         .withColumn("_h", F.xxhash64(F.col("_id"), F.col("size"), F.lit(seed)))
         .withColumn("_source_hash", F.xxhash64("source"))
         .withColumn("_bucket", F.pmod(F.col("_h"), F.greatest(F.lit(1), F.ceil(F.col("n") / BUCKET))).cast("long"))
     )
     own_draw = F.pmod(F.col("_h"), F.lit(1 << 52)) / float(1 << 52)
-    keep = ["_id", "source", "size", "_rows", "source_size", "target", "whole", "share", "weight", "_h", "_source_hash", "_bucket"]
+    keep = ["_id", "source", "size", "_rows", "_owed", "source_size", "target", "whole", "share", "weight", "_h", "_source_hash", "_bucket"]
     empty = rows.where("size = 0").withColumn("share", F.when(own_draw < F.col("share"), 1.0).otherwise(0.0))
     empty = empty.select(*keep, F.lit(False).alias("open"))
 
@@ -151,18 +158,42 @@ def mix(
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    copies = (F.col("whole") + F.round("share").cast("long")).alias("copies")
-    out = out.withColumn("_one", F.explode(F.array_repeat(F.lit(1), F.col("_rows").cast("int"))))
+    # Of n equal rows the first ``_owed`` have one copy more than the others, the rounded row among them.
+    more = (F.col("_owed") + F.round("share").cast("long")) > F.col("_nth")
+    copies = (F.col("whole") + more.cast("long")).alias("copies")
+    starts = out.withColumn("_start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1, F.lit(DEALT).cast("long"))))
+    # A row for each start, so that many equal rows are dealt out by many tasks.
+    starts = starts.where("_start = 0").unionByName(starts.where("_start > 0").repartition("_start", "_h"))
+    out = starts.withColumn("_nth", F.explode(F.sequence("_start", F.least(F.col("_start") + DEALT, F.col("_rows")) - 1)))
     return out.select(F.col("_id").alias(id_col), "source", "size", "source_size", "target", copies, (copies * F.col("size")).alias("taken"))
 
 
 def apply_mix(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of ``docs``, each as often as its decision says, with the columns of ``docs``."""
-    d = decided.select(F.col(id_col).alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies").where("copies > 0").distinct()
+    """The rows of ``docs``, each as often as its decision says, with the columns of ``docs``.
+
+    Equal rows (id, source and size) are dealt their numbers of copies in the order of the hashes of whole rows; of rows of one
+    hash it doesn't matter which has which. Most rows have no equal and take theirs from the join alone.
+    """
+    key = ["_id", "_source", "_size"]
+    d = decided.select(F.col(id_col).alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies")
+    d = d.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"), F.max("copies").alias("_most"), F.sum("copies").alias("_sum")).where("_sum > 0")
     rows = docs.select(
         F.struct("*").alias("_row"), F.col(id_col).alias("_my_id"), F.col(source_col).alias("_my_source"), n_words(F.col(text_col)).alias("_my_size")
     )
     met = rows.join(
         d, F.col("_my_id").eqNullSafe(F.col("_id")) & F.col("_my_source").eqNullSafe(F.col("_source")) & (F.col("_my_size") == F.col("_size"))
     )
-    return met.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("_row.*")
+    copies = F.col("_most").cast("int")
+    even = (F.col("_sum") == F.col("_rows") * F.col("_most")) | (F.col("_rows") == 1)
+    out = met.where(even).select("_row", copies.alias("_copies"))
+    if not d.where(~even).isEmpty():
+        # The others have _most copies or one less: as many rows as the sum says have all of them. Places within equal rows come from
+        # ranks over all of these, so that a group of any size is many ranges; the draw only parts rows of one hash, which are alike.
+        several = met.where(~even)
+        order = [F.col(c).asc() for c in key] + [F.xxhash64("_row").asc(), F.rand(1).asc()]
+        several = with_rank(several, *order, name="_rank")
+        begin = several.groupBy(*key).agg(F.min("_rank").alias("_begin")).select(*[F.col(c).alias(f"{c}_k") for c in key], "_begin")
+        same = F.col("_id").eqNullSafe(F.col("_id_k")) & F.col("_source").eqNullSafe(F.col("_source_k")) & (F.col("_size") == F.col("_size_k"))
+        full = F.col("_sum") - F.col("_rows") * (F.col("_most") - 1) > F.col("_rank") - F.col("_begin")
+        out = out.unionByName(several.join(begin, same).select("_row", F.when(full, copies).otherwise(copies - 1).alias("_copies")))
+    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select("_row.*")

@@ -70,6 +70,28 @@ def test_expected_copies_are_kept():
     assert np.allclose(total / 6000, share, atol=0.03)
 
 
+def test_one_id_of_a_third_of_a_source(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "DEALT", 16)
+    ten = " ".join(["w"] * 10)
+    texts = [(1, "a", ten)] * 200 + [(i, "a", ten) for i in range(1000, 1200)] + [(i, "b", ten) for i in range(2000, 2300)]
+    df = docs(*[(i, t, "en", s) for i, s, t in texts])
+    rows = mixing.mix(df).collect()
+    assert len(rows) == len(texts)
+    check(rows, texts)  # within the largest document of the target
+    same = [r["copies"] for r in rows if r["doc_id"] == 1]
+    assert max(same) - min(same) == 1
+    assert mixing.apply_mix(df, mixing.mix(df)).where("doc_id = 1").count() == sum(same)
+
+
+def test_equal_ids_and_sizes_with_different_texts(docs):
+    texts = [(1, "a", f"x{i} y") for i in range(50)] + [(2, "b", "one two three")] * 60
+    df = docs(*[(i, t, "en", s) for i, s, t in texts])
+    out = sorted(map(str, mixing.apply_mix(df, mixing.mix(df)).select("doc_id", "text").collect()))
+    again = df.repartition(5)
+    assert out == sorted(map(str, mixing.apply_mix(again, mixing.mix(again)).select("doc_id", "text").collect()))
+    assert len(out) == sum(r["copies"] for r in mixing.mix(df).collect())
+
+
 def test_edge_rows(docs):
     df = docs((1, None, "en", "a"), (None, "one two", "en", None), (None, "one two", "en", None), (3, "", "en", "a"), (4, "x", "en", "b"))
     rows = mixing.mix(df).collect()
