@@ -94,10 +94,11 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=tuple(range(1, x.ndim)), keepdims=True)
 
 
-def marginals(emit: np.ndarray, first: np.ndarray, transitions: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
+def marginals(emit: np.ndarray, first: np.ndarray, transitions: np.ndarray, chunk: int = CHUNK, pairs: np.ndarray | None = None) -> np.ndarray:
     """Probabilities of each word's labels; ``first`` holds the texts' first words (one more at the end).
 
-    The state before the first word and after the last is free.
+    The state before the first word and after the last is free. To ``pairs`` (labels by labels) the expected number of each
+    transition is added, those out of the free states included.
     """
     n, labels = emit.shape
     if not n:
@@ -128,18 +129,39 @@ def marginals(emit: np.ndarray, first: np.ndarray, transitions: np.ndarray, chun
         tail[rows - 1] = _unit(np.einsum("ijk,ik->ij", whole[rows], tail[rows]))
 
     out = np.empty_like(x)
+    before = head.copy()
     for t in step:
         on = inside[:, t]
         head[on] = _unit((head[on] @ a) * x[on, t])
         out[:, t] = head
     for t in reversed(step):
         on = inside[:, t]
+        if pairs is not None:
+            came = out[on, t - 1] if t else before[on]
+            pairs += _unit(came[:, :, None] * a * (x[on, t] * tail[on])[:, None, :]).sum(axis=0)
         out[on, t] = _unit(out[on, t] * tail[on])
         tail[on] = _unit((tail[on] * x[on, t]) @ a.T)
     return out[inside]
 
 
 # ---------------------------------------------------------------- training
+def gradient(emit: np.ndarray, truth: np.ndarray, first: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient of the negative log-likelihood of ``truth`` by scores and by transitions: expected minus observed.
+
+    The state before a first word is not observed; what it is expected to be given that word stands for it.
+    """
+    n, labels = emit.shape
+    expected, observed = np.zeros((labels, labels)), np.zeros((labels, labels))
+    by_score = marginals(emit, first, transitions, pairs=expected).copy()
+    by_score[np.arange(n), truth] -= 1
+    starts = np.unique(first[first < n])
+    follows = np.setdiff1d(np.arange(1, n), starts)
+    np.add.at(observed, (truth[follows - 1], truth[follows]), 1.0)
+    free = np.exp(transitions - transitions.max(axis=0))
+    observed += (free / free.sum(axis=0)) * np.bincount(truth[starts], minlength=labels)
+    return by_score, expected - observed
+
+
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches at even distances over each whole text."""
     for batch in batches:
@@ -201,9 +223,7 @@ def fit(stretches: pd.DataFrame, seed: int = 5) -> Model:
             used, inverse = np.unique(w, return_inverse=True)
             rows = np.concatenate([index[place[u] : place[u + 1]] for u in used])
             emit = np.add.reduceat(weights[rows], np.cumsum(width[used]) - width[used], axis=0)[inverse]
-            p = marginals(emit, cut, trans)
-            wrong = p.copy()
-            wrong[np.arange(len(y)), y] -= 1
+            wrong, gt = gradient(emit, y, cut, trans)
             per_word = np.zeros((len(used), n))
             np.add.at(per_word, inverse, wrong / len(cut))
             touched, where = np.unique(rows, return_inverse=True)
@@ -211,12 +231,7 @@ def fit(stretches: pd.DataFrame, seed: int = 5) -> Model:
             np.add.at(g, where, np.repeat(per_word, width[used], axis=0))
             weight_sq[touched] += g * g
             weights[touched] -= 0.1 * g / np.sqrt(weight_sq[touched])
-            # expected minus observed transitions, from the probabilities of neighbours
-            follows = np.setdiff1d(np.arange(1, len(y)), cut)
-            observed = np.zeros((n, n))
-            np.add.at(observed, (y[follows - 1], y[follows]), 1.0)
-            joint = p[follows - 1][:, :, None] * np.exp(trans)[None] * p[follows][:, None, :]
-            gt = (_unit(joint).sum(axis=0) - observed) / max(1, len(follows))
+            gt /= len(y)
             trans_sq += gt * gt
             trans -= 0.1 * gt / np.sqrt(trans_sq)
     return Model(labels, weights.astype(np.float32), trans, lexicon)

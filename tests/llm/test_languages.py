@@ -30,6 +30,41 @@ def test_forward_backward_is_exact(chunk):
             assert np.allclose(got[a:b], brute_marginals(emit[a:b], trans))
 
 
+def log_likelihood(emit, truth, first, trans):
+    """Of the true labels, over all label sequences; the state before a first word is summed out."""
+    total = 0.0
+    for a, b in zip(first[:-1], first[1:]):
+        weight = lambda s, a=a, b=b: np.exp(sum(emit[i, s[i - a + 1]] + trans[s[i - a], s[i - a + 1]] for i in range(a, b)))
+        k = emit.shape[1]
+        over_all = sum(weight(s) for s in itertools.product(range(k), repeat=b - a + 1))
+        total += np.log(sum(weight((s, *truth[a:b])) for s in range(k)) / over_all)
+    return total
+
+
+def test_gradient_equals_finite_differences():
+    rng = np.random.default_rng(2)
+    emit, trans, truth, first = rng.normal(size=(9, 3)), rng.normal(size=(3, 3)), rng.integers(0, 3, 9), np.array([0, 4, 5, 9])
+    by_score, by_trans = crf.gradient(emit, truth, first, trans)
+    for given, found in ((emit, by_score), (trans, by_trans)):
+        for at in np.ndindex(given.shape):
+            was, ends = given[at], []
+            for step in (1e-5, -1e-5):
+                given[at] = was + step
+                ends.append(log_likelihood(emit, truth, first, trans))
+            given[at] = was
+            assert abs(found[at] + (ends[0] - ends[1]) / 2e-5) < 1e-6
+
+
+def test_expected_transitions_do_not_depend_on_chunks():
+    rng = np.random.default_rng(3)
+    emit, trans, first = rng.normal(size=(40, 3)), rng.normal(size=(3, 3)), np.array([0, 17, 17, 18, 40])
+    sums = []
+    for chunk in (1, 3, 16, 128):
+        sums.append(np.zeros((3, 3)))
+        crf.marginals(emit, first, trans, chunk, sums[-1])
+    assert np.allclose(sums[0].sum(), 40) and all(np.allclose(s, sums[0]) for s in sums)
+
+
 def test_long_texts_stay_finite():
     rng = np.random.default_rng(1)
     p = crf.marginals(rng.normal(size=(50_000, 4)) * 40, np.array([0, 50_000]), rng.normal(size=(4, 4)))
