@@ -26,6 +26,8 @@ from noticelake.llm.words import slices, text_bytes
 
 ORDER, HOT, FLUSH, FILTER_BITS, PRIOR = 5, 1 << 18, 1 << 22, 1 << 21, 60.0
 FEW = 200
+#: Languages up to which their figures are sent to every task.
+LANGUAGES = 1 << 16
 SYMBOLS = 256
 
 
@@ -266,24 +268,33 @@ def classify(
     total = both.groupBy(*key).agg(F.sum("n").alias("n"), (F.sum("hot") + F.sum("sum") / F.sum("rows")).alias("sum"))
     total = scratch.save(total, "total")
 
-    return _decide(total, held_out, quantile, margin).withColumnRenamed("id", id_col)
+    return _decide(total, held_out, quantile, margin, scratch).withColumnRenamed("id", id_col)
 
 
-def _decide(total: DataFrame, ids: DataFrame, quantile: float, margin: float) -> DataFrame:
+def _with_figures(df: DataFrame, figures: DataFrame) -> DataFrame:
+    """``df`` with the figures of its language, one row a language.
+
+    Documents are not shuffled by language, of which one may hold most, but where there are more than ``LANGUAGES`` of them.
+    """
+    few = figures.limit(LANGUAGES + 1).count() <= LANGUAGES
+    return df.join(F.broadcast(figures) if few else figures, "lang", "left")
+
+
+def _decide(total: DataFrame, ids: DataFrame, quantile: float, margin: float, scratch: Scratch) -> DataFrame:
     good = total.join(ids, "id", "left_semi").where("n > 0")
-    mean = good.groupBy("lang").agg((-F.sum("sum") / F.sum("n")).alias("mean"))
+    mean = scratch.save(good.groupBy("lang").agg((-F.sum("sum") / F.sum("n")).alias("mean")), "mean")
     mean_all = good.agg((-F.sum("sum") / F.sum("n")).alias("mean_all"))
 
     def smooth(df: DataFrame) -> DataFrame:
-        df = df.join(mean, "lang", "left").join(F.broadcast(mean_all))  # one row
+        df = _with_figures(df, mean).join(F.broadcast(mean_all))  # one row
         rate = (-F.col("sum") + PRIOR * F.coalesce("mean", "mean_all", F.lit(0.0))) / (F.col("n") + PRIOR)
         return df.withColumn("perplexity", F.when(F.col("n") > 0, F.exp(rate)))
 
     marks = smooth(good)
     limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10000)) * margin
-    per = marks.groupBy("lang").agg(limit.alias("own"), F.count(F.lit(1)).alias("n_own"))
+    per = scratch.save(marks.groupBy("lang").agg(limit.alias("own"), F.count(F.lit(1)).alias("n_own")), "per")
     over_all = marks.agg(limit.alias("any"))
-    out = smooth(total).join(per, "lang", "left").join(F.broadcast(over_all))  # one row
+    out = _with_figures(smooth(total), per).join(F.broadcast(over_all))  # one row
     threshold = F.when(F.col("n_own") >= FEW, F.col("own")).otherwise(F.greatest("own", "any"))
     return out.select(
         "id", F.col("hash").alias("text_hash"), F.nullif("lang", F.lit("")).alias("lang"), F.col("n").alias("n_bytes"), "perplexity", threshold.alias("threshold"),
