@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from noticelake.llm import bpe, jaccard, mixing, quality, secret_scan
 from noticelake.llm.queries import vocabulary_path
 from noticelake.llm.store import Scratch, ship_package
+from noticelake.operators.keyed import keep_first
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,13 +26,25 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of documents with like n-grams the one with the smallest id; equal rows become one.
 
-    Words of five and a similarity of 0.8, as near copies are taken elsewhere. Rows without an id stay.
+    Words of five and a similarity of 0.8, as near copies are taken elsewhere. A document is an id with a text: two texts under one id
+    are two documents, and one stays of each component that they are in. A null id comes after all others. Of rows with
+    one id and text the one of the smallest hash over all columns stays, so reruns agree.
     """
     ship_package(spark)
-    groups = jaccard.join(docs, n=5, percent=80)
-    heads = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_head")).distinct()
-    numbered = docs.join(heads, F.col("doc_id") == F.col("_head"), "left_semi").dropDuplicates(["doc_id"])
-    return numbered.unionByName(docs.where("doc_id is null"))
+    key = F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit(""))).alias("__key")
+    marked = docs.select("*", key)
+    scratch = Scratch(spark, "near-copies")
+    groups = jaccard.join(docs.select(key, "text"), id_col="__key", n=5, percent=80)
+    groups = scratch.save(groups.select("__key", F.col("component_id").alias("__group")).distinct(), "groups")
+    named = marked.select("__key", "doc_id").distinct().join(groups, "__key")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__key"))
+    heads = named.groupBy("__group").agg(F.min_by("__key", order).alias("__head"))
+    # Only keys that go are joined, so that texts which stay don't travel while those are few.
+    gone = scratch.save(groups.join(heads, F.col("__key") == F.col("__head"), "left_anti").select("__key"), "gone")
+    several = scratch.save(marked.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__key"), "several")
+    kept = marked.join(gone, "__key", "left_anti")
+    one = keep_first(kept.join(several, "__key", "left_semi"), ["__key"], [F.xxhash64(*[F.col(c) for c in docs.columns])])
+    return kept.join(several, "__key", "left_anti").unionByName(one).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,10 +78,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     scratch = Scratch(spark, "pipeline")
     for name, stage in STAGES[:-1]:
         docs = scratch.save(stage(spark, docs, sf_dir), name)
+        if before:
+            scratch.drop(before)
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
