@@ -108,12 +108,6 @@ def rewrite_ids(df: DataFrame, mapping: DataFrame, column: str, old: str = "old_
     return joined.withColumn(column, F.coalesce("_new", column)).drop("_old", "_new").select(*df.columns)
 
 
-def capacity_brake(batch: DataFrame, stored: int, maximum: int, order: Sequence[Column]) -> tuple[DataFrame, int]:
-    """Rows that still fit under ``maximum`` stored rows, and how many rows may be taken."""
-    room = max(maximum - stored, 0)
-    return batch.orderBy(*order).limit(room), room
-
-
 def current_state(transitions: DataFrame, key: str, time: str, tie: str) -> DataFrame:
     """State after the latest transition of every key."""
     return keep_latest(transitions, [key], time, tie)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,23 +9,12 @@ from noticelake.functions import extract as X
 from noticelake.functions import urls as U
 from noticelake.functions.arrays import tags_by_words
 from noticelake.functions.classify import first_class
-from noticelake.functions.ids import listing_id, vehicle_id
-from noticelake.functions.money import parse_money, positive_or_null
+from noticelake.functions.ids import listing_id
+from noticelake.functions.money import positive_or_null
 from noticelake.functions.scores import page_confidence, parse_confidence
-from noticelake.functions.text import blank_to_null, collapse_space, contains_any, title_case
-from noticelake.operators.joins import zip_lists
+from noticelake.functions.text import blank_to_null, contains_any, title_case
 from noticelake.presets import br_notices as br
 
-# Lists read side by side from a listing page.
-CARD_PATTERNS = {
-    "vehicle": r"(?i)((?:FIAT|VW|VOLKSWAGEN|GM|CHEVROLET|FORD|HONDA|YAMAHA|TOYOTA|HYUNDAI|RENAULT|PEUGEOT|CITROEN|NISSAN|SUZUKI|KIA|JEEP|BMW)[/\s]+[A-Z0-9 .\-]+)",
-    "price": r"R\$\s*([\d.,]+)",
-    "model_year": r"\b(19[89]\d|20[0-2]\d)\b",
-    "category": r"(?iu)(Sucata|Conservado|Recuperável)",
-    "plate": r"\b([A-Z]{3}-?\d[A-Z0-9]\d{2})\b",
-}
-
-
 def parse_pages(pages: DataFrame, max_images: int | None = None) -> DataFrame:
     """(url, html) to title with source and quality, place, amounts, images, og and JSON-LD fields."""
     html, url = F.col("html"), F.col("url")
@@ -71,18 +58,6 @@ def page_statistics(parsed: DataFrame) -> DataFrame:
     )
 
 
-def listing_cards(pages: DataFrame, source: str, patterns: dict[str, str] = CARD_PATTERNS, required: Sequence[str] = ("vehicle", "price")) -> DataFrame:
-    """Vehicle cards of listing pages: match lists of a page zipped by position."""
-    lists = {n: F.regexp_extract_all(F.col("html"), F.lit(p), 1) for n, p in patterns.items()}
-    rows = zip_lists(pages, lists, ["url"], required)
-    return rows.select(
-        vehicle_id(F.lit(source), F.col("url"), F.col("position")).alias("vehicle_id"), F.lit(source).alias("source"), "url",
-        F.col("position").alias("lot"), collapse_space(F.upper("vehicle")).alias("vehicle"),
-        F.coalesce(parse_money(F.col("price")), F.lit(0).cast("decimal(18,2)")).alias("price"),
-        F.col("model_year").try_cast("int").alias("model_year"), F.initcap("category").alias("category"), "plate",
-    )
-
-
 def listings_from_pages(parsed: DataFrame, source: str, as_of) -> DataFrame:
     """Listing rows from parsed pages: blocking errors, warnings, category, tags, publication status."""
     title = F.coalesce(blank_to_null(F.col("title")), F.concat(F.lit("Lote "), F.coalesce("lot_id", F.lit(""))))

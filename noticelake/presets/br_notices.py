@@ -313,3 +313,33 @@ PLAN_BASE, PLAN_PER_GB = "25", "0.125"
 SLO_SUCCESS, SLO_FRESH_HOURS, SLO_INTEGRITY, SLO_DOWNLOAD = 95, 24, 90, 99
 PAGE_SIZE, AUDIT_LIMIT, AUDIT_MAX = 20, 50, 100
 DEFAULT_VIEW = (-15.0, -55.0, 4.0)
+
+# ---------------------------------------------------------------- states and their legal moves
+ALERT_MOVES = frozenset({
+    ("open", "acknowledged"), ("open", "resolved"), ("acknowledged", "resolved"), ("open", "discarded"), ("acknowledged", "discarded"), ("resolved", "open"),
+})
+QUARANTINE_MOVES = frozenset({("pending", "resolved"), ("pending", "discarded")})
+
+# ---------------------------------------------------------------- listing cards
+CARD_MAKES = "FIAT|VW|VOLKSWAGEN|GM|CHEVROLET|FORD|HONDA|YAMAHA|TOYOTA|HYUNDAI|RENAULT|PEUGEOT|CITROEN|NISSAN|SUZUKI|KIA|JEEP|BMW"
+#: Fields of a vehicle card, by the site they are read from: patterns with one group each.
+CARD_FIELDS = {
+    "detran_mg": {
+        "vehicle": rf"(?i)((?:{CARD_MAKES})[/\s]+[A-Z0-9 .\-]+)",
+        "price": r"R\$\s*([\d.,]+)",
+        "model_year": r"\b(19[89]\d|20[0-2]\d)\b",
+        "category": r"(?iu)(Sucata|Conservado|Recuperável)",
+        "plate": r"\b([A-Z]{3}-?\d[A-Z0-9]\d{2})\b",
+        "lot": r"(?iu)lote\s*(?:n[ºo°.]?\s*)?(\d{1,4})",
+    },
+    "sodre_santoro": {
+        "vehicle": rf"(?i)((?:{CARD_MAKES})[/\s]+[A-Z0-9 .\-]+?)(?=\s+\d{{2}}/\d{{2}}|\s*<)",
+        "price": r"R\$\s*([\d.,]+)",
+        "model_year": r"\b(\d{2}/\d{2}|19[89]\d|20[0-2]\d)\b",
+        "category": r"(?iu)(Sucata|Conservado|Recuperável)",
+        "yard": r"(?iu)p[áa]tio[:\s]+([^<]{3,})",
+        "lot_url": r"href=\"([^\"]*/lote/\d+[^\"]*)\"",
+        "lot": r"/lote/(\d+)",
+        "image": r"<img[^>]*src=\"([^\"]+)\"",
+    },
+}

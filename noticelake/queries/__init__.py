@@ -2,6 +2,6 @@
 
 
 def modules():
-    from noticelake.queries import operations, pages, quality, serving
+    from noticelake.queries import flows, operations, pages, quality, serving
 
-    return (serving, quality, operations, pages)
+    return (serving, quality, operations, pages, flows)

@@ -57,11 +57,6 @@ def listings_from_pages(spark, sf):
     )
 
 
-@query()
-def listing_cards(spark, sf):
-    return pages.listing_cards(table(spark, sf, "pages"), "site", {"vehicle": r"<h1>([^<]+)</h1>", "price": r"ad (\d+)", "model_year": r"/(\d{3,4})", "category": r"<p>(\w+)", "plate": r"href=\"/(\w+)\""})
-
-
 def _dst(url: str, href: str) -> str:
     return (
         f"CASE WHEN regexp_matches({href}, '^https?://') THEN {href} WHEN starts_with({href}, '//') THEN regexp_extract({url}, '^(https?:)', 1) || {href} "
@@ -400,7 +395,7 @@ def first_valid_source(spark, sf):
   SELECT 'p_name' FROM part WHERE contains(p_name, 'red') UNION ALL SELECT 'p_brand' FROM part WHERE contains(p_brand, 'red')) GROUP BY 1 HAVING column_name LIKE 'p_%'"""
 )
 def sheet_cells(spark, sf):
-    c = cells(table(spark, sf, "part").select("p_name", "p_brand"), "part")
+    c = cells(table(spark, sf, "part").select("p_partkey", "p_name", "p_brand"), "part", "p_partkey")
     return counted(c.where(F.contains("cell", F.lit("red"))), ["column_name"])
 
 

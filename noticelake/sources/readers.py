@@ -5,7 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from noticelake.sources.snapshots import staged
+
+#: Kinds of pages up to which their stop pages are sent to every task.
+MANY_KINDS = 10_000
 
 # Alternative keys of a search item, first non-empty wins, and the defaults.
 NOTICE_KEYS = {
@@ -88,8 +95,6 @@ def before_first_repeat(items: DataFrame, kind: str = "kind", page: str = "page"
     of two 64-bit hashes. These are folded per task, so no page is ever gathered as a list. Pages
     without any id say nothing and are not compared.
     """
-    from pyspark.sql import Window as W
-
     ids = items.select(kind, page, F.col(item).cast("string").alias("_id")).distinct()
     digest = [
         F.count("_id").alias("_n"),
@@ -99,29 +104,45 @@ def before_first_repeat(items: DataFrame, kind: str = "kind", page: str = "page"
     pages = ids.groupBy(kind, page).agg(*digest).where("_n > 0")
     same = W.partitionBy(kind, "_n", "_sum", "_xor")
     repeat = pages.withColumn("_first", F.min(page).over(same)).where(F.col(page) > F.col("_first"))
-    stop = repeat.groupBy(kind).agg(F.min(page).alias("_stop"))
-    return items.join(stop, kind, "left").where(F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))).drop("_stop")
+    # One row a kind: sent to every task while there are few, so that items never meet by kind, of which there are three.
+    stop = staged(repeat.groupBy(kind).agg(F.min(page).alias("_stop")), "stops")
+    few = stop.limit(MANY_KINDS + 1).count() <= MANY_KINDS
+    return items.join(F.broadcast(stop) if few else stop, kind, "left").where(F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))).drop("_stop")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no, line) of text files of mixed encodings; lines are numbered from 0 in each file.
+
+    A file is UTF-8 if all its lines are, else Windows-1252, which holds Latin-1's letters. The number of a line is the lines of
+    the splits before its own and its place inside it, so it is the same for any size of splits. Lines are read and
+    written down once with the offset of their split; what is put together after that is one row a split.
+    """
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.col("value").cast("binary").alias("_bytes"), F.is_valid_utf8("value").alias("_utf8"), F.monotonically_increasing_id().alias("_id"),
+    )
+    rows = staged(raw, "lines")
+    before = W.partitionBy("file").orderBy("_start").rowsBetween(W.unboundedPreceding, -1)
+    splits = rows.groupBy("file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"), F.bool_and("_utf8").alias("_all"))
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_whole", F.bool_and("_all").over(W.partitionBy("file")))
+    met = rows.join(splits.drop("_n", "_all"), ["file", "_start"])
+    line = F.when(F.col("_whole"), F.decode("_bytes", "UTF-8")).otherwise(F.decode("_bytes", "windows-1252"))
+    return met.select("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), F.regexp_replace(line, "^\ufeff|\r$", "").alias("line"))
+
+
 def read_csv_any_encoding(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
-    """CSV files of mixed encodings: files that are valid UTF-8 are read as such, the rest as Latin-1.
+    """CSV files of mixed encodings with a header, one record a line; lines that don't fit the schema are skipped.
 
-    Only the list of file names passes through the driver; bad lines are skipped.
+    Columns are those of ``schema`` with file and line_no. Nothing of the files passes through the driver.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", F.is_valid_utf8("content").alias("utf8"))
-    groups = {r["utf8"]: r["paths"] for r in files.groupBy("utf8").agg(F.collect_list("path").alias("paths")).collect()}
-    parts = [
-        spark.read.schema(schema).csv(paths, header=True, mode="DROPMALFORMED", sep=sep, encoding="UTF-8" if utf8 else "ISO-8859-1")
-        for utf8, paths in groups.items()
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    given = spark.createDataFrame([], schema).columns
+    parsed = F.from_csv("line", f"{schema}, _bad string", {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    rows = read_lines(spark, path).where((F.col("line_no") > 0) & (F.length("line") > 0)).select("file", "line_no", parsed.alias("r"))
+    return rows.where("r._bad is null").select(*[F.col(f"r.{n}").alias(n) for n in given], "file", "line_no")
 
 
 def read_csv_bom(spark: SparkSession, path: str) -> DataFrame:
@@ -130,25 +151,29 @@ def read_csv_bom(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumnRenamed(df.columns[0], df.columns[0].lstrip("﻿"))
 
 
-def cells(df: DataFrame, sheet: str) -> DataFrame:
-    """Every cell of a sheet as (row_no, column_name, cell, ref), rows counted from 0 in file order.
+def cells(df: DataFrame, sheet: str, row_no: str = "line_no") -> DataFrame:
+    """Every filled cell of a sheet as (row_no, column_name, cell, ref).
 
-    The running number is the position inside a partition plus the rows of the partitions before it;
-    only one count per partition is gathered for that.
+    ``row_no`` names the column with the stable number of a row, as the readers of files give it; records are counted from 1 after
+    the header, and the reference counts lines from 1.
     """
-    from pyspark.sql import Window as W
-
-    numbered = df.withColumn("_id", F.monotonically_increasing_id())
-    numbered = numbered.withColumn("_part", F.shiftright("_id", 33)).withColumn("_pos", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
-    before = F.coalesce(F.sum("n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).select("_part", before.alias("_before"))
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("cell")) for c in df.columns])
-    rows = numbered.join(F.broadcast(offsets), "_part")  # one row per partition
-    out = rows.select((F.col("_before") + F.col("_pos")).alias("row_no"), F.explode(pairs).alias("p")).select("row_no", "p.*")
-    ref = F.concat(F.lit(f"{sheet}:row="), F.col("row_no") + 2, F.lit(":col="), F.col("column_name"))
+    names = [c for c in df.columns if c not in (row_no, "file")]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("cell")) for c in names])
+    out = df.select(F.col(row_no).alias("row_no"), F.explode(pairs).alias("p")).select("row_no", "p.*")
+    ref = F.concat(F.lit(f"{sheet}:row="), F.col("row_no") + 1, F.lit(":col="), F.col("column_name"))
     return out.where(F.length("cell") > 0).withColumn("ref", ref)
 
 
+def sheet_cells(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",") -> DataFrame:
+    """Cells of sheets exported as CSV, with the sheet's file in the reference."""
+    schema = StructType([StructField(c, StringType()) for c in columns])
+    rows = read_csv_any_encoding(spark, path, ", ".join(f"`{f.name}` string" for f in schema.fields), sep)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("cell")) for c in columns])
+    out = rows.select("file", F.col("line_no").alias("row_no"), F.explode(pairs).alias("p")).select("file", "row_no", "p.*").where(F.length("cell") > 0)
+    name = F.element_at(F.split("file", "/"), -1)
+    return out.withColumn("ref", F.concat(name, F.lit(":row="), F.col("row_no") + 1, F.lit(":col="), F.col("column_name")))
+
+
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
     """(loc, lastmod, priority) of a sitemap; the schema is given so dates stay text."""
     return spark.read.format("xml").option("rowTag", "url").schema("loc string, lastmod string, priority double").load(path)

@@ -1,13 +1,15 @@
-"""Writers. Tables are Parquet folders; merges rewrite only the partitions a batch touches."""
+"""Writers. Merged tables are snapshots: a batch writes only the partitions it touches, beside the old ones, and commits once."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import hashlib
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelake.operators.keyed import insert_if_absent, upsert_non_null, upsert_replace
+from noticelake.operators.keyed import upsert_non_null, upsert_replace
+from noticelake.sources.snapshots import Snapshots, Version
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -21,51 +23,35 @@ def truncated(df: DataFrame, lengths: Mapping[str, int]) -> DataFrame:
     return df.withColumns({c: F.substring(c, 1, n) for c, n in lengths.items() if c in df.columns})
 
 
-def _merge(path: str, staging: str, batch: DataFrame, partition: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-    spark = batch.sparkSession
-    if not exists(spark, path):
-        empty = batch.limit(0)
-        merge(empty, batch).write.partitionBy(partition).mode("overwrite").parquet(path)
-        return
-    current = spark.read.parquet(path)
-    touched = batch.select(partition).distinct()
-    # Semi join on the partition column: Spark prunes the untouched partitions at run time.
-    affected = current.join(touched, partition, "left_semi")
-    merge(affected, batch).write.mode("overwrite").parquet(staging)
-    (
-        spark.read.parquet(staging)
-        .repartition(partition, F.pmod(F.xxhash64(*[c for c in current.columns if c != partition][:1]), F.lit(8)))
-        .write.option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .mode("overwrite")
-        .parquet(path)
-    )
-
-
 def upsert(
+    spark: SparkSession,
     path: str,
     batch: DataFrame,
     keys: Sequence[str],
     partition: str,
-    staging: str,
     non_null_only: bool = True,
     order: str | None = None,
     keep: Sequence[str] = ("created_at",),
-) -> None:
-    """Merge a batch into a table. The partition column must be a function of the key.
+) -> Version:
+    """Merges a batch into a table of snapshots and returns the version it made.
 
-    The merged partitions are written to ``staging`` first, so a job that dies half-way can be run again.
+    The partition column must be a function of the key. Only partitions that the batch touches are read and written, into new folders;
+    readers see them all at once with the commit, and a job that dies before it leaves the table as it was.
+    The driver holds one name a partition, never keys.
     """
     rule = upsert_non_null if non_null_only else upsert_replace
+    table = Snapshots(spark, path)
+    base = table.newest()
     held = [c for c in keep if c in batch.columns]
-    _merge(path, staging, batch, partition, lambda cur, new: rule(cur, new, keys, order, held))
-
-
-def append_new(path: str, batch: DataFrame, keys: Sequence[str], order: Sequence, partition: str | None = None) -> None:
-    """Append rows whose key is absent. Running the same batch again appends nothing."""
-    spark = batch.sparkSession
-    current = spark.read.parquet(path) if exists(spark, path) else batch.limit(0)
-    append(path, insert_if_absent(current, batch, keys, order), partition)
+    batch = batch.persist()
+    try:
+        touched = sorted(r["p"] for r in batch.select(F.coalesce(F.col(partition).cast("string"), F.lit("")).alias("p")).distinct().collect())
+        current = table.read(base, touched) if base.parts else batch.limit(0)
+        merged = rule(current, batch, keys, order, held)
+        written = table.write_parts(merged, partition)
+    finally:
+        batch.unpersist()
+    return table.commit(base, {**base.parts, **written}, {**base.facts, "schema": merged.schema.json()})
 
 
 def append(path: str, rows: DataFrame, partition: str | None = None) -> None:
@@ -84,8 +70,62 @@ def write_report(path: str, rows: DataFrame, statistics: DataFrame) -> None:
     statistics.write.mode("overwrite").option("header", "true").csv(f"{path}/statistics")
 
 
-def write_jdbc(rows: DataFrame, url: str, table: str, properties: Mapping[str, str], partitions: int = 8) -> None:
-    rows.coalesce(partitions).write.jdbc(url, table, mode="append", properties=dict(properties))
+def write_jdbc(rows: DataFrame, url: str, table: str, keys: Sequence[str], batch_id: str, properties: Mapping[str, str], log: str = "loaded_batches") -> bool:
+    """Upserts a batch into a database table once; False if the batch was loaded before.
+
+    The executors write a staging table of the batch's own name, which a run that follows a dead one simply writes anew. One
+    transaction then deletes the rows that the batch replaces, inserts the staged ones and records the batch id, whose
+    primary key lets only one of two writers through. Keys have to be unique in the batch. ``table`` and ``log`` must exist or be creatable.
+    """
+    spark = rows.sparkSession
+    stage = f"{table}_stage_{hashlib.sha256(batch_id.encode()).hexdigest()[:12]}"
+    jvm = spark.sparkContext._jvm
+    props = jvm.java.util.Properties()
+    for k, v in properties.items():
+        props.setProperty(k, v)
+    if properties.get("driver"):
+        jvm.java.lang.Class.forName(properties["driver"], True, jvm.java.lang.Thread.currentThread().getContextClassLoader())
+    connection = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        connection.setAutoCommit(False)
+        run = connection.createStatement()
+
+        def has(name: str) -> bool:
+            found = connection.getMetaData().getTables(None, None, None, None)
+            names = set()
+            while found.next():
+                names.add(found.getString("TABLE_NAME").lower())
+            return name.lower() in names
+
+        if not has(log):
+            run.execute(f"CREATE TABLE {log} (target VARCHAR(128) NOT NULL, batch_id VARCHAR(256) NOT NULL, PRIMARY KEY (target, batch_id))")
+            connection.commit()
+        seen = connection.prepareStatement(f"SELECT 1 FROM {log} WHERE target = ? AND batch_id = ?")
+        seen.setString(1, table)
+        seen.setString(2, batch_id)
+        if seen.executeQuery().next():
+            connection.rollback()
+            return False
+        connection.rollback()
+        rows.write.jdbc(url, stage, mode="overwrite", properties=dict(properties))
+        if not has(table):
+            rows.limit(0).write.jdbc(url, table, mode="append", properties=dict(properties))
+        names = ", ".join(f'"{c}"' for c in rows.columns)
+        same = " AND ".join(f'{stage}."{k}" = {table}."{k}"' for k in keys)
+        run.execute(f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {stage} WHERE {same})")
+        run.execute(f"INSERT INTO {table} ({names}) SELECT {names} FROM {stage}")
+        done = connection.prepareStatement(f"INSERT INTO {log} VALUES (?, ?)")
+        done.setString(1, table)
+        done.setString(2, batch_id)
+        done.execute()
+        run.execute(f"DROP TABLE {stage}")
+        connection.commit()
+        return True
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
 
 
 def status_updates(raw: DataFrame, outcome: DataFrame, key: str, as_of) -> DataFrame:

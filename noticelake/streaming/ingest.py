@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from noticelake.sources.sinks import append_new
+from noticelake.sources.keyed_table import KeyedTable
 
 
 def read_landing(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
@@ -23,15 +23,16 @@ def unique_in_session(stream: DataFrame, keys: Sequence[str], time: str, within:
 
 
 def incremental_ingest(
-    stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order: Callable[[], list], transform: Callable[[DataFrame], DataFrame] | None = None
+    stream: DataFrame, target: KeyedTable, checkpoint: str, order: Callable[[], list], transform: Callable[[DataFrame], DataFrame] | None = None
 ) -> StreamingQuery:
     """Append new keys of every micro-batch to ``target``.
 
-    A batch that is replayed after a failure finds its keys stored and adds nothing. Progress is in
-    the checkpoint folder, which must be shared storage on a cluster.
+    A batch reads the key buckets that it touches, not the table. Replayed after a failure, or by a stream that has lost its
+    checkpoint, it finds its keys stored and adds nothing. Progress is in the checkpoint folder, which
+    must be shared storage on a cluster.
     """
     def handle(batch: DataFrame, _: int) -> None:
-        append_new(target, transform(batch) if transform else batch, keys, order())
+        target.append_new(transform(batch) if transform else batch, order())
 
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

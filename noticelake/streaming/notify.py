@@ -6,56 +6,114 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from noticelake.operators.keyed import keep_first
+from noticelake.operators.paging import top_k_per
 from noticelake.plans.health import all_alerts, pipeline_alerts
-from noticelake.plans.match import new_notifications, notifications
-from noticelake.sources.sinks import append, append_new, exists
+from noticelake.plans.match import notifications
+from noticelake.presets import br_notices as br
+from noticelake.sources.keyed_table import BUCKETS, KeyedTable
+from noticelake.sources.snapshots import Snapshots, Version
 
-NOTIFICATION = "user_id string, notice_id long, filter_id string, batch_id long, created_at timestamp"
+NOTICE = ("notice_id", "region", "city", "tags", "value")
+FILTER = ("filter_id", "user_id", "is_active", "f_region", "f_city", "f_tags", "f_min", "f_max")
 
 
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+class Matches:
+    """Who is told about which notice, kept while notices and filters arrive in any order.
 
+    New notices meet all filters, and new or changed filters the notices stored before: each pair is looked at
+    when the later of the two arrives, so in the end the same pairs are known as if all had come at once. Notices, filters, pairs and what
+    was sent are committed together; a change that is run again adds nothing.
+    """
 
-def notify_matches(stream: DataFrame, filters_path: str, target: str, outbox: str, checkpoint: str, time: str) -> StreamingQuery:
-    """Match every new notice against the active filters; each user hears of a notice once.
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.shots = spark, Snapshots(spark, path)
+        self.notices = KeyedTable(self.shots, ["notice_id"], "notices", buckets)
+        self.versions = KeyedTable(self.shots, ["filter_id", "state"], "filters", buckets)
+        self.pairs = KeyedTable(self.shots, ["user_id", "notice_id", "filter_id"], "pairs", buckets)
+        self.sent = KeyedTable(self.shots, ["user_id", "notice_id"], "sent", buckets)
 
-    The filter table is read anew per batch, so changes take effect with the next one. ``outbox``
-    gets the rows of a batch for a pusher to pick up.
-    """
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        filters = spark.read.parquet(filters_path)
-        found = notifications(batch, filters)
-        fresh = new_notifications(found, _stored(spark, target, NOTIFICATION))
-        seen_at = batch.agg(F.max(time).alias("t")).scalar()
-        rows = fresh.select(
-            F.col("user_id").cast("string").alias("user_id"), F.col("notice_id").cast("long").alias("notice_id"),
-            F.col("filter_id").cast("string").alias("filter_id"), F.lit(batch_id).cast("long").alias("batch_id"), seen_at.cast("timestamp").alias("created_at"),
-        )
-        # The outbox is a function of the stored table: one write decides, the second copies it.
-        append(target, rows)
-        append_new(outbox, _stored(spark, target, NOTIFICATION).where(F.col("batch_id") == batch_id), ["user_id", "notice_id"], [F.col("filter_id")])
-
-    return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def alert_on_runs(runs: DataFrame, target: str, checkpoint: str, group: str | None = None, history: str | None = None) -> StreamingQuery:
-    """Alerts of every finished run, stored once per run and rule.
-
-    With ``group`` (the column of the pipeline) runs without new rows in a row are told too; ``history`` is
-    the folder of earlier runs, of which those of the batch's pipelines are looked at.
+    def filters(self, rows: DataFrame | None) -> DataFrame | None:
+        """The newest state of each filter; an inactive one is kept to close the older ones."""
+        return None if rows is None else keep_first(rows, ["filter_id"], [F.desc("change"), F.col("state")]).select(*FILTER)
+
+    def change(self, notices: DataFrame | None = None, filters: DataFrame | None = None) -> DataFrame:
+        """Takes new notices and new or changed filters; returns the notifications to send: (user_id, notice_id, filter_id)."""
+        base = now = self.shots.newest()
+        old_notices = self.notices.rows(base)
+        fresh_notices = fresh_filters = None
+        if notices is not None:
+            fresh_notices, now = self.notices.stage(now, notices.select(*NOTICE), [F.hash("region", "city")])
+        if filters is not None:
+            f = filters.select(*FILTER)
+            f = f.withColumn("state", F.sha2(F.to_json(F.struct(*FILTER)), 256)).withColumn("change", F.lit(base.number + 1))
+            fresh_filters, now = self.versions.stage(now, f, [F.col("change")])
+        every, changed = self.filters(self.versions.rows(base)), self.filters(fresh_filters)
+        if changed is not None:
+            every = changed if every is None else every.join(changed.select("filter_id"), "filter_id", "left_anti").unionByName(changed)
+        found = []
+        if fresh_notices is not None and every is not None:
+            found.append(notifications(fresh_notices, every))
+        if changed is not None and old_notices is not None:
+            found.append(notifications(old_notices, changed))
+        if not found:
+            sent = None
+        else:
+            both = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+            both = both.groupBy("user_id", "notice_id").agg(F.min("filter_id").alias("filter_id"))
+            pairs, now = self.pairs.stage(now, both, [F.col("filter_id")])
+            sent, now = self.sent.stage(now, pairs, [F.col("filter_id")])
+        if now.parts != base.parts:
+            self.shots.commit(base, now.parts, now.facts)
+        return sent if sent is not None else self.spark.createDataFrame([], "user_id string, notice_id long, filter_id string")
+
+    def known(self) -> DataFrame | None:
+        """One row a user and notice with the lowest filter id that has matched it."""
+        pairs = self.pairs.rows()
+        return None if pairs is None else pairs.groupBy("user_id", "notice_id").agg(F.min("filter_id").alias("filter_id"))
+
+    def outbox(self, since: int = 0) -> DataFrame | None:
+        """Notifications first sent after version ``since``, for a pusher that keeps the number of the last version it has read."""
+        return self.sent.rows(since=since)
+
+
+def notify_changes(notices: DataFrame, filters: DataFrame, state: Matches, checkpoint: str) -> StreamingQuery:
+    """Two streams, of notices and of saved filters, matched as their rows arrive; each user hears of a notice once."""
+    n = notices.select(F.struct(*NOTICE).alias("n"), F.lit(None).cast(filters.select(F.struct(*FILTER).alias("f")).schema["f"].dataType).alias("f"))
+    f = filters.select(F.lit(None).cast(n.schema["n"].dataType).alias("n"), F.struct(*FILTER).alias("f"))
+
+    def handle(batch: DataFrame, _: int) -> None:
+        batch = batch.persist()
+        state.change(batch.where("n is not null").select("n.*"), batch.where("f is not null").select("f.*"))
+        batch.unpersist()
+
+    return n.unionByName(f).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def alert_on_runs(
+    runs: DataFrame, target: KeyedTable, checkpoint: str, group: str | None = None, history: Snapshots | None = None, idle: int = br.IDLE_RUNS
+) -> StreamingQuery:
+    """Alerts of every finished run, stored once per run and rule; ``target`` is keyed by run_id and kind.
+
+    With ``group`` (the column of the pipeline) ``idle`` runs without new rows in a row are told too. Of earlier runs ``history`` holds the
+    last few of each pipeline, all that the rule can ask for, so a batch never reads further back.
     """
-    def found(batch: DataFrame) -> DataFrame:
+    def found(batch: DataFrame, earlier: DataFrame | None) -> DataFrame:
         if group is None:
             return pipeline_alerts(batch)
-        seen = batch
-        if history is not None and exists(batch.sparkSession, history):
-            earlier = batch.sparkSession.read.schema(batch.schema).parquet(history).join(batch.select(group).distinct(), group, "left_semi")
-            seen = earlier.join(batch.select("run_id"), "run_id", "left_anti").unionByName(batch)
+        seen = batch if earlier is None else earlier.join(batch.select("run_id"), "run_id", "left_anti").unionByName(batch)
         return all_alerts(seen, group).join(batch.select("run_id").distinct(), "run_id", "left_semi")
 
     def handle(batch: DataFrame, _: int) -> None:
-        append_new(target, found(batch), ["run_id", "kind"], [F.col("severity")])
+        base = history.newest() if history is not None else Version()
+        earlier = history.read(base) if base.parts else None
+        target.append_new(found(batch, earlier), [F.col("severity")])
+        if history is None:
+            return
+        both = batch if earlier is None else earlier.join(batch.select("run_id"), "run_id", "left_anti").unionByName(batch)
+        last = top_k_per(both, [group], [F.desc("started_at"), F.desc("run_id")], max(idle - 1, 1), rank="__place").drop("__place")
+        folder = history.folder()
+        last.write.parquet(f"{history.path}/{folder}")
+        history.commit(base, {"last": folder}, {"schema": batch.schema.json()})
 
     return runs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -6,14 +6,17 @@ import os
 import tempfile
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from noticelake.functions import extract, ids
-from noticelake.operators import keyed, predicates
+from noticelake.operators import keyed, predicates, ranks
 from noticelake.operators.joins import allowed_hosts, match_terms, tag_by_terms
 from noticelake.plans import contract, discovery, feed, geo, health, links, lots, match, quality, stats, sync, tagging, unify
 from noticelake.presets import br_notices as br
 from noticelake.sources import readers, sinks
+from noticelake.sources.keyed_table import KeyedTable
+from noticelake.sources.snapshots import Conflict, Snapshots
 from noticelake.streaming import ingest, notify
 
 FULL = dict(
@@ -72,26 +75,84 @@ def test_upserts(spark):
     b = {r.k: tuple(r)[1:] for r in keyed.upsert_replace(cur, new, ["k"], keep=["created_at"]).collect()}
     assert b == {1: ("a", 1.0, "t0"), 2: (None, 9.0, "t0"), 3: ("c", None, "t1")}
     assert keyed.insert_if_absent(cur, new.unionByName(new), ["k"], [F.col("k")]).count() == 1
-    kept, room = keyed.capacity_brake(new, 9, 10, [F.col("k")])
-    assert room == 1 and kept.count() == 1
+    done = ranks.capacity_brake(new, 9, 10, F.col("k"))
+    assert (done.n_accepted, done.n_rejected) == (1, 1) and done.accepted.count() == 1 and done.rejected.first().k == 3
+    full = ranks.capacity_brake(new, 11, 10, F.col("k"))
+    assert (full.n_accepted, full.n_rejected) == (0, 2)
     with_null = spark.createDataFrame([(1,), (None,)], "x int")
     assert keyed.not_in(cur, "k", with_null, "x").count() == 0
     assert [r.k for r in keyed.not_in(cur, "k", with_null.where("x is not null"), "x").collect()] == [2]
 
 
 def test_table_upsert_touches_only_its_partitions(spark):
-    path, stage = tmp() + "/t", tmp() + "/s"
+    path = tmp() + "/t"
     sch = "k int, day string, v int, created_at string"
-    sinks.upsert(path, spark.createDataFrame([(1, "d1", 1, "a"), (2, "d2", 2, "a")], sch), ["k", "day"], "day", stage)
-    before = {f: os.path.getmtime(f"{path}/day=d1/{f}") for f in os.listdir(f"{path}/day=d1")}
+    sinks.upsert(spark, path, spark.createDataFrame([(1, "d1", 1, "a"), (2, "d2", 2, "a"), (5, None, 7, "a")], sch), ["k", "day"], "day")
+    table = Snapshots(spark, path)
+    first = table.newest()
     for _ in range(2):
-        sinks.upsert(path, spark.createDataFrame([(2, "d2", 5, "b"), (3, "d2", 3, "b")], sch), ["k", "day"], "day", stage)
-    rows = sorted((r.k, r.day, r.v, r.created_at) for r in spark.read.parquet(path).collect())
-    assert rows == [(1, "d1", 1, "a"), (2, "d2", 5, "a"), (3, "d2", 3, "b")]
-    assert before == {f: os.path.getmtime(f"{path}/day=d1/{f}") for f in os.listdir(f"{path}/day=d1")}
-    sinks.append_new(path + "2", spark.createDataFrame([(1,), (1,)], "k int"), ["k"], [F.col("k")])
-    sinks.append_new(path + "2", spark.createDataFrame([(1,), (2,)], "k int"), ["k"], [F.col("k")])
-    assert sorted(r.k for r in spark.read.parquet(path + "2").collect()) == [1, 2]
+        sinks.upsert(spark, path, spark.createDataFrame([(2, "d2", 5, "b"), (3, "d2", 3, "b")], sch), ["k", "day"], "day")
+    now = table.newest()
+    rows = sorted((r.k, r.day, r.v, r.created_at) for r in table.read().collect())
+    assert rows == [(1, "d1", 1, "a"), (2, "d2", 5, "a"), (3, "d2", 3, "b"), (5, None, 7, "a")]
+    assert now.number == 3 and now.parts["d1"] == first.parts["d1"] and now.parts[""] == first.parts[""] and now.parts["d2"] != first.parts["d2"]
+    assert sorted(r.v for r in table.read(first).collect()) == [1, 2, 7]  # earlier versions stay as they were
+    table.vacuum(keep=1)
+    assert sorted((r.k, r.v) for r in table.read().collect()) == [(1, 1), (2, 5), (3, 3), (5, 7)] and table.numbers() == [3]
+    assert not os.path.exists(f"{path}/{first.parts['d2']}") and os.path.exists(f"{path}/{first.parts['d1']}")
+
+
+def test_a_merge_that_dies_leaves_the_table_and_two_writers_cannot_both_commit(spark, monkeypatch):
+    path, sch = tmp() + "/t", "k int, day string, v int, created_at string"
+    sinks.upsert(spark, path, spark.createDataFrame([(1, "d1", 1, "a")], sch), ["k", "day"], "day")
+    table = Snapshots(spark, path)
+    base = table.newest()
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(Snapshots, "commit", killed)
+        with pytest.raises(KeyboardInterrupt):
+            sinks.upsert(spark, path, spark.createDataFrame([(1, "d1", 9, "b")], sch), ["k", "day"], "day")
+    assert table.newest() == base and table.read().first().v == 1
+    table.commit(base, base.parts, {**base.facts, "by": "one"})
+    with pytest.raises(Conflict):
+        table.commit(base, base.parts, {**base.facts, "by": "two"})
+    assert table.newest().facts["by"] == "one"
+
+
+def test_known_keys_are_read_by_bucket(spark):
+    shots = Snapshots(spark, tmp() + "/t")
+    known = KeyedTable(shots, ["k"], buckets=16)
+    batch = lambda *ks: spark.createDataFrame([(k, f"v{k}") for k in ks], "k long, v string")
+    assert known.append_new(batch(*range(100), 5, 6), [F.col("v")]).count() == 100
+    version = shots.newest()
+    assert known.append_new(batch(*range(100)), [F.col("v")]).count() == 0 and shots.newest() == version
+    for i in range(100, 112):
+        assert known.append_new(batch(i, 3), [F.col("v")]).count() == 1
+    assert sorted(r.k for r in known.rows().collect()) == list(range(112))
+    few = batch(7)
+    touched = known.touched(few)
+    files = known.known(shots.newest(), touched, few).inputFiles()
+    assert len(touched) == 1 and files and all(f"_part={touched[0]}/" in f for f in files)
+    assert max(len(known._folders(shots.newest(), f"keys/{b}/")) for b in range(16)) <= 9
+    nulls = spark.createDataFrame([(None, "a")], "k long, v string")
+    assert known.append_new(nulls, [F.col("v")]).count() == 1 and known.rows(since=shots.newest().number - 1).first().v == "a"
+
+
+def test_database_batches_are_loaded_once(spark):
+    url, props = "jdbc:derby:memory:notices;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    sch = "k int, v string"
+    load = lambda rows, batch: sinks.write_jdbc(spark.createDataFrame(rows, sch), url, "notices", ["k"], batch, props)
+    stored = lambda: sorted(map(tuple, spark.read.jdbc(url, "notices", properties=props).collect()))
+    assert load([(1, "a"), (2, "b")], "one") and load([(2, "c"), (3, None)], "two")
+    assert stored() == [(1, "a"), (2, "c"), (3, None)]
+    assert not load([(1, "z")], "one") and stored() == [(1, "a"), (2, "c"), (3, None)]
+    with pytest.raises(Exception):
+        sinks.write_jdbc(spark.createDataFrame([(1, "q"), (1, "r")], sch).withColumn("none", F.lit(1)), url, "notices", ["k"], "three", props)
+    assert stored() == [(1, "a"), (2, "c"), (3, None)]
+    assert load([(1, "y")], "three") and stored()[0] == (1, "y")
 
 
 def _filter_rows(spark):
@@ -360,9 +421,15 @@ def test_readers(spark):
     with open(f"{d}/a.csv", "wb") as f:
         f.write("n,v\nSão,1\n".encode())
     with open(f"{d}/b.csv", "wb") as f:
-        f.write("n,v\nAção,2\nruim\n".encode("latin-1"))
-    got = sorted((r.n, r.v) for r in readers.read_csv_any_encoding(spark, f"{d}/*.csv", "n string, v int").where("v is not null").collect())
-    assert got == [("Ação", 2), ("São", 1)]
+        f.write("n,v\r\nAção,2\r\nruim\r\n".encode("latin-1") + b"\x93x\x94,3\n" + b"a,4\n" * 3000)
+    numbered = []
+    for size in ("64", "1000", "134217728"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        numbered.append(sorted((r.n, r.v, r.line_no) for r in readers.read_csv_any_encoding(spark, f"{d}/*.csv", "n string, v int").collect()))
+    assert numbered[0] == numbered[1] == numbered[2] and len(numbered[0]) == 3003
+    assert {("Ação", 2, 1), ("São", 1, 1), ("“x”", 3, 3), ("a", 4, 3003)} <= set(numbered[0])
+    sheet = readers.sheet_cells(spark, f"{d}/a.csv", ["n", "v"]).collect()
+    assert [(c.cell, c.ref) for c in sheet] == [("São", "a.csv:row=2:col=n"), ("1", "a.csv:row=2:col=v")]
     with open(f"{d}/s.xml", "w") as f:
         f.write("<urlset><url><loc>http://a</loc><lastmod>2026-01-02</lastmod><priority>0.5</priority></url><url><loc>http://b</loc></url></urlset>")
     s = readers.read_sitemap(spark, f"{d}/s.xml")
@@ -374,7 +441,7 @@ def test_readers(spark):
     n = readers.notices_from_json(j).collect()
     assert len(n) == 1 and n[0].title == "t" and n[0].city == "Diversos" and n[0].region == "BR"
     assert readers.list_files(spark, d).count() == 4
-    cells = readers.cells(spark.createDataFrame([("www.a.com.br", None)], "x string, y string"), "plan").collect()
+    cells = readers.cells(spark.createDataFrame([("www.a.com.br", None, 1)], "x string, y string, line_no int"), "plan").collect()
     assert [(c.cell, c.ref) for c in cells] == [("www.a.com.br", "plan:row=2:col=x")]
 
 
@@ -387,37 +454,50 @@ def test_unread(spark):
 
 
 def test_stream_ingest_is_idempotent(spark):
-    src, out, cp = tmp(), tmp() + "/out", tmp()
+    src, cp = tmp(), tmp()
+    out = KeyedTable(Snapshots(spark, tmp() + "/out"), ["k"])
     df = spark.createDataFrame([(i % 5, dt.datetime(2026, 1, 1)) for i in range(10)], "k int, at timestamp")
     df.coalesce(1).write.mode("append").parquet(src)
 
     def run(checkpoint):
         s = ingest.read_landing(spark, src, "k int, at timestamp")
-        ingest.incremental_ingest(s, out, checkpoint, ["k"], lambda: [F.col("at")]).awaitTermination(120)
+        ingest.incremental_ingest(s, out, checkpoint, lambda: [F.col("at")]).awaitTermination(120)
 
     run(cp)
-    assert spark.read.parquet(out).count() == 5
+    assert out.rows().count() == 5
     run(tmp())  # a lost checkpoint replays everything
-    assert spark.read.parquet(out).count() == 5
+    assert out.rows().count() == 5
     spark.createDataFrame([(7, dt.datetime(2026, 1, 2))], "k int, at timestamp").write.mode("append").parquet(src)
     run(cp)
-    assert sorted(r.k for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4, 7]
+    assert sorted(r.k for r in out.rows().collect()) == [0, 1, 2, 3, 4, 7]
 
 
 def test_stream_notifications_equal_batch(spark):
-    src, filters, target, outbox = tmp(), tmp() + "/f", tmp() + "/n", tmp() + "/o"
-    sch = "notice_id long, region string, city string, tags array<string>, value double, at timestamp"
-    at = dt.datetime(2026, 1, 1)
-    match.read_filters(_filter_rows(spark)).write.parquet(filters)
-    for part in (_NOTICES[:3], _NOTICES[3:]):
-        spark.createDataFrame([(*r, at) for r in part], sch).coalesce(1).write.mode("append").parquet(src)
-    for cp in (tmp(), tmp()):
-        s = ingest.read_landing(spark, src, sch, max_files=1)
-        notify.notify_matches(s, filters, target, outbox, cp, "at").awaitTermination(200)
-    n = spark.createDataFrame(_NOTICES, "notice_id long, region string, city string, tags array<string>, value double")
+    """Notices and filters in any order; a lost checkpoint sends nothing again."""
+    notices, filters = tmp(), tmp()
+    sch = "notice_id long, region string, city string, tags array<string>, value double"
+    f = match.read_filters(_filter_rows(spark)).select(*notify.FILTER)
+    state = notify.Matches(spark, tmp() + "/s", buckets=2)
+
+    def run(checkpoint):
+        notify.notify_changes(ingest.read_landing(spark, notices, sch), ingest.read_landing(spark, filters, f.schema), state, checkpoint).awaitTermination(300)
+
+    cp = tmp()
+    for part, which in ((_NOTICES[:3], "filter_id < 'f5'"), (_NOTICES[3:], "filter_id >= 'f5'")):
+        spark.createDataFrame(part, sch).coalesce(1).write.mode("append").parquet(notices)
+        f.where(which).coalesce(1).write.mode("append").parquet(filters)
+        run(cp)
+    version = state.shots.newest()
+    run(tmp())
+    assert state.shots.newest() == version
+    n = spark.createDataFrame(_NOTICES, sch)
     want = sorted((r.user_id, r.notice_id, r.filter_id) for r in match.notifications(n, match.read_filters(_filter_rows(spark))).collect())
-    assert sorted((r.user_id, r.notice_id, r.filter_id) for r in spark.read.parquet(target).collect()) == want
-    assert sorted((r.user_id, r.notice_id, r.filter_id) for r in spark.read.parquet(outbox).collect()) == want
+    assert sorted((r.user_id, r.notice_id, r.filter_id) for r in state.known().collect()) == want
+    assert sorted((r.user_id, r.notice_id) for r in state.outbox().collect()) == [w[:2] for w in want]
+    # A changed filter meets the notices stored before; what was told is not told again.
+    change = f.where("filter_id = 'f6'").withColumn("is_active", F.lit(True))
+    assert sorted((r.user_id, r.notice_id) for r in state.change(None, change).collect()) == [("u5", 1), ("u5", 2)]
+    assert state.change(None, change).count() == 0 and state.outbox(since=version.number).count() == 2
 
 
 def test_stream_dedup(spark):
@@ -429,17 +509,17 @@ def test_stream_dedup(spark):
 
 
 def test_alert_stream(spark):
-    src, out = tmp(), tmp() + "/o"
+    src, out = tmp(), KeyedTable(Snapshots(spark, tmp() + "/o"), ["run_id", "kind"], buckets=2)
     sch = "run_id string, status string, processed int, valid int, quarantine_percent double, duration_s int, downloads_ok int, downloads_failed int"
     spark.createDataFrame([("c", "FAILED", 10, 5, 1.0, 1, 0, 0)], sch).write.mode("append").parquet(src)
     for _ in range(2):
         notify.alert_on_runs(ingest.read_landing(spark, src, sch), out, tmp()).awaitTermination(120)
-    assert [(r.run_id, r.kind) for r in spark.read.parquet(out).collect()] == [("c", "execution_failed")]
+    assert [(r.run_id, r.kind) for r in out.rows().collect()] == [("c", "execution_failed")]
 
 
 def test_idle_rule_in_the_stream(spark):
     """Runs without new rows in a row are told by the stream, with the earlier runs out of the history."""
-    src, past, out = tmp(), tmp() + "/h", tmp() + "/o"
+    src, past, out = tmp(), Snapshots(spark, tmp() + "/h"), KeyedTable(Snapshots(spark, tmp() + "/o"), ["run_id", "kind"], buckets=2)
     sch = (
         "run_id string, pipeline string, started_at timestamp, new_rows long, status string, processed int, valid int, quarantine_percent double, duration_s int, downloads_ok int, downloads_failed int"
     )
@@ -448,11 +528,13 @@ def test_idle_rule_in_the_stream(spark):
     def rows(first, last):
         return [(f"r{i:02d}", "p", dt.datetime(2026, 1, 1, i), 0, "SUCCESS", 10, 10, 0.0, 1, 1, 0) for i in range(first, last)]
 
-    spark.createDataFrame(rows(0, n - 1), sch).write.parquet(past)
-    spark.createDataFrame(rows(n - 1, n + 1), sch).write.mode("append").parquet(src)
-    notify.alert_on_runs(ingest.read_landing(spark, src, sch), out, tmp(), group="pipeline", history=past).awaitTermination(120)
-    told = sorted(r.run_id for r in spark.read.parquet(out).where("kind = 'no_new_rows'").collect())
-    assert told == [f"r{i:02d}" for i in (n - 1, n)]
+    cp = tmp()
+    for first, last in ((0, n + 3), (n + 3, n + 4)):
+        spark.createDataFrame(rows(first, last), sch).coalesce(1).write.mode("append").parquet(src)
+        notify.alert_on_runs(ingest.read_landing(spark, src, sch), out, cp, group="pipeline", history=past).awaitTermination(120)
+    told = sorted(r.run_id for r in out.rows().where("kind = 'no_new_rows'").collect())
+    assert told == [f"r{i:02d}" for i in range(n - 1, n + 4)]
+    assert past.read().count() == n - 1  # nothing older is kept or read
 
 
 def test_long_record_ids_stay_apart(spark):
