@@ -32,9 +32,14 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of one Arrow batch: texts of any length reach Python in pieces that a few workers of an executor can hold.
+BATCH_BYTES = 8 << 20
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Gives the executors this package's code, once for each application, as ``--py-files`` would."""
+    """Gives the executors this package's code, once for each application, as ``--py-files`` would, and bounds batches by their bytes."""
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if getattr(context, "_noticelake_shipped", False):
         return
     package = Path(__file__).resolve().parents[1]
