@@ -114,6 +114,10 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+#: What Latin-1 reads as control characters, and the letters that Windows-1252 has there.
+WINDOWS_1252 = tuple("".join(c) for c in zip(*[(chr(i), bytes([i]).decode("cp1252")) for i in range(0x80, 0xA0) if bytes([i]).decode("cp1252", "ignore")]))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, line) of text files of mixed encodings; lines are numbered from 0 in each file.
 
@@ -130,7 +134,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     splits = rows.groupBy("file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"), F.bool_and("_utf8").alias("_all"))
     splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_whole", F.bool_and("_all").over(W.partitionBy("file")))
     met = rows.join(splits.drop("_n", "_all"), ["file", "_start"])
-    line = F.when(F.col("_whole"), F.decode("_bytes", "UTF-8")).otherwise(F.decode("_bytes", "windows-1252"))
+    line = F.when(F.col("_whole"), F.decode("_bytes", "UTF-8")).otherwise(F.translate(F.decode("_bytes", "ISO-8859-1"), *WINDOWS_1252))
     return met.select("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), F.regexp_replace(line, "^\ufeff|\r$", "").alias("line"))
 
 
