@@ -39,6 +39,17 @@ def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return total.withColumn("dedup_rate", percent(F.col("duplicates"), F.col("analysed")))
 
 
+def run_rates(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
+    """``duplicate_counts`` with the distinct keys that have a date anywhere, and their percentage."""
+    from noticelake.functions.money import percent
+
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.col(date).isNotNull()).alias("dated"))
+    total = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("analysed"), F.count(F.lit(1)).alias("distinct_keys"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"), F.count_if("dated").alias("dates_found")
+    )
+    return total.withColumn("dedup_rate", percent(F.col("duplicates"), F.col("analysed"))).withColumn("date_rate", percent(F.col("dates_found"), F.col("distinct_keys")))
+
+
 def _ranked(current: DataFrame, incoming: DataFrame, order: str | None) -> DataFrame:
     """Both sides under one schema with a rank that puts the incoming rows last."""
     def tag(df: DataFrame, rank: int) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -27,14 +28,17 @@ def page(df: DataFrame, order: Sequence[Column], number: int, size: int) -> Data
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
-def envelope(df: DataFrame, number: int, size: int, source: str | None = None) -> DataFrame:
-    """One row: total, page, page size, page count and the echoed source filter."""
+def envelope(df: DataFrame, number: int, size: int, source: str | None = None, filters: Mapping[str, object] | None = None) -> DataFrame:
+    """One row: total, page, page size, page count, the echoed source filter and all filters as JSON, by name."""
+    given = {k: list(v) if isinstance(v, (tuple, set, frozenset)) else v for k, v in sorted((filters or {}).items())}
+    echo = json.dumps(given, ensure_ascii=False, separators=(",", ":"), default=str)
     return df.agg(F.count(F.lit(1)).alias("total")).select(
         "total",
         F.lit(number).alias("page"),
         F.lit(size).alias("page_size"),
         F.ceil(F.greatest(F.col("total"), F.lit(1)) / F.lit(size)).alias("total_pages"),
         F.lit(source).cast("string").alias("source_filter"),
+        F.lit(echo).alias("filters"),
     )
 
 

@@ -29,14 +29,14 @@ def page_links(pages: DataFrame, extensions: Sequence[str] = br.BINARY_EXTENSION
 
 
 def page_title(pages: DataFrame) -> DataFrame:
-    return pages.select("url", F.substring(F.trim(F.regexp_extract("html", TITLE_TAG, 1)), 1, 200).alias("title"))
+    return pages.select("url", F.trim(F.regexp_extract("html", TITLE_TAG, 1)).alias("title"))
 
 
 def enrich_candidates(pages: DataFrame, keywords: Sequence[str]) -> DataFrame:
     """Host, title, official flags and the keywords found in the title and visible text."""
     title = F.trim(F.regexp_extract("html", TITLE_TAG, 1))
     text = F.lower(F.concat_ws(" ", title, strip_html(F.col("html"))))
-    rows = pages.select("url", U.host(F.col("url")).alias("domain"), F.substring(title, 1, 200).alias("title"), matching_words(text, keywords).alias("k"))
+    rows = pages.select("url", U.host(F.col("url")).alias("domain"), title.alias("title"), matching_words(text, keywords).alias("k"))
     return rows.select(
         "url", "domain", "title", F.contains("domain", F.lit(".gov.br")).alias("is_gov_br"), F.contains("domain", F.lit("detran")).alias("is_detran"),
         F.size("k").alias("keywords_count"), F.array_join("k", "|").alias("keywords_found"),

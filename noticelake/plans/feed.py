@@ -15,6 +15,7 @@ from noticelake.functions.regions import valid_region
 from noticelake.functions.scores import feed_confidence
 from noticelake.functions.text import blank_to_null, collapse_space, strip_html, title_case
 from noticelake.operators.once import compute_once
+from noticelake.operators.paging import top_k
 from noticelake.operators.shares import counted
 from noticelake.presets import br_notices as br
 from noticelake.sources.readers import before_first_repeat
@@ -129,8 +130,7 @@ def run(items: DataFrame, source: str, run_id: str, as_of, drop_repeated_pages:
 
 
 def top_rejections(quarantine: DataFrame, codes: DataFrame, k: int = 10) -> DataFrame:
-    """Counts per stage and code with the description, largest first; at most ``k`` validation codes."""
+    """The ``k`` most frequent codes of both stages in one list with their descriptions, largest first."""
     counts = counted(quarantine.select("stage", F.explode("errors").alias("code")), ["stage", "code"])
-    validation = counts.where("stage = 'validation'").orderBy(F.desc("total"), "code").limit(k)
-    early = counts.where("stage = 'pre_filter'")
-    return validation.unionByName(early).join(codes, "code", "left").orderBy(F.desc("total"), "stage", "code")
+    order = [F.desc("total"), F.col("stage"), F.col("code")]
+    return top_k(counts, order, k).join(F.broadcast(codes), "code", "left").orderBy(*order)  # codes: a row each of the fixed list

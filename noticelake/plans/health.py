@@ -125,7 +125,7 @@ def last_run(runs: DataFrame) -> DataFrame:
 
 
 def service_levels(runs: DataFrame, rows: DataFrame, as_of) -> DataFrame:
-    """(sli, measured, target, met) for success, freshness, integrity and downloads.
+    """(sli, measured, target, met) for success, largest and mean freshness of the rows stored from the day of ``as_of`` on, integrity and downloads.
 
     Runs: started_at, run_id, status, new_rows, discarded, downloads_ok, downloads_failed.
     Rows: created_at, published_at.
@@ -135,7 +135,8 @@ def service_levels(runs: DataFrame, rows: DataFrame, as_of) -> DataFrame:
     in_month = runs.where(F.col("started_at") >= now - F.expr("INTERVAL 30 DAYS"))
     success = in_week.agg(percent(F.count_if(F.col("status") == "SUCCESS"), F.count(F.lit(1)), 2).alias("measured"))
     hours = (F.unix_timestamp("created_at") - F.unix_timestamp("published_at")).cast("decimal(18,4)") / 3600
-    fresh = rows.where(F.col("created_at") >= F.date_trunc("day", now)).agg(F.round(F.max(hours), 2).alias("measured"))
+    today = rows.where(F.col("created_at") >= F.date_trunc("day", now))
+    fresh, mean_fresh = (today.agg(F.round(f(hours), 2).alias("measured")) for f in (F.max, F.avg))
     integrity = last_run(runs).agg(percent(F.sum("new_rows"), F.sum(F.col("new_rows") + F.col("discarded")), 2).alias("measured"))
     downloads = in_month.agg(percent(F.sum("downloads_ok"), F.sum(F.col("downloads_ok") + F.col("downloads_failed")), 2).alias("measured"))
 
@@ -147,6 +148,7 @@ def service_levels(runs: DataFrame, rows: DataFrame, as_of) -> DataFrame:
     return (
         row(success, "success_percent_7d", br.SLO_SUCCESS)
         .unionByName(row(fresh, "freshness_max_hours", br.SLO_FRESH_HOURS, True))
+        .unionByName(row(mean_fresh, "freshness_mean_hours", br.SLO_FRESH_HOURS, True))
         .unionByName(row(integrity, "integrity_percent_last_run", br.SLO_INTEGRITY))
         .unionByName(row(downloads, "download_percent_30d", br.SLO_DOWNLOAD))
     )

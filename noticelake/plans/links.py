@@ -121,12 +121,16 @@ def resolve_links(texts: DataFrame, allow: DataFrame) -> DataFrame:
 
 
 def audit_marks(notices: DataFrame, resolved: DataFrame, run_id: str, as_of) -> DataFrame:
-    """Processed time, run and result (found, no_link, skipped) for every notice."""
-    j = notices.join(resolved.select("notice_id", "link_valid"), "notice_id", "left")
-    result = F.when(F.col("link_valid"), F.lit("found")).otherwise(F.lit("no_link"))
+    """Processed time, run and result (found, no_link, error, skipped) for every notice.
+
+    ``resolved`` may have an ``error``, the text of what went wrong while a notice was read.
+    """
+    wrong = F.col("error").isNotNull() if "error" in resolved.columns else F.lit(False)
+    j = notices.join(resolved.select("notice_id", "link_valid", wrong.alias("_wrong")), "notice_id", "left")
+    result = F.when(F.col("_wrong"), F.lit("error")).when(F.col("link_valid"), F.lit("found")).otherwise(F.lit("no_link"))
     if "skip" in notices.columns:
         result = F.when(F.col("skip"), F.lit("skipped")).otherwise(result)
-    return j.withColumn("audited_at", F.lit(as_of).cast("timestamp")).withColumn("audit_run_id", F.lit(run_id)).withColumn("audit_result", result).drop("link_valid")
+    return j.withColumn("audited_at", F.lit(as_of).cast("timestamp")).withColumn("audit_run_id", F.lit(run_id)).withColumn("audit_result", result).drop("link_valid", "_wrong")
 
 
 def gate_metrics(gated: DataFrame) -> DataFrame:
@@ -156,6 +160,23 @@ def link_quality(df: DataFrame, link: str = "link", valid: str = "link_valid", o
     )
 
 
+def invalid_links(df: DataFrame, key: str = "id", link: str = "link", valid: str = "link_valid", origin: str = "link_origin") -> DataFrame:
+    """(key, link, origin, problem) of every notice whose link is there and marked invalid, or was never judged."""
+    has = F.coalesce(F.col(link).isNotNull() & (F.col(link) != "N/D") & (F.col(link) != ""), F.lit(False))
+    problem = F.when(F.col(valid).isNull(), F.lit("not_judged")).when(~F.col(link).rlike(r"(?i)^(https?://|www\.)"), F.lit("no_address")).otherwise(F.lit("rejected"))
+    return df.where(has & ~F.coalesce(F.col(valid), F.lit(False))).select(key, link, F.coalesce(origin, F.lit("unknown")).alias("origin"), problem.alias("problem"))
+
+
+def backfill_counts(before: DataFrame, after: DataFrame, origin: str = "link_origin", valid: str = "link_valid") -> DataFrame:
+    """(origin, valid, rows_before, rows_after): what a backfill changed."""
+    def side(df: DataFrame, b: int) -> DataFrame:
+        names = [F.coalesce(F.col(c).cast("string"), F.lit("none")).alias(n) for c, n in ((origin, "origin"), (valid, "valid"))]
+        one = F.lit(1).cast("bigint")
+        return df.select(*names).groupBy("origin", "valid").agg(F.sum(one * (1 - b)).alias("rows_before"), F.sum(one * b).alias("rows_after"))
+
+    return side(before, 0).unionByName(side(after, 1)).groupBy("origin", "valid").agg(F.sum("rows_before").alias("rows_before"), F.sum("rows_after").alias("rows_after"))
+
+
 def origins(df: DataFrame, origin: str = "link_origin") -> DataFrame:
     return distribution(df, origin)
 

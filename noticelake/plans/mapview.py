@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from noticelake.functions.arrays import tag_class, tag_mentions
+from noticelake.operators.paging import top_k_per
 from noticelake.operators.predicates import in_box
 from noticelake.presets import br_notices as br
 
@@ -73,6 +75,15 @@ def calendar(df: DataFrame, event: str = "event_at", tags: str = "tags") -> Data
     )
 
 
+def calendar_items(df: DataFrame, per_day: int | None = None, event: str = "event_at", tie: str = "id") -> DataFrame:
+    """The rows of every day as a list: their place within the day, by time and ``tie``. A day's list stays rows, so a day of any size is no single value."""
+    rows = df.where(F.col(event).isNotNull()).withColumn("day", F.to_date(event))
+    order = [F.col(event).asc(), F.col(tie).asc()]
+    if per_day is not None:
+        return top_k_per(rows, ["day"], order, per_day, rank="place")
+    return rows.withColumn("place", F.row_number().over(W.partitionBy("day").orderBy(*order)))
+
+
 def calendar_day(df: DataFrame, day: str, event: str = "event_at") -> DataFrame:
     start = F.lit(day).cast("timestamp")
     return df.where((F.col(event) >= start) & (F.col(event) < start + F.expr("INTERVAL 1 DAY")))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticelake.functions.arrays import overlap
+
 # Log2 value buckets: 0 for values below 1, then one per doubling.
 LAST_BUCKET = 64
 
@@ -89,7 +91,7 @@ def matches(notices: DataFrame, filters: DataFrame) -> DataFrame:
 
     # A notice and a filter may share several tags; the pair is kept at the first shared one only.
     shared = F.concat(F.lit("t:"), F.try_element_at(F.array_intersect("f_tags", "tags"), F.lit(1)))
-    tags_ok = F.col("f_tags").isNull() | F.coalesce(F.arrays_overlap("tags", "f_tags"), F.lit(False))
+    tags_ok = F.col("f_tags").isNull() | overlap(F.col("tags"), F.col("f_tags"))
     city_ok = F.col("f_city").isNull() | F.contains("city", "f_city")
     value_ok = F.col("value").isNull() | (
         (F.col("f_max").isNull() | (F.col("value") <= F.col("f_max"))) & (F.col("f_min").isNull() | (F.col("value") >= F.col("f_min")))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.operators.paging import envelope, listing_order, page
+from noticelake.functions.arrays import tags_from_text
+from noticelake.operators.paging import envelope, listing_order, page, top_k
 from noticelake.operators.predicates import SearchParams, apply, clamp_limit, listing_filters
 from noticelake.operators.shares import counted
 
@@ -22,7 +24,8 @@ def search(df: DataFrame, params: SearchParams = SearchParams()) -> DataFrame:
 
 
 def search_envelope(df: DataFrame, params: SearchParams = SearchParams()) -> DataFrame:
-    return envelope(matching(df, params), params.page, params.page_size, params.source)
+    given = {k: v for k, v in asdict(params).items() if v is not None and k not in ("page", "page_size")}
+    return envelope(matching(df, params), params.page, params.page_size, params.source, given)
 
 
 def audited_search(df: DataFrame, params: SearchParams, user: str, as_of, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -57,9 +60,18 @@ def _facet(rows: DataFrame, key: str, source: str | None, future_only: bool) ->
     return counted(rows, [key]).orderBy(F.desc("total"), key)
 
 
-def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    """Sorted distinct values; arrays and comma texts are opened first."""
+def notice_summary(notices: DataFrame, limit: int | None = None, columns: Sequence[str] = ("id", "title", "published_at"), time: str = "published_at", tie: str = "id") -> DataFrame:
+    """The columns of a notice that a list shows, newest publication first; undated ones come last."""
+    order = [F.col(time).desc_nulls_last(), F.col(tie).asc()]
+    rows = notices.select(*dict.fromkeys([*columns, time, tie]))
+    return (rows.orderBy(*order) if limit is None else top_k(rows, order, limit)).select(*columns)
+
+
+def distinct_values(df: DataFrame, column: str, sep: str | None = None) -> DataFrame:
+    """Sorted distinct values; arrays, and with ``sep`` separated texts, are opened first."""
     kind = df.schema[column].dataType.typeName()
     if kind == "array":
         df = df.select(F.explode(column).alias(column))
+    if sep is not None:
+        df = df.select(F.explode(tags_from_text(F.col(column), sep)).alias(column))
     return df.select(F.trim(F.col(column)).alias(column)).where(F.length(column) > 0).distinct().orderBy(column)

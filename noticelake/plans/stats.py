@@ -113,10 +113,31 @@ def metric_rows(metrics: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     return out
 
 
-def category_counts(df: DataFrame, category: str, names: Sequence[str]) -> DataFrame:
-    """One row with a count per category and the derived total of the wanted ones."""
-    wide = df.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.col(category) == n).alias(n) for n in names])
-    return wide
+def category_counts(df: DataFrame, category: str, names: Sequence[str], derived: Mapping[str, Sequence[str]] | None = None, rest: str | None = None) -> DataFrame:
+    """One row: the total, a count per category, sums of several under the names in ``derived``, and under ``rest`` all that have none of them."""
+    wide = df.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.coalesce(F.col(category) == n, F.lit(False))).alias(n) for n in names])
+    sums = {name: sum((F.col(n) for n in members), F.lit(0).cast("bigint")) for name, members in (derived or {}).items()}
+    if rest is not None:
+        sums[rest] = F.col("total") - sum((F.col(n) for n in names), F.lit(0).cast("bigint"))
+    return wide.withColumns(sums) if sums else wide
+
+
+def temporal_counts(unified: DataFrame, region: str | None = None) -> DataFrame:
+    """Rows by region and temporal status, of one region or of all."""
+    rows = unified if region is None else unified.where(F.col("region") == region)
+    return counted(rows, ["region", "temporal_status"])
+
+
+def scraper_summary(results: DataFrame, scraper: str = "scraper") -> DataFrame:
+    """Runs, rows found, new rows and errors by scraper, with the share of runs that went well and the last error.
+
+    Results: scraper, status, found, new, error, finished_at.
+    """
+    failed = F.col("status") == "error"
+    return results.groupBy(scraper).agg(
+        F.count(F.lit(1)).alias("runs"), F.sum(F.coalesce("found", F.lit(0))).alias("found"), F.sum(F.coalesce("new", F.lit(0))).alias("new"), F.count_if(failed).alias("errors"),
+        percent(F.count_if(F.col("status") == "success"), F.count(F.lit(1))).alias("success_percent"), F.max_by("error", F.when(failed, F.col("finished_at"))).alias("last_error"),
+    )
 
 
 def busiest(df: DataFrame, key: str, k: int = 10) -> DataFrame:

@@ -2,6 +2,6 @@
 
 
 def modules():
-    from noticelake.queries import flows, operations, pages, quality, serving
+    from noticelake.queries import flows, operations, pages, quality, reports, serving
 
-    return (serving, quality, operations, pages, flows)
+    return (serving, quality, operations, pages, flows, reports)

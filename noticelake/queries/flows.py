@@ -78,7 +78,6 @@ def matches_of_both_sides(spark, sf):
     state.change(n.where("notice_id % 2 = 0"), f.where("filter_id % 2 = 1"))
     state.change(None, f.where("filter_id % 2 = 0"))
     state.change(n.where("notice_id % 2 = 1"), None)
-    state.change(n.where("notice_id % 2 = 0"), f.where("filter_id % 2 = 0"))
     return state.known()
 
 

@@ -155,22 +155,25 @@ def last_runs_summary(spark, sf):
     return health.last_runs_summary(runs(spark, sf))
 
 
+#: A day inside the events, so that the rows of every event are looked at and some are stored on that day or after.
+_SLO_AS_OF = "2024-01-15"
+
+
 @query(
     f"""WITH {RUNS}, s AS (SELECT
-  (SELECT round(100.0 * count(*) FILTER (WHERE status = 'SUCCESS') / count(*), 2) FROM runs WHERE started_at >= TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 7 DAY) AS a,
-  (SELECT round(max((floor(epoch(ts)) - floor(epoch(ts - to_seconds(CAST(floor(value) AS BIGINT) * 3600)))) / 3600.0), 2) FROM events WHERE ts >= TIMESTAMP '2024-01-30') AS b,
+  (SELECT round(100.0 * count(*) FILTER (WHERE status = 'SUCCESS') / count(*), 2) FROM runs WHERE started_at >= TIMESTAMP '{_SLO_AS_OF}' - INTERVAL 7 DAY) AS a,
+  (SELECT round(max((floor(epoch(ts)) - floor(epoch(ts - to_seconds(CAST(floor(value) AS BIGINT) * 3600)))) / 3600.0), 2) FROM events WHERE ts >= TIMESTAMP '{_SLO_AS_OF}') AS b,
+  (SELECT round(avg((floor(epoch(ts)) - floor(epoch(ts - to_seconds(CAST(floor(value) AS BIGINT) * 3600)))) / 3600.0), 2) FROM events WHERE ts >= TIMESTAMP '{_SLO_AS_OF}') AS m,
   (SELECT CASE WHEN new_rows + discarded = 0 THEN 0 ELSE round(100.0 * new_rows / (new_rows + discarded), 2) END FROM runs ORDER BY started_at DESC, run_id DESC LIMIT 1) AS c,
-  (SELECT round(100.0 * sum(downloads_ok) / sum(downloads_ok + downloads_failed), 2) FROM runs WHERE started_at >= TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 30 DAY) AS d)
+  (SELECT round(100.0 * sum(downloads_ok) / sum(downloads_ok + downloads_failed), 2) FROM runs WHERE started_at >= TIMESTAMP '{_SLO_AS_OF}' - INTERVAL 30 DAY) AS d)
 SELECT 'success_percent_7d' AS sli, CAST(a AS DOUBLE) AS measured, CAST(95 AS BIGINT) AS target, a >= 95 AS met FROM s
-UNION ALL SELECT 'freshness_max_hours', CAST(b AS DOUBLE), 24, b <= 24 FROM s UNION ALL SELECT 'integrity_percent_last_run', CAST(c AS DOUBLE), 90, c >= 90 FROM s
+UNION ALL SELECT 'freshness_max_hours', CAST(b AS DOUBLE), 24, b <= 24 FROM s UNION ALL SELECT 'freshness_mean_hours', CAST(m AS DOUBLE), 24, m <= 24 FROM s UNION ALL SELECT 'integrity_percent_last_run', CAST(c AS DOUBLE), 90, c >= 90 FROM s
 UNION ALL SELECT 'download_percent_30d', CAST(d AS DOUBLE), 99, d >= 99 FROM s"""
 )
 def service_levels(spark, sf):
     e = table(spark, sf, "events")
-    rows = e.where(F.col("ts") >= F.lit("2024-01-30").cast("timestamp")).select(
-        F.col("ts").alias("created_at"), (F.col("ts") - F.make_dt_interval(hours=F.floor("value").cast("int"))).alias("published_at")
-    )
-    return health.service_levels(runs(spark, sf), rows.withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 2 DAYS")).withColumn("published_at", F.col("published_at") + F.expr("INTERVAL 2 DAYS")), EVENTS_AS_OF)
+    rows = e.select(F.col("ts").alias("created_at"), (F.col("ts") - F.make_dt_interval(hours=F.floor("value").cast("int"))).alias("published_at"))
+    return health.service_levels(runs(spark, sf), rows, _SLO_AS_OF)
 
 
 @query(

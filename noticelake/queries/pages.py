@@ -95,7 +95,7 @@ _FOUND = "list_filter([" + ", ".join(f"'{k}'" for k in _KEYWORDS) + "], lambda k
 
 
 @query(
-    f"""WITH {_VISIBLE} SELECT url, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS domain, substr(title, 1, 200) AS title, CAST(len({_FOUND}) AS BIGINT) AS keywords_count,
+    f"""WITH {_VISIBLE} SELECT url, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS domain, title, CAST(len({_FOUND}) AS BIGINT) AS keywords_count,
   array_to_string({_FOUND}, '|') AS keywords_found FROM v"""
 )
 def enrich_candidates(spark, sf):
@@ -112,7 +112,7 @@ def _candidates(spark, sf):
 
 _CANDIDATES = f"""{_VISIBLE}, cand AS (SELECT url, CASE WHEN d LIKE 'blog.%' THEN 'www.detran.sp.gov.br' WHEN d LIKE 'm.%' THEN 'licita.mg.gov.br' ELSE d END AS domain,
   CASE WHEN d LIKE 'www.%' THEN 'Edital nº 12 Secretaria de ' || title ELSE title END AS title, contains(t, 'cheap') OR contains(t, 'nicht') AS kw, length(title) AS n
-  FROM (SELECT url, substr(title, 1, 200) AS title, t, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS d FROM v)),
+  FROM (SELECT url, title, t, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS d FROM v)),
 scored AS (SELECT url, domain, least(100, CASE WHEN url LIKE 'https://%' THEN 5 ELSE 0 END + CASE WHEN n > 40 THEN 5 ELSE 0 END + CASE WHEN domain LIKE '%.gov.br%' THEN 30 ELSE 0 END
   + CASE WHEN domain LIKE '%detran.sp.gov.br%' THEN 20 ELSE 0 END + CASE WHEN kw THEN 15 ELSE 0 END + CASE WHEN title LIKE 'Edital nº 12 Secretaria de %' THEN 25 ELSE 0 END) AS score,
   CASE WHEN domain LIKE '%detran%' THEN 'DETRAN' WHEN domain LIKE '%.gov.br%' THEN 'GOV_BR_OUTRO' ELSE 'OUTRO' END AS category,
@@ -163,7 +163,7 @@ def page_reach(spark, sf):
 
 @query(
     f"""SELECT keyword, count(*) AS total FROM (SELECT unnest(list_filter([{', '.join(f"'{k}'" for k in _KEYWORDS)}], lambda k: contains(t, k))) AS keyword FROM
-  (SELECT lower(p.url || ' ' || substr({_TITLE}, 1, 200)) AS t FROM (SELECT DISTINCT url, html FROM pages) p)) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
+  (SELECT lower(p.url || ' ' || {_TITLE}) AS t FROM (SELECT DISTINCT url, html FROM pages) p)) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
 )
 def keyword_hits(spark, sf):
     p = table(spark, sf, "pages").select("url", "html").distinct()

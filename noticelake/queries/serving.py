@@ -45,6 +45,7 @@ def unified_totals(spark, sf):
     return unify.totals(_unified(spark, sf))
 
 
+_ECHO = '{"end_exclusive_time":false,"event_to":"2000-12-31","order":"nearest","region":"ASIA","temporality":"future","value_max":400000,"value_min":20000}'
 _P1 = SearchParams(region="ASIA", value_min=20000, value_max=400000, event_to="2000-12-31", order="nearest", page=3, page_size=20)
 _W1 = f"region = 'ASIA' AND value >= 20000 AND value <= 400000 AND event_at < TIMESTAMP '2001-01-01' AND temporal_status = 'future'"
 
@@ -56,7 +57,8 @@ def search_page(spark, sf):
 
 @query(
     f"""WITH {UNIFIED} SELECT count(*) AS total, CAST(3 AS BIGINT) AS page, CAST(20 AS BIGINT) AS page_size, CAST(ceil(greatest(count(*), 1) / 20.0) AS BIGINT) AS total_pages,
-  CAST(NULL AS VARCHAR) AS source_filter FROM unified WHERE {_W1}"""
+  CAST(NULL AS VARCHAR) AS source_filter, '{_ECHO}' AS filters
+FROM unified WHERE {_W1}"""
 )
 def search_envelope(spark, sf):
     return search.search_envelope(_unified(spark, sf), _P1)
@@ -337,7 +339,7 @@ def category_exclusion(spark, sf):
 @query(f"WITH {NOTICES} SELECT id, title, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at FROM notices ORDER BY notices.published_at DESC, id LIMIT 100")
 def newest_publications(spark, sf):
     n = notices(spark, sf)
-    return n.orderBy(F.desc("published_at"), "id").limit(100).select("id", "title", "published_at")
+    return search.notice_summary(n, 100)
 
 
 @query(f"SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem WHERE l_linestatus IN ('O', 'ABERTO') AND l_shipdate > TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY")
@@ -348,7 +350,7 @@ def active_listings(spark, sf):
 
 @query(f"WITH {UNIFIED} SELECT region, temporal_status, count(*) AS total FROM unified GROUP BY 1, 2")
 def temporal_counts_by_region(spark, sf):
-    return _unified(spark, sf).groupBy("region", "temporal_status").agg(F.count(F.lit(1)).alias("total"))
+    return stats.temporal_counts(_unified(spark, sf))
 
 
 __all__ = ["ORACLE", "QUERIES"]
