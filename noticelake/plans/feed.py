@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,44 +35,49 @@ def _summary(title: Column, description: Column) -> Column:
     return F.substring(F.when(use, head).otherwise(title), 1, 200)
 
 
-def normalize(items: DataFrame, source: str, as_of, max_images: int | None = None) -> DataFrame:
-    """Feed items to listing rows. Amounts, places, links and times are cleaned; nothing is invented."""
+def judged_columns(items: DataFrame, source: str) -> DataFrame:
+    """Adds what validation looks at: id, title, place, time, value, notice link and tags, each cleaned. Nothing is invented."""
     lot, auction = F.col("lote_id"), F.nullif(F.col("leilao_id"), F.lit(""))
     texts = compute_once(
         items,
         {
-            "_title": F.coalesce(blank_to_null(collapse_space(F.col("nm_titulo_lote"))), F.concat(F.lit("Lote "), lot)),
-            "_description": blank_to_null(strip_html(F.col("nm_descricao"))),
-            "_base": U.base_url(F.col("nm_url_leiloeiro")),
-            "_own": F.coalesce(blank_to_null(F.col("url_lote")), blank_to_null(F.col("nm_url_lote")), blank_to_null(F.col("link"))),
+            "title": F.coalesce(blank_to_null(collapse_space(F.col("nm_titulo_lote"))), F.concat(F.lit("Lote "), lot)),
+            "description": blank_to_null(strip_html(F.col("nm_descricao"))),
         },
     )
-    title, description, base, own = (F.col(c) for c in ("_title", "_description", "_base", "_own"))
+    words = F.lower(F.concat_ws(" ", "title", "description", "nm_categoria"))
+    return compute_once(
+        texts,
+        {
+            "listing_id": listing_id(source, auction, lot), "city": blank_to_null(title_case(collapse_space(F.col("nm_cidade")))),
+            "region": valid_region(F.col("nm_estado"), br.REGIONS), "event_at": local_closing_time(F.col("dt_fechamento")),
+            "value": positive_or_null(parse_money(F.coalesce(blank_to_null(F.col("vl_lanceminimo")), F.col("vl_venda")))),
+            "notice_link": U.best_attachment(F.col("anexos")), "tags": tags_by_words(words, br.FEED_TAG_WORDS, br.FEED_DEFAULT_TAG),
+        },
+    )
+
+
+def presented(judged: DataFrame, source: str, as_of, max_images: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Listing rows out of ``judged_columns``: links, amounts, images, summary and confidence are made for the rows that are shown only."""
+    lot, auction = F.col("lote_id"), F.nullif(F.col("leilao_id"), F.lit(""))
+    base = U.base_url(F.col("nm_url_leiloeiro"))
+    own = F.coalesce(blank_to_null(F.col("url_lote")), blank_to_null(F.col("nm_url_lote")), blank_to_null(F.col("link")))
+    rows = compute_once(judged, {"_base": base, "_own": own})
+    base, own, title, description = (F.col(c) for c in ("_base", "_own", "title", "description"))
     built = F.when(
         base.isNotNull() & auction.isNotNull() & lot.isNotNull(), F.concat(base, F.lit("/leilao/index/leilao_id/"), auction, F.lit("/lote/"), lot)
     )
     cause = F.when(own.isNull(), F.lit("missing_canonical")).otherwise(F.lit("no_path"))
     photos = F.array_compact(F.transform("fotos", lambda p: p["nm_path_completo"]))
     photos = F.slice(photos, 1, max_images) if max_images else photos
-    n = compute_once(
-        texts,
-        {
-            "listing_id": listing_id(source, auction, lot), "lot_id": lot, "auction_id": auction, "title": title, "description": description,
-            "summary": _summary(title, description), "city": blank_to_null(title_case(collapse_space(F.col("nm_cidade")))),
-            "region": valid_region(F.col("nm_estado"), br.REGIONS), "event_at": local_closing_time(F.col("dt_fechamento")),
-            "value": positive_or_null(parse_money(F.coalesce(blank_to_null(F.col("vl_lanceminimo")), F.col("vl_venda")))),
-            "opening_bid": positive_or_null(parse_money(F.col("vl_lanceinicial"))), "bid_step": positive_or_null(parse_money(F.col("vl_incremento"))),
-            "link_choice": U.pick_lot_url([("api_canonical", own), ("api_canonical", base)], built, cause),
-            "notice_link": U.best_attachment(F.col("anexos")),
-            "tags": tags_by_words(F.lower(F.concat_ws(" ", title, description, F.col("nm_categoria"))), br.FEED_TAG_WORDS, br.FEED_DEFAULT_TAG),
-            "images": F.coalesce(photos, F.array().cast("array<string>")), "payload_hash": payload_hash(lot, auction, F.col("nm_titulo_lote")),
-        },
-    ).select(
-        "listing_id", "lot_id", "auction_id", "title", "description", "summary", "city", "region", "event_at",
-        F.lit(as_of).cast("timestamp").alias("published_at"), "value", "opening_bid", "bid_step", "link_choice", "notice_link", "tags", "images",
+    rows = compute_once(rows, {"link_choice": U.pick_lot_url([("api_canonical", own), ("api_canonical", base)], built, cause)})
+    n = rows.select(
+        "listing_id", lot.alias("lot_id"), auction.alias("auction_id"), "title", "description", _summary(title, description).alias("summary"), "city", "region", "event_at",
+        F.lit(as_of).cast("timestamp").alias("published_at"), "value", positive_or_null(parse_money(F.col("vl_lanceinicial"))).alias("opening_bid"),
+        positive_or_null(parse_money(F.col("vl_incremento"))).alias("bid_step"), "link_choice", "notice_link", "tags", F.coalesce(photos, F.array().cast("array<string>")).alias("images"),
         F.coalesce("nm_leiloeiro", F.lit(source)).alias("auctioneer"), F.lit("online").alias("modality"),
         F.to_json(F.struct("id_categoria", "nm_categoria", "nm_subcategoria", "statuslote_id", "nm_statuslote", "nu_visitas")).alias("metadata"),
-        "payload_hash", "kind", F.col("link_choice.final_url").alias("auctioneer_link"),
+        payload_hash(lot, auction, F.col("nm_titulo_lote")).alias("payload_hash"), "kind", F.col("link_choice.final_url").alias("auctioneer_link"), *keep,
     )
     has_tag = F.array_contains("tags", "VEICULO") | F.array_contains("tags", "SUCATA")
     return n.withColumn(
@@ -82,6 +89,11 @@ def normalize(items: DataFrame, source: str, as_of, max_images: int | None = Non
     )
 
 
+def normalize(items: DataFrame, source: str, as_of, max_images: int | None = None) -> DataFrame:
+    """Feed items to listing rows. Amounts, places, links and times are cleaned; nothing is invented."""
+    return presented(judged_columns(items, source), source, as_of, max_images)
+
+
 def validate(listings: DataFrame, as_of=None) -> DataFrame:
     """Adds ``errors`` and ``warnings`` code arrays; ``as_of`` switches the expiry rule on."""
     def code(cond: Column, name: str) -> Column:
@@ -114,18 +126,24 @@ def run(items: DataFrame, source: str, run_id: str, as_of, drop_repeated_pages:
     pages = before_first_repeat(items) if drop_repeated_pages else items
     checked = prefilter(pages) if filter_vehicles else pages.withColumn("reject_code", F.lit(None).cast("string"))
     accepted = checked.where(F.col("reject_code").isNull())
-    done = validate(normalize(accepted, source, as_of))
-    valid = done.where(F.size("errors") == 0)
-    early = checked.where(F.col("reject_code").isNotNull()).select(
+    judged = validate(judged_columns(accepted, source))
+    notes = ("errors", "warnings")
+    valid = presented(judged.where(F.size("errors") == 0), source, as_of, keep=notes)
+    early = checked.where(F.col("reject_code").isNotNull())
+    bad = judged.where(F.size("errors") > 0)
+    quarantine = early.select(
         F.lit(run_id).alias("run_id"), listing_id(source, F.col("leilao_id"), F.col("lote_id")).alias("listing_id"),
         F.array("reject_code").alias("errors"), F.lit("pre_filter").alias("stage"), F.to_json(F.struct(*[c for c in items.columns])).alias("raw_record"),
     )
-    late = done.where(F.size("errors") > 0).select(
-        F.lit(run_id).alias("run_id"), "listing_id", "errors", F.lit("validation").alias("stage"),
-        F.to_json(F.struct(*[c for c in done.columns if c not in ("errors", "warnings")])).alias("raw_record"),
-    )
-    quarantine = early.unionByName(late).withColumn("rejection_code", F.get("errors", F.lit(0)))
-    report = top_rejections(quarantine, rejection_codes(items.sparkSession))
+    late = presented(bad, source, as_of, keep=notes)
+    quarantine = quarantine.unionByName(
+        late.select(
+            F.lit(run_id).alias("run_id"), "listing_id", "errors", F.lit("validation").alias("stage"), F.to_json(F.struct(*[c for c in late.columns if c not in notes])).alias("raw_record"),
+        )
+    ).withColumn("rejection_code", F.get("errors", F.lit(0)))
+    # The report counts codes and needs no more than those.
+    codes = early.select(F.lit("pre_filter").alias("stage"), F.array("reject_code").alias("errors")).unionByName(bad.select(F.lit("validation").alias("stage"), "errors"))
+    report = top_rejections(codes, rejection_codes(items.sparkSession))
     return {"valid": valid, "quarantine": quarantine, "report": report}
 
 
