@@ -12,7 +12,7 @@ from noticelake.operators.keyed import keep_first
 from noticelake.operators.once import compute_once
 from noticelake.operators.shares import counted, distribution
 from noticelake.presets import br_notices as br
-from noticelake.session import ensure_checkpoint_dir
+from noticelake.sources.snapshots import staged
 
 # Order in which sources are believed.
 SOURCES = ("pdf_anexo", "xlsx_anexo", "csv_anexo", "titulo_descricao")
@@ -24,24 +24,45 @@ AUCTION_HOST = r"(?iu)((?:https?://|www\.)?[a-z]+leil[oõ]es\.com\.br(?:/[^\s<>\
 STRATEGIES = ((1, HOST_IN_TEXT), (2, AUCTION_HOST), (3, URL_HTTP), (4, URL_WWW))
 
 
-def text_candidates(texts: DataFrame) -> DataFrame:
+#: What a word has to hold for any of the strategies to find something in it.
+LINK_WORD = r"(?i)[a-z0-9-]\.[a-z]|https?://|www\.[a-z0-9]"
+#: Last labels of allowed hosts up to which they go with the scan.
+ENDINGS = 1000
+
+
+def host_endings(allow: DataFrame) -> list[str] | None:
+    """Last labels of the allowed domains, a short list whatever their number; None if it is not, and then nothing is left out by it."""
+    rows = allow.select(F.lower(F.substring_index("domain", ".", -1)).alias("e")).where(F.length("e") > 0).distinct().take(ENDINGS + 1)
+    return sorted(r["e"] for r in rows) if len(rows) <= ENDINGS else None
+
+
+def text_candidates(texts: DataFrame, endings: list[str] | None = None) -> DataFrame:
     """Link candidates of every text with their place of origin.
 
-    ``texts``: notice_id, source, ref, page_no, text. One scan; strategies are evaluated side by side.
+    ``texts``: notice_id, source, ref, page_no, text. A text is cut at white space once, which no link holds, and only words that could be
+    one are looked at by the strategies. With ``endings`` bare hosts whose last label no allowed host has end here, but for those
+    that are told as a word with a glued ending. A position counts words, and finds within a word.
     """
 
-    def found(strategy: int, pattern: str) -> Column:
-        def candidate(m: Column, i: Column) -> Column:
-            raw = F.regexp_replace(m, r"[.,;:)>\"']+$", "")
-            return F.struct(F.lit(strategy).alias("strategy"), i.alias("position"), raw.alias("raw"))
+    def found(word: Column) -> Column:
+        def of(strategy: int, pattern: str) -> Column:
+            def candidate(m: Column, i: Column) -> Column:
+                raw = F.regexp_replace(m, r"[.,;:)>\"']+$", "")
+                return F.struct(F.lit(strategy).alias("strategy"), (word["at"].cast("bigint") * (1 << 20) + i).alias("position"), raw.alias("raw"))
+
+            return F.transform(F.regexp_extract_all(word["w"], F.lit(pattern), 1), candidate)
 
-        return F.transform(F.regexp_extract_all(F.col("text"), F.lit(pattern), 1), candidate)
+        return F.concat(*[of(s, p) for s, p in STRATEGIES])
 
-    rows = texts.select("notice_id", "source", "ref", "page_no", "text", F.explode(F.concat(*[found(s, p) for s, p in STRATEGIES])).alias("c"))
+    words = F.transform(F.split("text", r"\s+"), lambda w, i: F.struct(i.alias("at"), w.alias("w")))
+    words = F.filter(words, lambda x: x["w"].rlike(LINK_WORD))
+    rows = texts.select("notice_id", "source", "ref", "page_no", "text", F.explode(F.flatten(F.transform(words, found))).alias("c"))
+    rows = rows.select("*", bare_host(F.col("c.raw")).alias("host"))
+    if endings is not None:
+        last = F.lower(F.substring_index("host", ".", -1))
+        rows = rows.where((F.col("c.strategy") != 1) | last.isin(*endings) | F.col("c.raw").rlike(br.GLUED_TLD))
     return rows.select(
-        "notice_id", "source", "ref", "page_no", "c.strategy", "c.position", "c.raw",
-        context_snippet(F.col("text"), F.col("c.raw")).alias("evidence"),
-        bare_host(F.col("c.raw")).alias("host"),
+        "notice_id", "source", "ref", "page_no", "c.strategy", "c.position", "c.raw", context_snippet(F.col("text"), F.col("c.raw")).alias("evidence"), "host"
     )
 
 
@@ -109,15 +130,14 @@ def best_link(gated: DataFrame) -> DataFrame:
     )
 
 
-def stored_candidates(texts: DataFrame) -> DataFrame:
-    """Candidates written to the checkpoint folder: the texts are read once, and the host lookup, its
-    size check and the ranking work on the few short rows found in them."""
-    ensure_checkpoint_dir(texts.sparkSession)
-    return text_candidates(texts).checkpoint()
+def stored_candidates(texts: DataFrame, allow: DataFrame | None = None) -> DataFrame:
+    """Candidates written to the shared folder: the texts are read once, and the host lookup and
+    the ranking work on the few short rows found in them."""
+    return staged(text_candidates(texts, host_endings(allow) if allow is not None else None), "candidates")
 
 
 def resolve_links(texts: DataFrame, allow: DataFrame) -> DataFrame:
-    return best_link(gated_candidates(stored_candidates(texts), allow))
+    return best_link(gated_candidates(stored_candidates(texts, allow), allow))
 
 
 def audit_marks(notices: DataFrame, resolved: DataFrame, run_id: str, as_of) -> DataFrame:

@@ -218,21 +218,35 @@ def link_gate(spark, sf):
 
 
 def _texts(spark, sf):
-    """Every page as a text with its own address in front, as a document that names its site."""
-    p = table(spark, sf, "pages")
-    text = F.concat_ws(" ", F.lit("Acesse"), F.when(F.col("url").startswith("https"), F.col("url")).otherwise(U.host(F.col("url"))), T.strip_html(F.col("html")))
+    """Every page as a text that names its site in one of four ways: with a scheme, with www, bare, or beside a word with a glued ending."""
+    p, k = table(spark, sf, "pages"), F.col("page_id") % 4
+    bare = U.bare_host(F.col("url"))
+    front = F.when(k == 0, F.concat(F.lit("Acesse https://"), bare, F.lit("/leilao/"), "page_id", F.lit("."))).when(k == 1, F.concat(F.lit("Acesse (www."), bare, F.lit("/leilao)")))
+    text = F.concat_ws("\n", front.when(k == 3, "no ED.COMEMORA de hoje").otherwise("sem link"), T.strip_html(F.col("html")), F.concat(F.lit("fim "), bare))
     return p.select(F.col("page_id").alias("notice_id"), F.lit("pdf_anexo").alias("source"), F.lit("page").alias("ref"), F.lit(1).alias("page_no"), text.alias("text"))
 
 
-@query()
+_NAMED = _ALLOW.replace("gated AS (SELECT page_id, ", "gated AS (SELECT page_id, page_id % 4 AS k, regexp_extract(" + _HOST + ", '([^.]+\\.example\\.[a-z]+)$', 1) AS domain, ") + """,
+named AS (SELECT *, regexp_matches(host, '(?i)[A-Za-z0-9]\\.(?:com|net|org|br|gov|edu|io|co)[A-Za-z]') AS glued FROM gated)"""
+
+
+@query(
+    f"""WITH {_NAMED} SELECT page_id AS notice_id, CASE WHEN ok THEN 'https://www.' || domain WHEN k = 0 THEN 'https://' || host || '/leilao/' || page_id WHEN k = 1 THEN 'https://www.' || host || '/leilao' END AS link,
+  ok OR k < 2 AS link_valid, 'pdf_anexo' AS link_origin, CAST(CASE WHEN ok THEN 100 WHEN k = 0 THEN 80 WHEN k = 1 THEN 60 ELSE 0 END AS BIGINT) AS link_confidence,
+  CASE WHEN NOT ok AND k > 1 THEN 'tld_colado_em_palavra' END AS link_reject_reason FROM named WHERE ok OR k <> 2 OR glued"""
+)
 def resolve_links(spark, sf):
     return links.resolve_links(_texts(spark, sf), _allow(spark, sf)).select("notice_id", "link", "link_valid", "link_origin", "link_confidence", "link_reject_reason")
 
 
-@query()
+@query(
+    f"""WITH {_NAMED}, c AS (SELECT 100 AS confidence, 'none' AS reason FROM named WHERE ok UNION ALL SELECT 100, 'none' FROM named WHERE ok AND k < 2 UNION ALL SELECT CASE k WHEN 0 THEN 80 ELSE 60 END, 'none' FROM named WHERE NOT ok AND k < 2
+  UNION ALL SELECT 0, 'tld_colado_em_palavra' FROM named WHERE k = 3 UNION ALL SELECT 0, 'tld_colado_em_palavra' FROM named WHERE NOT ok AND glued)
+SELECT CAST(confidence AS BIGINT) AS confidence, reason, count(*) AS total FROM c GROUP BY 1, 2"""
+)
 def link_gate_metrics(spark, sf):
-    c = links.gated_candidates(links.stored_candidates(_texts(spark, sf)), _allow(spark, sf))
-    return links.gate_metrics(c)
+    allow = _allow(spark, sf)
+    return links.gate_metrics(links.gated_candidates(links.stored_candidates(_texts(spark, sf), allow), allow))
 
 
 # ---------------------------------------------------------------- text
