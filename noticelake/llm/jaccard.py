@@ -42,7 +42,7 @@ from noticelake.llm.store import Scratch
 from noticelake.llm.words import LOWER, mix, slices, split_words, text_bytes, word_hashes
 
 #: Bounds of what is held by a task or broadcast, whatever the input's size.
-HOT, FLUSH, FILTER_BITS, GRAM_BITS = 1 << 17, 1 << 21, 1 << 21, 1 << 26
+HOT, FLUSH, FILTER_BITS, GRAM_BITS = 1 << 17, 1 << 20, 1 << 21, 1 << 26
 #: Sets and n-grams of a block that is compared at once, columns of the comparison, and n-grams of a part of such work.
 BLOCK_SETS, BLOCK_GRAMS, COLUMNS, PART_GRAMS = 1 << 10, 1 << 19, 1 << 12, 1 << 21
 #: Share of all n-grams that is counted, as a multiple of the longest prefix: enough of a text's own n-grams lie in it to fill its prefix.

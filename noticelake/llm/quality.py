@@ -24,7 +24,7 @@ from noticelake.llm import bitfilter
 from noticelake.llm.store import Scratch
 from noticelake.llm.words import slices, text_bytes
 
-ORDER, HOT, FLUSH, FILTER_BITS, PRIOR = 5, 1 << 18, 1 << 22, 1 << 21, 60.0
+ORDER, HOT, FLUSH, FILTER_BITS, PRIOR = 5, 1 << 18, 1 << 21, 1 << 21, 60.0
 FEW = 200
 #: Languages up to which their figures are sent to every task.
 LANGUAGES = 1 << 16
