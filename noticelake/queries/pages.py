@@ -27,6 +27,10 @@ def query(oracle: str | None = None):
     return add
 
 
+def _sql_list(words) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
 _KEYWORDS = ("the", "que", "sch", "cheap", "pills", "leilão", "edital", "para")
 _HOST = "regexp_replace(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), '^www\\.', '')"
 _TITLE = "trim(regexp_extract(html, '(?is)<title[^>]*>([^<]+)</title>', 1))"
@@ -50,10 +54,36 @@ def page_statistics(spark, sf):
     return pages.page_statistics(pages.parse_pages(table(spark, sf, "pages"))).drop("location_found", "location_missing")
 
 
-@query()
+_LOT_TITLES = ("Veículo Fiat Uno - Santos/SP", "Sucata de moto", "Terreno em Campinas", "undefined", None)
+
+
+def _lot_pages(spark, sf):
+    """Pages under addresses of lots, with a heading in three of five, one that says nothing, and one without a title at all."""
+    k, p = F.col("page_id") % 5, table(spark, sf, "pages")
+    heading = F.lit("")
+    for i, t in enumerate(_LOT_TITLES[:4]):
+        heading = F.when(k == i, F.lit(f'<h2 class="titulo-lote">{t}</h2>')).otherwise(heading)
+    html = F.concat(heading, F.when(k == 4, F.regexp_replace("html", "<title>", "<x>")).otherwise(F.col("html")))
+    return p.select("page_id", F.concat(F.lit("https://leiloes.example.com/lote/"), "page_id", F.lit("/"), F.col("page_id") * 3).alias("url"), html.alias("html"))
+
+
+_LISTED = f"""t AS (SELECT page_id, page_id % 5 AS k, 'https://leiloes.example.com/lote/' || page_id || '/' || page_id * 3 AS url,
+  CASE page_id % 5 WHEN 0 THEN '{_LOT_TITLES[0]}' WHEN 1 THEN '{_LOT_TITLES[1]}' WHEN 2 THEN '{_LOT_TITLES[2]}' WHEN 3 THEN {_TITLE} ELSE 'Lote ' || page_id * 3 END AS title FROM pages),
+w AS (SELECT *, lower(title || ' Lote de leilão judicial. URL: ' || url) AS low FROM t),
+g AS (SELECT *, list_sort(list_filter([{", ".join(f"CASE WHEN len(list_filter({_sql_list(ws)}, lambda x: contains(low, x))) > 0 THEN '{tag}' END" for tag, ws in br.PAGE_TAG_WORDS.items())}], lambda x: x IS NOT NULL)) AS found,
+  CASE {" ".join(f"WHEN len(list_filter({_sql_list(ws)}, lambda x: contains(low, x))) > 0 THEN '{name}'" for name, ws in br.PAGE_CATEGORY_WORDS)} ELSE 'unknown' END AS category,
+  len(list_filter({_sql_list(br.PAGE_VEHICLE_HINTS)}, lambda x: contains(low, x))) > 0 AS hint FROM w)"""
+
+
+@query(
+    f"""WITH {_LISTED} SELECT 'site|' || upper(substr(md5('site|' || page_id || '|' || page_id * 3), 1, 12)) AS listing_id, title, category, array_to_string(CASE WHEN len(found) > 0 THEN found WHEN hint THEN ['VEICULO'] ELSE ['OUTROS'] END, '|') AS tags,
+  CASE WHEN k = 0 THEN 'Santos' ELSE 'Não informado' END AS city, CASE WHEN k = 0 THEN 'SP' ELSE 'XX' END AS region,
+  CAST(CASE WHEN k = 0 THEN 100 WHEN k = 4 THEN 20 ELSE 50 END AS BIGINT) AS confidence, CASE WHEN category IN ('veiculo', 'sucata') THEN 'published' ELSE 'draft' END AS publication_status,
+  CASE WHEN k = 4 THEN 'titulo gerado automaticamente|' ELSE '' END || CASE WHEN k > 0 THEN 'municipio não identificado|uf não identificada' ELSE '' END AS warnings, '' AS errors FROM g"""
+)
 def listings_from_pages(spark, sf):
-    return pages.listings_from_pages(pages.parse_pages(table(spark, sf, "pages")), "site", AS_OF).select(
-        "listing_id", "title", "category", "tags", "confidence", "publication_status", "warnings"
+    return pages.listings_from_pages(pages.parse_pages(_lot_pages(spark, sf)), "site", AS_OF).select(
+        "listing_id", "title", "category", "tags", "city", "region", "confidence", "publication_status", "warnings", "errors"
     )
 
 
@@ -266,7 +296,9 @@ def repair_mojibake(spark, sf):
     return table(spark, sf, "documents").select("doc_id", T.repair_mojibake(broken).alias("t"))
 
 
-@query()
+@query(
+    """SELECT doc_id, array_to_string(list_transform(regexp_extract_all(lower(text), '(\\p{L}+|[^\\p{L}]+)'), lambda w: CASE WHEN substr(w, 1, 1) = 'ß' THEN 'Ss' ELSE upper(substr(w, 1, 1)) END || substr(w, 2)), '') AS t FROM documents"""
+)
 def title_case(spark, sf):
     return table(spark, sf, "documents").select("doc_id", T.title_case(F.col("text")).alias("t"))
 
@@ -302,16 +334,72 @@ def equal_contents(spark, sf):
     return keys.groupBy("k").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("texts"), F.count(F.lit(1)).alias("contents"))
 
 
-@query()
+_FRONTS = (
+    ("EDITAL Nº {i}/2026.", "Data do leilão: 15/03/2027.", "Valor: R$ {i},50 |", "total de {n} lotes.", "Leiloeiro Oficial: João Silva - Matrícula 12."),
+    ("EDITAL DE LEILÃO {i}/2026.", "O leilão será no dia 07-04-2027.", "avaliação: {i}.000,00 |", "{n} (muitos) veículos.", "Leiloeiro: Maria Souza Lima, inscrita no cadastro."),
+    ("Processo nº {i}/2026.", "Em 20/05/2027, às 10 horas.", "Lance mínimo R$ {i},00 |", "lotes 1 a {n}.", "conduzido pelo leiloeiro oficial Pedro Rocha em pessoa."),
+    ("Edital n° 00{i}.", "Será realizado conforme aviso em 01/06/2027.", "estimado {i} |", "Lote 3, Lote {n}.", "Leiloeiro designado: Ana Prado Reis."),
+    ("Sem número.", "Sem data.", "Sem preço |", "lote único e Lote reserva.", "Sem nome."),
+)
+_DESCRIPTIONS = {3: "Objeto: alienação de veículos inservíveis", 4: "O evento ocorrerá em 03/07/2027"}
+
+
+def _noticed(spark, sf):
+    """Every document as a notice: a head in one of five forms, one of which states nothing, before the whole text."""
+    d, v = table(spark, sf, "documents"), F.col("doc_id") % 5
+
+    def head(parts):
+        pieces = [F.lit(x) for x in " ".join(parts).replace("{i}", "\x00i\x00").replace("{n}", "\x00n\x00").split("\x00")]
+        named = {"i": F.col("doc_id").cast("string"), "n": (F.col("doc_id") % 90 + 5).cast("string")}
+        raw = " ".join(parts).replace("{i}", "\x00i\x00").replace("{n}", "\x00n\x00").split("\x00")
+        return F.concat(*[named.get(x, piece) for x, piece in zip(raw, pieces)])
+
+    front, description = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for k, parts in enumerate(_FRONTS):
+        front = F.when(v == k, head(parts)).otherwise(front)
+        description = F.when(v == k, F.lit(_DESCRIPTIONS.get(k)).cast("string")).otherwise(description)
+    return d.select("doc_id", F.concat(front, F.lit("\n\n"), F.coalesce("text", F.lit(""))).alias("document_text"), description.alias("description_text"))
+
+
+_HEADS = " ".join(f"WHEN {k} THEN '" + " ".join(f).replace("{i}", "' || doc_id || '").replace("{n}", "' || (doc_id % 90 + 5) || '") + "'" for k, f in enumerate(_FRONTS))
+_COLLAPSED = "trim(regexp_replace({0}, '[\\s\\xA0]+', ' ', 'g'))"
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, doc_id % 5 AS v, CASE doc_id % 5 {_HEADS} END || chr(10) || chr(10) || coalesce(text, '') AS doc,
+  CASE doc_id % 5 WHEN 3 THEN '{_DESCRIPTIONS[3]}' WHEN 4 THEN '{_DESCRIPTIONS[4]}' END AS description FROM documents),
+m AS (SELECT *, lower(doc || coalesce(' ' || description, '')) AS low, coalesce(description, doc) AS told, list_filter(list_transform(string_split(doc, chr(10)), lambda x: trim(x)), lambda x: length(x) > 30)[1:3] AS lines FROM d),
+o AS (SELECT *, len(list_filter({_sql_list(br.ONLINE_WORDS)}, lambda w: contains(low, w))) > 0 AS online, len(list_filter({_sql_list(br.ONSITE_WORDS)}, lambda w: contains(low, w))) > 0 AS onsite FROM m)
+SELECT doc_id, CASE v WHEN 3 THEN '00' || doc_id WHEN 4 THEN NULL ELSE doc_id || '/2026' END AS notice_no,
+  ['15/03/2027', '07/04/2027', '20/05/2027', '01/06/2027', '03/07/2027'][v + 1] AS event_date,
+  CASE v WHEN 0 THEN doc_id || '.50' WHEN 1 THEN doc_id || '000.00' WHEN 4 THEN NULL ELSE doc_id || '.00' END AS value,
+  CASE v WHEN 4 THEN '2' ELSE CAST(doc_id % 90 + 5 AS VARCHAR) END AS items,
+  ['João Silva', 'Maria Souza Lima', 'Pedro Rocha', 'Ana Prado Reis', NULL][v + 1] AS auctioneer,
+  CASE WHEN online AND onsite THEN 'Híbrido' WHEN online THEN 'Eletrônico' WHEN onsite THEN 'Presencial' END AS modality,
+  CASE WHEN v = 3 THEN 'alienação de veículos inservíveis' WHEN length(trim(told)) <= 500 THEN {_COLLAPSED.format("told")}
+    WHEN length(regexp_extract(trim(told), '^([^.\n]*)', 1)) >= 20 THEN substr({_COLLAPSED.format("regexp_extract(trim(told), '^([^.\n]*)', 1)")}, 1, 500) ELSE '' END AS summary,
+  substr({_COLLAPSED.format("array_to_string(lines, ' ')")}, 1, 500) AS description FROM o"""
+)
 def extract_fields(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("document_text"), F.substring_index("text", "\n", 1).alias("description_text"))
-    return extraction.extract_fields(d).select("doc_id", "notice_no", "event_date", "value", "items", "auctioneer", "modality", "summary")
+    return extraction.extract_fields(_noticed(spark, sf)).select("doc_id", "notice_no", "event_date", "value", "items", "auctioneer", "modality", "summary", "description")
 
 
-@query()
+@query(
+    """WITH d AS (SELECT doc_id, doc_id % 2 AS v, unnest([0, 1]) AS line_no FROM documents)
+SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, CASE WHEN line_no = 0 THEN '1' ELSE CAST(doc_id % 90 + 2 AS VARCHAR) END AS lot_no,
+  CASE WHEN v = 0 AND line_no = 0 THEN 'VEICULO FIAT UNO MILLE ANO 2010 PLACA ABC1234' WHEN v = 0 THEN 'SUCATA HONDA CG 125 ANO 2012' WHEN line_no = 0 THEN 'VEICULO FORD KA ANO 2015 COR PRETA' ELSE 'MOTO YAMAHA YBR ANO 2011' END AS description,
+  CASE WHEN v = 0 AND line_no = 0 THEN 'FIAT' WHEN v = 0 THEN 'HONDA' WHEN line_no = 0 THEN 'FORD' ELSE 'YAMAHA' END AS brand,
+  CASE WHEN v = 0 AND line_no = 0 THEN 'UNO MILLE' WHEN v = 0 THEN 'CG 125' WHEN line_no = 0 THEN 'KA' ELSE 'YBR' END AS model,
+  CAST(CASE WHEN v = 0 AND line_no = 0 THEN 2010 WHEN v = 0 THEN 2012 WHEN line_no = 0 THEN 2015 ELSE 2011 END AS BIGINT) AS model_year,
+  CASE WHEN v = 0 AND line_no = 0 THEN 'ABC1234' END AS plate, CAST(NULL AS VARCHAR) AS error_code FROM d"""
+)
 def lots_from_text(spark, sf):
-    d = table(spark, sf, "documents")
-    return lots.parse_lots(lots.lots_from_text(d)).select("doc_id", "line_no", "lot_no", "lot_id", "value", "error_code")
+    """Every document with two lots after its text, told by the word in one half and by line numbers in the other."""
+    d, n = table(spark, sf, "documents"), F.col("doc_id") % 90 + 2
+    told = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("LOTE 1 - VEICULO FIAT UNO MILLE ANO 2010 PLACA ABC1234\nLOTE "), n, F.lit(" - SUCATA HONDA CG 125 ANO 2012")))
+    told = told.otherwise(F.concat(F.lit("1 - VEICULO FORD KA ANO 2015 COR PRETA\n"), n, F.lit(" - MOTO YAMAHA YBR ANO 2011")))
+    rows = d.select("doc_id", F.concat(F.regexp_replace(F.coalesce("text", F.lit("")), r"(?m)^\d+(?=\s*[-–])", "no"), F.lit("\n"), told).alias("text"))
+    return lots.parse_lots(lots.lots_from_text(rows)).select("doc_id", "line_no", "lot_no", "description", "brand", "model", "model_year", "plate", "error_code")
 
 
 @query(
