@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from noticelake.functions import extract as X
@@ -64,14 +65,13 @@ def lots_from_text(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
 
 def lots_from_tables(table_rows: DataFrame) -> DataFrame:
     """Lots of table rows. The header row of each table assigns roles to cells by position."""
-    headers = (
-        table_rows.groupBy("doc_id", "page_no", "table_no")
-        .agg(F.min_by("cells", "row_no").alias("h"), F.min("row_no").alias("head_row"))
-        .withColumn("roles", F.transform("h", lambda c: column_role(c, br.COLUMN_ROLES)))
-        .where(F.array_contains("roles", "descricao") | F.array_contains("roles", "numero"))
-        .drop("h")
-    )
-    j = table_rows.join(headers, ["doc_id", "page_no", "table_no"]).where(F.col("row_no") > F.col("head_row"))
+    table = W.partitionBy("doc_id", "page_no", "table_no").orderBy("row_no")
+    seen = table.rowsBetween(W.unboundedPreceding, W.currentRow)
+    # Roles are made out of the first row alone and handed down with it: one shuffle, one sort, and no row is looked at twice.
+    numbered = table_rows.withColumn("_place", F.row_number().over(table)).withColumn("head_row", F.first("row_no").over(seen))
+    own = F.when(F.col("_place") == 1, F.transform("cells", lambda c: column_role(c, br.COLUMN_ROLES)))
+    j = numbered.withColumn("_own", own).withColumn("roles", F.last("_own", ignorenulls=True).over(seen)).where(F.col("_place") > 1)
+    j = j.where(F.array_contains("roles", "descricao") | F.array_contains("roles", "numero")).drop("_own", "_place")
     pairs = F.filter(
         F.arrays_zip(F.col("roles").alias("role"), F.col("cells").alias("cell")),
         lambda x: x["role"].isNotNull() & (F.length(F.trim(x["cell"])) > 0),
@@ -190,8 +190,6 @@ def lot_preview(lots: DataFrame, key: str, order: str, label: Column, max_len: i
     Only the leading lots can appear in the preview: a label takes at least one character and a
     separator three, so the first ``max_len`` lots decide the result and the rest is not gathered.
     """
-    from pyspark.sql import Window as W
-
     w = W.partitionBy(key).orderBy(order)
     head = lots.select(key, order, label.alias("label")).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_len)
     listed = head.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_rn", "label"))).alias("p"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.functions.arrays import overlap
+from noticelake.sources.snapshots import staged
 
 # Log2 value buckets: 0 for values below 1, then one per doubling.
 LAST_BUCKET = 64
@@ -52,13 +53,15 @@ def _keyed_filters(f: DataFrame, cities: DataFrame) -> DataFrame:
     rest = f.where(F.col("f_region").isNull())
     by_tag = rest.where(F.col("f_tags").isNotNull()).withColumn("key", F.explode(F.transform(F.array_distinct("f_tags"), lambda t: F.concat(F.lit("t:"), t))))
     rest = rest.where(F.col("f_tags").isNull())
-    # Containment of the city text: distinct cities meet the filters that share their first fragment.
-    by_city = (
-        cities.withColumn("gram", F.explode(_grams(F.col("city"))))
-        .join(rest.where(F.col("f_city").isNotNull()).withColumn("gram", F.substring("f_city", 1, 3)), "gram")
-        .where(F.contains("city", "f_city"))
-        .withColumn("key", F.concat(F.lit("c:"), "city"))
-    )
+    # Containment of the city text: a filter is looked up by that fragment of its text which the fewest cities have, so a
+    # fragment that most cities share decides only for texts that have no other. One that no city has ends there.
+    fragments = cities.select("city", F.explode(_grams(F.col("city"))).alias("gram"))
+    shared = fragments.groupBy("gram").agg(F.count(F.lit(1)).alias("_n"))
+    texts = rest.where(F.col("f_city").isNotNull()).select("f_city").distinct()
+    own = F.filter(_grams(F.col("f_city")), lambda g: F.length(g) == F.least(F.length("f_city"), F.lit(3)))
+    rarest = texts.select("f_city", F.explode(own).alias("gram")).join(shared, "gram").groupBy("f_city").agg(F.min_by("gram", F.struct("_n", "gram")).alias("gram"))
+    met = fragments.join(rarest, "gram").where(F.contains("city", "f_city")).select("city", "f_city")
+    by_city = rest.join(met, "f_city").withColumn("key", F.concat(F.lit("c:"), "city"))
     rest = rest.where(F.col("f_city").isNull())
     ranged = rest.where(F.col("f_min").isNotNull() | F.col("f_max").isNotNull())
     lowest = F.when(F.col("f_min").isNull(), F.lit(0)).otherwise(_bucket(F.col("f_min")))
@@ -82,12 +85,15 @@ def matches(notices: DataFrame, filters: DataFrame) -> DataFrame:
     """
     n = notices.select("notice_id", "region", F.upper(F.coalesce("city", F.lit(""))).alias("city"), "tags", "value")
     f = filters.where("is_active").withColumn("f_city", F.upper("f_city")).drop("label", "is_active")
-    keyed = _keyed_filters(f, n.select("city").distinct())
+    keyed = staged(_keyed_filters(f, n.select("city").distinct()), "keyed-filters")
+    # Notices stand only under the kinds of keys that some filter is looked up by: five at most.
+    kinds = {r["kind"] for r in keyed.select(F.substring("key", 1, 1).alias("kind")).distinct().collect()}
 
     bucket = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(_bucket(F.col("value")))
     tag_keys = F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda t: F.concat(F.lit("t:"), t))
-    own = F.array(F.concat(F.lit("r:"), "region"), F.concat(F.lit("c:"), "city"), F.concat(F.lit("v:"), bucket), F.lit("*"))
-    spread = n.withColumn("key", F.explode(F.array_distinct(F.array_compact(F.concat(own, tag_keys)))))
+    single = {"r": F.concat(F.lit("r:"), "region"), "c": F.concat(F.lit("c:"), "city"), "v": F.concat(F.lit("v:"), bucket), "*": F.lit("*")}
+    own = F.array(*[k for name, k in single.items() if name in kinds]).cast("array<string>")
+    spread = n.withColumn("key", F.explode(F.array_distinct(F.array_compact(F.concat(own, tag_keys) if "t" in kinds else own))))
 
     # A notice and a filter may share several tags; the pair is kept at the first shared one only.
     shared = F.concat(F.lit("t:"), F.try_element_at(F.array_intersect("f_tags", "tags"), F.lit(1)))

@@ -252,7 +252,8 @@ def _texts(spark, sf):
     p, k = table(spark, sf, "pages"), F.col("page_id") % 4
     bare = U.bare_host(F.col("url"))
     front = F.when(k == 0, F.concat(F.lit("Acesse https://"), bare, F.lit("/leilao/"), "page_id", F.lit("."))).when(k == 1, F.concat(F.lit("Acesse (www."), bare, F.lit("/leilao)")))
-    text = F.concat_ws("\n", front.when(k == 3, "no ED.COMEMORA de hoje").otherwise("sem link"), T.strip_html(F.col("html")), F.concat(F.lit("fim "), bare))
+    prose = F.regexp_replace(T.strip_html(F.col("html")), r"@\S+", " ")  # mail addresses name other hosts
+    text = F.concat_ws("\n", front.when(k == 3, "no ED.COMEMORA de hoje").otherwise("sem link"), prose, F.concat(F.lit("fim "), bare))
     return p.select(F.col("page_id").alias("notice_id"), F.lit("pdf_anexo").alias("source"), F.lit("page").alias("ref"), F.lit(1).alias("page_no"), text.alias("text"))
 
 
