@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticelake.llm.store import Scratch
@@ -43,44 +43,55 @@ KINDS = (
     ),
     Kind("mixed", r"[A-Za-z0-9_-]{20,}", 0, 20, False, r"(?=[^0-9]*[0-9][^0-9]*[0-9][^0-9]*[0-9])(?=[^A-Z]*[A-Z])(?=[^a-z]*[a-z])"),
 )
-SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string,base:boolean,value:string>>"
+PART = "array<struct<kind_no:int,place:int,gap:int,whole:int,value:string>>"
 
 
-def _spans(kind: Kind, number: int) -> Column:
-    """Spans of one kind in column ``_text``: gaps between matches and the matches give all positions in one pass."""
+def _parts(kind: Kind, number: int) -> Column:
+    """Matches of one kind in column ``_text`` with the lengths of themselves and of what lies before them, one pass for all."""
     t, p = F.col("_text"), F.lit(kind.pattern)
     parts = F.arrays_zip(
         F.split(t, kind.pattern, -1).alias("gap"),
         F.regexp_extract_all(t, p, F.lit(0)).alias("whole"),
         F.regexp_extract_all(t, p, F.lit(kind.group)).alias("value"),
     )
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["whole"]), F.lit(0))
-        good = F.coalesce(F.length(x["value"]) >= kind.least, F.lit(False))
-        if kind.holds:
-            good = good & F.coalesce(F.rlike(x["value"], F.lit(kind.holds)), F.lit(False))
-        span = F.struct(
-            start.alias("start"), F.lit(number).alias("kind_no"), end.alias("end"), F.lit(kind.name).alias("kind"),
-            F.lit(kind.base).alias("base"), x["value"].alias("value"),
-        )
-        return F.struct(end.alias("at"), F.when(good, F.concat(acc["out"], F.array(span).cast(SPAN))).otherwise(acc["out"]).alias("out"))
+    def part(x: Column, i: Column) -> Column:
+        return F.struct(F.lit(number).alias("kind_no"), i.alias("place"), F.length(x["gap"]).alias("gap"), F.length(x["whole"]).alias("whole"), x["value"].alias("value"))
 
-    found = F.aggregate(parts, zero, step, lambda acc: acc["out"])
-    return F.when(t.rlike(kind.pattern), found).otherwise(F.array().cast(SPAN))
+    found = F.filter(F.transform(parts, part), lambda x: x["whole"].isNotNull())
+    return F.when(t.rlike(kind.pattern), found).otherwise(F.array()).cast(PART)
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str | None, repo_col: str | None, kinds: tuple[Kind, ...]) -> DataFrame:
-    """(id, text_hash, owner, repo, found) of the texts with at least one candidate."""
+    """(id, text_hash, owner, repo, start, kind_no, end, kind, base, value_hash), a row for each candidate.
+
+    A match starts where the lengths before it end: running sums over the matches of one text and kind, so any number of them is
+    in proportion to itself.
+    """
     owner = F.col(owner_col).cast("string") if owner_col else F.lit("")
     repo = F.col(repo_col).cast("string") if repo_col else F.col(id_col).cast("string")
     rows = docs.select(
-        F.col(id_col).alias("id"), text_hash(text_col).alias("text_hash"), owner.alias("owner"), repo.alias("repo"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")
+        F.col(id_col).alias("id"), text_hash(text_col).alias("text_hash"), owner.alias("owner"), repo.alias("repo"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
+        F.monotonically_increasing_id().alias("_row"),
     )
-    found = F.concat(*[_spans(k, i) for i, k in enumerate(kinds)])
-    return rows.select("id", "text_hash", "owner", "repo", found.alias("found")).where(F.size("found") > 0)
+    parts = F.concat(*[_parts(k, i) for i, k in enumerate(kinds)])
+    each = rows.select("_row", "id", "text_hash", "owner", "repo", F.explode(parts).alias("p")).select("_row", "id", "text_hash", "owner", "repo", "p.*")
+    run = Window.partitionBy("_row", "kind_no").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    each = each.withColumn("end", F.sum(F.col("gap") + F.col("whole")).over(run).cast("int"))
+    table = F.array(*[F.struct(F.lit(k.name).alias("kind"), F.lit(k.base).alias("base"), F.lit(k.least).alias("least"), F.lit(k.holds).alias("holds")) for k in kinds])
+    of = F.element_at(table, F.col("kind_no") + 1)
+    holds = F.lit(True)
+    for i, k in enumerate(kinds):
+        if k.holds:
+            holds = F.when(F.col("kind_no") == i, F.rlike("value", F.lit(k.holds))).otherwise(holds)
+    good = (F.length("value") >= of["least"]) & holds
+    return each.where(good).select(
+        "id", "text_hash", "owner", "repo", (F.col("end") - F.col("whole")).alias("start"), "kind_no", "end", of["kind"].alias("kind"), of["base"].alias("base"), F.sha2("value", 256).alias("value_hash")
+    )
+
+
+#: Code points of a block of a text that is redacted.
+BLOCK = 4096
 
 
 def text_hash(text_col: str) -> Column:
@@ -99,27 +110,39 @@ def scan(
     """Findings: (id, text_hash, secrets), one row for each distinct (id, text) that has any.
 
     ``secrets`` is sorted by start and kind; each has kind, start, end (code points, end exclusive), base,
-    value_hash, repos, owners and live (at most ``max_owners`` owners). A repository is (owner, ``repo_col``),
+    value_hash, repos, owners, live (at most ``max_owners`` owners) and after, where the spans before it end. A repository is (owner, ``repo_col``),
     the row's id if no column is given. Null owners count as one owner, a null text as empty. An extra
     candidate that meets a base span, or an extra one of an earlier kind, is left out. Repeated rows
     are one repository and get one finding. Other columns are not read. Empty tables give no findings.
     """
     scratch = Scratch(docs.sparkSession, "secrets")
     rows = scratch.save(candidates(docs, id_col, text_col, owner_col, repo_col, kinds), "candidates")
-    each = rows.select("id", "text_hash", F.coalesce("owner", F.lit("\x00")).alias("owner"), F.coalesce("repo", F.lit("\x00")).alias("repo"), F.explode("found").alias("f"))
-    each = each.select("id", "text_hash", "owner", "repo", "f.*").withColumn("value_hash", F.sha2("value", 256)).drop("value")
+    named = [F.coalesce(c, F.lit("\x00")).alias(c) for c in ("owner", "repo")]
+    each = rows.select("id", "text_hash", *named, "start", "kind_no", "end", "kind", "base", "value_hash")
     per_owner = each.select("value_hash", "owner", "repo").distinct().groupBy("value_hash", "owner").agg(F.count(F.lit(1)).alias("repos"))
     counts = per_owner.groupBy("value_hash").agg(F.sum("repos").alias("repos"), F.count(F.lit(1)).alias("owners"))
     known = each.select("id", "text_hash", "start", "kind_no", "end", "kind", "base", "value_hash").distinct().join(counts, "value_hash")
     known = known.withColumn("live", F.col("owners") <= max_owners).where(F.col("base") | F.col("live"))
-    item = F.struct("start", "kind_no", "end", "kind", "base", "value_hash", "repos", "owners", "live")
-    per_text = known.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(item)).alias("all"))
-    everything = F.col("all")
-    clear = F.filter(
-        everything,
-        lambda x: x["base"] | ~F.exists(everything, lambda y: (y["kind_no"] < x["kind_no"]) & (y["start"] < x["end"]) & (y["end"] > x["start"])),
-    )
-    return per_text.select("id", "text_hash", clear.alias("secrets")).where(F.size("secrets") > 0)
+    clear = _clear_of_earlier_kinds(known, kinds)
+    before = Window.partitionBy("id", "text_hash").orderBy("start", "kind_no").rowsBetween(Window.unboundedPreceding, -1)
+    clear = clear.withColumn("after", F.coalesce(F.max("end").over(before), F.lit(0)))
+    item = F.struct("start", "kind_no", "end", "kind", "base", "value_hash", "repos", "owners", "live", "after")
+    return clear.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(item)).alias("secrets"))
+
+
+def _clear_of_earlier_kinds(known: DataFrame, kinds: tuple[Kind, ...]) -> DataFrame:
+    """Without extra candidates that meet one of an earlier kind: such a one starts before and reaches in, or starts inside."""
+    text = Window.partitionBy("id", "text_hash")
+    so_far = text.orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    later = text.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, -1)  # from the last one on: a frame that only grows
+    met = F.lit(False)
+    for i, k in enumerate(kinds):
+        if not k.base:
+            earlier = F.col("kind_no") < i
+            reached = F.max(F.when(earlier, F.col("end"))).over(so_far) > F.col("start")
+            inside = F.min(F.when(earlier, F.col("start"))).over(later) < F.col("end")
+            met = F.when(F.col("kind_no") == i, F.coalesce(reached, F.lit(False)) | F.coalesce(inside, F.lit(False))).otherwise(met)
+    return known.withColumn("_met", met).where(~F.col("_met")).drop("_met")
 
 
 def attach(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,14 +181,21 @@ def redact(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text_co
     clear, touched = docs.join(keys, key, "left_anti"), docs.join(keys, key, "left_semi")
     met = attach(touched, findings, id_col, text_col)
     text = F.col("row").getField(text_col)
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    # A text is cut into blocks once; a stretch of it is put together from the blocks that it lies in.
+    met = met.select("row", "secrets", F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("_blocks"), F.length(text).alias("_length"))
+
+    def stretch(start: Column, end: Column) -> Column:
+        first, last = F.floor(start / BLOCK), F.floor((end - 1) / BLOCK)
+
+        def piece(j: Column) -> Column:
+            low = F.greatest(start - j * BLOCK, F.lit(0))
+            return F.substring(F.element_at("_blocks", (j + 1).cast("int")), (low + 1).cast("int"), (F.least(end - j * BLOCK, F.lit(BLOCK)) - low).cast("int"))
 
-    def step(acc: Column, x: Column) -> Column:
-        ahead = x["start"] >= acc["at"]
-        mark = F.when(x["live"], F.lit(live)).otherwise(F.lit(copied))
-        out = F.when(ahead, F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), mark)).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
+        return F.when(end > start, F.array_join(F.transform(F.sequence(first, F.greatest(first, last)), piece), "")).otherwise(F.lit(""))
 
-    clean = F.aggregate("secrets", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    marked = F.filter("secrets", lambda x: x["start"] >= x["after"])
+    cut = F.transform(marked, lambda x: F.concat(stretch(x["after"], x["start"]), F.when(x["live"], F.lit(live)).otherwise(F.lit(copied))))
+    rest = stretch(F.array_max(F.transform("secrets", lambda x: x["end"])), F.col("_length"))
+    clean = F.concat(F.array_join(cut, ""), rest)
     new = F.when(F.col("secrets").isNull(), text).otherwise(clean)
     return clear.unionByName(met.select([(new if f == text_col else F.col("row").getField(f)).alias(f) for f in docs.columns]))
