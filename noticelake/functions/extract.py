@@ -21,7 +21,6 @@ NOTICE_NUMBER = (
     r"(?iu)edital\s+de\s+leil[ãa]o\s*[nº°.]*\s*([0-9]+(?:/[0-9]+)?(?:/[0-9]{4})?)",
     r"(?i)processo\s*[nº°.]+\s*([0-9]+(?:/[0-9]+)?(?:/[0-9]{4})?)",
 )
-_DATE = r"(\d{1,2}[/.-]\d{1,2}[/.-]20\d{2})"
 DATE = r"(\d{1,2}[/.-]\d{1,2}[/.-]20\d{2})"
 AUCTION_WORD, DAY_WORD = r"(?iu)leil[ãa]o", r"(?iu)dia"
 HELD_WORD = r"(?iu)realizar[aá]|ocorrer[aá]"

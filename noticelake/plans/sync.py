@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from noticelake.functions.text import blank_to_null, repair_mojibake
 from noticelake.functions.urls import notice_link
 from noticelake.operators.keyed import new_rows
 from noticelake.presets import br_notices as br
+from noticelake.sources.sinks import truncated
 
 
 def _first(*cols: Column) -> Column:
@@ -54,20 +57,28 @@ def new_notices(storage: DataFrame, portal: DataFrame, saved: DataFrame, stored:
     return new_rows(assemble(storage, portal, saved), stored, ["portal_id"])
 
 
-def to_serving(collected: DataFrame, as_of) -> DataFrame:
-    """Collector rows to serving rows: repaired region, derived numbers, default publication date."""
+#: Widths of the serving table's text columns, for a store that has them.
+SERVING_WIDTHS = {"title": 500, "description": 2000, "agency": 200, "city": 100}
+
+
+def to_serving(collected: DataFrame, as_of, widths: Mapping[str, int] | None = None) -> DataFrame:
+    """Collector rows to serving rows: repaired region, derived numbers, default publication date.
+
+    Texts stay whole; ``widths`` (``SERVING_WIDTHS``) cuts them to what the columns of a store hold.
+    """
     region = repair_region(F.col("region"), F.col("city"), F.col("agency"), br.REGIONS, br.REGION_NAMES, br.FEDERAL_WORDS, br.FEDERAL_REGION)
     value = F.col("value") if dict(collected.dtypes)["value"] != "string" else parse_br_money(F.col("value"))
-    return collected.select(
+    rows = collected.select(
         "portal_id",
-        F.substring("title", 1, 500).alias("title"),
-        F.substring("description", 1, 2000).alias("description"),
-        F.substring("agency", 1, 200).alias("agency"),
+        "title",
+        "description",
+        "agency",
         region.alias("region"),
-        F.substring("city", 1, 100).alias("city"),
+        "city",
         F.coalesce(blank_to_null(F.col("notice_no")), F.concat_ws("/", "seq", "year")).alias("notice_no"),
         F.concat_ws("/", "tax_id", "year", "seq").alias("portal_number"),
         F.coalesce("published_at", F.lit(as_of).cast("timestamp")).alias("published_at"),
         "event_at",
         value.cast("decimal(15,2)").alias("value"),
     )
+    return truncated(rows, widths) if widths else rows
