@@ -198,3 +198,32 @@ WITH d AS (SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, co
     FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
 )
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+ORACLE["op2_jaccard"] = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), g AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i : i + 3], ' ') AS gram FROM (SELECT *, unnest(range(1, greatest(len(words) - 2, 2))) AS i FROM d WHERE len(words) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), comp AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+), degree AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(n_links, 0) AS n_links, component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN degree ON a = d.doc_id LEFT JOIN comp ON comp.doc_id = d.doc_id"""
+
+ORACLE["op8_repeats"] = r"""
+WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (SELECT row_no, unnest(words) AS word, unnest(range(len(words))) AS place, len(words) AS n FROM d
+), s AS (SELECT row_no, i AS place, array_to_string(words[i + 1 : i + 35], ' ') AS run FROM (SELECT *, unnest(range(len(words) - 34)) AS i FROM d WHERE len(words) > 34)
+), twice AS (SELECT row_no, place FROM (SELECT row_no, place, count(*) OVER (PARTITION BY run) AS k FROM s) WHERE k > 1
+), marked AS (
+    SELECT w.*, max(CASE WHEN t.place IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY w.row_no ORDER BY w.place ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) = 1 AS gone
+    FROM w LEFT JOIN twice t ON t.row_no = w.row_no AND t.place = w.place
+), kept AS (
+    SELECT row_no, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY place) FILTER (NOT gone) AS kept FROM marked GROUP BY row_no
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (row_no)"""
