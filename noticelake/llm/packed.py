@@ -13,6 +13,7 @@ numpy packs and unpacks columns of bytes; any stretch of ids needs its own block
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Iterator
@@ -119,6 +120,23 @@ class PackedFile:
 
 
 # ---------------------------------------------------------------- encoding
+#: The rules of word_bpe_49k, by which words are cut.
+RULES = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+)
+
+
+def matches(path: str) -> bool:
+    """Whether a vocabulary file has the rules that ``PieceEncoder`` relies on."""
+    with open(path, encoding="utf-8") as f:
+        held = json.load(f)
+    steps = (held.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    first = steps[0]
+    cut = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True and first.get("pattern") == RULES[1]
+    return held.get("normalizer") == RULES[0] and cut and [s.get("type") for s in steps[1:]] == ["ByteLevel"]
+
+
 class PieceEncoder:
     """The tokenizers library with its work shared between equal pieces of text.
 
@@ -126,12 +144,14 @@ class PieceEncoder:
     of printable ASCII without an apostrophe or "<" is lower-cased and cut further where letters,
     single digits and other signs meet, as the vocabulary's pattern cuts it; every other word is
     given to the library whole. This holds for vocabularies with the rules of
-    word_bpe_49k (NFC, lower case, split at white space); ``matches`` checks a file for them.
+    word_bpe_49k (NFC, lower case, split at white space); a file with others is refused.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        if not matches(path):
+            raise ValueError(f"{path} has other rules than those this encoder cuts words by")
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()

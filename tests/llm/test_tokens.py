@@ -121,3 +121,9 @@ def test_queries_equal_library(spark, documents, byte_lib, word_lib):
         ids = [*word_lib.encode(rows[i], add_special_tokens=False).ids, 2]
         assert tuple(got[i]) == (i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+def test_a_vocabulary_of_other_rules_is_refused():
+    assert packed.matches(WORD) and not packed.matches(BYTE)
+    with pytest.raises(ValueError):
+        packed.PieceEncoder(BYTE)
