@@ -7,6 +7,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -27,7 +28,7 @@ def con():
 
 def _rows(df):
     def cell(v):
-        if v is None or v != v:
+        if pd.isna(v) is True:
             return "NULL"
         if isinstance(v, bool) or type(v).__name__.startswith("bool"):
             return str(bool(v))
