@@ -69,7 +69,9 @@ def tag_by_terms(df: DataFrame, terms: DataFrame, text: str, row_id: str, whole_
 
     A term is looked up by its first word (``whole_words``) or its first three characters, so all pairs are
     never compared. Texts stay out of that join: it hands on (row, fragment) pairs of fragments
-    that some term has, and the texts are read again only for the terms behind them.
+    that some term has, and the texts are read again only for the terms behind them. Fragments meet the terms' in a semi join, which
+    can only broadcast the terms, and all other joins are merges: a table of few different values is a small file, and
+    Spark would broadcast its rows, or the many that an explode makes of them, by the size of the file.
     """
     look = as_words if whole_words else (lambda c: c)
     t = terms.select("term", "tag").where(F.length("term") > 0).distinct().withColumn("_needle", look(F.col("term")))
@@ -77,12 +79,12 @@ def tag_by_terms(df: DataFrame, terms: DataFrame, text: str, row_id: str, whole_
         t = t.where(F.length(F.trim("_needle")) > 0)
     t = t.withColumn("_part", F.get(F.split(F.trim("_needle"), " "), F.lit(0)) if whole_words else F.substring("_needle", 1, 3))
     seen = let(look(F.col(text)), lambda x: F.array_distinct(F.split(F.trim(x), " ")) if whole_words else _fragments(x))
-    parts = df.select(row_id, F.explode(seen).alias("_part")).join(t.select("_part").distinct(), "_part")
-    found = parts.join(t, "_part").select(row_id, "tag", "_needle").distinct()
+    parts = df.select(row_id, F.explode(seen).alias("_part")).join(t.select("_part").distinct(), "_part", "left_semi")
+    found = parts.join(t.hint("merge"), "_part").select(row_id, "tag", "_needle").distinct()
     texts = df.select(row_id, look(F.col(text)).alias("_looked"))
-    hits = found.join(texts, row_id).where(F.contains("_looked", "_needle"))
+    hits = found.join(texts.hint("merge"), row_id).where(F.contains("_looked", "_needle"))
     tags = hits.groupBy(row_id).agg(F.sort_array(F.collect_set("tag")).alias("tags"))
-    return df.join(tags, row_id, "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
+    return df.join(tags.hint("merge"), row_id, "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
 
 
 def _fragments(text: Column) -> Column:
