@@ -9,7 +9,7 @@ from noticelake.functions.classify import vehicle_icon
 from noticelake.functions.text import drop_suffix
 from noticelake.operators import keyed, predicates
 from noticelake.operators.joins import prefer, salted_join
-from noticelake.operators.paging import natural_order
+from noticelake.operators.paging import natural_number
 from noticelake.operators.ranks import with_rank
 from noticelake.plans import discovery, links, lots, mapview, match, search, stats, unify
 from noticelake.queries.base import AS_OF, NOTICES, notices, plain, table
@@ -83,7 +83,8 @@ def lots_in_natural_order(spark, sf):
     """Every lot's place by the number in its name, then as text; equal rows of the table share their places in any order."""
     number = F.col("l_linenumber")
     l = table(spark, sf, "lineitem").select("l_orderkey", number.cast("bigint").alias("line"), F.when(number % 3 == 0, F.concat(F.lit("A"), number)).otherwise((number * 7).cast("string")).alias("lot_no"))
-    return with_rank(l, *natural_order("lot_no"), F.col("l_orderkey").asc(), F.col("line").asc(), name="place")
+    l = l.withColumn("_number", natural_number(F.col("lot_no")))
+    return with_rank(l, F.col("_number").asc_nulls_last(), F.col("lot_no").asc(), F.col("l_orderkey").asc(), F.col("line").asc(), name="place").drop("_number")
 
 
 _RETAG = "(SELECT p_partkey, [p_type, 'OLD'] AS old_tags, list_distinct([p_type, CASE WHEN p_size > 25 THEN 'BIG' ELSE p_brand END]) AS new_tags FROM part)"
