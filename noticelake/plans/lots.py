@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -184,14 +186,14 @@ def lot_label(lot_no: Column, brand: Column, model: Column, year: Column, descri
     return F.concat_ws(": ", F.nullif(lot_no, F.lit("")), F.coalesce(vehicle, F.substring(description, 1, 30)))
 
 
-def lot_preview(lots: DataFrame, key: str, order: str, label: Column, max_len: int = 100, empty: str = "Sem lotes cadastrados") -> DataFrame:
-    """Joined labels per notice, cut at ``max_len``.
+def lot_preview(lots: DataFrame, key: str, order: str, label: Column, max_len: int = 100, empty: str = "Sem lotes cadastrados", tie: Sequence[str] = ()) -> DataFrame:
+    """Joined labels per notice, cut at ``max_len``. ``tie`` columns decide between lots of one place.
 
     Only the leading lots can appear in the preview: a label takes at least one character and a
     separator three, so the first ``max_len`` lots decide the result and the rest is not gathered.
     """
-    w = W.partitionBy(key).orderBy(order)
-    head = lots.select(key, order, label.alias("label")).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_len)
+    w = W.partitionBy(key).orderBy(order, *tie)
+    head = lots.select(key, order, *tie, label.alias("label")).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_len)
     listed = head.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_rn", "label"))).alias("p"))
     joined = F.array_join(F.transform("p", lambda x: x["label"]), " | ")
     return listed.select(

@@ -195,12 +195,13 @@ def category_counts(spark, sf):
 
 
 # ---------------------------------------------------------------- lots of a notice
-def _lots(spark, sf):
-    l, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
+def _lots(spark, sf, *places):
+    """Lines as lots. ``places``: columns of the file that a line is read from."""
+    l, p = table(spark, sf, "lineitem").select("*", *places), table(spark, sf, "part")
     return l.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("notice_key"), F.col("l_linenumber").alias("line_no"), F.col("l_linenumber").cast("string").alias("lot_no"),
         F.when(F.col("l_discount") > 0.02, F.col("l_extendedprice")).alias("value"), F.col("p_brand").alias("brand"), F.col("p_name").alias("model"),
-        F.col("p_size").alias("model_year"),
+        F.col("p_size").alias("model_year"), *[p_.rpartition(".")[2] for p_ in places],
     )
 
 
@@ -221,8 +222,9 @@ def lot_summary(spark, sf):
 SELECT notice_key, CASE WHEN length(t) > 100 THEN substr(t, 1, 97) || '...' ELSE t END AS preview FROM p"""
 )
 def lot_preview(spark, sf):
+    """Lots of one number follow each other as they stand in the table."""
     label = lots.lot_label(F.col("lot_no"), F.col("brand"), F.col("model"), F.col("model_year"), F.lit(None).cast("string"))
-    return lots.lot_preview(_lots(spark, sf), "notice_key", "line_no", label)
+    return lots.lot_preview(_lots(spark, sf, "_metadata.file_path", "_metadata.row_index"), "notice_key", "line_no", label, tie=["file_path", "row_index"])
 
 
 @query(

@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from noticelake.operators import shares
 from noticelake.operators.joins import tag_by_terms
+from noticelake.operators.paging import natural_number
 from noticelake.operators.transitions import follow, state_times
+from noticelake.queries import pages, serving
 
 
 def plan_of(df):
@@ -35,3 +38,34 @@ def test_states_follow_a_log_without_a_join_by_row_and_read_it_once(spark, tmp_p
     times = state_times(done, "_key", "at", "1970-01-01 01:00:00", ("a", "b"))
     assert plan_of(times)[0].count("Relation") == plan_of(done)[0].count("Relation")
     assert {(r["_key"], r["seconds"]) for r in times.groupBy("_key").agg(F.sum("seconds").alias("seconds")).collect()} == {(k, 3600.0 - k) for k in range(3)}
+
+
+def test_a_grade_is_reached_by_counts_and_not_by_a_rounded_share(spark):
+    rows = spark.range(100_000).select(F.when(F.col("id") == 7, "x").otherwise("/1234").alias("l"))
+    assert tuple(shares.compliance(rows, "l", r"/\d{3,}$").first()) == (100_000, 99_999, 100, "warning")
+    assert shares.compliance(rows.where("id <> 7"), "l", r"/\d{3,}$").first()["grade"] == "ok"
+    assert shares.compliance(rows.where("id < 0"), "l", r"/\d{3,}$").first()["grade"] == "failed"
+
+
+def test_a_page_address_held_by_several_pages_counts_each_page_once(spark, tmp_path):
+    page = "<title>cheap {}</title>"
+    rows = [(1, "http://a", page.format(1)), (2, "http://a", page.format(2)), (3, "http://a", page.format(3)), (4, "http://pills", None)]
+    on_disk(spark.createDataFrame(rows, "page_id long, url string, html string"), tmp_path / "pages.parquet")
+    found = pages.QUERIES["keyword_hits"](spark, str(tmp_path))
+    assert [tuple(r) for r in found.collect()] == [("cheap", 3)]
+
+
+def test_lots_of_one_number_stand_in_the_order_of_their_table(spark, tmp_path):
+    n = 400
+    part = spark.createDataFrame([(i, f"Brand#{(i * 37) % n}", "red bolt", 5) for i in range(n)], "p_partkey long, p_brand string, p_name string, p_size int")
+    lines = spark.createDataFrame([(i % 100, 1, (i * 7) % n, 0.05, 1.0) for i in range(n)], "l_orderkey long, l_linenumber int, l_partkey long, l_discount double, l_extendedprice double")
+    on_disk(part, tmp_path / "part.parquet")
+    on_disk(lines.coalesce(1), tmp_path / "lineitem.parquet")
+    found = {r["notice_key"]: r["preview"] for r in serving.QUERIES["lot_preview"](spark, str(tmp_path)).collect()}
+    want = {k: " | ".join(f"1: Brand#{((i * 7) % n * 37) % n} red bolt 5" for i in range(k, n, 100)) for k in range(100)}
+    assert found == {k: v if len(v) <= 100 else v[:97] + "..." for k, v in want.items()}
+
+
+def test_texts_that_are_no_numbers_are_not_cast(spark):
+    rows = spark.createDataFrame([(x,) for x in ("7", " 12 ", "+3", "-4", "A3", "1e3", "", "99999999999", None)], "t string")
+    assert [r[0] for r in rows.select(natural_number(F.col("t"))).collect()] == [7, 12, 3, -4, None, None, None, None, None]
