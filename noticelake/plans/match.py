@@ -77,14 +77,32 @@ def _keyed_filters(f: DataFrame, cities: DataFrame) -> DataFrame:
     return out
 
 
+#: What a filter asks for. Filters that ask for the same are looked up as one.
+CONDITION = ("f_region", "f_city", "f_tags", "f_min", "f_max")
+
+
+def members(filters: DataFrame) -> DataFrame:
+    """Active filters as (condition, filter_id, user_id and the columns of ``CONDITION``); ``condition`` is a digest of these."""
+    f = filters.where("is_active").withColumn("f_city", F.upper("f_city"))
+    return staged(f.select(F.md5(F.to_json(F.struct(*CONDITION))).alias("condition"), "filter_id", "user_id", *CONDITION), "filters")
+
+
 def matches(notices: DataFrame, filters: DataFrame) -> DataFrame:
     """(filter_id, user_id, notice_id) of every active filter a notice satisfies.
 
     ``notices``: notice_id, region, city, tags, value. ``filters``: as ``read_filters`` gives them.
+    """
+    every = members(filters)
+    return condition_matches(notices, every).join(every.select("condition", "filter_id", "user_id"), "condition").select("filter_id", "user_id", "notice_id")
+
+
+def condition_matches(notices: DataFrame, every: DataFrame) -> DataFrame:
+    """(condition, notice_id) of every distinct condition among ``members`` that a notice satisfies.
+
     Notices are read once: each is put under all keys it can be looked up by and joined once.
     """
     n = notices.select("notice_id", "region", F.upper(F.coalesce("city", F.lit(""))).alias("city"), "tags", "value")
-    f = filters.where("is_active").withColumn("f_city", F.upper("f_city")).drop("label", "is_active")
+    f = every.select("condition", *CONDITION).dropDuplicates(["condition"])
     keyed = staged(_keyed_filters(f, n.select("city").distinct()), "keyed-filters")
     # Notices stand only under the kinds of keys that some filter is looked up by: five at most.
     kinds = {r["kind"] for r in keyed.select(F.substring("key", 1, 1).alias("kind")).distinct().collect()}
@@ -104,15 +122,22 @@ def matches(notices: DataFrame, filters: DataFrame) -> DataFrame:
     )
     once = ~F.col("key").startswith("t:") | (F.col("key") == shared)
     hits = spread.join(keyed, "key").where(value_ok & city_ok & tags_ok & once)
-    return hits.select("filter_id", "user_id", "notice_id")
+    return hits.select("condition", "notice_id")
 
 
 def notifications(notices: DataFrame, filters: DataFrame) -> DataFrame:
     """One notification per user and notice, for the lowest matching filter id.
 
-    Filters that a lower filter of the same user covers are left out before they meet any notice.
+    Filters that a lower filter of the same user covers are left out before they meet any notice. Users whose filters ask for the same in the
+    same order are one profile: the first condition of a profile that a notice meets is found once, and its users come last.
     """
-    return matches(notices, uncovered(filters)).groupBy("user_id", "notice_id").agg(F.min("filter_id").alias("filter_id"))
+    every = members(uncovered(filters))
+    own = F.array_sort(F.collect_list(F.struct("filter_id", "condition")))
+    listed = every.groupBy("user_id").agg(own.alias("own")).select("user_id", F.col("own.filter_id").alias("ids"), F.col("own.condition").alias("conditions"))
+    users = staged(listed.withColumn("profile", F.md5(F.array_join("conditions", ","))), "profiles")
+    asked = users.select("profile", "conditions").dropDuplicates(["profile"]).select("profile", F.posexplode("conditions").alias("place", "condition"))
+    first = condition_matches(notices, every).join(asked, "condition").groupBy("profile", "notice_id").agg(F.min("place").alias("place"))
+    return first.join(users, "profile").select("user_id", "notice_id", F.get("ids", F.col("place")).alias("filter_id"))
 
 
 def uncovered(filters: DataFrame) -> DataFrame:
@@ -163,5 +188,5 @@ def unread_count(unread_rows: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "matches", "new_notifications", "notifications", "read_filters", "unread", "unread_count", "unread_list",
+    "condition_matches", "matches", "members", "new_notifications", "notifications", "read_filters", "unread", "unread_count", "unread_list",
 ]

@@ -6,6 +6,7 @@ from noticelake.operators import shares
 from noticelake.operators.joins import tag_by_terms
 from noticelake.operators.paging import natural_number
 from noticelake.operators.transitions import follow, state_times
+from noticelake.plans import match
 from noticelake.queries import pages, serving
 
 
@@ -69,3 +70,15 @@ def test_lots_of_one_number_stand_in_the_order_of_their_table(spark, tmp_path):
 def test_texts_that_are_no_numbers_are_not_cast(spark):
     rows = spark.createDataFrame([(x,) for x in ("7", " 12 ", "+3", "-4", "A3", "1e3", "", "99999999999", None)], "t string")
     assert [r[0] for r in rows.select(natural_number(F.col("t"))).collect()] == [7, 12, 3, -4, None, None, None, None, None]
+
+
+def test_filters_that_ask_for_the_same_meet_a_notice_once(spark):
+    schema = "filter_id long, user_id long, label string, is_active boolean, f_region string, f_city string, f_tags array<string>, f_min decimal(18,2), f_max decimal(18,2)"
+    rows = [(u * 2 + i, u, "x", True, "N" if i else None, None, None if i else ["A"], None, None) for u in range(50) for i in range(2)]
+    filters = spark.createDataFrame(rows, schema)
+    notices = spark.createDataFrame([(1, "N", "x", ["A"], 5.0), (2, "N", "x", ["B"], None), (3, "S", "x", ["A"], 5.0), (4, "S", "x", [], 5.0)], "notice_id long, region string, city string, tags array<string>, value double")
+    every = match.members(filters)
+    assert match.condition_matches(notices, every).count() == 4  # two conditions, two notices each
+    assert match.matches(notices, filters).count() == 200
+    told = {tuple(r) for r in match.notifications(notices, filters).collect()}
+    assert told == {(u, n, u * 2 + (n == 2)) for u in range(50) for n in (1, 2, 3)}
