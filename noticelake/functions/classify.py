@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from noticelake.functions.text import contains_any, fold_accents, let
 
 
-def first_class(text: Column, classes: Sequence[tuple[str, Sequence[str]]], other: str) -> Column:
+def first_class(text: Column, classes: Sequence[tuple[str, Sequence[str]]], other: str | None) -> Column:
     """First class with a word contained in the text; classes are tried in order."""
     table = F.array(
         *[F.struct(F.lit(n).alias("name"), F.array(*[F.lit(w) for w in ws]).alias("words")) for n, ws in classes]
@@ -129,4 +129,4 @@ def table_is_relevant(header: Column, words: Iterable[str], skip: Iterable[str])
 
 def column_role(cell: Column, roles: Sequence[tuple[str, Sequence[str]]]) -> Column:
     """Role of a header cell; roles are tried in order, NULL when none fits."""
-    return F.nullif(first_class(fold_accents(cell), roles, ""), F.lit(""))
+    return first_class(fold_accents(cell), roles, None)

@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from noticelake.functions import extract
 from noticelake.operators import shares
 from noticelake.operators.joins import tag_by_terms
 from noticelake.operators.paging import natural_number
 from noticelake.operators.transitions import follow, state_times
-from noticelake.plans import match
+from noticelake.plans import lots, match
 from noticelake.queries import pages, serving
 
 
@@ -82,3 +83,17 @@ def test_filters_that_ask_for_the_same_meet_a_notice_once(spark):
     assert match.matches(notices, filters).count() == 200
     told = {tuple(r) for r in match.notifications(notices, filters).collect()}
     assert told == {(u, n, u * 2 + (n == 2)) for u in range(50) for n in (1, 2, 3)}
+
+
+def test_a_pattern_of_a_lot_is_looked_for_once(spark):
+    pages_ = spark.createDataFrame(
+        [("a", 1, "LOTE 1\nVEICULO BLUE WIDGET ANO 1993\nAVALIAÇÃO: 10,00"), ("b", 1, "LOTE 2 - MOTO MERCEDES-BENZ ACTROS PLACA ABC 1234 CHASSI 9BWZZZ37ZVT004251"), ("c", 1, None)],
+        "doc_id string, page_no int, text string",
+    )
+    blocks = lots.lots_from_text(lots.join_pages(pages_))
+    assert plan_of(blocks)[0].count(extract.LOT_HEAD) == 2  # number and body
+    parsed = lots.parse_lots(blocks)
+    got = {r.doc_id: (r.lot_no, r.brand, r.model, r.plate, r.chassis, r.model_year) for r in parsed.collect()}
+    assert got == {"a": ("01", "BLUE", "WIDGET", None, None, 1993), "b": ("2", "MERCEDES-BENZ", "ACTROS", "ABC1234", "9BWZZZ37ZVT004251", None)}
+    given = spark.createDataFrame([("a", 1, "1", "VEICULO BLUE WIDGET", None, "x", None)], "doc_id string, line_no int, lot_no_raw string, description_raw string, value_raw string, source_text string, given map<string,string>")
+    assert plan_of(lots.parse_lots(given.repartition(2)))[0].count(extract.VEHICLE_THEN_NAME) == 2  # brand and model
