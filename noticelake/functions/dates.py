@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from noticelake.functions.text import let
+
 
 def contract_date(c: Column) -> Column:
     """``dd-MM-yyyy`` text re-formatted; NULL for slashes, other shapes and impossible days."""
@@ -56,8 +58,8 @@ def to_br_text(c: Column, missing: str = "N/D") -> Column:
 def local_closing_time(c: Column, zone: str = "America/Sao_Paulo") -> Column:
     """Closing time given in local clock; any zone written in the text is dropped."""
     bare = F.regexp_replace(F.trim(c), r"(Z|[+-]\d{2}:?\d{2})$", "")
-    bare = F.when(bare.rlike(r"^\d{4}-\d{2}-\d{2}"), bare).otherwise(c)
-    return F.to_utc_timestamp(parse_any_timestamp(bare), zone)
+    bare = let(bare, lambda b: F.when(b.rlike(r"^\d{4}-\d{2}-\d{2}"), b).otherwise(c))
+    return F.to_utc_timestamp(let(bare, parse_any_timestamp), zone)
 
 
 def temporal_status(c: Column, as_of, future: str = "future", past: str = "past") -> Column:

@@ -35,22 +35,27 @@ def _summary(title: Column, description: Column) -> Column:
     return F.substring(F.when(use, head).otherwise(title), 1, 200)
 
 
+def _title() -> Column:
+    return F.coalesce(blank_to_null(collapse_space(F.col("nm_titulo_lote"))), F.concat(F.lit("Lote "), F.col("lote_id")))
+
+
+def _required(source: str) -> dict[str, Column]:
+    """Id, place and time, without which a row is rejected."""
+    auction = F.nullif(F.col("leilao_id"), F.lit(""))
+    return {
+        "listing_id": listing_id(source, auction, F.col("lote_id")), "region": valid_region(F.col("nm_estado"), br.REGIONS),
+        "event_at": local_closing_time(F.col("dt_fechamento")),
+    }
+
+
 def judged_columns(items: DataFrame, source: str) -> DataFrame:
     """Adds what validation looks at: id, title, place, time, value, notice link and tags, each cleaned. Nothing is invented."""
-    lot, auction = F.col("lote_id"), F.nullif(F.col("leilao_id"), F.lit(""))
-    texts = compute_once(
-        items,
-        {
-            "title": F.coalesce(blank_to_null(collapse_space(F.col("nm_titulo_lote"))), F.concat(F.lit("Lote "), lot)),
-            "description": blank_to_null(strip_html(F.col("nm_descricao"))),
-        },
-    )
+    texts = compute_once(items, {"title": _title(), "description": blank_to_null(strip_html(F.col("nm_descricao")))})
     words = F.lower(F.concat_ws(" ", "title", "description", "nm_categoria"))
     return compute_once(
         texts,
         {
-            "listing_id": listing_id(source, auction, lot), "city": blank_to_null(title_case(collapse_space(F.col("nm_cidade")))),
-            "region": valid_region(F.col("nm_estado"), br.REGIONS), "event_at": local_closing_time(F.col("dt_fechamento")),
+            **_required(source), "city": blank_to_null(title_case(collapse_space(F.col("nm_cidade")))),
             "value": positive_or_null(parse_money(F.coalesce(blank_to_null(F.col("vl_lanceminimo")), F.col("vl_venda")))),
             "notice_link": U.best_attachment(F.col("anexos")), "tags": tags_by_words(words, br.FEED_TAG_WORDS, br.FEED_DEFAULT_TAG),
         },
@@ -94,11 +99,12 @@ def normalize(items: DataFrame, source: str, as_of, max_images: int | None = Non
     return presented(judged_columns(items, source), source, as_of, max_images)
 
 
-def validate(listings: DataFrame, as_of=None) -> DataFrame:
-    """Adds ``errors`` and ``warnings`` code arrays; ``as_of`` switches the expiry rule on."""
-    def code(cond: Column, name: str) -> Column:
-        return F.when(F.coalesce(cond, F.lit(False)), F.lit(name))
+def _code(cond: Column, name: str) -> Column:
+    return F.when(F.coalesce(cond, F.lit(False)), F.lit(name))
+
 
+def _errors(as_of=None) -> Column:
+    code = _code
     title = F.lower(F.trim(F.col("title")))
     errors = [
         code(F.col("event_at").isNull(), "MISSING_DATA_LEILAO"),
@@ -109,12 +115,29 @@ def validate(listings: DataFrame, as_of=None) -> DataFrame:
     ]
     if as_of is not None:
         errors.append(code(F.to_date("event_at") < F.lit(as_of).cast("date"), "EXPIRED_AUCTION"))
+    return F.array_compact(F.array(*errors))
+
+
+def validate(listings: DataFrame, as_of=None) -> DataFrame:
+    """Adds ``errors`` and ``warnings`` code arrays; ``as_of`` switches the expiry rule on."""
     warnings = [
-        code(F.col("city").isNull(), "MISSING_CIDADE"),
-        code(F.col("notice_link").isNull(), "MISSING_LINK_EDITAL"),
-        code(F.col("value").isNull(), "MISSING_VALOR"),
+        _code(F.col("city").isNull(), "MISSING_CIDADE"),
+        _code(F.col("notice_link").isNull(), "MISSING_LINK_EDITAL"),
+        _code(F.col("value").isNull(), "MISSING_VALOR"),
     ]
-    return listings.withColumn("errors", F.array_compact(F.array(*errors))).withColumn("warnings", F.array_compact(F.array(*warnings)))
+    return listings.withColumn("errors", _errors(as_of)).withColumn("warnings", F.array_compact(F.array(*warnings)))
+
+
+def rejections(checked: DataFrame, source: str) -> DataFrame:
+    """(stage, errors) of the rows that either stage rejects, in one pass; only what the errors look at is made.
+
+    Tags are never missing, for rows without any get the default one.
+    """
+    passed = F.col("reject_code").isNull()
+    looked_at = {n: F.when(passed, c) for n, c in {"title": _title(), **_required(source)}.items()}
+    rows = compute_once(checked, looked_at).withColumn("tags", F.array(F.lit(br.FEED_DEFAULT_TAG)))
+    errors = F.when(passed, _errors()).otherwise(F.array("reject_code"))
+    return rows.select(F.when(passed, "validation").otherwise("pre_filter").alias("stage"), errors.alias("errors")).where(F.size("errors") > 0)
 
 
 def rejection_codes(spark) -> DataFrame:
@@ -142,8 +165,7 @@ def run(items: DataFrame, source: str, run_id: str, as_of, drop_repeated_pages:
         )
     ).withColumn("rejection_code", F.get("errors", F.lit(0)))
     # The report counts codes and needs no more than those.
-    codes = early.select(F.lit("pre_filter").alias("stage"), F.array("reject_code").alias("errors")).unionByName(bad.select(F.lit("validation").alias("stage"), "errors"))
-    report = top_rejections(codes, rejection_codes(items.sparkSession))
+    report = top_rejections(rejections(checked, source), rejection_codes(items.sparkSession))
     return {"valid": valid, "quarantine": quarantine, "report": report}
 
 

@@ -97,3 +97,11 @@ def test_a_pattern_of_a_lot_is_looked_for_once(spark):
     assert got == {"a": ("01", "BLUE", "WIDGET", None, None, 1993), "b": ("2", "MERCEDES-BENZ", "ACTROS", "ABC1234", "9BWZZZ37ZVT004251", None)}
     given = spark.createDataFrame([("a", 1, "1", "VEICULO BLUE WIDGET", None, "x", None)], "doc_id string, line_no int, lot_no_raw string, description_raw string, value_raw string, source_text string, given map<string,string>")
     assert plan_of(lots.parse_lots(given.repartition(2)))[0].count(extract.VEHICLE_THEN_NAME) == 2  # brand and model
+
+
+def relations(df, column):
+    return sum("Relation" in line and column in line for line in plan_of(df)[0].splitlines())
+
+
+def test_the_report_of_a_feed_reads_its_items_once(spark):
+    assert relations(pages.QUERIES["feed_report"](spark, "/root/testdata/sf0.001"), "l_orderkey") == 1
