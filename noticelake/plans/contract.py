@@ -149,6 +149,14 @@ def merge_quarantine(stored: DataFrame, batch: DataFrame) -> DataFrame:
     return upsert_replace(stored, batch, ["run_id", "record_id"], keep=[c for c in ("created_at",) if c in stored.columns])
 
 
+def keys_routed_to_both(validated: DataFrame, key: str) -> DataFrame:
+    """Count of keys that ``route`` sends to both tables; must be 0. The rows are validated once, not once for each table."""
+    valid = F.col("status") == "valid"
+    keys = validated.select(F.col(key).cast("string").alias("k"), valid.alias("valid")).where("k is not null")
+    each = keys.groupBy("k").agg(F.max("valid").alias("main"), F.min("valid").alias("only_main"))
+    return each.agg(F.count_if(F.col("main") & ~F.col("only_main")).alias("keys_in_both"))
+
+
 def keys_in_both(main: DataFrame, quarantine: DataFrame, main_key: str, quarantine_key: str = "record_id") -> DataFrame:
     """Count of keys present in both tables; must be 0."""
     q = quarantine.select(F.col(quarantine_key).cast("string").alias("k")).distinct()

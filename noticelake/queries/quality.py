@@ -64,8 +64,7 @@ def quarantine_upsert(spark, sf):
 
 @query(f"WITH {RECORDS} SELECT count(*) FILTER (WHERE a.id_interno IN (SELECT id_interno FROM reasons)) AS keys_in_both FROM validated a WHERE status = 'valid'")
 def quarantine_overlap(spark, sf):
-    main, quarantine = contract.route(_validated(spark, sf), "id_interno", "run_id", ["id_interno"])
-    return contract.keys_in_both(main, quarantine, "id_interno")
+    return contract.keys_routed_to_both(_validated(spark, sf), "id_interno")
 
 
 @query(

@@ -7,8 +7,8 @@ from noticelake.operators import shares
 from noticelake.operators.joins import tag_by_terms
 from noticelake.operators.paging import natural_number
 from noticelake.operators.transitions import follow, state_times
-from noticelake.plans import lots, match
-from noticelake.queries import pages, serving
+from noticelake.plans import contract, lots, match
+from noticelake.queries import pages, quality, serving
 
 
 def plan_of(df):
@@ -105,3 +105,9 @@ def relations(df, column):
 
 def test_the_report_of_a_feed_reads_its_items_once(spark):
     assert relations(pages.QUERIES["feed_report"](spark, "/root/testdata/sf0.001"), "l_orderkey") == 1
+
+
+def test_keys_of_both_tables_are_counted_in_one_pass(spark):
+    assert relations(quality.QUERIES["quarantine_overlap"](spark, "/root/testdata/sf0.001"), "o_orderkey") == 1
+    rows = spark.createDataFrame([("a", "valid"), ("a", "draft"), ("b", "valid"), ("b", "valid"), ("c", "draft"), (None, "valid"), (None, "draft")], "k string, status string")
+    assert contract.keys_routed_to_both(rows, "k").first()[0] == 1
