@@ -62,7 +62,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the kept texts, with the digests of the ids and of the text decoded from them."""
     ship_package(spark)
     path = vocabulary_path("byte_bpe_50k.json")
-    return bpe.digests(bpe.decode(bpe.encode(docs.select("doc_id", "text"), path).select("doc_id", "ids"), path))
+    return bpe.digests(bpe.encode_and_decode(docs.select("doc_id", "text"), path))
 
 
 STAGES = [

@@ -11,7 +11,6 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticelake.llm.words import ragged, slices
+from noticelake.llm.workers import released
 
 CACHED_PIECES = 400_000
+#: Bytes of text that are worked on at once.
+SLICE = 1 << 18
 #: Fixed value: the pre-tokenization pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -115,25 +117,47 @@ class Vocabulary:
         return self.bytes[ragged(self.start[ids], self.size[ids])].tobytes()
 
 
-@lru_cache(maxsize=4)
+_loaded: dict[str, Vocabulary] = {}
+
+
 def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+    """The vocabulary of a file, of which a worker keeps four at most."""
+    if path not in _loaded:
+        if len(_loaded) >= 4:
+            _loaded.clear()
+        _loaded[path] = Vocabulary(path)
+    return _loaded[path]
+
+
+def _forget_pieces() -> None:
+    """Empties the kept pieces at a task's end: texts share few but the common ones, and the worker serves other stages."""
+    for vocab in _loaded.values():
+        vocab.known.clear()
 
 
-def _add(df: DataFrame, name: str, kind: T.DataType, column: str, work) -> DataFrame:
-    """``df`` with ``work`` of one column's values as a further column (it takes the place of a column so named)."""
-    kept = [f for f in df.schema.fields if f.name.lower() != name.lower()]
-    schema = T.StructType([*kept, T.StructField(name, kind)])
+def _add(df: DataFrame, columns: dict[str, T.DataType], column: str, work, instead: bool = False) -> DataFrame:
+    """``df`` with ``work`` of one column's values as further columns (they take the place of columns so named); ``instead``: without that one."""
+    names = {name.lower() for name in columns}
+    kept = [f for f in df.schema.fields if f.name.lower() not in names]
     if all(f.name != column for f in kept):
-        raise ValueError(f"{name} would take the place of its own input")
+        raise ValueError(f"{' or '.join(columns)} would take the place of its own input")
+    kept = [f for f in kept if not (instead and f.name == column)]
+    schema = T.StructType([*kept, *[T.StructField(name, kind) for name, kind in columns.items()]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, column):
-                values = work(part.column(column))
-                yield pa.RecordBatch.from_arrays([*[part.column(f.name) for f in kept], values], [*[f.name for f in kept], name])
+            for part in slices(batch, column, SLICE):
+                yield pa.RecordBatch.from_arrays([*[part.column(f.name) for f in kept], *work(part.column(column))], [*[f.name for f in kept], *columns])
+
+    return df.mapInArrow(released(run, _forget_pieces), schema)
+
+
+def _ids(vocab: Vocabulary, texts: pa.Array) -> list[bytes]:
+    return [vocab.encode(t) if t else b"" for t in texts.to_pylist()]
 
-    return df.mapInArrow(run, schema)
+
+def _texts(vocab: Vocabulary, ids: list[bytes | None]) -> pa.Array:
+    return pa.array((None if b is None else vocab.decode(np.frombuffer(b, "<u4")).decode("utf-8", "replace") for b in ids), pa.string())
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -142,23 +166,23 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     Null and empty texts have no ids (empty binary). Rows keep their order and number, repeated rows
     have equal ids, an empty table stays empty. A column already named ``ids_col`` is replaced.
     """
-
-    def work(texts: pa.Array) -> pa.Array:
-        vocab = vocabulary(path)
-        return pa.array([vocab.encode(t) if t else b"" for t in texts.to_pylist()], pa.binary())
-
-    return _add(docs, ids_col, T.BinaryType(), text_col, work)
+    return _add(docs, {ids_col: T.BinaryType()}, text_col, lambda texts: [pa.array(_ids(vocabulary(path), texts), pa.binary())])
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """Adds ``text_col``: the text of binary ids; null ids give null, bytes that are no UTF-8 the replacement sign."""
+    return _add(rows, {text_col: T.StringType()}, ids_col, lambda column: [_texts(vocabulary(path), column.to_pylist())])
+
+
+def encode_and_decode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """``decode`` of ``encode``, without ``text_col``: a task has one Python worker with one vocabulary for both, not two."""
 
-    def work(column: pa.Array) -> pa.Array:
+    def work(texts: pa.Array) -> list[pa.Array]:
         vocab = vocabulary(path)
-        texts = (None if b is None else vocab.decode(np.frombuffer(b, "<u4")).decode("utf-8", "replace") for b in column.to_pylist())
-        return pa.array(texts, pa.string())
+        ids = _ids(vocab, texts)
+        return [pa.array(ids, pa.binary()), _texts(vocab, ids)]
 
-    return _add(rows, text_col, T.StringType(), ids_col, work)
+    return _add(docs, {ids_col: T.BinaryType(), decoded_col: T.StringType()}, text_col, work, instead=True)
 
 
 def digests(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -40,9 +40,12 @@ from noticelake.llm import bitfilter
 from noticelake.llm.components import components
 from noticelake.llm.store import Scratch
 from noticelake.llm.words import LOWER, mix, slices, split_words, text_bytes, word_hashes
+from noticelake.llm.workers import released
 
 #: Bounds of what is held by a task or broadcast, whatever the input's size.
 HOT, FLUSH, FILTER_BITS, GRAM_BITS = 1 << 17, 1 << 20, 1 << 21, 1 << 26
+#: Bytes of text that are worked on at once.
+SLICE = 1 << 18
 #: Sets and n-grams of a block that is compared at once, columns of the comparison, and n-grams of a part of such work.
 BLOCK_SETS, BLOCK_GRAMS, COLUMNS, PART_GRAMS = 1 << 10, 1 << 19, 1 << 12, 1 << 21
 #: Share of all n-grams that is counted, as a multiple of the longest prefix: enough of a text's own n-grams lie in it to fill its prefix.
@@ -110,7 +113,7 @@ def _counted(n: int, below: np.uint64):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 for s in shingles(part.column("text"), n):
                     held.append(s)
                     size += len(s)
@@ -134,9 +137,9 @@ def _counted_slots(below: np.uint64):
 
 def frequencies(docs: DataFrame, n: int, below: np.uint64, scratch: Scratch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The most frequent n-grams (at most ``HOT``) sorted by name, their ranks, and the bits of the counted ones that are shared."""
-    counts = docs.select("text").mapInArrow(_counted(n, below), "gram bigint, df bigint").groupBy("gram").agg(F.sum("df").alias("df"))
+    counts = docs.select("text").mapInArrow(released(_counted(n, below)), "gram bigint, df bigint").groupBy("gram").agg(F.sum("df").alias("df"))
     counts = scratch.save(counts.where("df > 1"), "frequent")
-    bits = bitfilter.build(counts.select("gram").mapInArrow(_counted_slots(below), "slot bigint"), GRAM_BITS)
+    bits = bitfilter.build(counts.select("gram").mapInArrow(released(_counted_slots(below)), "slot bigint"), GRAM_BITS)
     level = F.floor(F.log2("df") * 8).cast("int")
     room, least = HOT, None
     for row in counts.where("df > 2").groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
@@ -173,7 +176,7 @@ def _prefixes(n: int, percent: int, hot):
         names, ranks, bits = hot.value
         below = counted_below(percent)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 size, d1, d2, grams, places = [], [], [], [], []
                 for s in shingles(part.column("text"), n):
                     size.append(len(s))
@@ -202,7 +205,7 @@ def _sets(n: int, percent: int, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(bitfilter.holds(wanted.value, batch.column("slot").to_numpy())))
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 sets = list(shingles(part.column("text"), n))
                 heads = [[np.sort(mix(s ^ k))[: prefix_length(len(s), percent) if len(s) else 0].tobytes() for s in sets] for k in SEEDS[1:]]
                 digests = [_digest(s) for s in sets]
@@ -271,8 +274,8 @@ def _with(pairs: DataFrame, sets: DataFrame, columns: dict[str, str]) -> DataFra
 def links(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
     """The pairs that link: orders 2 and 3 on the prefixes, then the whole sets."""
     heads = _with(pairs, sets, {"n": "n{}", "head2": "{}2", "head3": "{}3"})
-    left = scratch.save(heads.mapInArrow(_by_orders(percent), "a bigint, b bigint").distinct(), f"{name}-left")
-    return scratch.save(_with(left, sets, {"grams": "g{}"}).mapInArrow(_verified(percent), "a bigint, b bigint").distinct(), f"{name}-links")
+    left = scratch.save(heads.mapInArrow(released(_by_orders(percent)), "a bigint, b bigint").distinct(), f"{name}-left")
+    return scratch.save(_with(left, sets, {"grams": "g{}"}).mapInArrow(released(_verified(percent)), "a bigint, b bigint").distinct(), f"{name}-links")
 
 
 def _reach(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -> Column:
@@ -376,7 +379,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     scratch = Scratch(spark, "jaccard")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     hot = spark.sparkContext.broadcast(frequencies(rows, n, counted_below(percent), scratch))
-    marks = rows.mapInArrow(_prefixes(n, percent, hot), "doc_id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>, places array<int>")
+    marks = rows.mapInArrow(released(_prefixes(n, percent, hot)), "doc_id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>, places array<int>")
     marks = scratch.save(marks, "marks")
     known = marks.where("doc_id is not null and n > 0")
 
@@ -391,7 +394,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
 
     wanted = spark.sparkContext.broadcast(bitfilter.build(post.select(slot_of("node").alias("slot")), FILTER_BITS))
     sets = rows.where("doc_id is not null").withColumn("slot", slot_of("doc_id")).mapInArrow(
-        _sets(n, percent, wanted), "node bigint, n bigint, d1 bigint, d2 bigint, head2 binary, head3 binary, grams binary"
+        released(_sets(n, percent, wanted)), "node bigint, n bigint, d1 bigint, d2 bigint, head2 binary, head3 binary, grams binary"
     )
     sets = scratch.save(sets.where("n > 0"), "sets")
 

@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 from noticelake.llm import bitfilter
 from noticelake.llm.store import Scratch
 from noticelake.llm.words import slices, text_bytes
+from noticelake.llm.workers import released
 
-ORDER, HOT, FLUSH, FILTER_BITS, PRIOR = 5, 1 << 18, 1 << 21, 1 << 21, 60.0
+ORDER, HOT, FLUSH, FILTER_BITS, PRIOR = 5, 1 << 18, 1 << 20, 1 << 21, 60.0
+#: Bytes of text that are worked on at once: every byte takes about a hundred in the arrays of a scan.
+SLICE = 1 << 18
 FEW = 200
 #: Languages up to which their figures are sent to every task.
 LANGUAGES = 1 << 16
@@ -53,7 +56,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pydict({"gram": key, "a": count.astype(np.int64)})
 
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             held.append(grams(*text_bytes(part.column("text"))))
             if sum(map(len, held)) >= FLUSH:
                 yield flush()
@@ -101,7 +104,7 @@ def _scored(hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = HotTable(*hot.value)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 data, off = text_bytes(part.column("text"))
                 n = np.diff(off)
                 value, miss = table.look_up(key := grams(data, off))
@@ -200,7 +203,7 @@ def trusted_text(docs: DataFrame, trusted: DataFrame) -> DataFrame:
             mask = bitfilter.holds(wanted.value, batch.column("slot").to_numpy())
             yield batch.select(["id", "text"]).filter(pa.array(mask))
 
-    rows = docs.where("id is not null").select("id", "text", _slot("id").alias("slot")).mapInArrow(run, "id bigint, text string")
+    rows = docs.where("id is not null").select("id", "text", _slot("id").alias("slot")).mapInArrow(released(run), "id bigint, text string")
     return rows.join(trusted.hint("merge"), "id", "left_semi").select("text")
 
 
@@ -236,7 +239,7 @@ def classify(
         aside = F.pmod(F.xxhash64("id", F.lit(23)), F.lit(calibrate)) == 0
         if not ids.where(aside).isEmpty() and not ids.where(~aside).isEmpty():
             ids, held_out = ids.where(~aside), ids.where(aside)
-    counts = trusted_text(rows, ids).mapInArrow(_counted, "gram bigint, a bigint").groupBy("gram").agg(F.sum("a").alias("a"))
+    counts = trusted_text(rows, ids).mapInArrow(released(_counted), "gram bigint, a bigint").groupBy("gram").agg(F.sum("a").alias("a"))
     model = Model(scratch.save(counts, "counts"), scratch)
 
     top = model.seen[ORDER]
@@ -254,7 +257,7 @@ def classify(
     shared = spark.sparkContext.broadcast(held)
 
     key = ["id", "hash", "lang"]
-    scored = rows.withColumn("hash", F.xxhash64(F.coalesce("text", F.lit("")))).select("id", "hash", "lang", "text").mapInArrow(_scored(shared), SCORED)
+    scored = rows.withColumn("hash", F.xxhash64(F.coalesce("text", F.lit("")))).select("id", "hash", "lang", "text").mapInArrow(released(_scored(shared)), SCORED)
     scored = scratch.save(scored, "scored")
     rest = scored.where(F.size("grams") > 0).select(*key, F.explode(F.arrays_zip("grams", "counts")).alias("g"))
     rest = rest.select(*key, F.col("g.grams").alias("gram"), F.col("g.counts").alias("count"))

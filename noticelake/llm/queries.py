@@ -40,7 +40,7 @@ def op3_packed_ids(spark: SparkSession, sf: str) -> DataFrame:
 def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = vocabulary_path("byte_bpe_50k.json")
     docs = _table(spark, sf, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.decode(bpe.encode(docs, path).select("doc_id", "ids"), path))
+    return bpe.digests(bpe.encode_and_decode(docs, path))
 
 
 def op5_secrets(spark: SparkSession, sf: str) -> DataFrame:

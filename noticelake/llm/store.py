@@ -33,7 +33,7 @@ class Scratch:
 
 
 #: Bytes of one Arrow batch: texts of any length reach Python in pieces that a few workers of an executor can hold.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def ship_package(spark: SparkSession) -> None:
