@@ -1,21 +1,29 @@
 """Saved filters against notices: which user is told about which notice.
 
-Every filter is joined through one equality, the most selective one it has: its region, else
-one of its tags, else a fragment of its city text, else a value bucket. The other conditions are
+Every filter is joined through one equality, the most selective one it has: a value range that holds few of the
+notices, else its region, else one of its tags, else a fragment of its city text, else any value range. The other conditions are
 checked on the joined rows. Nothing is compared with everything. Only a filter with
 no condition at all meets every notice, because every notice is its result.
 """
 
 from __future__ import annotations
 
+import json
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.functions.arrays import overlap
 from noticelake.sources.snapshots import staged
 
-# Log2 value buckets: 0 for values below 1, then one per doubling.
-LAST_BUCKET = 64
+#: Cells of values, a power of two, each with about the same number of notices. A range is looked up by the largest aligned runs of cells
+#: that it is made of, two of a length at most, and a notice by the run of each length that it lies in.
+LEVELS = 12
+CELLS = 1 << LEVELS
+#: The share of cells up to which a range is looked up before a filter's region, tags or city.
+SHARES = {"r": 1 / 16, "t": 1 / 16, "c": 1 / 256, "*": 1.0}
 
 
 def read_filters(filters: DataFrame, params: str = "filter_params") -> DataFrame:
@@ -35,8 +43,32 @@ def read_filters(filters: DataFrame, params: str = "filter_params") -> DataFrame
     )
 
 
-def _bucket(v: Column) -> Column:
-    return F.when(v < 1, F.lit(0)).otherwise(F.least(F.floor(F.log2(v.cast("double"))).cast("int") + 1, F.lit(LAST_BUCKET)))
+def _splits(values: DataFrame) -> list[float]:
+    """The values between the cells. They are approximate, which moves work between cells and changes no result."""
+    at = F.from_json(F.lit(json.dumps([i / CELLS for i in range(1, CELLS)])), "array<double>")
+    found = values.agg(F.percentile_approx(F.col("value").cast("double"), at, F.lit(4 * CELLS)).alias("v")).first()["v"]
+    return [v for v in found or [] if math.isfinite(v)]
+
+
+def _cell(v: Column, splits: Sequence[float]) -> Column:
+    """How many of the sorted ``splits`` are not above ``v``, by halving."""
+    held, x = F.from_json(F.lit(json.dumps(list(splits))), "array<double>"), v.cast("double")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(LEVELS))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(held, at + step - 1) <= x, at + step).otherwise(at))
+
+
+def _run(level: int, cell: Column) -> Column:
+    return F.concat(F.lit(f"v{level}:"), F.shiftright(cell, level))
+
+
+def _runs(low: Column, high: Column) -> Column:
+    """The aligned runs of cells that make up ``low`` to ``high``."""
+    out = []
+    for k in range(LEVELS + 1):
+        first, end = F.shiftright(low + ((1 << k) - 1), k), F.shiftright(high + 1, k)
+        for at, odd in ((first, first), (end - 1, end)):
+            out.append(F.when((first < end) & (odd % 2 == 1), F.concat(F.lit(f"v{k}:"), at)))
+    return F.array_compact(F.array(*out))
 
 
 def _grams(c: Column) -> Column:
@@ -47,34 +79,33 @@ def _grams(c: Column) -> Column:
     return F.array_distinct(F.flatten(F.array(of(1), of(2), of(3))))
 
 
-def _keyed_filters(f: DataFrame, cities: DataFrame) -> DataFrame:
-    """Every filter under the one kind of key it is looked up by."""
-    by_region = f.where(F.col("f_region").isNotNull()).withColumn("key", F.concat(F.lit("r:"), "f_region"))
-    rest = f.where(F.col("f_region").isNull())
-    by_tag = rest.where(F.col("f_tags").isNotNull()).withColumn("key", F.explode(F.transform(F.array_distinct("f_tags"), lambda t: F.concat(F.lit("t:"), t))))
-    rest = rest.where(F.col("f_tags").isNull())
+def _keyed_filters(f: DataFrame, cities: DataFrame, splits: Sequence[float]) -> DataFrame:
+    """Every filter under the one kind of key it is looked up by; one that is looked up by its range also under another, marked n, for notices without a value."""
+    kind = F.when(F.col("f_region").isNotNull(), "r").when(F.col("f_tags").isNotNull(), "t").when(F.col("f_city").isNotNull(), "c").otherwise("*")
+    low = F.when(F.col("f_min").isNull(), F.lit(0)).otherwise(_cell(F.col("f_min"), splits))
+    high = F.when(F.col("f_max").isNull(), F.lit(CELLS - 1)).otherwise(_cell(F.col("f_max"), splits))
+    widest = F.create_map(*[F.lit(x) for name, share in SHARES.items() for x in (name, int(share * CELLS))])[F.col("kind")]
+    few = (F.col("f_min").isNotNull() | F.col("f_max").isNotNull()) & (F.col("high") - F.col("low") < widest)
+    f, cols = staged(f.select("*", kind.alias("kind"), low.alias("low"), high.alias("high")).withColumn("by_value", few), "conditions"), f.columns
+
+    def under(rows: DataFrame, text: Column, tag: Column | None = None) -> DataFrame:
+        mark = F.concat(F.when(F.col("by_value"), "n").otherwise(""), "kind", F.lit(":"))
+        return rows.select(F.concat(mark, text).alias("key"), (F.lit(None).cast("string") if tag is None else tag).alias("tag"), *cols)
+
+    by_region = under(f.where("kind = 'r'"), F.col("f_region"))
+    by_tag = under(f.where("kind = 't'").select("*", F.explode(F.array_distinct("f_tags")).alias("one")), F.col("one"), F.col("one"))
     # Containment of the city text: a filter is looked up by that fragment of its text which the fewest cities have, so a
     # fragment that most cities share decides only for texts that have no other. One that no city has ends there.
+    named = f.where("kind = 'c'")
     fragments = cities.select("city", F.explode(_grams(F.col("city"))).alias("gram"))
     shared = fragments.groupBy("gram").agg(F.count(F.lit(1)).alias("_n"))
-    texts = rest.where(F.col("f_city").isNotNull()).select("f_city").distinct()
     own = F.filter(_grams(F.col("f_city")), lambda g: F.length(g) == F.least(F.length("f_city"), F.lit(3)))
-    rarest = texts.select("f_city", F.explode(own).alias("gram")).join(shared, "gram").groupBy("f_city").agg(F.min_by("gram", F.struct("_n", "gram")).alias("gram"))
+    rarest = named.select("f_city").distinct().select("f_city", F.explode(own).alias("gram")).join(shared, "gram").groupBy("f_city").agg(F.min_by("gram", F.struct("_n", "gram")).alias("gram"))
     met = fragments.join(rarest, "gram").where(F.contains("city", "f_city")).select("city", "f_city")
-    by_city = rest.join(met, "f_city").withColumn("key", F.concat(F.lit("c:"), "city"))
-    rest = rest.where(F.col("f_city").isNull())
-    ranged = rest.where(F.col("f_min").isNotNull() | F.col("f_max").isNotNull())
-    lowest = F.when(F.col("f_min").isNull(), F.lit(0)).otherwise(_bucket(F.col("f_min")))
-    highest = F.when(F.col("f_max").isNull(), F.lit(LAST_BUCKET)).otherwise(_bucket(F.col("f_max")))
-    # NULL values pass every range: they sit in bucket -1, which every filter covers.
-    covered = F.concat(F.array(F.lit(-1)), F.when(lowest <= highest, F.sequence(lowest, highest)).otherwise(F.array().cast("array<int>")))
-    by_value = ranged.withColumn("key", F.explode(F.transform(covered, lambda b: F.concat(F.lit("v:"), b))))
-    free = rest.where(F.col("f_min").isNull() & F.col("f_max").isNull()).withColumn("key", F.lit("*"))
-    cols = ("key", *f.columns)
-    out = by_region.select(*cols)
-    for part in (by_tag, by_city, by_value, free):
-        out = out.unionByName(part.select(*cols))
-    return out
+    by_city = under(named.join(met, "f_city"), F.col("city"))
+    free = under(f.where("kind = '*'"), F.lit(""))
+    by_value = f.where("by_value").select(F.explode(_runs(F.col("low"), F.col("high"))).alias("key"), F.lit(None).cast("string").alias("tag"), *cols)
+    return by_region.unionByName(by_tag).unionByName(by_city).unionByName(free).unionByName(by_value)
 
 
 #: What a filter asks for. Filters that ask for the same are looked up as one.
@@ -84,7 +115,12 @@ CONDITION = ("f_region", "f_city", "f_tags", "f_min", "f_max")
 def members(filters: DataFrame) -> DataFrame:
     """Active filters as (condition, filter_id, user_id and the columns of ``CONDITION``); ``condition`` is a digest of these."""
     f = filters.where("is_active").withColumn("f_city", F.upper("f_city"))
-    return staged(f.select(F.md5(F.to_json(F.struct(*CONDITION))).alias("condition"), "filter_id", "user_id", *CONDITION), "filters")
+    return staged(f.select(condition().alias("condition"), "filter_id", "user_id", *CONDITION), "filters")
+
+
+def condition() -> Column:
+    """128 bits that stand for what a filter asks for."""
+    return F.unhex(F.md5(F.to_json(F.struct(*[F.upper(c).alias(c) if c == "f_city" else c for c in CONDITION]))))
 
 
 def matches(notices: DataFrame, filters: DataFrame) -> DataFrame:
@@ -101,27 +137,36 @@ def condition_matches(notices: DataFrame, every: DataFrame) -> DataFrame:
 
     Notices are read once: each is put under all keys it can be looked up by and joined once.
     """
-    n = notices.select("notice_id", "region", F.upper(F.coalesce("city", F.lit(""))).alias("city"), "tags", "value")
+    n = staged(notices.select("notice_id", "region", F.upper(F.coalesce("city", F.lit(""))).alias("city"), "tags", "value"), "notices")
     f = every.select("condition", *CONDITION).dropDuplicates(["condition"])
-    keyed = staged(_keyed_filters(f, n.select("city").distinct()), "keyed-filters")
-    # Notices stand only under the kinds of keys that some filter is looked up by: five at most.
-    kinds = {r["kind"] for r in keyed.select(F.substring("key", 1, 1).alias("kind")).distinct().collect()}
-
-    bucket = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(_bucket(F.col("value")))
-    tag_keys = F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda t: F.concat(F.lit("t:"), t))
-    single = {"r": F.concat(F.lit("r:"), "region"), "c": F.concat(F.lit("c:"), "city"), "v": F.concat(F.lit("v:"), bucket), "*": F.lit("*")}
-    own = F.array(*[k for name, k in single.items() if name in kinds]).cast("array<string>")
-    spread = n.withColumn("key", F.explode(F.array_distinct(F.array_compact(F.concat(own, tag_keys) if "t" in kinds else own))))
+    splits = [] if f.where("f_min is not null or f_max is not null").isEmpty() else _splits(n.select("value"))
+    keyed = staged(_keyed_filters(f, n.select("city").distinct(), splits), "keyed-filters")
+    # Notices stand only under the kinds of keys that some filter is looked up by: a handful, and one for each length of runs.
+    kinds = {r["kind"] for r in keyed.select(F.substring_index("key", ":", 1).alias("kind")).distinct().collect()}
+
+    n = n.withColumn("cell", F.when(F.col("value").isNotNull(), _cell(F.col("value"), splits)))
+    none = F.col("value").isNull()
+    parts = {"r": F.col("region"), "c": F.col("city"), "*": F.lit("")}
+    own = [F.concat(F.lit(f"{k}:"), c) for k, c in parts.items() if k in kinds] + [F.when(none, F.concat(F.lit(f"n{k}:"), c)) for k, c in parts.items() if f"n{k}" in kinds]
+    own += [_run(k, F.col("cell")) for k in range(LEVELS + 1) if f"v{k}" in kinds]
+    keys, nothing = F.array(*own).cast("array<string>"), F.array().cast("array<string>")
+    for mark, asked in (("t", F.lit(True)), ("nt", none)):
+        if mark in kinds:
+            head = F.lit(f"{mark}:")
+            tagged = F.transform(F.array_distinct("tags"), lambda t: F.concat(head, t))  # noqa: B023
+            keys = F.concat(keys, F.when(asked, F.coalesce(tagged, nothing)).otherwise(nothing))
+    spread = n.withColumn("key", F.explode(F.array_compact(keys))).drop("cell")
 
     # A notice and a filter may share several tags; the pair is kept at the first shared one only.
-    shared = F.concat(F.lit("t:"), F.try_element_at(F.array_intersect("f_tags", "tags"), F.lit(1)))
+    shared = F.try_element_at(F.array_intersect("f_tags", "tags"), F.lit(1))
+    region_ok = F.col("f_region").isNull() | (F.col("region") == F.col("f_region"))
     tags_ok = F.col("f_tags").isNull() | overlap(F.col("tags"), F.col("f_tags"))
     city_ok = F.col("f_city").isNull() | F.contains("city", "f_city")
     value_ok = F.col("value").isNull() | (
         (F.col("f_max").isNull() | (F.col("value") <= F.col("f_max"))) & (F.col("f_min").isNull() | (F.col("value") >= F.col("f_min")))
     )
-    once = ~F.col("key").startswith("t:") | (F.col("key") == shared)
-    hits = spread.join(keyed, "key").where(value_ok & city_ok & tags_ok & once)
+    once = F.col("tag").isNull() | (F.col("tag") == shared)
+    hits = spread.join(keyed.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key")).where(value_ok & region_ok & city_ok & tags_ok & once)
     return hits.select("condition", "notice_id")
 
 
@@ -188,5 +233,5 @@ def unread_count(unread_rows: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "condition_matches", "matches", "members", "new_notifications", "notifications", "read_filters", "unread", "unread_count", "unread_list",
+    "condition", "condition_matches", "matches", "members", "new_notifications", "notifications", "read_filters", "unread", "unread_count", "unread_list",
 ]

@@ -1,5 +1,9 @@
 """Plans and answers that only go wrong on larger tables: broadcasts by the size of a file, repeated reads, ties."""
 
+import random
+from decimal import Decimal
+
+import pytest
 from pyspark.sql import functions as F
 
 from noticelake.functions import extract
@@ -111,3 +115,46 @@ def test_keys_of_both_tables_are_counted_in_one_pass(spark):
     assert relations(quality.QUERIES["quarantine_overlap"](spark, "/root/testdata/sf0.001"), "o_orderkey") == 1
     rows = spark.createDataFrame([("a", "valid"), ("a", "draft"), ("b", "valid"), ("b", "valid"), ("c", "draft"), (None, "valid"), (None, "draft")], "k string, status string")
     assert contract.keys_routed_to_both(rows, "k").first()[0] == 1
+
+
+FILTERS = "filter_id long, user_id long, label string, is_active boolean, f_region string, f_city string, f_tags array<string>, f_min decimal(18,2), f_max decimal(18,2)"
+
+
+def test_a_narrow_range_is_looked_up_before_a_region(spark):
+    """Filters of one region and narrow ranges: a notice meets those whose range it lies in, and not all of the region."""
+    rows = [(i, i, "x", True, "N", None, None, Decimal(i * 10), Decimal(i * 10 + 5)) for i in range(400)]
+    every = match.members(spark.createDataFrame(rows, FILTERS)).select("condition", *match.CONDITION)
+    notices = spark.range(4000).select(F.col("id").alias("notice_id"), F.lit("N").alias("region"), F.lit("x").alias("city"), F.lit(None).cast("array<string>").alias("tags"), F.col("id").cast("double").alias("value"))
+    hits = match.condition_matches(notices, every)
+    assert hits.count() == 400 * 6
+    plan = hits._jdf.queryExecution().analyzed()
+    while plan.nodeName() != "Join":
+        plan = plan.children().head()
+    assert spark.sparkContext._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan).count() < 400 * 40
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(15,2)"])
+def test_ranges_of_all_shapes_find_what_a_nested_loop_finds(spark, kind):
+    rng = random.Random(5)
+    values = [None, -5.0, 0.0, 0.5, 1.0, 7.0, 7.0, 7.0, 999999.99] + [round(rng.choice([10, 1000, 1e6]) * rng.random(), 2) for _ in range(120)]
+    notices = [(i, rng.choice(["N", "S", None]), rng.choice(["Alto", "BALTO", None]), rng.choice([None, [], ["A"], ["B", "A"], ["A", "A"]]), v) for i, v in enumerate(values)]
+    ends = [None, Decimal("-9"), Decimal("0"), Decimal("7"), Decimal("7.01")] + [Decimal(str(v)) for v in rng.sample(values[3:], 40)]
+    filters = [
+        (i, i // 4, "x", rng.random() < 0.9, rng.choice(["N", "S", None, None]), rng.choice(["alt", "BA", None, None]), rng.choice([["A"], ["A", "B"], None, None]), rng.choice(ends), rng.choice(ends))
+        for i in range(200)
+    ]
+    n = spark.createDataFrame(notices, "notice_id long, region string, city string, tags array<string>, value double").withColumn("value", F.col("value").cast(kind))
+
+    def ok(f, m):
+        v = None if m[4] is None else Decimal(str(m[4]))
+        inside = v is None or ((f[7] is None or v >= f[7]) and (f[8] is None or v <= f[8]))
+        return f[3] and f[4] in (None, m[1]) and (f[5] is None or f[5].upper() in (m[2] or "").upper()) and (f[6] is None or bool(set(f[6]) & set(m[3] or []))) and inside
+
+    want = {(f[0], f[1], m[0]) for f in filters for m in notices if ok(f, m)}
+    f = spark.createDataFrame(filters, FILTERS)
+    got = [tuple(r) for r in match.matches(n, f).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    least = {}
+    for f_id, user, m_id in want:
+        least[user, m_id] = min(f_id, least.get((user, m_id), f_id))
+    assert sorted(tuple(r) for r in match.notifications(n, f).collect()) == sorted((*k, v) for k, v in least.items())
