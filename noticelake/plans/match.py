@@ -132,10 +132,11 @@ def matches(notices: DataFrame, filters: DataFrame) -> DataFrame:
     return condition_matches(notices, every).join(every.select("condition", "filter_id", "user_id"), "condition").select("filter_id", "user_id", "notice_id")
 
 
-def condition_matches(notices: DataFrame, every: DataFrame) -> DataFrame:
+def condition_matches(notices: DataFrame, every: DataFrame, together: bool = False) -> DataFrame:
     """(condition, notice_id) of every distinct condition among ``members`` that a notice satisfies.
 
-    Notices are read once: each is put under all keys it can be looked up by and joined once.
+    Notices are read once: each is put under all keys it can be looked up by and joined once. ``together`` leaves what is found about
+    a notice in one task, so that a grouping by notice that follows needs no shuffle of the hits.
     """
     n = staged(notices.select("notice_id", "region", F.upper(F.coalesce("city", F.lit(""))).alias("city"), "tags", "value"), "notices")
     f = every.select("condition", *CONDITION).dropDuplicates(["condition"])
@@ -144,6 +145,7 @@ def condition_matches(notices: DataFrame, every: DataFrame) -> DataFrame:
     # Notices stand only under the kinds of keys that some filter is looked up by: a handful, and one for each length of runs.
     kinds = {r["kind"] for r in keyed.select(F.substring_index("key", ":", 1).alias("kind")).distinct().collect()}
 
+    n = n.repartition("notice_id") if together else n
     n = n.withColumn("cell", F.when(F.col("value").isNotNull(), _cell(F.col("value"), splits)))
     none = F.col("value").isNull()
     parts = {"r": F.col("region"), "c": F.col("city"), "*": F.lit("")}
@@ -170,6 +172,19 @@ def condition_matches(notices: DataFrame, every: DataFrame) -> DataFrame:
     return hits.select("condition", "notice_id")
 
 
+def profiles(held: DataFrame, shared: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Users as one where their filters, in the order of their ids, have the same ``shared`` columns.
+
+    Gives (profile, user_id, ids) and, for every distinct profile, (profile, place, and the columns ``shared``); ``ids`` are filter ids by place.
+    """
+    own = F.array_sort(F.collect_list(F.struct("filter_id", *shared)))
+    asks = F.transform("own", lambda x: F.struct(*[x[c].alias(c) for c in shared]))
+    listed = held.groupBy("user_id").agg(own.alias("own")).select("user_id", F.col("own.filter_id").alias("ids"), asks.alias("asks"))
+    users = staged(listed.withColumn("profile", F.unhex(F.md5(F.to_json("asks")))), "profiles")
+    asked = users.select("profile", "asks").dropDuplicates(["profile"]).select("profile", F.posexplode("asks").alias("place", "ask")).select("profile", "place", "ask.*")
+    return users.select("profile", "user_id", "ids"), staged(asked, "asked")
+
+
 def notifications(notices: DataFrame, filters: DataFrame) -> DataFrame:
     """One notification per user and notice, for the lowest matching filter id.
 
@@ -177,11 +192,8 @@ def notifications(notices: DataFrame, filters: DataFrame) -> DataFrame:
     same order are one profile: the first condition of a profile that a notice meets is found once, and its users come last.
     """
     every = members(uncovered(filters))
-    own = F.array_sort(F.collect_list(F.struct("filter_id", "condition")))
-    listed = every.groupBy("user_id").agg(own.alias("own")).select("user_id", F.col("own.filter_id").alias("ids"), F.col("own.condition").alias("conditions"))
-    users = staged(listed.withColumn("profile", F.md5(F.array_join("conditions", ","))), "profiles")
-    asked = users.select("profile", "conditions").dropDuplicates(["profile"]).select("profile", F.posexplode("conditions").alias("place", "condition"))
-    first = condition_matches(notices, every).join(asked, "condition").groupBy("profile", "notice_id").agg(F.min("place").alias("place"))
+    users, asked = profiles(every, ["condition"])
+    first = condition_matches(notices, every, together=True).join(asked, "condition").groupBy("profile", "notice_id").agg(F.min("place").alias("place"))
     return first.join(users, "profile").select("user_id", "notice_id", F.get("ids", F.col("place")).alias("filter_id"))
 
 
@@ -233,5 +245,5 @@ def unread_count(unread_rows: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "condition", "condition_matches", "matches", "members", "new_notifications", "notifications", "read_filters", "unread", "unread_count", "unread_list",
+    "condition", "condition_matches", "matches", "members", "new_notifications", "notifications", "profiles", "read_filters", "uncovered", "unread", "unread_count", "unread_list",
 ]

@@ -158,3 +158,12 @@ def test_ranges_of_all_shapes_find_what_a_nested_loop_finds(spark, kind):
     for f_id, user, m_id in want:
         least[user, m_id] = min(f_id, least.get((user, m_id), f_id))
     assert sorted(tuple(r) for r in match.notifications(n, f).collect()) == sorted((*k, v) for k, v in least.items())
+
+
+def test_hits_are_grouped_by_notice_where_they_are_found(spark):
+    """What users are told is folded in the task that has found it: hits are not shuffled."""
+    rows = [(u * 2 + i, u, "x", True, "N" if i else None, None, None if i else ["A"], None, None) for u in range(50) for i in range(2)]
+    notices = spark.range(50_000).select(F.col("id").alias("notice_id"), F.lit("N").alias("region"), F.md5(F.hex("id")).alias("city"), F.array(F.lit("A")).alias("tags"), F.rand(1).alias("value"))
+    plan = match.notifications(notices, spark.createDataFrame(rows, FILTERS))._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 1 and "notice_id" in moved[0] and "profile" not in moved[0]
