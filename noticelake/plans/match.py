@@ -113,9 +113,10 @@ CONDITION = ("f_region", "f_city", "f_tags", "f_min", "f_max")
 
 
 def members(filters: DataFrame) -> DataFrame:
-    """Active filters as (condition, filter_id, user_id and the columns of ``CONDITION``); ``condition`` is a digest of these."""
+    """Active filters as (condition, filter_id, user_id and the columns of ``CONDITION``); ``condition`` is a digest of these where it isn't given."""
     f = filters.where("is_active").withColumn("f_city", F.upper("f_city"))
-    return staged(f.select(condition().alias("condition"), "filter_id", "user_id", *CONDITION), "filters")
+    digest = F.col("condition") if "condition" in filters.columns else condition()
+    return staged(f.select(digest.alias("condition"), "filter_id", "user_id", *CONDITION), "filters")
 
 
 def condition() -> Column:

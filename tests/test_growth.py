@@ -13,6 +13,7 @@ from noticelake.operators.paging import natural_number
 from noticelake.operators.transitions import follow, state_times
 from noticelake.plans import contract, lots, match
 from noticelake.queries import pages, quality, serving
+from noticelake.streaming import notify
 
 
 def plan_of(df):
@@ -167,3 +168,50 @@ def test_hits_are_grouped_by_notice_where_they_are_found(spark):
     plan = match.notifications(notices, spark.createDataFrame(rows, FILTERS))._jdf.queryExecution().executedPlan().toString()
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert len(moved) == 1 and "notice_id" in moved[0] and "profile" not in moved[0]
+
+
+def test_users_of_one_wish_share_what_is_stored_about_a_notice(spark, tmp_path):
+    """Hits are kept by what filters ask for; users are put to them when they are read."""
+    state = notify.Matches(spark, str(tmp_path / "s"), buckets=1)
+    f = spark.createDataFrame([(u, u, "x", True, "N", None, None, None, None) for u in range(300)], FILTERS)
+    n = spark.range(100).select(F.col("id").alias("notice_id"), F.lit("N").alias("region"), F.lit("x").alias("city"), F.lit(None).cast("array<string>").alias("tags"), F.lit(None).cast("decimal(15,2)").alias("value"))
+    assert state.change(n, f).count() == 30_000 and state.known().count() == 30_000
+    stored = sum(spark.read.parquet(f"{state.shots.path}/{folder}").count() for folder in set(state.shots.newest().parts.values()))
+    assert stored <= 2 * (300 + 100) + 100  # filters, notices and their keys, and one hit a notice
+
+
+def test_matches_of_changes_in_any_order_are_those_of_a_plain_walk(spark, tmp_path):
+    rng = random.Random(3)
+    state = notify.Matches(spark, str(tmp_path / "s"), buckets=1)
+    notice = "notice_id long, region string, city string, tags array<string>, value double"
+    every_notice = [(i, rng.choice("NS"), rng.choice(["Alto", "Bom"]), rng.choice([None, ["A"], ["A", "B"]]), rng.choice([None, 1.0, 5.0, 9.0])) for i in range(30)]
+
+    def wish(i):
+        low = rng.choice([None, 4])
+        return (i, i // 3, "x", rng.random() < 0.7, rng.choice(["N", "S", None]), rng.choice(["om", None, None]), rng.choice([["B"], None, None]), low and Decimal(low), None)
+
+    def meets(f, m):
+        return f[3] and f[4] in (None, m[1]) and (f[5] or "").upper() in m[2].upper() and (f[6] is None or bool(set(f[6]) & set(m[3] or []))) and (f[7] is None or m[4] is None or m[4] >= f[7])
+
+    seen, states, newest, known, sent = {}, set(), {}, {}, {}
+    steps = [(None, [wish(i) for i in range(9)]), (every_notice[:12], None), (every_notice[6:20], [wish(i) for i in range(6, 14)]), (None, [wish(i) for i in range(3, 12)]), (every_notice[15:], None)]
+    versions = [0]
+    for notices, filters in steps:
+        fresh = [m for m in notices or [] if m[0] not in seen]
+        changed = {f[0]: f for f in filters or [] if str(f) not in states}
+        states |= {str(f) for f in filters or []}
+        newest |= changed
+        found = {(f[1], m[0], f[0]) for m in fresh for f in newest.values() if meets(f, m)} | {(f[1], m[0], f[0]) for m in seen.values() for f in changed.values() if meets(f, m)}
+        seen |= {m[0]: m for m in fresh}
+        told = {}
+        for user, m, f in sorted(found):
+            known[user, m] = min(f, known.get((user, m), f))
+            told.setdefault((user, m), f)
+        now = {k: f for k, f in told.items() if k not in sent}
+        sent |= now
+        got = state.change(spark.createDataFrame(notices, notice) if notices else None, spark.createDataFrame(filters, FILTERS).drop("label") if filters else None)
+        assert sorted(tuple(r) for r in got.select("user_id", "notice_id", "filter_id").collect()) == sorted((*k, f) for k, f in now.items())
+        versions.append(state.shots.newest().number)
+    assert sorted(tuple(r) for r in state.known().collect()) == sorted((*k, f) for k, f in known.items())
+    assert sorted(tuple(r) for r in state.outbox().select("user_id", "notice_id", "filter_id").collect()) == sorted((*k, f) for k, f in sent.items())
+    assert versions == list(range(6)) and len(known) > len(now) > 0
