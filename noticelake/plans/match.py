@@ -146,7 +146,7 @@ def condition_matches(notices: DataFrame, every: DataFrame, together: bool = Fal
     # Notices stand only under the kinds of keys that some filter is looked up by: a handful, and one for each length of runs.
     kinds = {r["kind"] for r in keyed.select(F.substring_index("key", ":", 1).alias("kind")).distinct().collect()}
 
-    n = n.repartition("notice_id") if together else n
+    n = by_notice(n) if together else n
     n = n.withColumn("cell", F.when(F.col("value").isNotNull(), _cell(F.col("value"), splits)))
     none = F.col("value").isNull()
     parts = {"r": F.col("region"), "c": F.col("city"), "*": F.lit("")}
@@ -173,6 +173,11 @@ def condition_matches(notices: DataFrame, every: DataFrame, together: bool = Fal
     return hits.select("condition", "notice_id")
 
 
+def by_notice(rows: DataFrame) -> DataFrame:
+    """Rows of a notice in one task. The number of tasks is fixed: what is found grows by the filters, of which the bytes of these rows say nothing."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "notice_id")
+
+
 def profiles(held: DataFrame, shared: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Users as one where their filters, in the order of their ids, have the same ``shared`` columns.
 
@@ -246,5 +251,5 @@ def unread_count(unread_rows: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "condition", "condition_matches", "matches", "members", "new_notifications", "notifications", "profiles", "read_filters", "uncovered", "unread", "unread_count", "unread_list",
+    "by_notice", "condition", "condition_matches", "matches", "members", "new_notifications", "notifications", "profiles", "read_filters", "uncovered", "unread", "unread_count", "unread_list",
 ]

@@ -11,7 +11,7 @@ from pyspark.sql.types import BinaryType, BooleanType, IntegerType, StructField,
 from noticelake.operators.keyed import keep_first
 from noticelake.operators.paging import top_k_per
 from noticelake.plans.health import all_alerts, pipeline_alerts
-from noticelake.plans.match import condition, condition_matches, members, profiles, uncovered
+from noticelake.plans.match import by_notice, condition, condition_matches, members, profiles, uncovered
 from noticelake.presets import br_notices as br
 from noticelake.sources.keyed_table import BUCKETS, KeyedTable
 from noticelake.sources.snapshots import Snapshots, Version
@@ -98,7 +98,7 @@ class Matches:
         """
         users, asked = profiles(self._held(version), ["condition", "since", "until"])
         holds = F.when(F.col("late"), F.col("at") == F.col("since")).otherwise((F.col("at") >= F.col("since")) & (F.col("until").isNull() | (F.col("at") < F.col("until"))))
-        return users, hits.repartition("notice_id").join(asked, "condition").where(holds).select("profile", "notice_id", "at", "place")
+        return users, by_notice(hits).join(asked, "condition").where(holds).select("profile", "notice_id", "at", "place")
 
     def known(self) -> DataFrame | None:
         """One row a user and notice with the lowest filter id that has matched it."""
